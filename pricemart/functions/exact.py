@@ -19,13 +19,13 @@ def _c(c) -> Column:
 
 def round_half_up(c, scale: int) -> Column:
     """Round a double to ``scale`` places, HALF_UP, via decimal(28,8)."""
-    return _c(c).cast("decimal(28,8)").cast(f"decimal(28,{scale})").cast("double")
+    return _c(c).try_cast("decimal(28,8)").cast(f"decimal(28,{scale})").cast("double")
 
 
-def exact_mean(c, input_scale: int = 4) -> Column:
+def exact_mean(c, input_scale: int = 8) -> Column:
     """Order-independent mean: decimal sum / count (NULLs ignored, empty -> NULL)."""
     col = _c(c)
-    total = F.sum(col.cast(f"decimal(18,{input_scale})")).cast("double")
+    total = F.sum(col.try_cast(f"decimal(28,{input_scale})")).cast("double")
     return total / F.nullif(F.count(col), F.lit(0))
 
 
