@@ -16,7 +16,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pricemart.config import PERIOD_FORMATS, PY_WHITESPACE_CLASS, RATE_DATE_FORMATS
-from pricemart.functions.text import py_strip
 
 # English month names as Python's C locale spells them.
 MONTH_ABBR = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
@@ -24,12 +23,13 @@ MONTH_FULL = ("january", "february", "march", "april", "may", "june", "july", "a
               "september", "october", "november", "december")
 
 _DIRECTIVES = {
-    "d": "(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])",
+    "d": "( [1-9]|3[01]|[12][0-9]|0[1-9]|[1-9])",
     "m": "(1[0-2]|0[1-9]|[1-9])",
     "Y": "([0-9]{4})",
     "b": "(" + "|".join(MONTH_ABBR) + ")",
     "B": "(" + "|".join(MONTH_FULL) + ")",
 }
+_MARK = "\u0001"
 
 
 def _c(c) -> Column:
@@ -37,7 +37,9 @@ def _c(c) -> Column:
 
 
 def _compile(fmt: str) -> tuple[str, list[str]]:
-    """Python strptime format -> (anchored case-insensitive regex, directive per group)."""
+    """Python strptime format -> (anchored case-insensitive regex, directive per group).
+    Leading/trailing whitespace is absorbed, as the callers strip first."""
+    ws = PY_WHITESPACE_CLASS
     out, groups, i = [], [], 0
     while i < len(fmt):
         ch = fmt[i]
@@ -49,55 +51,55 @@ def _compile(fmt: str) -> tuple[str, list[str]]:
         elif ch.isspace():
             while i < len(fmt) and fmt[i].isspace():
                 i += 1
-            out.append(PY_WHITESPACE_CLASS + "+")
+            out.append(ws + "+")
         else:
             out.append(re.escape(ch))
             i += 1
-    return "(?i)^" + "".join(out) + "$", groups
+    return f"(?i)^{ws}*" + "".join(out) + f"{ws}*$", groups
+
+
+def _one_format(text: Column, fmt: str) -> Column:
+    """DATE if the whole (stripped) text matches ``fmt`` and is a real calendar day, else NULL.
+
+    One ``regexp_replace`` rewrites a matching text to ``<mark>Y-M-d`` (month names
+    kept as names); the date pattern starts with the quoted mark, so a text that
+    did not match can never parse."""
+    rx, groups = _compile(fmt)
+    ref = {code: f"${i + 1}" for i, code in enumerate(groups)}
+    month = ref.get("m") or ref.get("b") or ref.get("B")
+    day = ref.get("d", "1")
+    rebuilt = F.regexp_replace(text, rx, f"{_MARK}{ref['Y']}-{month}-{day}")
+    mpat = "M" if "m" in ref else ("MMM" if "b" in ref else "MMMM")
+    return F.try_to_date(F.replace(rebuilt, F.lit(" "), F.lit("")), f"'{_MARK}'yyyy-{mpat}-d")
 
 
 def parse_with_formats(c, formats) -> Column:
     """First calendar-valid parse of ``c`` by the formats, in order -> DATE (or NULL)."""
     text = _c(c)
-    tries = []
-    for fmt in formats:
-        rx, groups = _compile(fmt)
-        part = {code: F.regexp_extract(text, rx, i + 1) for i, code in enumerate(groups)}
-        year = part["Y"]
-        if "m" in part:
-            month = part["m"]
-        elif "b" in part:
-            month = F.array_position(F.array(*map(F.lit, MONTH_ABBR)), F.lower(part["b"])).cast("string")
-        else:
-            month = F.array_position(F.array(*map(F.lit, MONTH_FULL)), F.lower(part["B"])).cast("string")
-        day = F.trim(part["d"]) if "d" in part else F.lit("1")
-        date = F.try_to_date(F.concat_ws("-", year, month, day), "yyyy-M-d")
-        tries.append(F.when(F.regexp_like(text, F.lit(rx)), date))
+    tries = [_one_format(text, fmt) for fmt in formats]
     return F.coalesce(*tries) if len(tries) > 1 else tries[0]
 
 
 def parse_period(c, formats=PERIOD_FORMATS) -> Column:
     """Mixed date text -> ``YYYY-MM`` string or NULL.
 
-    The text is stripped, then the formats are tried in order; if none parses,
+    The stripped text is tried against the formats in order; if none parses,
     two regex fallbacks apply without checking the month (``2022-13`` stays
     ``2022-13``, ``03/22/2026`` gives ``2026-22``): a 4-digit year followed by a
     2-digit month, then a day-month-year shape.
     """
-    raw = py_strip(_c(c))
+    raw = _c(c)
     parsed = F.date_format(parse_with_formats(raw, formats), "yyyy-MM")
-    ym = "([0-9]{4})[./-]([0-9]{2})"
-    dmy = "([0-9]{2})[./-]([0-9]{2})[./-]([0-9]{4})"
-    fb1 = F.when(F.regexp_like(raw, F.lit(ym)),
-                 F.concat(F.regexp_extract(raw, ym, 1), F.lit("-"), F.regexp_extract(raw, ym, 2)))
-    fb2 = F.when(F.regexp_like(raw, F.lit(dmy)),
-                 F.concat(F.regexp_extract(raw, dmy, 3), F.lit("-"), F.regexp_extract(raw, dmy, 2)))
+    ym = F.regexp_extract(raw, "[0-9]{4}[./-][0-9]{2}", 0)
+    fb1 = F.regexp_replace(F.nullif(ym, F.lit("")), "^([0-9]{4}).", "$1-")
+    dmy = F.regexp_extract(raw, "[0-9]{2}[./-][0-9]{2}[./-][0-9]{4}", 0)
+    fb2 = F.regexp_replace(F.nullif(dmy, F.lit("")), "^..(.)(..).(....)$", "$3-$2")
     return F.coalesce(parsed, fb1, fb2)
 
 
 def parse_rate_date(c, formats=RATE_DATE_FORMATS) -> Column:
     """Daily-rate date text -> DATE, formats tried in order (day-first before month-first)."""
-    return parse_with_formats(py_strip(_c(c)), formats)
+    return parse_with_formats(_c(c), formats)
 
 
 def slash_date_to_month(c) -> Column:
