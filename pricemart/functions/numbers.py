@@ -49,3 +49,16 @@ def parse_rate(c, bounds: Bounds = Bounds(0.0, 1000.0, hi_inclusive=True)) -> Co
     value = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
     ok = F.regexp_like(text, F.lit(_FLOAT_RE))
     return F.when(ok & in_bounds(value, bounds), value)
+
+
+_SPECIAL_FLOAT_RE = "(?i)^[+-]?(nan|inf|infinity)$"
+
+
+def parse_float(c) -> Column:
+    """Text -> double as Python's ``float()`` reads it (surrounding whitespace allowed,
+    underscores between digits, ``nan``/``inf``); anything else -> NULL.  Unlike
+    ``try_cast`` it rejects Java-only forms such as ``12d`` or hex floats."""
+    text = py_strip(_c(c))
+    value = F.replace(text, F.lit("_"), F.lit("")).try_cast("double")
+    ok = F.regexp_like(text, F.lit(_FLOAT_RE)) | F.regexp_like(text, F.lit(_SPECIAL_FLOAT_RE))
+    return F.when(ok, value)
