@@ -15,7 +15,10 @@ def tag_source(df: DataFrame, priority: int, source: str | None = None, pos_col:
     out = df.withColumn("_priority", F.lit(priority))
     if source is not None:
         out = out.withColumn("source", F.lit(source))
-    out = out.withColumn("_pos", F.col(pos_col).cast("long") if pos_col else F.lit(0).cast("long"))
+    if pos_col is not None and pos_col != "_pos":
+        out = out.withColumn("_pos", F.col(pos_col))
+    elif pos_col is None and "_pos" not in out.columns:
+        out = out.withColumn("_pos", F.lit(0).cast("long"))
     return out
 
 

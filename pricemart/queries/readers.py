@@ -152,11 +152,11 @@ PRICE_CENTS = "CAST(floor(CAST(ROUND(o_totalprice * 100) AS BIGINT) / 200) AS BI
 
 def prices_csv_text(engine: str) -> dict[int, list[tuple[str, str]]]:
     return {
-        0: [(dfmt("o_orderdate", "ym", engine), "period"), ("o_orderpriority", "fuel_type"),
+        0: [("o_orderkey", "row"), (dfmt("o_orderdate", "ym", engine), "period"), ("o_orderpriority", "fuel_type"),
             (money(PRICE_CENTS), "price_lkr")],
-        1: [(dfmt("o_orderdate", "dmy_dot", engine), "﻿Date"), ("lower(o_orderpriority)", "Fuel Type"),
+        1: [(dfmt("o_orderdate", "dmy_dot", engine), "﻿Date"), ("o_orderkey", "row"), ("lower(o_orderpriority)", "Fuel Type"),
             (f"concat('Rs ', {money(PRICE_CENTS)})", "Price LKR")],
-        2: [(dfmt("o_orderdate", "mon_y", engine), "date"), ("o_orderpriority", "fuel"),
+        2: [("o_orderkey", "row"), (dfmt("o_orderdate", "mon_y", engine), "date"), ("o_orderpriority", "fuel"),
             (money(PRICE_CENTS, thousands=True), "price")],
     }
 
@@ -172,7 +172,7 @@ def _prices_csv_paths(spark, sf, orders: DataFrame | None = None) -> list[str]:
 
 
 def csv_alias_prices(spark, sf) -> DataFrame:
-    return csv.read_layouts(spark, _prices_csv_paths(spark, sf), csv.prices_from_csv)
+    return csv.read_layouts(spark, _prices_csv_paths(spark, sf), csv.prices_from_csv).drop("_pos")
 
 
 # ----------------------------------------------------------------- HTML pages

@@ -84,7 +84,10 @@ WHERE cur IN ('', 'USD') AND {_nz('d')} IS NOT NULL AND {_nz('r')} IS NOT NULL
 def _prices_csv() -> str:
     parts = []
     for lay, cols in prices_csv_text(DK).items():
-        (d, _), (f, _), (p, _) = cols
+        named = {n.lstrip("﻿"): e for e, n in cols}
+        d = named.get("period") or named.get("Date") or named.get("date")
+        f = named.get("fuel_type") or named.get("Fuel Type") or named.get("fuel")
+        p = named.get("price_lkr") or named.get("Price LKR") or named.get("price")
         parts.append(f"SELECT {d} AS d, {f} AS f, {p} AS p FROM orders WHERE o_orderkey % 3 = {lay}")
     u = " UNION ALL ".join(parts)
     return f"""

@@ -63,7 +63,12 @@ def conform(df: DataFrame, schema: T.StructType, key: Sequence[str] = ()) -> tup
     A value that cannot be represented becomes NULL (``try_cast``); a NULL in a NOT
     NULL column rejects the row.  ``key`` is the primary key: duplicates are not
     silently dropped here (``check_unique`` reports them)."""
-    cast = df.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+    def conv(f):
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.DecimalType) and isinstance(df.schema[f.name].dataType, (T.DoubleType, T.FloatType)):
+            c = c.try_cast("decimal(28,8)")      # exact HALF_UP path for doubles (see functions.exact)
+        return c.try_cast(f.dataType).alias(f.name)
+    cast = df.select(*[conv(f) for f in schema.fields])
     required = [f.name for f in schema.fields if not f.nullable]
     bad = F.lit(False)
     for c in required:

@@ -70,16 +70,27 @@ def rates_from_csv(df: DataFrame, bounds: Bounds = Bounds(0.0, 1000.0, hi_inclus
     return out.where(F.col("date").isNotNull() & F.col("usd_lkr").isNotNull())
 
 
-def prices_from_csv(df: DataFrame, source: str = "history_csv") -> DataFrame:
-    """Retail-price CSV -> (period, fuel_type, price_lkr, source): period parsed from
-    mixed date text, price cleaned, label in upper snake case."""
+def row_position(a, b=None, c=None) -> Column:
+    """Position of a record in its source as a comparable (a, b, c) struct of longs."""
+    def part(x):
+        if x is None:
+            return F.lit(0).cast("long")
+        return (F.col(x) if isinstance(x, str) else x).try_cast("long")
+    return F.struct(part(a).alias("a"), part(b).alias("b"), part(c).alias("c"))
+
+
+def prices_from_csv(df: DataFrame, source: str = "history_csv", pos_col: str = "row") -> DataFrame:
+    """Retail-price CSV -> (period, fuel_type, price_lkr, source, _pos): period parsed from
+    mixed date text, price cleaned, label in upper snake case.  ``_pos`` is the row
+    number column of the file when it has one (first listed row wins later)."""
     date = alias(df, PRICE_CSV_DATE_ALIASES)
     fuel = alias(df, PRICE_CSV_FUEL_ALIASES)
     price = alias(df, PRICE_CSV_PRICE_ALIASES)
-    x = df.select(date.alias("_d"), fuel.alias("_f"), price.alias("_p"))
+    pos = row_position(pos_col if pos_col in df.columns else None)
+    x = df.select(date.alias("_d"), fuel.alias("_f"), price.alias("_p"), pos.alias("_pos"))
     x = x.where(non_empty("_d", "_f", "_p"))
     out = x.select(parse_period("_d").alias("period"), normalise_label("_f").alias("fuel_type"),
-                   clean_price("_p").alias("price_lkr"), F.lit(source).alias("source"))
+                   clean_price("_p").alias("price_lkr"), F.lit(source).alias("source"), "_pos")
     return out.where(F.col("period").isNotNull() & F.col("price_lkr").isNotNull())
 
 

@@ -88,6 +88,8 @@ def price_table(pages: DataFrame, keywords: Sequence[str] = FUEL_TABLE_KEYWORDS,
              .where(F.col("period").isNotNull())
              .select("page_id", "table_pos", "row_pos", "period", F.posexplode("cells").alias("col_pos", "cell")))
     j = data.join(header, on=["page_id", "table_pos", "col_pos"], how="inner")
+    pos = F.struct(F.col("page_id").cast("long").alias("a"), F.col("row_pos").cast("long").alias("b"),
+                   F.col("col_pos").cast("long").alias("c"))
     out = j.select("page_id", "row_pos", "col_pos", "period", "fuel_type",
-                   clean_price("cell").alias("price_lkr"), F.lit(source).alias("source"))
+                   clean_price("cell").alias("price_lkr"), F.lit(source).alias("source"), pos.alias("_pos"))
     return out.where(F.col("price_lkr").isNotNull())
