@@ -31,20 +31,36 @@ class EtlOutputs:
     quarantine: str
 
 
-def read_feeds(spark: SparkSession, raw_root: str, multiline: bool = False):
-    """The three landed feeds (all snapshots under each folder) as typed frames."""
-    b = env.read_envelopes(spark, f"{raw_root}/benchmark", env.BENCHMARK_RECORD, multiline).select(
-        "period", parse_float("value").alias("brent_usd_per_barrel"), "fetched_at", "_pos")
-    r = env.read_envelopes(spark, f"{raw_root}/rates", env.RATES_RECORD, multiline).select(
-        "period", parse_float("usd_lkr_avg").alias("usd_lkr_rate"), "fetched_at", "_pos")
-    p = env.read_envelopes(spark, f"{raw_root}/prices", env.PRICES_RECORD, multiline).select(
-        "period", "fuel_type", parse_float("price_lkr").alias("price_lkr"), "fetched_at", "_pos")
+def _keep_pos(df: DataFrame) -> list:
+    return ["_pos"] if "_pos" in df.columns else []
+
+
+def read_feeds(spark: SparkSession, raw_root: str, layout: str = "snapshot", multiline: bool = False):
+    """The three landed feeds (every snapshot under each folder) as typed frames.
+
+    ``layout='snapshot'`` reads the native Parquet snapshots; ``'envelope'`` reads
+    reference-style JSON envelopes (``multiline`` for one object per file)."""
+    if layout == "envelope":
+        b = env.read_envelopes(spark, f"{raw_root}/benchmark", env.BENCHMARK_RECORD, multiline).select(
+            "period", parse_float("value").alias("brent_usd_per_barrel"), "fetched_at", "_pos")
+        r = env.read_envelopes(spark, f"{raw_root}/rates", env.RATES_RECORD, multiline).select(
+            "period", parse_float("usd_lkr_avg").alias("usd_lkr_rate"), "fetched_at", "_pos")
+        p = env.read_envelopes(spark, f"{raw_root}/prices", env.PRICES_RECORD, multiline).select(
+            "period", "fuel_type", parse_float("price_lkr").alias("price_lkr"), "fetched_at", "_pos")
+        return b, r, p
+    b = env.read_snapshots(spark, f"{raw_root}/benchmark")
+    r = env.read_snapshots(spark, f"{raw_root}/rates")
+    p = env.read_snapshots(spark, f"{raw_root}/prices")
+    b = b.select("period", F.col("value").cast("double").alias("brent_usd_per_barrel"), "fetched_at", *_keep_pos(b))
+    r = r.select("period", F.col("usd_lkr_avg").cast("double").alias("usd_lkr_rate"), "fetched_at", *_keep_pos(r))
+    p = p.select("period", "fuel_type", F.col("price_lkr").cast("double").alias("price_lkr"), "fetched_at",
+                 *_keep_pos(p))
     return b, r, p
 
 
 def run_etl(spark: SparkSession, raw_root: str, out_root: str, spec: MartSpec = DEFAULT_SPEC,
-            multiline: bool = False) -> EtlOutputs:
-    b, r, p = read_feeds(spark, raw_root, multiline)
+            layout: str = "snapshot", multiline: bool = False) -> EtlOutputs:
+    b, r, p = read_feeds(spark, raw_root, layout, multiline)
     for df, name in ((b, "benchmark"), (r, "rates"), (p, "prices")):
         env.require_rows(df, name)
     res = transform(b, r, p, spec)

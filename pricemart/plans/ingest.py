@@ -10,7 +10,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from pricemart.config import Bounds
 from pricemart.operators.merge import priority_merge, source_cascade, tag_source
@@ -19,16 +18,15 @@ from pricemart.operators.resample import resample_monthly
 from pricemart.sources import envelope as env
 
 
-def land(records: DataFrame, path: str, source: str, run_date: str, record: T.StructType,
-         order: Sequence[str] = ()) -> DataFrame:
-    """Write ``records`` as the snapshot of ``run_date`` (envelopes; a re-run of the same
-    day replaces that day) and return what was landed, read back."""
-    env.require_rows(records, source)
-    text = records.select(*[F.col(f.name).cast("string").alias(f.name) for f in record.fields],
-                          *[F.col(c) for c in order if c not in record.fieldNames()])
-    env.write_envelopes(text.withColumn("fetched_at", F.lit(run_date)), path, source=source,
-                        order=[c for c in order] or [f.name for f in record.fields])
-    return env.read_envelopes(SparkSession.getActiveSession(), path, record)
+def land(records: DataFrame, path: str, run_date: str, fetched_at: str = "fetched_at") -> DataFrame:
+    """Write ``records`` as the snapshot of ``run_date`` (native layout: Parquet, one row per
+    record, partitioned by ``fetched_at``; a re-run of the same day replaces only that
+    day) and return the landed snapshot read back.  Raises when nothing was landed
+    (Q15), checked on the written files, so the records are computed once."""
+    spark = records.sparkSession
+    env.write_snapshot(records.withColumn(fetched_at, F.lit(run_date)), path, fetched_at)
+    landed = env.read_snapshots(spark, path).where(F.col(fetched_at) == F.lit(run_date).cast("date"))
+    return env.require_rows(landed, path)
 
 
 def ingest_benchmark(api_records: DataFrame, csv_records: DataFrame, path: str, run_date: str,
@@ -38,7 +36,7 @@ def ingest_benchmark(api_records: DataFrame, csv_records: DataFrame, path: str,
     chosen = source_cascade([api_records.select("period", "value", "source"),
                              csv_records.select("period", "value", "source")])
     valid, removed = split_valid(chosen, record_is_valid("period", "value", bounds))
-    landed = land(valid, path, "benchmark", run_date, env.BENCHMARK_RECORD)
+    landed = land(valid, path, run_date)
     return landed, removed
 
 
@@ -47,7 +45,7 @@ def ingest_rates(daily_sources: Sequence[DataFrame], path: str, run_date: str) -
     daily = source_cascade([d.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "usd_lkr")
                             for d in daily_sources])
     monthly = resample_monthly(daily, sort=False)
-    return land(monthly, path, "rates", run_date, env.RATES_RECORD, order=["period"])
+    return land(monthly, path, run_date)
 
 
 def ingest_prices(scraped: DataFrame, historical: DataFrame, path: str, run_date: str) -> DataFrame:
@@ -56,5 +54,4 @@ def ingest_prices(scraped: DataFrame, historical: DataFrame, path: str, run_date
     a = tag_source(scraped.select("period", "fuel_type", "price_lkr", "source", "_pos"), 0)
     b = tag_source(historical.select("period", "fuel_type", "price_lkr", "source", "_pos"), 1)
     merged = priority_merge([a, b], ["period", "fuel_type"])
-    return land(merged.select("period", "fuel_type", "price_lkr", "source"), path, "prices", run_date,
-                env.PRICES_RECORD, order=["period", "fuel_type"])
+    return land(merged.select("period", "fuel_type", "price_lkr", "source", "_pos"), path, run_date)

@@ -54,13 +54,16 @@ VIEW_COLUMNS = ["period", "year", "quarter", "month_name", "is_crisis_period", "
 
 
 def price_vs_benchmark_view(fact: DataFrame, dates: DataFrame, categories: DataFrame,
-                            buckets: int | None = None) -> DataFrame:
+                            buckets: int = 1) -> DataFrame:
     """The BI view: fact INNER JOIN date dim INNER JOIN category dim, plus the previous
     row's price of the same category (ordered by period, Q7) and the percent change.
 
     Both dimensions are bounded by construction (a month grid, a static list), so
-    they are broadcast; the previous-row value is computed once (not three times)
-    over ordered range buckets so a dominant category does not land on one task."""
+    they are broadcast.  The previous-row value is computed once (not three times).
+    After the inner join with the date dimension a category's window holds at
+    most one fact row per dimension month (the fact's grain is period x
+    category), so a plain window per category is bounded by the dimension size;
+    pass ``buckets`` > 1 for facts of a finer grain (range buckets + carry-in)."""
     j = (fact.join(F.broadcast(dates.select("date_key", "year", "quarter", "month_name", "is_crisis_period")),
                    fact["period"] == F.col("date_key"), "inner")
              .join(F.broadcast(categories.select("fuel_type_key", "fuel_category")),

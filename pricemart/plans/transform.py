@@ -53,8 +53,8 @@ def _order_for(df: DataFrame) -> list[tuple[str, bool]]:
 
 
 def _to_date_col(df: DataFrame, col: str) -> DataFrame:
-    if "fetched_at" in df.columns and dict(df.dtypes)["fetched_at"] == "string":
-        df = df.withColumn("fetched_at", F.try_to_date("fetched_at", "yyyy-MM-dd"))
+    if col in df.columns and dict(df.dtypes)[col] == "string":
+        df = df.withColumn(col, F.try_to_date(col, "yyyy-MM-dd"))
     return df
 
 

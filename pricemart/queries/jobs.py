@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricemart.functions.numbers import parse_float
 from pricemart.operators.resample import resample_monthly
 from pricemart.plans import ingest
 from pricemart.plans.etl import run_etl
@@ -23,7 +22,7 @@ def ingest_benchmark(spark, sf) -> DataFrame:
     api = R.api_payload_records(spark, sf)
     backup = R.csv_alias_benchmark(spark, sf)
     landed, _removed = ingest.ingest_benchmark(api, backup, scratch_path(spark, "raw-benchmark"), RUN_DATE)
-    return landed.select("period", parse_float("value").alias("value"), "source")
+    return landed.select("period", "value", "source")
 
 
 def ingest_rates(spark, sf) -> DataFrame:
@@ -33,8 +32,7 @@ def ingest_rates(spark, sf) -> DataFrame:
     b = html.two_column_rates(R.rate_pages(spark, sf), first_table_only=False)
     c = csv.read_layouts(spark, R._rates_csv_paths(spark, sf), csv.rates_from_csv)
     landed = ingest.ingest_rates([a, b, c], scratch_path(spark, "raw-rates"), RUN_DATE)
-    return landed.select("period", parse_float("usd_lkr_avg").alias("usd_lkr_avg"),
-                         F.col("sample_count").cast("long").alias("sample_count"))
+    return landed.select("period", "usd_lkr_avg", "sample_count")
 
 
 def _scraped_and_history(spark, sf):
@@ -47,7 +45,7 @@ def ingest_prices(spark, sf) -> DataFrame:
     """Price scrape and history CSV merged (scrape first, first listed row wins), landed."""
     scraped, history = _scraped_and_history(spark, sf)
     landed = ingest.ingest_prices(scraped, history, scratch_path(spark, "raw-prices"), RUN_DATE)
-    return landed.select("period", "fuel_type", parse_float("price_lkr").alias("price_lkr"), "source")
+    return landed.select("period", "fuel_type", "price_lkr", "source")
 
 
 def etl_job(spark, sf) -> DataFrame:
@@ -57,10 +55,10 @@ def etl_job(spark, sf) -> DataFrame:
     bench = resample_monthly(li.select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
                                        (F.col("l_extendedprice") / 1000).alias("usd_lkr")), sort=False)
     ingest.land(bench.select("period", F.col("usd_lkr_avg").alias("value"), F.lit("api").alias("source")),
-                f"{raw}/benchmark", "benchmark", RUN_DATE, ingest.env.BENCHMARK_RECORD, order=["period"])
+                f"{raw}/benchmark", RUN_DATE)
     rates = resample_monthly(li.select(F.date_format("l_shipdate", "yyyy-MM-dd").alias("date"),
                                        F.col("l_quantity").alias("usd_lkr")), sort=False)
-    ingest.land(rates, f"{raw}/rates", "rates", RUN_DATE, ingest.env.RATES_RECORD, order=["period"])
+    ingest.land(rates, f"{raw}/rates", RUN_DATE)
     scraped, history = _scraped_and_history(spark, sf)
     ingest.ingest_prices(scraped, history, f"{raw}/prices", RUN_DATE)
     out = run_etl(spark, raw, scratch_path(spark, "mart"), ANALOG_SPEC)

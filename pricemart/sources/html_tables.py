@@ -44,14 +44,26 @@ def rows(tbls: DataFrame, kinds: Sequence[str] = ("td",), keep: Sequence[str] =
     return ex.select(*keep, "row_pos", cells.alias("cells"))
 
 
+def _cells(row_html: Column, kinds: Sequence[str]) -> Column:
+    return F.transform(F.regexp_extract_all(row_html, F.lit(_cells_re(kinds)), 0), lambda c: cell_text(c))
+
+
 def two_column_rates(pages: DataFrame, first_table_only: bool) -> DataFrame:
-    """Rate tables: header row skipped, rows with at least two ``td`` cells,
-    (cell 0, cell 1) -> (date, usd_lkr); unparseable rows skipped."""
-    t = tables(pages)
+    """Rate tables: each table's header row skipped, rows with at least two ``td`` cells,
+    (cell 0, cell 1) -> (date, usd_lkr); unparseable rows skipped.
+
+    Per page one pass: the data rows of the first (or every) table are gathered
+    with array functions and exploded once; no join, no shuffle."""
+    tabs = F.regexp_extract_all("html", F.lit(TABLE_RE), 0)
     if first_table_only:
-        t = t.where(F.col("table_pos") == 0)
-    r = rows(t, ("td",)).where((F.col("row_pos") >= 1) & (F.size("cells") >= 2))
-    out = r.select("page_id", "table_pos", "row_pos",
+        tabs = F.slice(tabs, 1, 1)
+    data_rows = F.flatten(F.transform(tabs, lambda t: F.filter(
+        F.regexp_extract_all(t, F.lit(ROW_RE), 0), lambda r, i: i > 0)))
+    ex = pages.select("page_id", data_rows.alias("_rows")).select(
+        "page_id", F.posexplode("_rows").alias("row_pos", "row_html"))
+    r = ex.select("page_id", "row_pos", _cells(F.col("row_html"), ("td",)).alias("cells"))
+    r = r.where(F.size("cells") >= 2)
+    out = r.select("page_id", "row_pos",
                    parse_rate_date(F.get("cells", 0)).alias("date"), parse_rate(F.get("cells", 1)).alias("usd_lkr"))
     return out.where(F.col("date").isNotNull() & F.col("usd_lkr").isNotNull())
 
@@ -66,30 +78,33 @@ def keyword_hit(text: Column, keywords: Sequence[str]) -> Column:
 
 def price_table(pages: DataFrame, keywords: Sequence[str] = FUEL_TABLE_KEYWORDS, source: str = "scrape",
                 date_col_excluded: bool = False) -> DataFrame:
-    """Wide price table -> long records (page_id, row_pos, col_pos, period, fuel_type, price_lkr, source).
+    """Wide price table -> long records (page_id, row_pos, col_pos, period, fuel_type, price_lkr, source, _pos).
 
-    Per page the first table whose text contains a keyword is chosen; its first
+    Per page: the first table whose text contains a keyword is chosen; its first
     row maps column index -> category (``map_category``); each later row gives
     the period from cell 0 and one record per mapped column present in the row
-    with a parseable price.  The column map is applied by an equi-join on
-    (page, table, column): a distributed unpivot."""
-    t = tables(pages).withColumn("_hit", keyword_hit(spaced_text(F.col("table_html")), keywords))
-    first = t.where("_hit").groupBy("page_id").agg(F.min("table_pos").alias("table_pos"))
-    target = t.join(first, on=["page_id", "table_pos"], how="inner")
-    r = rows(target, ("th", "td"))
-    header = (r.where(F.col("row_pos") == 0)
-               .select("page_id", "table_pos", F.posexplode("cells").alias("col_pos", "head"))
-               .select("page_id", "table_pos", "col_pos", map_category("head").alias("fuel_type"))
-               .where(F.col("fuel_type").isNotNull()))
+    with a parseable price.  The column map is an array carried with each row and
+    looked up by cell index (the distributed form of the reference's dict
+    lookup), so the whole unpivot is row-local: two explodes, no join."""
+    # Per-page columns are projected before the explode: expressions written next to a
+    # generator are evaluated after it (once per generated row), which would redo the
+    # table search and the header map for every table row.
+    tabs = F.regexp_extract_all("html", F.lit(TABLE_RE), 0)
+    target = F.get(F.filter(tabs, lambda t: keyword_hit(spaced_text(t), keywords)), 0)
+    per_page = pages.select("page_id", F.regexp_extract_all(target, F.lit(ROW_RE), 0).alias("_rows"))
+    heads = F.transform(_cells(F.get("_rows", 0), ("th", "td")), lambda c: map_category(c))
     if date_col_excluded:
-        header = header.where(F.col("col_pos") > 0)
-    data = (r.where((F.col("row_pos") >= 1) & (F.size("cells") > 0))
-             .withColumn("period", parse_period(F.get("cells", 0)))
-             .where(F.col("period").isNotNull())
-             .select("page_id", "table_pos", "row_pos", "period", F.posexplode("cells").alias("col_pos", "cell")))
-    j = data.join(header, on=["page_id", "table_pos", "col_pos"], how="inner")
+        heads = F.transform(heads, lambda h, i: F.when(i > 0, h))
+    per_page = per_page.select("page_id", heads.alias("_heads"), "_rows")
+    x = per_page.select("page_id", "_heads", F.posexplode("_rows").alias("row_pos", "row_html"))
+    x = x.where(F.col("row_pos") >= 1).select(
+        "page_id", "_heads", "row_pos", _cells(F.col("row_html"), ("th", "td")).alias("cells"))
+    x = x.where(F.size("cells") > 0).withColumn("period", parse_period(F.get("cells", 0)))
+    x = x.where(F.col("period").isNotNull())
+    y = x.select("page_id", "row_pos", "period", "_heads", F.posexplode("cells").alias("col_pos", "cell"))
+    y = y.withColumn("fuel_type", F.get("_heads", F.col("col_pos"))).where(F.col("fuel_type").isNotNull())
     pos = F.struct(F.col("page_id").cast("long").alias("a"), F.col("row_pos").cast("long").alias("b"),
                    F.col("col_pos").cast("long").alias("c"))
-    out = j.select("page_id", "row_pos", "col_pos", "period", "fuel_type",
+    out = y.select("page_id", "row_pos", "col_pos", "period", "fuel_type",
                    clean_price("cell").alias("price_lkr"), F.lit(source).alias("source"), pos.alias("_pos"))
     return out.where(F.col("price_lkr").isNotNull())
