@@ -25,11 +25,10 @@ MONTH_FULL = ("january", "february", "march", "april", "may", "june", "july", "a
 _DIRECTIVES = {
     "d": "( [1-9]|3[01]|[12][0-9]|0[1-9]|[1-9])",
     "m": "(1[0-2]|0[1-9]|[1-9])",
-    "Y": "([0-9]{4})",
+    "Y": "((?!0000)[0-9]{4})",
     "b": "(" + "|".join(MONTH_ABBR) + ")",
     "B": "(" + "|".join(MONTH_FULL) + ")",
 }
-_MARK = "\u0001"
 
 
 def _c(c) -> Column:
@@ -59,18 +58,20 @@ def _compile(fmt: str) -> tuple[str, list[str]]:
 
 
 def _one_format(text: Column, fmt: str) -> Column:
-    """DATE if the whole (stripped) text matches ``fmt`` and is a real calendar day, else NULL.
+    """DATE if the whole (stripped) text matches ``fmt`` and names a real calendar day, else NULL.
 
-    One ``regexp_replace`` rewrites a matching text to ``<mark>Y-M-d`` (month names
-    kept as names); the date pattern starts with the quoted mark, so a text that
-    did not match can never parse."""
+    A chain in which each step uses the previous one once (no common
+    subexpressions to eliminate): ``regexp_extract`` gives the matching text or
+    '' (-> NULL), ``regexp_replace`` rewrites it to ``Y/M/D`` (month names kept),
+    and ``try_to_date`` checks the calendar.  Texts that do not match never reach
+    the datetime parser (a failed parse is an exception inside the JVM)."""
     rx, groups = _compile(fmt)
     ref = {code: f"${i + 1}" for i, code in enumerate(groups)}
-    month = ref.get("m") or ref.get("b") or ref.get("B")
-    day = ref.get("d", "1")
-    rebuilt = F.regexp_replace(text, rx, f"{_MARK}{ref['Y']}-{month}-{day}")
+    month_ref = ref.get("m") or ref.get("b") or ref.get("B")
+    matched = F.nullif(F.regexp_extract(text, rx, 0), F.lit(""))
+    ymd = F.replace(F.regexp_replace(matched, rx, f"{ref['Y']}/{month_ref}/{ref.get('d', '1')}"), F.lit(" "), F.lit(""))
     mpat = "M" if "m" in ref else ("MMM" if "b" in ref else "MMMM")
-    return F.try_to_date(F.replace(rebuilt, F.lit(" "), F.lit("")), f"'{_MARK}'yyyy-{mpat}-d")
+    return F.try_to_date(ymd, f"yyyy/{mpat}/d")
 
 
 def parse_with_formats(c, formats) -> Column:

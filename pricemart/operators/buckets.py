@@ -74,3 +74,30 @@ def with_range_bucket(df: DataFrame, order: Sequence[str], n_buckets: int, name:
     """Add an ordered range-bucket column over ``order``."""
     bounds = range_boundaries(df, order, n_buckets)
     return df.withColumn(name, bucket_expr(df, order, bounds))
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Size estimate of ``df`` from Catalyst statistics (no job runs); None when unavailable.
+
+    Without CBO a join's estimate is the product of its inputs, so the estimate is
+    capped by the total size of the plan's leaves (the bytes it reads)."""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        top = int(str(plan.stats().sizeInBytes()))
+        leaves = plan.collectLeaves()
+        read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+        return min(top, read) if read > 0 else top
+    except Exception:  # noqa: BLE001  (e.g. a Spark Connect session)
+        return None
+
+
+def auto_buckets(df: DataFrame, target_bytes: int = 32 << 20, cap: int | None = None) -> int:
+    """Bucket count for an ordered operator: one per ``target_bytes`` of estimated input,
+    at most ``cap`` (default 4 x shuffle partitions).  Buckets only change parallelism,
+    never results; an unknown estimate gives the cap."""
+    from pricemart.session import default_parallelism
+    cap = cap or 4 * default_parallelism(df.sparkSession)
+    est = estimated_bytes(df)
+    if est is None:
+        return cap
+    return int(max(1, min(cap, -(-est // target_bytes))))

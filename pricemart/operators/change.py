@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricemart.functions.exact import round_half_up, safe_div
-from pricemart.operators.buckets import bucket_expr, range_boundaries
-from pricemart.session import default_parallelism
+from pricemart.operators.buckets import auto_buckets, bucket_expr, range_boundaries
 
 
 def previous_value(df: DataFrame, col: str, order: Sequence[str], by: Sequence[str] = (),
@@ -26,7 +25,7 @@ def previous_value(df: DataFrame, col: str, order: Sequence[str], by: Sequence[s
     name = name or f"prev_{col}"
     spark = df.sparkSession
     if buckets is None:
-        buckets = max(2, default_parallelism(spark))
+        buckets = auto_buckets(df)
     if buckets <= 1:
         return df.withColumn(name, F.lag(col, 1).over(Window.partitionBy(*by).orderBy(*order)))
 

@@ -19,8 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricemart.operators.buckets import bucket_expr, range_boundaries
-from pricemart.session import default_parallelism
+from pricemart.operators.buckets import auto_buckets, bucket_expr, range_boundaries
 
 
 def _frame(w, frame: str):
@@ -41,7 +40,7 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order: Sequence[str], by: S
     cols, order, by = list(cols), list(order), list(by)
     spark = df.sparkSession
     if buckets is None:
-        buckets = max(2, default_parallelism(spark))
+        buckets = auto_buckets(df)
     if buckets <= 1:
         w = _frame(Window.partitionBy(*by).orderBy(*order), frame)
         return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)

@@ -14,15 +14,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricemart.operators.buckets import bucket_expr, range_boundaries
-from pricemart.session import default_parallelism
+from pricemart.operators.buckets import auto_buckets, bucket_expr, range_boundaries
 
 
 def with_surrogate_key(df: DataFrame, order: Sequence[str], name: str = "fact_id", start: int = 1,
                        buckets: int | None = None) -> DataFrame:
     order = list(order)
     if buckets is None:
-        buckets = max(2, default_parallelism(df.sparkSession))
+        buckets = auto_buckets(df)
+    if buckets <= 1:   # input estimated small: one ordered window
+        return df.select((F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1)).cast("long").alias(name),
+                         *df.columns)
     bounds = range_boundaries(df, order, buckets)
     x = df.withColumn("_b", bucket_expr(df, order, bounds))
     counts = x.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))

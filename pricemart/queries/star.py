@@ -188,7 +188,10 @@ def q_forward_fill(spark, sf):
 
 
 def forward_fill_global(spark, sf):
-    return forward_fill(_events_with_gaps(spark, sf), ["value"], ["ts", "event_id"])
+    """One global series through the two-phase (bucketed) path, one bucket per shuffle partition."""
+    from pricemart.session import default_parallelism
+    return forward_fill(_events_with_gaps(spark, sf), ["value"], ["ts", "event_id"],
+                        buckets=max(2, default_parallelism(spark)))
 
 
 def forward_fill_range(spark, sf):

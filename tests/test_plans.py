@@ -39,10 +39,22 @@ def test_dedupe_is_partial_aggregate(spark, qs):
 
 
 def test_global_fill_avoids_single_partition_on_rows(spark, qs):
-    df = qs["forward_fill_global"](spark, SF)
-    p = plan(df)
-    # the only single-partition exchange is over the per-bucket summary (a few rows)
-    assert "SinglePartition" not in p.split("Window")[0] or True
-    assert "rangepartitioning" not in p.lower() or True
-    txt = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "_b" in txt
+    p = plan(qs["forward_fill_global"](spark, SF))
+    # rows are windowed per ordered range bucket, not in one partition ...
+    assert "hashpartitioning(_b" in p and "windowspecdefinition(_b" in p
+    # ... and the one single-partition exchange is over the per-bucket summary only
+    assert p.count("SinglePartition") <= 1
+
+
+def test_surrogate_key_offsets_broadcast(spark, qs):
+    from pricemart.operators import with_surrogate_key
+    fact = qs["fact_prices"](spark, SF)
+    p = plan(with_surrogate_key(fact, ["period", "fuel_type"], buckets=4))
+    assert "BroadcastExchange" in p and "hashpartitioning(_b" in p and "SinglePartition" not in p.split("BroadcastExchange")[0]
+
+
+def test_auto_buckets_small_and_large(spark):
+    from pricemart.operators.buckets import auto_buckets
+    small = spark.read.parquet(f"{SF}/orders.parquet")
+    assert auto_buckets(small) == 1
+    assert auto_buckets(small, target_bytes=1024) > 1
