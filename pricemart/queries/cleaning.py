@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pricemart.functions import (
     clean_price, map_category, parse_period, parse_rate, parse_rate_date, period_to_date, standardise_label,
 )
-from pricemart.operators.quality import drop_nulls as _drop_nulls
+from pricemart.operators.quality import drop_nulls as _drop_nulls, parse_then_filter
 from pricemart.queries.inputs import table
 
 # Rendering expressions shared with the oracle SQL (plain SQL understood by both engines).
@@ -101,8 +101,7 @@ def parse_daily_rate(spark, sf) -> DataFrame:
     li = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
         _rate_date_text().alias("raw_date"), F.expr(RATE_TEXT).alias("raw_rate"))
-    out = li.withColumn("date", parse_rate_date("raw_date")).withColumn("usd_lkr", parse_rate("raw_rate"))
-    return out.where(F.col("date").isNotNull() & F.col("usd_lkr").isNotNull())
+    return parse_then_filter(li, {"date": parse_rate_date("raw_date"), "usd_lkr": parse_rate("raw_rate")})
 
 
 def q_map_category(spark, sf) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricemart.functions.numbers import parse_float
+from pricemart.operators.quality import parse_then_filter
 
 PAYLOAD_SCHEMA = T.StructType([
     T.StructField("response", T.StructType([
@@ -32,10 +33,10 @@ def payload_records(payloads: DataFrame, payload_col: str = "payload", source: s
     Items with an empty period or a NULL value are skipped; a value that is not a
     number is skipped; the item index is kept as ``_idx``."""
     ex = payloads.select(*keep, F.posexplode(payload_items(payload_col)).alias("_idx", "it"))
-    period = F.col("it.period")
-    value = parse_float(F.col("it.value"))
-    return (ex.where(period.isNotNull() & (period != "") & F.col("it.value").isNotNull() & value.isNotNull())
-              .select(*keep, "_idx", period.alias("period"), value.alias("value"), F.lit(source).alias("source")))
+    ex = ex.where(F.col("it.period").isNotNull() & (F.col("it.period") != "") & F.col("it.value").isNotNull())
+    out = parse_then_filter(ex, {"period": F.col("it.period"), "value": parse_float(F.col("it.value"))},
+                            keep=[*keep, "_idx"])
+    return out.select(*keep, "_idx", "period", "value", F.lit(source).alias("source"))
 
 
 def page(df: DataFrame, order: list[str], offset: int = 0, length: int = 5000) -> DataFrame:

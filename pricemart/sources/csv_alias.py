@@ -22,7 +22,7 @@ from pricemart.functions.labels import map_category  # noqa: F401  (re-exported
 from pricemart.functions.numbers import clean_price, parse_float, parse_rate
 from pricemart.functions.periods import parse_period, parse_rate_date, slash_date_to_month
 from pricemart.functions.text import normalise_label, py_strip
-from pricemart.operators.quality import non_empty
+from pricemart.operators.quality import non_empty, parse_then_filter
 
 BOM = "﻿"
 
@@ -50,10 +50,9 @@ def benchmark_from_csv(df: DataFrame, source: str = "backup_csv") -> DataFrame:
     value = alias(df, BENCHMARK_CSV_VALUE_ALIASES)
     x = df.select(period.alias("_p"), value.alias("_v"))
     x = x.where(non_empty("_p", "_v"))
-    out = x.select(slash_date_to_month("_p").alias("period"),
-                   parse_float(F.replace(F.col("_v"), F.lit(","), F.lit(""))).alias("value"),
-                   F.lit(source).alias("source"))
-    return out.where(F.col("period").isNotNull() & F.col("value").isNotNull())
+    out = parse_then_filter(x, {"period": slash_date_to_month("_p"),
+                                "value": parse_float(F.replace(F.col("_v"), F.lit(","), F.lit("")))}, keep=[])
+    return out.select("period", "value", F.lit(source).alias("source"))
 
 
 def rates_from_csv(df: DataFrame, bounds: Bounds = Bounds(0.0, 1000.0, hi_inclusive=True)) -> DataFrame:
@@ -66,8 +65,7 @@ def rates_from_csv(df: DataFrame, bounds: Bounds = Bounds(0.0, 1000.0, hi_inclus
     rate = alias(df, RATE_CSV_RATE_ALIASES)
     x = df.select(cur.alias("_c"), date.alias("_d"), rate.alias("_r"))
     x = x.where(((F.col("_c") == "") | (F.col("_c") == "USD")) & non_empty("_d", "_r"))
-    out = x.select(parse_rate_date("_d").alias("date"), parse_rate("_r", bounds).alias("usd_lkr"))
-    return out.where(F.col("date").isNotNull() & F.col("usd_lkr").isNotNull())
+    return parse_then_filter(x, {"date": parse_rate_date("_d"), "usd_lkr": parse_rate("_r", bounds)}, keep=[])
 
 
 def row_position(a, b=None, c=None) -> Column:
@@ -89,9 +87,9 @@ def prices_from_csv(df: DataFrame, source: str = "history_csv", pos_col: str = "
     pos = row_position(pos_col if pos_col in df.columns else None)
     x = df.select(date.alias("_d"), fuel.alias("_f"), price.alias("_p"), pos.alias("_pos"))
     x = x.where(non_empty("_d", "_f", "_p"))
-    out = x.select(parse_period("_d").alias("period"), normalise_label("_f").alias("fuel_type"),
-                   clean_price("_p").alias("price_lkr"), F.lit(source).alias("source"), "_pos")
-    return out.where(F.col("period").isNotNull() & F.col("price_lkr").isNotNull())
+    out = parse_then_filter(x, {"period": parse_period("_d"), "fuel_type": normalise_label("_f"),
+                                "price_lkr": clean_price("_p")}, keep=["_pos"], require=["period", "price_lkr"])
+    return out.select("period", "fuel_type", "price_lkr", F.lit(source).alias("source"), "_pos")
 
 
 def read_layouts(spark: SparkSession, paths: Sequence[str], parse) -> DataFrame:

@@ -20,6 +20,7 @@ from pricemart.functions.labels import map_category
 from pricemart.functions.numbers import clean_price, parse_rate
 from pricemart.functions.periods import parse_period, parse_rate_date
 from pricemart.functions.text import cell_text, spaced_text
+from pricemart.operators.quality import parse_then_filter
 
 TABLE_RE = "(?is)<table\\b[^>]*>.*?</table\\s*>"
 ROW_RE = "(?is)<tr\\b[^>]*>.*?(?=<tr\\b|</table\\s*>|$)"
@@ -63,9 +64,8 @@ def two_column_rates(pages: DataFrame, first_table_only: bool) -> DataFrame:
         "page_id", F.posexplode("_rows").alias("row_pos", "row_html"))
     r = ex.select("page_id", "row_pos", _cells(F.col("row_html"), ("td",)).alias("cells"))
     r = r.where(F.size("cells") >= 2)
-    out = r.select("page_id", "row_pos",
-                   parse_rate_date(F.get("cells", 0)).alias("date"), parse_rate(F.get("cells", 1)).alias("usd_lkr"))
-    return out.where(F.col("date").isNotNull() & F.col("usd_lkr").isNotNull())
+    return parse_then_filter(r, {"date": parse_rate_date(F.get("cells", 0)), "usd_lkr": parse_rate(F.get("cells", 1))},
+                             keep=["page_id", "row_pos"])
 
 
 def keyword_hit(text: Column, keywords: Sequence[str]) -> Column:
@@ -99,12 +99,14 @@ def price_table(pages: DataFrame, keywords: Sequence[str] = FUEL_TABLE_KEYWORDS,
     x = per_page.select("page_id", "_heads", F.posexplode("_rows").alias("row_pos", "row_html"))
     x = x.where(F.col("row_pos") >= 1).select(
         "page_id", "_heads", "row_pos", _cells(F.col("row_html"), ("th", "td")).alias("cells"))
-    x = x.where(F.size("cells") > 0).withColumn("period", parse_period(F.get("cells", 0)))
-    x = x.where(F.col("period").isNotNull())
+    x = parse_then_filter(x.where(F.size("cells") > 0), {"period": parse_period(F.get("cells", 0))},
+                          keep=["page_id", "_heads", "row_pos", "cells"])
     y = x.select("page_id", "row_pos", "period", "_heads", F.posexplode("cells").alias("col_pos", "cell"))
     y = y.withColumn("fuel_type", F.get("_heads", F.col("col_pos"))).where(F.col("fuel_type").isNotNull())
     pos = F.struct(F.col("page_id").cast("long").alias("a"), F.col("row_pos").cast("long").alias("b"),
                    F.col("col_pos").cast("long").alias("c"))
-    out = y.select("page_id", "row_pos", "col_pos", "period", "fuel_type",
-                   clean_price("cell").alias("price_lkr"), F.lit(source).alias("source"), pos.alias("_pos"))
-    return out.where(F.col("price_lkr").isNotNull())
+    y = y.select("page_id", "row_pos", "col_pos", "period", "fuel_type", pos.alias("_pos"), "cell")
+    out = parse_then_filter(y, {"price_lkr": clean_price("cell")},
+                            keep=["page_id", "row_pos", "col_pos", "period", "fuel_type", "_pos"])
+    return out.select("page_id", "row_pos", "col_pos", "period", "fuel_type", "price_lkr",
+                      F.lit(source).alias("source"), "_pos")
