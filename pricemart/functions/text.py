@@ -35,19 +35,24 @@ def strip_tags(c, separator: str = "") -> Column:
     return out
 
 
-def _decode_entities(c: Column) -> Column:
+def _decode_entities(c: Column, entities=HTML_ENTITIES) -> Column:
     out = c
-    for ent, ch in HTML_ENTITIES:
+    for ent, ch in entities:
         out = F.replace(out, F.lit(ent), F.lit(ch))
     return out
 
 
 def cell_text(c) -> Column:
-    """Text of an HTML cell as a stripped-strings join: each text node is decoded and
-    stripped, empty nodes dropped, the rest concatenated without a gap."""
-    pieces = F.split(F.regexp_replace(_c(c), "<!--.*?-->|<[^>]*>", "\u0001"), "\u0001")
-    stripped = F.transform(pieces, lambda x: py_strip(_decode_entities(x)))
-    return F.array_join(F.filter(stripped, lambda x: x != F.lit("")), "")
+    """Text of an HTML cell like a stripped-strings join: every text node stripped, then
+    concatenated without a gap.  Text nodes are bounded by tags, so removing each tag
+    together with the whitespace touching it strips every node; ``&nbsp;`` is decoded
+    before (it is whitespace to strip), the other entities after (so ``&lt;b&gt;``
+    stays text).  Plain column expressions, no lambdas: stays in generated code."""
+    ws = PY_WHITESPACE_CLASS
+    t = F.replace(_c(c), F.lit("&nbsp;"), F.lit("\u00a0"))
+    t = F.regexp_replace(t, f"{ws}*(?:<!--.*?-->|<[^>]*>){ws}*", "")
+    t = _decode_entities(t, [e for e in HTML_ENTITIES if e[0] != "&nbsp;"])
+    return py_strip(t)
 
 
 def spaced_text(c) -> Column:

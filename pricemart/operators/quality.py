@@ -57,15 +57,16 @@ def parse_then_filter(df: DataFrame, parsed: dict, keep: Sequence[str] | None =
     """Add ``parsed`` columns (name -> Column), each computed once per row, and drop rows
     where a ``require``d one (default: all) is NULL.
 
-    The parsed values come out of a generator (``inline`` of a one-element array of
-    one struct), so the NULL filter stays above them.  A filter on computed columns
-    is otherwise pushed below the projection by alias substitution, and an
-    expensive parse (regexes, date patterns) would run twice: once in the filter,
-    once in the projection."""
+    The parsed struct is computed in a projection (where codegen eliminates common
+    subexpressions) and passed through a generator (``inline`` of a one-element
+    array), so the NULL filter stays above it.  A filter on computed columns is
+    otherwise pushed below the projection by alias substitution, and an expensive
+    parse (regexes, date patterns) would run twice: in the filter and again in the
+    projection."""
     keep = list(df.columns if keep is None else keep)
     require = list(parsed if require is None else require)
     st = F.struct(*[c.alias(n) for n, c in parsed.items()])
-    g = df.select(*keep, F.inline(F.array(st)))
+    g = df.select(*keep, st.alias("_parsed")).select(*keep, F.inline(F.array("_parsed")))
     cond = F.lit(True)
     for n in require:
         cond = cond & F.col(n).isNotNull()

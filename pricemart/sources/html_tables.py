@@ -46,7 +46,13 @@ def rows(tbls: DataFrame, kinds: Sequence[str] = ("td",), keep: Sequence[str] =
 
 
 def _cells(row_html: Column, kinds: Sequence[str]) -> Column:
-    return F.transform(F.regexp_extract_all(row_html, F.lit(_cells_re(kinds)), 0), lambda c: cell_text(c))
+    """Text of every cell of a row (a lambda over the cells: use for small per-page work)."""
+    return F.transform(_raw_cells(row_html, kinds), lambda c: cell_text(c))
+
+
+def _raw_cells(row_html: Column, kinds: Sequence[str]) -> Column:
+    """HTML of every cell of a row, in order."""
+    return F.regexp_extract_all(row_html, F.lit(_cells_re(kinds)), 0)
 
 
 def two_column_rates(pages: DataFrame, first_table_only: bool) -> DataFrame:
@@ -62,9 +68,10 @@ def two_column_rates(pages: DataFrame, first_table_only: bool) -> DataFrame:
         F.regexp_extract_all(t, F.lit(ROW_RE), 0), lambda r, i: i > 0)))
     ex = pages.select("page_id", data_rows.alias("_rows")).select(
         "page_id", F.posexplode("_rows").alias("row_pos", "row_html"))
-    r = ex.select("page_id", "row_pos", _cells(F.col("row_html"), ("td",)).alias("cells"))
+    r = ex.select("page_id", "row_pos", _raw_cells(F.col("row_html"), ("td",)).alias("cells"))
     r = r.where(F.size("cells") >= 2)
-    return parse_then_filter(r, {"date": parse_rate_date(F.get("cells", 0)), "usd_lkr": parse_rate(F.get("cells", 1))},
+    return parse_then_filter(r, {"date": parse_rate_date(cell_text(F.get("cells", 0))),
+                                 "usd_lkr": parse_rate(cell_text(F.get("cells", 1)))},
                              keep=["page_id", "row_pos"])
 
 
@@ -98,15 +105,15 @@ def price_table(pages: DataFrame, keywords: Sequence[str] = FUEL_TABLE_KEYWORDS,
     per_page = per_page.select("page_id", heads.alias("_heads"), "_rows")
     x = per_page.select("page_id", "_heads", F.posexplode("_rows").alias("row_pos", "row_html"))
     x = x.where(F.col("row_pos") >= 1).select(
-        "page_id", "_heads", "row_pos", _cells(F.col("row_html"), ("th", "td")).alias("cells"))
-    x = parse_then_filter(x.where(F.size("cells") > 0), {"period": parse_period(F.get("cells", 0))},
+        "page_id", "_heads", "row_pos", _raw_cells(F.col("row_html"), ("th", "td")).alias("cells"))
+    x = parse_then_filter(x.where(F.size("cells") > 0), {"period": parse_period(cell_text(F.get("cells", 0)))},
                           keep=["page_id", "_heads", "row_pos", "cells"])
     y = x.select("page_id", "row_pos", "period", "_heads", F.posexplode("cells").alias("col_pos", "cell"))
     y = y.withColumn("fuel_type", F.get("_heads", F.col("col_pos"))).where(F.col("fuel_type").isNotNull())
     pos = F.struct(F.col("page_id").cast("long").alias("a"), F.col("row_pos").cast("long").alias("b"),
                    F.col("col_pos").cast("long").alias("c"))
     y = y.select("page_id", "row_pos", "col_pos", "period", "fuel_type", pos.alias("_pos"), "cell")
-    out = parse_then_filter(y, {"price_lkr": clean_price("cell")},
+    out = parse_then_filter(y, {"price_lkr": clean_price(cell_text(F.col("cell")))},
                             keep=["page_id", "row_pos", "col_pos", "period", "fuel_type", "_pos"])
     return out.select("page_id", "row_pos", "col_pos", "period", "fuel_type", "price_lkr",
                       F.lit(source).alias("source"), "_pos")
