@@ -292,3 +292,28 @@ QUERIES = {
     "lookback_filter": lookback_filter,
     "insert_if_empty": insert_if_empty,
 }
+
+
+def snapshot_latest_stream(spark, sf) -> DataFrame:
+    """The same three snapshots as ``snapshot_latest``, landed one after another and folded
+    incrementally by a file-source stream (one micro-batch per landed snapshot)."""
+    from pricemart.streaming import fold_latest
+    o = table(spark, sf, "orders")
+    recs = o.select(F.date_format("o_orderdate", "yyyy-MM").alias("period"),
+                    F.col("o_orderpriority").alias("fuel_type"), (F.col("o_totalprice") / 200).alias("price_lkr"),
+                    F.col("o_orderkey").alias("_pos"), F.col("o_orderstatus"))
+    raw, state = scratch_path(spark, "stream-raw"), scratch_path(spark, "stream-state")
+    schema = T.StructType([T.StructField("period", T.StringType()), T.StructField("fuel_type", T.StringType()),
+                           T.StructField("price_lkr", T.DoubleType()), T.StructField("_pos", T.LongType()),
+                           T.StructField("fetched_at", T.DateType())])
+    ckpt = scratch_path(spark, "stream-ckpt")
+    out = None
+    for status, day in (("F", "2001-08-02"), ("O", "2001-08-03"), ("P", "2001-08-04")):
+        env.write_snapshot(recs.where(F.col("o_orderstatus") == status).drop("o_orderstatus")
+                           .withColumn("fetched_at", F.lit(day)), raw)
+        out = fold_latest(spark, raw, schema, ["period", "fuel_type"], [("fetched_at", False), ("_pos", True)],
+                          state, checkpoint=ckpt)
+    return out.select("period", "fuel_type", "price_lkr", F.col("fetched_at").cast("date").alias("fetched_at"))
+
+
+QUERIES["snapshot_latest_stream"] = snapshot_latest_stream

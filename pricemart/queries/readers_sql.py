@@ -164,5 +164,6 @@ FROM (SELECT CAST(floor(l_orderkey / 16) AS BIGINT) AS doc_id FROM lineitem) GRO
 SELECT o_orderkey, o_orderdate, o_totalprice FROM orders
 WHERE o_orderdate >= DATE '{LOOKBACK_AS_OF}' - INTERVAL 730 DAY AND o_orderdate < DATE '{LOOKBACK_AS_OF}' + INTERVAL 1 DAY""",
 }
+SQL["snapshot_latest_stream"] = SQL["snapshot_latest"]
 SQL["insert_if_empty"] = "SELECT *, 'empty_target' AS tgt FROM (" + __import__(
     "pricemart.queries.star_sql", fromlist=["STAR_SQL"]).STAR_SQL["dim_date"] + ")"
