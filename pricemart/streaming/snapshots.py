@@ -5,7 +5,7 @@ file-source stream over the native snapshot folder (Parquet partitioned by
 ``fetched_at``) picks up only files it has not seen (the stream's checkpoint
 remembers them), and each micro-batch is folded into the current state with
 the same deterministic ``keep_first`` as the batch job: state = keep_first(state
-UNION batch).  State versions are written as separate folders (``v=<batch id>``)
+UNION batch).  State versions are written as separate folders (``state_version=<batch id>``)
 so a batch never overwrites the table it reads; a failed batch is simply re-run
 from the checkpoint.  The state has one row per key, not per landed record.
 """
@@ -28,10 +28,10 @@ def latest_version(spark: SparkSession, state_path: str) -> DataFrame | None:
         versions = spark.read.parquet(state_path)
     except Exception:  # noqa: BLE001  (no version written yet)
         return None
-    last = versions.agg(F.max("v")).first()[0]
+    last = versions.agg(F.max("state_version")).first()[0]
     if last is None:
         return None
-    return spark.read.parquet(f"{state_path}/v={last}")
+    return spark.read.parquet(f"{state_path}/state_version={last}")
 
 
 def fold_latest(spark: SparkSession, raw_path: str, schema: T.StructType, keys: Sequence[str],
@@ -48,7 +48,7 @@ def fold_latest(spark: SparkSession, raw_path: str, schema: T.StructType, keys:
     def fold(batch: DataFrame, batch_id: int) -> None:
         current = latest_version(batch.sparkSession, state_path)
         merged = batch if current is None else current.unionByName(batch)
-        keep_first(merged, keys, order).write.mode("overwrite").parquet(f"{state_path}/v={batch_id}")
+        keep_first(merged, keys, order).write.mode("overwrite").parquet(f"{state_path}/state_version={batch_id}")
 
     q = (stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())

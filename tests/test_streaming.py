@@ -23,5 +23,5 @@ def test_fold_latest_is_incremental(spark):
     out = fold_latest(spark, raw, SCHEMA, ["period"], order, state, checkpoint=ckpt)
     assert sorted((r.period, r.v) for r in out.collect()) == [("2022-01", 8.0), ("2022-02", 2.0)]
     # two micro-batches, one per landing: the second saw only the new day's files
-    versions = sorted(r.v for r in spark.read.parquet(state).select("v").distinct().collect())
+    versions = sorted(r[0] for r in spark.read.parquet(state).select("state_version").distinct().collect())
     assert len(versions) == 2
