@@ -31,13 +31,24 @@ def priority_merge(feeds: Sequence[DataFrame], keys: Sequence[str], extra_order:
     return keep_first(u, keys, [("_priority", True), *extra_order, ("_pos", True)])
 
 
-def source_cascade(feeds: Sequence[DataFrame]) -> DataFrame:
+def source_cascade(feeds: Sequence, probe: bool = True) -> DataFrame:
     """First non-empty feed of an ordered list (A, then B, then C).
 
-    One lazy pass: the feeds are unioned with their rank, the smallest rank that
-    has rows is found by a one-row aggregate, and an equi-join on it (broadcast:
-    one row) keeps that feed's rows.  No eager ``count`` per feed."""
-    tagged = [f.withColumn("_rank", F.lit(i)) for i, f in enumerate(feeds)]
+    ``probe=True``: the feeds are tried in order with ``isEmpty()`` (a job that
+    stops at the first row) and later feeds are never built or read once one
+    has rows - the common case, where the primary source works.  A feed may be
+    given as a zero-argument callable so that its inputs are only produced when
+    it is reached.  ``probe=False``: one lazy plan - the feeds are unioned with
+    their rank and an equi-join on the smallest rank that has rows (a one-row
+    aggregate, broadcast) keeps that feed; every feed is read."""
+    if probe:
+        chosen = None
+        for f in feeds:
+            chosen = f() if callable(f) else f
+            if not chosen.isEmpty():
+                return chosen
+        return chosen
+    tagged = [(f() if callable(f) else f).withColumn("_rank", F.lit(i)) for i, f in enumerate(feeds)]
     u = tagged[0]
     for t in tagged[1:]:
         u = u.unionByName(t, allowMissingColumns=True)

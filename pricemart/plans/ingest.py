@@ -29,21 +29,31 @@ def land(records: DataFrame, path: str, run_date: str, fetched_at: str = "fetche
     return env.require_rows(landed, path)
 
 
-def ingest_benchmark(api_records: DataFrame, csv_records: DataFrame, path: str, run_date: str,
+def _cols(feed, *cols):
+    if callable(feed):
+        return lambda: feed().select(*cols)
+    return feed.select(*cols)
+
+
+def ingest_benchmark(api_records, csv_records, path: str, run_date: str,
                      bounds: Bounds = Bounds(0.0, 300.0)) -> tuple[DataFrame, DataFrame]:
     """API records, else the backup CSV -> validation -> landed snapshot.
-    Returns (landed records, quarantined records)."""
-    chosen = source_cascade([api_records.select("period", "value", "source"),
-                             csv_records.select("period", "value", "source")])
+    Returns (landed records, quarantined records).  Feeds may be callables (built
+    only when the cascade reaches them)."""
+    chosen = source_cascade([_cols(api_records, "period", "value", "source"),
+                             _cols(csv_records, "period", "value", "source")])
     valid, removed = split_valid(chosen, record_is_valid("period", "value", bounds))
     landed = land(valid, path, run_date)
     return landed, removed
 
 
-def ingest_rates(daily_sources: Sequence[DataFrame], path: str, run_date: str) -> DataFrame:
+def ingest_rates(daily_sources: Sequence, path: str, run_date: str) -> DataFrame:
     """First non-empty daily source (scrape A, scrape B, CSV) -> monthly means -> landed."""
-    daily = source_cascade([d.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "usd_lkr")
-                            for d in daily_sources])
+    def daily_text(d):
+        if callable(d):
+            return lambda: daily_text(d())
+        return d.select(F.date_format("date", "yyyy-MM-dd").alias("date"), "usd_lkr")
+    daily = source_cascade([daily_text(d) for d in daily_sources])
     monthly = resample_monthly(daily, sort=False)
     return land(monthly, path, run_date)
 

@@ -253,7 +253,7 @@ def source_cascade(spark, sf) -> DataFrame:
     pages = table(spark, sf, "pages")
     a = html.two_column_rates(pages, first_table_only=True).select("date", "usd_lkr")
     b = html.two_column_rates(pages, first_table_only=False).select("date", "usd_lkr")
-    c = csv.read_layouts(spark, _rates_csv_paths(spark, sf), csv.rates_from_csv)
+    c = lambda: csv.read_layouts(spark, _rates_csv_paths(spark, sf), csv.rates_from_csv)
     return _cascade([a, b, c])
 
 

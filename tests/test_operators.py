@@ -122,6 +122,10 @@ def test_priority_merge_and_cascade(spark):
     empty = a.limit(0)
     assert sorted(rows(source_cascade([empty, b, a]), "price_lkr")) == [(290.0,), (300.0,)]
     assert rows(source_cascade([empty, empty]), "price_lkr") == []
+    assert sorted(rows(source_cascade([empty, b, a], probe=False), "price_lkr")) == [(290.0,), (300.0,)]
+    built = []
+    lazy = lambda: built.append(1) or a
+    assert sorted(rows(source_cascade([b, lazy]), "price_lkr")) == [(290.0,), (300.0,)] and built == []
 
 
 def test_fact_row_golden(spark):
