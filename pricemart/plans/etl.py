@@ -9,9 +9,9 @@ the staged files.  Counts come from the written tables, not extra passes.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pricemart.config import DEFAULT_SPEC, MartSpec
@@ -29,6 +29,15 @@ class EtlOutputs:
     fact: str
     summary: str
     quarantine: str
+    counts: dict = field(default_factory=dict)
+
+
+def _observed_write(df: DataFrame, path: str, name: str, counts: dict, **kw) -> None:
+    """Write ``df`` and record its row count from an ``Observation`` attached to the
+    write itself (no second pass over the data)."""
+    obs = Observation(f"rows_{name}")
+    wh.write_table(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, **kw)
+    counts[name] = obs.get["rows"]
 
 
 def _keep_pos(df: DataFrame) -> list:
@@ -66,15 +75,19 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, spec: MartSpec =
     res = transform(b, r, p, spec)
     out = EtlOutputs(*(f"{out_root}/{n}" for n in ("dim_benchmark", "dim_rates", "fact", "summary", "quarantine")))
 
-    # Dimensions first (conformed to the declared types), then facts.
-    wh.write_table(wh.conform(res.dim_benchmark, wh.BENCHMARK_DIM_SCHEMA)[0], out.dim_benchmark, sort_within=["period"])
-    wh.write_table(wh.conform(res.dim_rates, wh.RATES_DIM_SCHEMA)[0], out.dim_rates, sort_within=["period"])
-    wh.write_table(res.quarantine, out.quarantine)
+    # Dimensions first (conformed to the declared types), then facts; every write
+    # reports its row count through an Observation.
+    c = out.counts
+    _observed_write(wh.conform(res.dim_benchmark, wh.BENCHMARK_DIM_SCHEMA)[0], out.dim_benchmark, "dim_benchmark", c,
+                    sort_within=["period"])
+    _observed_write(wh.conform(res.dim_rates, wh.RATES_DIM_SCHEMA)[0], out.dim_rates, "dim_rates", c,
+                    sort_within=["period"])
+    _observed_write(res.quarantine, out.quarantine, "quarantine", c)
 
-    staged_path = f"{out_root}/_staged_fact"
+    staged_path = f"{out_root}/staged_fact"
     wh.write_table(res.fact, staged_path)
     staged = spark.read.parquet(staged_path)
     fact = with_surrogate_key(staged, ["period", "fuel_type"], name="fact_id")
-    wh.write_table(wh.conform(fact, wh.FACT_SCHEMA)[0], out.fact, sort_within=["period", "fuel_type"])
-    wh.write_table(wh.conform(monthly_summary(staged), wh.SUMMARY_SCHEMA)[0], out.summary)
+    _observed_write(wh.conform(fact, wh.FACT_SCHEMA)[0], out.fact, "fact", c, sort_within=["period", "fuel_type"])
+    _observed_write(wh.conform(monthly_summary(staged), wh.SUMMARY_SCHEMA)[0], out.summary, "summary", c)
     return out

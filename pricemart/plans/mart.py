@@ -74,6 +74,32 @@ def price_vs_benchmark_view(fact: DataFrame, dates: DataFrame, categories: DataF
     return j.select(*VIEW_COLUMNS)
 
 
+VIEW_SQL = """
+CREATE OR REPLACE TEMPORARY VIEW {view} AS
+WITH j AS (
+  SELECT f.period, d.year, d.quarter, d.month_name, d.is_crisis_period, f.fuel_type, ft.fuel_category,
+         f.price_lkr, f.price_usd, f.brent_usd_per_barrel, f.usd_lkr_rate, f.crude_cost_pct,
+         LAG(f.price_lkr) OVER (PARTITION BY f.fuel_type ORDER BY f.period) AS prev_month_price_lkr
+  FROM {fact} f
+  JOIN {dates} d ON f.period = d.date_key
+  JOIN {categories} ft ON f.fuel_type = ft.fuel_type_key)
+SELECT *, CAST(CAST(TRY_CAST((price_lkr - prev_month_price_lkr) / NULLIF(prev_month_price_lkr, 0) * 100
+                          AS DECIMAL(28,8)) AS DECIMAL(28,2)) AS DOUBLE) AS mom_price_change_pct
+FROM j"""
+
+
+def register_views(spark: SparkSession, fact: DataFrame, dates: DataFrame, categories: DataFrame,
+                   view: str = "vw_price_vs_benchmark") -> DataFrame:
+    """Register the star as temporary views and create the BI view in SQL (the LAG is
+    written once and reused); returns ``spark.table(view)``."""
+    fact.createOrReplaceTempView(f"{view}_fact")
+    F.broadcast(dates).createOrReplaceTempView(f"{view}_dates")
+    F.broadcast(categories).createOrReplaceTempView(f"{view}_categories")
+    spark.sql(VIEW_SQL.format(view=view, fact=f"{view}_fact", dates=f"{view}_dates",
+                              categories=f"{view}_categories"))
+    return spark.table(view)
+
+
 def latest_top(view: DataFrame, n: int = 20) -> DataFrame:
     """Newest ``n`` rows of the view (period DESC, fuel_type as tie-break): TakeOrderedAndProject."""
     return view.orderBy(F.col("period").desc(), F.col("fuel_type").asc()).limit(n)

@@ -63,9 +63,16 @@ def dedupe_step(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec:
     benchmark, rates, prices = (_to_date_col(d, "fetched_at") for d in (benchmark, rates, prices))
     if spec.standardise_first:
         prices = prices.withColumn("fuel_type", standardise_label("fuel_type"))
-    b = keep_first(benchmark, ["period"], _order_for(benchmark)).select("period", "brent_usd_per_barrel")
-    r = keep_first(rates, ["period"], _order_for(rates)).select("period", "usd_lkr_rate")
-    p = keep_first(prices, ["period", "fuel_type"], _order_for(prices)).select("period", "fuel_type", "price_lkr")
+    # Only the needed columns enter the dedupe: fields inside the aggregated struct
+    # cannot be pruned by Catalyst afterwards.
+    def needed(df, *cols):
+        return df.select(*cols, *[c for c, _ in _order_for(df)])
+    b = keep_first(needed(benchmark, "period", "brent_usd_per_barrel"), ["period"], _order_for(benchmark))
+    r = keep_first(needed(rates, "period", "usd_lkr_rate"), ["period"], _order_for(rates))
+    p = keep_first(needed(prices, "period", "fuel_type", "price_lkr"), ["period", "fuel_type"], _order_for(prices))
+    b = b.select("period", "brent_usd_per_barrel")
+    r = r.select("period", "usd_lkr_rate")
+    p = p.select("period", "fuel_type", "price_lkr")
     return b, r, p
 
 
