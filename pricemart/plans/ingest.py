@@ -1,7 +1,9 @@
 """Ingest jobs: sources -> cascade/merge -> checks -> landed snapshot.
 
-Each job is one lazy Spark plan; the only eager steps are the emptiness probe
-(Q15: a job with no output raises instead of landing nothing) and the write.
+Each job is a lazy Spark plan; the eager steps are the source probes of the
+cascade (``isEmpty``: stop at the first row), the write, and the check that
+something was landed (Q15: a job with no output raises instead of landing
+nothing).
 """
 
 from __future__ import annotations

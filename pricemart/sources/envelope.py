@@ -7,9 +7,9 @@ whole directory back.  Here:
     and keeps ``fetched_at`` and the record position for deterministic dedupe;
     ``multiline=True`` reads the reference's one-object-per-file layout, the
     default reads JSON Lines (one envelope per line, splittable);
-  * ``write_envelopes`` writes JSON Lines envelopes partitioned by ``fetched_at``,
-    each envelope holding at most ``max_records`` records (a day's records are
-    split into ``ceil(n / max_records)`` hash chunks), so no single row or task
+  * ``write_envelopes`` writes JSON Lines envelopes partitioned by ``fetched_at``;
+    a day's records are hashed into ``ceil(n / max_records)`` chunks, one envelope
+    each (about ``max_records`` records per envelope), so no single row or task
     has to hold a whole day;
   * ``write_snapshot``/``read_snapshots`` are the native layout: Parquet, one row
     per record, partitioned by ``fetched_at`` with dynamic partition overwrite
@@ -70,8 +70,9 @@ def read_envelopes(spark: SparkSession, path: str | Sequence[str], record: T.Str
 def write_envelopes(records: DataFrame, path: str, source: str, fetched_at: str = "fetched_at",
                     order: Sequence[str] = (), max_records: int = 5000, mode: str = "overwrite") -> None:
     """Write ``records`` (with a ``fetched_at`` text column) as JSON Lines envelopes,
-    one folder per ``fetched_at``; at most ``max_records`` records per envelope,
-    records inside an envelope sorted by ``order``."""
+    one folder per ``fetched_at``; a day's records are hashed into
+    ``ceil(n / max_records)`` envelopes (about ``max_records`` each), records inside
+    an envelope sorted by ``order``."""
     payload = [c for c in records.columns if c != fetched_at]
     per_day = records.groupBy(fetched_at).agg(F.count(F.lit(1)).alias("_n"))
     chunked = (records.join(per_day, on=fetched_at)
