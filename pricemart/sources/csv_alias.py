@@ -18,7 +18,6 @@ from pricemart.config import (
     BENCHMARK_CSV_PERIOD_ALIASES, BENCHMARK_CSV_VALUE_ALIASES, PRICE_CSV_DATE_ALIASES, PRICE_CSV_FUEL_ALIASES,
     PRICE_CSV_PRICE_ALIASES, RATE_CSV_CURRENCY_ALIASES, RATE_CSV_DATE_ALIASES, RATE_CSV_RATE_ALIASES, Bounds,
 )
-from pricemart.functions.labels import map_category  # noqa: F401  (re-exported helper)
 from pricemart.functions.numbers import clean_price, parse_float, parse_rate
 from pricemart.functions.periods import parse_period, parse_rate_date, slash_date_to_month
 from pricemart.functions.text import normalise_label, py_strip

@@ -12,6 +12,7 @@ from the checkpoint.  The state has one row per key, not per landed record.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,9 @@ def fold_latest(spark: SparkSession, raw_path: str, schema: T.StructType, keys:
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the stream until every landed file is processed (``availableNow``) and return
     the latest state.  ``schema`` must include the partition column (``fetched_at``)."""
-    checkpoint = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricemart-streams/fold-latest"
+    if checkpoint is None:   # one checkpoint per (source, state) pair
+        tag = hashlib.sha1(f"{raw_path}|{state_path}".encode()).hexdigest()[:16]
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricemart-streams/{tag}"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
