@@ -1,6 +1,6 @@
 """DuckDB oracle SQL for the job queries."""
 
-from pricemart.queries.readers import PRICE_CENTS, price_cells, prices_csv_text
+from pricemart.queries.readers import price_cells, prices_csv_text
 from pricemart.queries.readers_sql import _PAYLOAD, _rates_html, clean_price_sql, period_sql
 from pricemart.queries.star_sql import MEAN, R
 

@@ -1,7 +1,7 @@
 """DuckDB oracle SQL for the reader queries, computed directly from the source tables."""
 
 from pricemart.queries.readers import (
-    LOOKBACK_AS_OF, PRICE_CENTS, RATE_CENTS, benchmark_csv_text, price_cells, prices_csv_text, rate_row_html,
+    LOOKBACK_AS_OF, RATE_CENTS, benchmark_csv_text, price_cells, prices_csv_text,
     rates_csv_text,
 )
 from pricemart.queries.render import dfmt, money
@@ -99,8 +99,6 @@ FROM k WHERE {period_sql('d')} IS NOT NULL AND {clean_price_sql('p')} IS NOT NUL
 
 
 def _rates_html(first_only: bool) -> str:
-    date = rate_row_html(DK)  # rendering kept for reference; the oracle reads the values directly
-    del date
     d = (f"CASE l_linenumber % 3 WHEN 0 THEN {dfmt('l_shipdate', 'ymd', DK)} "
          f"WHEN 1 THEN {dfmt('l_shipdate', 'dmy_slash', DK)} ELSE {dfmt('l_shipdate', 'dmy_dot', DK)} END")
     r = money(RATE_CENTS, thousands=True)

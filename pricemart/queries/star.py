@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from pricemart.operators.merge import priority_merge, tag_source
 from pricemart.operators.quality import quality_counts, record_is_valid, split_valid
 from pricemart.operators.resample import resample_monthly
 from pricemart.plans import mart
-from pricemart.plans.transform import cost_share, normalise_currency, prepare, transform, monthly_summary
+from pricemart.plans.transform import cost_share, normalise_currency, prepare, transform
 from pricemart.queries.inputs import (
     ANALOG_CATEGORY_ROWS, ANALOG_SPEC, benchmark_feed, daily_rates, price_feed, table,
 )

@@ -1,8 +1,5 @@
 """Golden vectors for the scalar Column functions (hand-derived from the reference's code)."""
 
-import math
-
-import pytest
 from pyspark.sql import functions as F
 
 from pricemart.functions import (

@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from pricemart.session import scratch_path
 from pricemart.sinks import warehouse as wh
 from pricemart.sources import html_tables as html

@@ -1,6 +1,5 @@
 """Reader tests on small fixtures (FIXTURES.md §1-4)."""
 
-import datetime as dt
 import json
 import os
 
