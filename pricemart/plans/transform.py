@@ -107,19 +107,20 @@ def prepare(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec: Mar
     """Steps 1-5: returns cleaned (benchmark, rates, prices, quarantined prices)."""
     # Step 1: duplicates
     b, r, p = dedupe_step(benchmark, rates, prices, spec)
-    # Step 2: missing values; the forward fill runs on one row per period (bounded by
-    # the calendar after step 1), so one ordered window is enough here.
+    # Step 2: missing values.  After step 1 the rates have one row per period text, so
+    # the fill input is usually tiny; the bucket count still follows the size of what
+    # the plan reads (one window when small, range buckets when not).
     b = b.dropna(subset=["period", "brent_usd_per_barrel"])
     r = r.dropna(subset=["period", "usd_lkr_rate"])
     p = p.dropna(subset=["period", "fuel_type", "price_lkr"])
     if not spec.calendar_fill:
-        r = forward_fill(r, ["usd_lkr_rate"], ["period"], buckets=1)
+        r = forward_fill(r, ["usd_lkr_rate"], ["period"])
     # Step 3: period text -> first-of-month DATE (impossible months -> NULL, quarantined)
     b = b.withColumn("period", period_to_date("period"))
     r = r.withColumn("period", period_to_date("period"))
     p = p.withColumn("period", period_to_date("period"))
     if spec.calendar_fill:
-        r = calendar_fill(r.where(F.col("period").isNotNull()), "period", ["usd_lkr_rate"], buckets=1)
+        r = calendar_fill(r.where(F.col("period").isNotNull()), "period", ["usd_lkr_rate"])
     # Step 4: labels
     p = p.withColumn("fuel_type", standardise_label("fuel_type"))
     # Step 5: ranges

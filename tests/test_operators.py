@@ -200,3 +200,21 @@ def test_hot_series_is_spread_over_buckets(spark):
     per_bucket = b.where("k = 0").groupBy("_bucket").count().collect()
     assert len(per_bucket) >= 12
     assert max(r["count"] for r in per_bucket) <= 2 * 10000 / 16 + 200
+
+
+def test_transform_intent_flags(spark):
+    from pricemart.config import MartSpec
+    bench = spark.createDataFrame([("2022-01", 80.0), ("2022-02", 81.0), ("2022-03", 82.0)],
+                                  "period string, brent_usd_per_barrel double")
+    rates = spark.createDataFrame([("2022-01", 360.0), ("2022-03", 370.0)], "period string, usd_lkr_rate double")
+    prices = spark.createDataFrame([("2022-02", "lp_92", 300.0, 0), ("2022-02", "LP_92", 310.0, 1)],
+                                   "period string, fuel_type string, price_lkr double, _pos long")
+    # as written (Q1, Q3): dedupe before UPPER/TRIM keeps both rows; February has no rate
+    res = transform(bench, rates, prices)
+    got = sorted((r.fuel_type, r.price_lkr, r.usd_lkr_rate) for r in res.fact.collect())
+    assert got == [("LP_92", 300.0, None), ("LP_92", 310.0, None)]
+    # intent: standardise first (one row per key), calendar fill (February gets January's rate)
+    res = transform(bench, rates, prices, MartSpec(standardise_first=True, calendar_fill=True))
+    got = sorted((r.fuel_type, r.price_lkr, r.usd_lkr_rate) for r in res.fact.collect())
+    assert got == [("LP_92", 300.0, 360.0)]
+    assert res.dim_rates.count() == 3
