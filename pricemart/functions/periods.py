@@ -36,7 +36,8 @@ def _c(c) -> Column:
 
 
 def _compile(fmt: str) -> tuple[str, list[str]]:
-    """Python strptime format -> (anchored case-insensitive regex, directive per group).
+    """Python strptime format -> (anchored regex, directive per group); month names match
+    case-insensitively, as in Python.
     Leading/trailing whitespace is absorbed, as the callers strip first."""
     ws = PY_WHITESPACE_CLASS
     out, groups, i = [], [], 0
@@ -54,7 +55,8 @@ def _compile(fmt: str) -> tuple[str, list[str]]:
         else:
             out.append(re.escape(ch))
             i += 1
-    return f"(?i)^{ws}*" + "".join(out) + f"{ws}*$", groups
+    flags = "(?i)" if ("b" in groups or "B" in groups) else ""   # case folding only for month names
+    return f"{flags}^{ws}*" + "".join(out) + f"{ws}*$", groups
 
 
 def _one_format(text: Column, fmt: str) -> Column:

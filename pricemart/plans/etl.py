@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from pricemart.config import DEFAULT_SPEC, MartSpec
-from pricemart.functions.numbers import parse_float
 from pricemart.operators.keys import with_surrogate_key
 from pricemart.plans.transform import monthly_summary, transform
 from pricemart.sinks import warehouse as wh
@@ -50,12 +49,14 @@ def read_feeds(spark: SparkSession, raw_root: str, layout: str = "snapshot", mul
     ``layout='snapshot'`` reads the native Parquet snapshots; ``'envelope'`` reads
     reference-style JSON envelopes (``multiline`` for one object per file)."""
     if layout == "envelope":
+        # SC19: values are cast the way the ETL casts them (Spark's cast to double;
+        # try_cast so a bad value is NULL instead of an ANSI error).
         b = env.read_envelopes(spark, f"{raw_root}/benchmark", env.BENCHMARK_RECORD, multiline).select(
-            "period", parse_float("value").alias("brent_usd_per_barrel"), "fetched_at", "_pos")
+            "period", F.col("value").try_cast("double").alias("brent_usd_per_barrel"), "fetched_at", "_pos")
         r = env.read_envelopes(spark, f"{raw_root}/rates", env.RATES_RECORD, multiline).select(
-            "period", parse_float("usd_lkr_avg").alias("usd_lkr_rate"), "fetched_at", "_pos")
+            "period", F.col("usd_lkr_avg").try_cast("double").alias("usd_lkr_rate"), "fetched_at", "_pos")
         p = env.read_envelopes(spark, f"{raw_root}/prices", env.PRICES_RECORD, multiline).select(
-            "period", "fuel_type", parse_float("price_lkr").alias("price_lkr"), "fetched_at", "_pos")
+            "period", "fuel_type", F.col("price_lkr").try_cast("double").alias("price_lkr"), "fetched_at", "_pos")
         return b, r, p
     b = env.read_snapshots(spark, f"{raw_root}/benchmark")
     r = env.read_snapshots(spark, f"{raw_root}/rates")

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricemart.functions.numbers import parse_float
 from pricemart.operators.dedupe import keep_first
 from pricemart.operators.merge import source_cascade as _cascade
 from pricemart.queries.inputs import table
@@ -42,7 +41,8 @@ def scan_envelope(spark, sf) -> DataFrame:
     path = scratch_path(spark, "envelopes")
     env.write_envelopes(recs, path, source="events", order=["event_id"], max_records=500)
     back = env.read_envelopes(spark, path, EVENT_RECORD)
-    return back.select("event_id", "user_id", "event_type", parse_float("value").alias("value"), "fetched_at")
+    return back.select("event_id", "user_id", "event_type", F.col("value").try_cast("double").alias("value"),
+                       "fetched_at")
 
 
 def snapshot_latest(spark, sf) -> DataFrame:

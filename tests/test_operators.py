@@ -218,3 +218,25 @@ def test_transform_intent_flags(spark):
     got = sorted((r.fuel_type, r.price_lkr, r.usd_lkr_rate) for r in res.fact.collect())
     assert got == [("LP_92", 300.0, 360.0)]
     assert res.dim_rates.count() == 3
+
+
+def test_etl_reads_reference_style_envelopes(spark):
+    import json
+    import os
+    from pricemart.plans.etl import run_etl
+    from pricemart.session import scratch_path
+    raw = scratch_path(spark, "raw-env")
+    local = raw[len("file:"):] if raw.startswith("file:") else raw
+    feeds = {
+        "benchmark": [{"period": "2022-03", "value": 83.5, "source": "api"}],
+        "rates": [{"period": "2022-03", "usd_lkr_avg": 365.4, "sample_count": 22}],
+        "prices": [{"period": "2022-03", "fuel_type": "LP_92", "price_lkr": 317.0, "source": "scrape"},
+                   {"period": "2022-03", "fuel_type": "LP_95", "price_lkr": "bad", "source": "scrape"}],
+    }
+    for feed, records in feeds.items():
+        os.makedirs(f"{local}/{feed}", exist_ok=True)
+        with open(f"{local}/{feed}/2024-01-01.json", "w") as fh:
+            json.dump({"source": feed, "fetched_at": "2024-01-01", "records": records}, fh, indent=2)
+    out = run_etl(spark, raw, scratch_path(spark, "mart-env"), layout="envelope", multiline=True)
+    rows_ = spark.read.parquet(out.fact).collect()
+    assert [(r.fuel_type, str(r.price_usd)) for r in rows_] == [("LP_92", "0.8675")]
