@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_SEED = 20240101
+MAX_SAMPLE_KEYS = 200_000     # keys collected to pick boundaries, whatever the cluster size
+MAX_BUCKETS = 10_000
 
 
 def _key(df: DataFrame, order: Sequence[str]) -> tuple[Column, list]:
@@ -41,7 +43,7 @@ def range_boundaries(df: DataFrame, order: Sequence[str], n_buckets: int, oversa
     total = keys.count()
     if total == 0:
         return []
-    want = oversample * n_buckets
+    want = min(oversample * n_buckets, MAX_SAMPLE_KEYS)
     fraction = min(1.0, want / total)
     sample = keys.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED) if fraction < 1.0 else keys
     rows = [tuple(r) for r in sample.orderBy(*order).collect()]   # bounded: ~oversample * n rows
@@ -96,7 +98,7 @@ def auto_buckets(df: DataFrame, target_bytes: int = 32 << 20, cap: int | None =
     at most ``cap`` (default 4 x shuffle partitions).  Buckets only change parallelism,
     never results; an unknown estimate gives the cap."""
     from pricemart.session import default_parallelism
-    cap = cap or 4 * default_parallelism(df.sparkSession)
+    cap = min(cap or 4 * default_parallelism(df.sparkSession), MAX_BUCKETS)
     est = estimated_bytes(df)
     if est is None:
         return cap
