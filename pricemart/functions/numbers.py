@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pricemart.config import PRICE_NULL_TOKENS, Bounds
+from pricemart.config import Bounds
 from pricemart.functions.exact import in_bounds
 from pricemart.functions.text import py_strip
 
@@ -17,24 +17,26 @@ def _c(c) -> Column:
 def clean_price(c, bounds: Bounds = Bounds(0.0, 1500.0, hi_inclusive=True)) -> Column:
     """Messy price text -> double or NULL.
 
-    Steps: strip; null tokens -> NULL; keep only ``[0-9.,]``; if both ``,`` and ``.``
-    occur the comma is a thousands separator (removed), a lone comma is a decimal
-    point; with several dots only the first two parts are kept; parse; keep values
-    inside ``bounds`` (default (0, 1500]).  Reproduces the reference's quirks:
-    ``"1,200"`` -> 1.2, ``"Rs. 137.00"`` -> 0.137, ``"-5"`` -> 5.0.
-    """
-    text = py_strip(_c(c))
-    kept = F.regexp_replace(text, "[^0-9.,]", "")
-    has_comma = F.contains(kept, F.lit(","))
-    has_dot = F.contains(kept, F.lit("."))
-    unified = (F.when(has_comma & has_dot, F.replace(kept, F.lit(","), F.lit("")))
-                .when(has_comma, F.replace(kept, F.lit(","), F.lit(".")))
-                .otherwise(kept))
+    Steps: keep only ``[0-9.,]``; if both ``,`` and ``.`` occur the comma is a
+    thousands separator (removed), a lone comma is a decimal point; with several
+    dots only the first two parts are kept; parse; keep values inside ``bounds``
+    (default (0, 1500]).  Reproduces the reference's quirks: ``"1,200"`` -> 1.2,
+    ``"Rs. 137.00"`` -> 0.137, ``"-5"`` -> 5.0.  The null tokens (``-``, ``N/A``,
+    dashes, blank) and surrounding whitespace need no separate step: they contain
+    no digit and reduce to ``''``.
+
+    Written as a chain in which every step uses the previous one once, so the
+    expression costs one pass per step however it is nested (codegen does not
+    share subexpressions inside conditional branches)."""
+    kept = F.regexp_replace(_c(c), "[^0-9.,]", "")
+    # every comma goes when a dot occurs anywhere: commas with a dot after them, then
+    # (on the reversed text) commas with a dot before them
+    dot_after = ",(?=[0-9.,]*\\.)"
+    no_thousands = F.reverse(F.regexp_replace(F.reverse(F.regexp_replace(kept, dot_after, "")), dot_after, ""))
+    unified = F.replace(no_thousands, F.lit(","), F.lit("."))      # a lone comma is a decimal point
     two_parts = F.regexp_extract(unified, "^[^.]*(\\.[^.]*)?", 0)
     value = two_parts.try_cast("double")
-    is_token = text.isin(*PRICE_NULL_TOKENS)
-    return F.when(text.isNull() | is_token, F.lit(None).cast("double")).when(
-        in_bounds(value, bounds), value)
+    return F.when(in_bounds(value, bounds), value)
 
 
 # A decimal literal as Python's float() reads it (ASCII digits, optional

@@ -14,6 +14,7 @@ CLEAN_PRICE = [
     ("abc", None), (".", None), ("1,200", 1.2), ("1,200,500", 1.2), ("Rs. 137.00", 0.137),
     ("Rs 137", 137.0), ("-5", 5.0), ("0", None), ("1500", 1500.0), ("1500.01", None),
     ("  317.00 \t", 317.0), ("\xa0250\xa0", 250.0),
+    ("1.200,50", 1.2005), ("5,00.10", 500.1), ("12,345.67,89", None),
 ]
 
 PARSE_PERIOD = [
