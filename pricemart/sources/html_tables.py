@@ -69,9 +69,11 @@ def two_column_rates(pages: DataFrame, first_table_only: bool) -> DataFrame:
     ex = pages.select("page_id", data_rows.alias("_rows")).select(
         "page_id", F.posexplode("_rows").alias("row_pos", "row_html"))
     r = ex.select("page_id", "row_pos", _raw_cells(F.col("row_html"), ("td",)).alias("cells"))
-    r = r.where(F.size("cells") >= 2)
-    return parse_then_filter(r, {"date": parse_rate_date(cell_text(F.get("cells", 0))),
-                                 "usd_lkr": parse_rate(cell_text(F.get("cells", 1)))},
+    # cell texts get their own projection: the parsers refer to their input once per
+    # date format, and an inlined cell_text would be re-evaluated in each of them
+    r = r.where(F.size("cells") >= 2).select(
+        "page_id", "row_pos", cell_text(F.get("cells", 0)).alias("_d"), cell_text(F.get("cells", 1)).alias("_r"))
+    return parse_then_filter(r, {"date": parse_rate_date("_d"), "usd_lkr": parse_rate("_r")},
                              keep=["page_id", "row_pos"])
 
 
@@ -106,8 +108,8 @@ def price_table(pages: DataFrame, keywords: Sequence[str] = FUEL_TABLE_KEYWORDS,
     x = per_page.select("page_id", "_heads", F.posexplode("_rows").alias("row_pos", "row_html"))
     x = x.where(F.col("row_pos") >= 1).select(
         "page_id", "_heads", "row_pos", _raw_cells(F.col("row_html"), ("th", "td")).alias("cells"))
-    x = parse_then_filter(x.where(F.size("cells") > 0), {"period": parse_period(cell_text(F.get("cells", 0)))},
-                          keep=["page_id", "_heads", "row_pos", "cells"])
+    x = x.where(F.size("cells") > 0).select("*", cell_text(F.get("cells", 0)).alias("_d"))
+    x = parse_then_filter(x, {"period": parse_period("_d")}, keep=["page_id", "_heads", "row_pos", "cells"])
     y = x.select("page_id", "row_pos", "period", "_heads", F.posexplode("cells").alias("col_pos", "cell"))
     y = y.withColumn("fuel_type", F.get("_heads", F.col("col_pos"))).where(F.col("fuel_type").isNotNull())
     pos = F.struct(F.col("page_id").cast("long").alias("a"), F.col("row_pos").cast("long").alias("b"),
