@@ -61,8 +61,8 @@ def main(argv: list[str] | None = None) -> int:
             feeds.append(lambda: api_payload.payload_records(spark.read.parquet(a.payloads)))
         if a.csv:
             feeds.append(lambda: csv_alias.read_layouts(spark, a.csv, csv_alias.benchmark_from_csv))
-        landed, removed = ingest.ingest_benchmark(feeds[0], feeds[-1], a.out, a.run_date)
-        result = {"landed": landed.count(), "removed": removed.count()}
+        _landed, _removed, counts = ingest.ingest_benchmark(feeds[0], feeds[-1], a.out, a.run_date)
+        result = {"landed": counts["kept"], "removed": counts["removed"]}
     elif a.cmd == "ingest-rates":
         feeds = []
         if a.pages_first:

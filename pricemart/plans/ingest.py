@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from pricemart.config import Bounds
 from pricemart.operators.merge import priority_merge, source_cascade, tag_source
-from pricemart.operators.quality import record_is_valid, split_valid
+from pricemart.operators.quality import record_is_valid
 from pricemart.operators.resample import resample_monthly
 from pricemart.sources import envelope as env
 
@@ -38,15 +38,22 @@ def _cols(feed, *cols):
 
 
 def ingest_benchmark(api_records, csv_records, path: str, run_date: str,
-                     bounds: Bounds = Bounds(0.0, 300.0)) -> tuple[DataFrame, DataFrame]:
+                     bounds: Bounds = Bounds(0.0, 300.0)) -> tuple[DataFrame, DataFrame, dict]:
     """API records, else the backup CSV -> validation -> landed snapshot.
-    Returns (landed records, quarantined records).  Feeds may be callables (built
-    only when the cascade reaches them)."""
+
+    Returns (landed records, quarantined records, counts).  The kept/removed counts
+    come from an ``Observation`` placed before the split, so the landing write
+    itself measures them (no extra pass).  Feeds may be callables (built only when
+    the cascade reaches them)."""
     chosen = source_cascade([_cols(api_records, "period", "value", "source"),
                              _cols(csv_records, "period", "value", "source")])
-    valid, removed = split_valid(chosen, record_is_valid("period", "value", bounds))
-    landed = land(valid, path, run_date)
-    return landed, removed
+    flag = F.coalesce(record_is_valid("period", "value", bounds), F.lit(False))
+    obs = Observation("benchmark_validation")
+    flagged = chosen.withColumn("_valid", flag).observe(
+        obs, F.count_if(F.col("_valid")).alias("kept"), F.count_if(~F.col("_valid")).alias("removed"))
+    landed = land(flagged.where("_valid").drop("_valid"), path, run_date)
+    removed = chosen.where(~flag)
+    return landed, removed, dict(obs.get)
 
 
 def ingest_rates(daily_sources: Sequence, path: str, run_date: str) -> DataFrame:

@@ -21,7 +21,7 @@ def ingest_benchmark(spark, sf) -> DataFrame:
     """API payload records, else backup CSV -> validation -> landed snapshot (read back)."""
     api = R.api_payload_records(spark, sf)
     backup = lambda: R.csv_alias_benchmark(spark, sf)  # noqa: E731  (rendered only if the API feed is empty)
-    landed, _removed = ingest.ingest_benchmark(api, backup, scratch_path(spark, "raw-benchmark"), RUN_DATE)
+    landed, _removed, _counts = ingest.ingest_benchmark(api, backup, scratch_path(spark, "raw-benchmark"), RUN_DATE)
     return landed.select("period", "value", "source")
 
 

@@ -240,3 +240,13 @@ def test_etl_reads_reference_style_envelopes(spark):
     out = run_etl(spark, raw, scratch_path(spark, "mart-env"), layout="envelope", multiline=True)
     rows_ = spark.read.parquet(out.fact).collect()
     assert [(r.fuel_type, str(r.price_usd)) for r in rows_] == [("LP_92", "0.8675")]
+
+
+def test_ingest_benchmark_counts_from_observation(spark):
+    from pricemart.plans import ingest
+    from pricemart.session import scratch_path
+    api = spark.createDataFrame([("2022-01", 83.41, "api"), ("2022-1", 1.0, "api"), ("2022-03", 300.0, "api")],
+                                "period string, value double, source string")
+    landed, removed, counts = ingest.ingest_benchmark(api, api.limit(0), scratch_path(spark, "bench"), "2024-01-01")
+    assert counts == {"kept": 1, "removed": 2}
+    assert landed.count() == 1 and removed.count() == 2
