@@ -250,3 +250,12 @@ def test_ingest_benchmark_counts_from_observation(spark):
     landed, removed, counts = ingest.ingest_benchmark(api, api.limit(0), scratch_path(spark, "bench"), "2024-01-01")
     assert counts == {"kept": 1, "removed": 2}
     assert landed.count() == 1 and removed.count() == 2
+
+
+def test_forward_fill_range_frame_peers(spark):
+    # order 2 has two peers, one non-null: with the RANGE frame both see 5.0
+    df = spark.createDataFrame([(0, 1, None), (1, 2, 5.0), (2, 2, None), (3, 3, None), (4, 4, 7.0), (5, 4, None)],
+                               "id int, o int, v double")
+    for buckets in (1, 2, 3):
+        out = forward_fill(df, ["v"], ["o"], frame="range", buckets=buckets).orderBy("id")
+        assert [r.v for r in out.collect()] == [None, 5.0, 5.0, 5.0, 7.0, 7.0]
