@@ -20,10 +20,11 @@ from pricemart.operators.buckets import auto_buckets, bucket_expr, range_boundar
 
 def previous_value(df: DataFrame, col: str, order: Sequence[str], by: Sequence[str] = (),
                    name: str | None = None, buckets: int | None = None) -> DataFrame:
-    """Add ``name`` (default ``prev_<col>``) = value of ``col`` in the previous row of the series."""
+    """Add ``name`` (default ``prev_<col>``) = value of ``col`` in the previous row of the series.
+    ``buckets``: ordered range buckets; ``None`` picks the count from the input size, 1 means
+    one window per series."""
     order, by = list(order), list(by)
     name = name or f"prev_{col}"
-    spark = df.sparkSession
     if buckets is None:
         buckets = auto_buckets(df)
     if buckets <= 1:

@@ -35,10 +35,9 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order: Sequence[str], by: S
     """Replace NULLs in ``cols`` by the last non-null value of the same series (``by``)
     in ``order``.  ``frame='rows'`` is ROWS UNBOUNDED PRECEDING..CURRENT ROW; ``'range'``
     is the default window frame, where rows with equal order values (peers) share
-    the value.  ``buckets=1`` uses one window per series (only for inputs bounded
-    by construction)."""
+    the value.  ``buckets``: number of ordered range buckets; ``None`` picks it from
+    the size of what the plan reads (``auto_buckets``), 1 means one window per series."""
     cols, order, by = list(cols), list(order), list(by)
-    spark = df.sparkSession
     if buckets is None:
         buckets = auto_buckets(df)
     if buckets <= 1:
