@@ -91,14 +91,26 @@ def overflow_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.agg(*aggs)
 
 
+def layout(df: DataFrame, cluster_by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> DataFrame:
+    """File layout before a write: range clustering + sort, or a sort inside partitions."""
+    if cluster_by:
+        return df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
+    if sort_within:
+        return df.sortWithinPartitions(*sort_within)
+    return df
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
-                sort_within: Sequence[str] = (), fmt: str = "parquet") -> None:
+                sort_within: Sequence[str] = (), cluster_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """Full refresh (``overwrite``) or ``append`` of a table's data at ``path``.
 
-    Layout advice from the warehouse DDL: distribute/sort facts by period
-    (``sort_within``), partition large facts by a coarse column (``partition_by``)."""
-    w = df.sortWithinPartitions(*sort_within) if sort_within else df
-    writer = w.write.mode(mode).format(fmt)
+    Layout (the warehouse's distribution/sort keys, re-aimed for files):
+    ``cluster_by`` range-partitions the rows by those columns and sorts each
+    partition (contiguous, sorted files: Parquet min/max statistics then skip
+    files for range predicates on them); ``sort_within`` only sorts inside the
+    existing partitions (no shuffle); ``partition_by`` writes one folder per value
+    of a coarse column (partition pruning)."""
+    writer = layout(df, cluster_by, sort_within).write.mode(mode).format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)

@@ -19,6 +19,19 @@ def test_write_table_overwrite_append_partitioned(spark):
     assert spark.read.parquet(path).count() == 1
 
 
+def test_write_table_cluster_by(spark):
+    path = scratch_path(spark, "clustered")
+    df = spark.range(0, 5000).selectExpr("id % 97 AS k", "id AS v").repartition(7)
+    wh.write_table(df, path, cluster_by=["k"])
+    back = spark.read.parquet(path)
+    assert back.count() == 5000
+    # files hold contiguous, non-overlapping key ranges
+    import pyspark.sql.functions as F
+    spans = back.groupBy(F.input_file_name().alias("f")).agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
+    spans = sorted((r.lo, r.hi) for r in spans.collect())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_check_unique_and_overflow(spark):
     df = spark.createDataFrame([(1, 2.0, 999.99), (1, 3.0, 1000.0), (2, 4.0, None)], "k int, v double, pct double")
     assert [tuple(r) for r in wh.check_unique(df, ["k"]).collect()] == [(1, 2)]
