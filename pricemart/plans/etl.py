@@ -1,10 +1,10 @@
 """Extract -> transform -> load: the batch job over landed snapshots.
 
-Actions: one emptiness probe per feed, one write per output (dims, staged fact,
-fact, summary).  The fact is staged once (a written table below the output
-folder), so the summary and the final fact read the staged rows instead of
-recomputing the dedupe/join lineage, and a lost executor only recomputes from
-the staged files.  Counts come from the written tables, not extra passes.
+Actions: one emptiness probe per feed, one write per staged feed and per output.
+The cleaned feeds are staged once (written tables below the output folder), so
+the raw-volume work (scans and the dedupe shuffles) runs once per feed; dims,
+quarantine, fact and summary read the staged rows, and a lost executor only
+recomputes from the staged files.  Counts come from Observations on the writes.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from pricemart.config import DEFAULT_SPEC, MartSpec
 from pricemart.operators.keys import with_surrogate_key
-from pricemart.plans.transform import monthly_summary, transform
+from pricemart.plans.transform import assemble, monthly_summary, prepare_all, split_quarantine
 from pricemart.sinks import warehouse as wh
 from pricemart.sources import envelope as env
 
@@ -76,23 +76,28 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, spec: MartSpec =
     b, r, p = read_feeds(spark, raw_root, layout, multiline)
     for df, name in ((b, "benchmark"), (r, "rates"), (p, "prices")):
         env.require_rows(df, name)
-    res = transform(b, r, p, spec)
     out = EtlOutputs(*(f"{out_root}/{n}" for n in ("dim_benchmark", "dim_rates", "fact", "summary", "quarantine")))
 
+    # The cleaned feeds (one row per key after the dedupe) are staged once, so each raw
+    # feed is scanned and shuffled exactly once; every output below reads the staged
+    # tables (and a lost executor only recomputes from them).
+    staged = {}
+    for name, df in zip(("benchmark", "rates", "prices"), prepare_all(b, r, p, spec)):
+        wh.write_table(df, f"{out_root}/staged_{name}")
+        staged[name] = spark.read.parquet(f"{out_root}/staged_{name}")
+    prices, quarantine = split_quarantine(staged["prices"])
+    fact = assemble(staged["benchmark"], staged["rates"], prices, spec)
+
     # Dimensions first (conformed to the declared types), then facts; every write
     # reports its row count through an Observation.
     c = out.counts
-    _observed_write(wh.conform(res.dim_benchmark, wh.BENCHMARK_DIM_SCHEMA)[0], out.dim_benchmark, "dim_benchmark", c,
-                    sort_within=["period"])
-    _observed_write(wh.conform(res.dim_rates, wh.RATES_DIM_SCHEMA)[0], out.dim_rates, "dim_rates", c,
+    _observed_write(wh.conform(staged["benchmark"], wh.BENCHMARK_DIM_SCHEMA)[0], out.dim_benchmark,
+                    "dim_benchmark", c, sort_within=["period"])
+    _observed_write(wh.conform(staged["rates"], wh.RATES_DIM_SCHEMA)[0], out.dim_rates, "dim_rates", c,
                     sort_within=["period"])
-    _observed_write(res.quarantine, out.quarantine, "quarantine", c)
-
-    staged_path = f"{out_root}/staged_fact"
-    wh.write_table(res.fact, staged_path)
-    staged = spark.read.parquet(staged_path)
-    fact = with_surrogate_key(staged, ["period", "fuel_type"], name="fact_id")
-    _observed_write(wh.conform(fact, wh.FACT_SCHEMA)[0], out.fact, "fact", c, cluster_by=["period", "fuel_type"])
-    _observed_write(wh.conform(monthly_summary(staged), wh.SUMMARY_SCHEMA)[0], out.summary, "summary", c,
+    _observed_write(quarantine, out.quarantine, "quarantine", c)
+    keyed = with_surrogate_key(fact, ["period", "fuel_type"], name="fact_id")
+    _observed_write(wh.conform(keyed, wh.FACT_SCHEMA)[0], out.fact, "fact", c, cluster_by=["period", "fuel_type"])
+    _observed_write(wh.conform(monthly_summary(fact), wh.SUMMARY_SCHEMA)[0], out.summary, "summary", c,
                     cluster_by=["year", "month"])
     return out

@@ -103,8 +103,9 @@ def cost_share(df: DataFrame, litres_per_barrel: float = 159.0) -> DataFrame:
     return df.withColumn("crude_cost_pct", round_half_up(share, 2))
 
 
-def prepare(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec: MartSpec = DEFAULT_SPEC):
-    """Steps 1-5: returns cleaned (benchmark, rates, prices, quarantined prices)."""
+def prepare_all(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec: MartSpec = DEFAULT_SPEC):
+    """Steps 1-5: cleaned (benchmark, rates, prices); prices still include rows whose
+    period is not a real month (NULL after step 3), for the quarantine split."""
     # Step 1: duplicates
     b, r, p = dedupe_step(benchmark, rates, prices, spec)
     # Step 2: missing values.  After step 1 the rates have one row per period text, so
@@ -126,16 +127,30 @@ def prepare(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec: Mar
     # Step 5: ranges
     b = b.where(in_bounds("brent_usd_per_barrel", spec.benchmark_bounds))
     p = p.where(in_bounds("price_lkr", spec.price_bounds))
-    quarantine = p.where(F.col("period").isNull())
-    p = p.where(F.col("period").isNotNull())
+    return b, r, p
+
+
+def split_quarantine(p: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(prices with a real month, prices whose period is NULL)."""
+    return p.where(F.col("period").isNotNull()), p.where(F.col("period").isNull())
+
+
+def prepare(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec: MartSpec = DEFAULT_SPEC):
+    """Steps 1-5: returns cleaned (benchmark, rates, prices, quarantined prices)."""
+    b, r, p_all = prepare_all(benchmark, rates, prices, spec)
+    p, quarantine = split_quarantine(p_all)
     return b, r, p, quarantine
 
 
+def assemble(b: DataFrame, r: DataFrame, p: DataFrame, spec: MartSpec = DEFAULT_SPEC) -> DataFrame:
+    """Steps 6-7: currency normalisation and the two left joins -> the fact columns."""
+    fact = cost_share(normalise_currency(p, r).join(b, on="period", how="left"), spec.litres_per_barrel)
+    return fact.select(*FACT_COLUMNS)
+
+
 def transform(benchmark: DataFrame, rates: DataFrame, prices: DataFrame,
               spec: MartSpec = DEFAULT_SPEC) -> TransformResult:
     b, r, p, quarantine = prepare(benchmark, rates, prices, spec)
-    # Step 6 + 7: currency and the joins
-    fact = cost_share(normalise_currency(p, r).join(b, on="period", how="left"), spec.litres_per_barrel)
-    fact = fact.select(*FACT_COLUMNS)
+    fact = assemble(b, r, p, spec)
     return TransformResult(fact=fact, summary=monthly_summary(fact), dim_rates=r, dim_benchmark=b,
                            quarantine=quarantine)
