@@ -142,3 +142,23 @@ QUERIES = {
     "period_to_date": q_period_to_date,
     "drop_nulls": q_drop_nulls,
 }
+
+
+def quarantine_periods(spark, sf) -> DataFrame:
+    """Price records whose period text is not a real ``yyyy-MM`` month (e.g. ``1997-15``), as
+    quarantined by the transform's steps 1-5 (dedupe, null drop, date conversion, labels,
+    ranges) instead of flowing into the fact with a NULL period (Q4)."""
+    from pricemart.plans.transform import prepare
+    from pricemart.queries.inputs import ANALOG_SPEC
+    o = table(spark, sf, "orders")
+    prices = o.select(F.expr(PERIOD_TEXT).alias("period"), F.col("o_orderpriority").alias("fuel_type"),
+                      (F.col("o_totalprice") / 200).alias("price_lkr"), F.to_date("o_orderdate").alias("fetched_at"),
+                      F.col("o_orderkey").alias("_pos"))
+    from pricemart.queries.inputs import benchmark_feed
+    from pricemart.queries.star import _rates
+    # the benchmark and rate feeds are part of the step but not of this output (lazy, never computed)
+    _b, _r, _p, quarantine = prepare(benchmark_feed(spark, sf), _rates(spark, sf), prices, ANALOG_SPEC)
+    return quarantine.select("fuel_type", "price_lkr")
+
+
+QUERIES["quarantine_periods"] = quarantine_periods

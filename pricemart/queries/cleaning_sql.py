@@ -85,3 +85,14 @@ c AS ({_clean_price_sql('src', 'price_text', 'o_orderkey, period, fuel_type')})
 SELECT o_orderkey, period, fuel_type, price_lkr FROM c
 WHERE period IS NOT NULL AND fuel_type IS NOT NULL AND price_lkr IS NOT NULL""",
 }
+
+SQL["quarantine_periods"] = f"""
+WITH raw AS (SELECT {PERIOD_TEXT} AS period, o_orderpriority AS fuel_type, o_totalprice / 200 AS price_lkr,
+                    CAST(o_orderdate AS DATE) AS fetched_at, o_orderkey AS _pos FROM orders),
+d AS (SELECT period, fuel_type, price_lkr FROM (
+        SELECT *, row_number() OVER (PARTITION BY period, fuel_type ORDER BY fetched_at DESC NULLS LAST, _pos) AS rn
+        FROM raw) WHERE rn = 1)
+SELECT upper(trim(fuel_type)) AS fuel_type, price_lkr FROM d
+WHERE period IS NOT NULL AND fuel_type IS NOT NULL AND price_lkr IS NOT NULL
+  AND price_lkr > 0 AND price_lkr < 1500
+  AND NOT regexp_full_match(period, '[0-9]{{4}}-(0[1-9]|1[0-2])')"""
