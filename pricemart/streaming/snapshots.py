@@ -8,6 +8,10 @@ the same deterministic ``keep_first`` as the batch job: state = keep_first(state
 UNION batch).  State versions are written as separate folders (``state_version=<batch id>``)
 so a batch never overwrites the table it reads; a failed batch is simply re-run
 from the checkpoint.  The state has one row per key, not per landed record.
+
+Cost: every micro-batch rewrites the whole state (O(keys), not O(history)); for
+key spaces much larger than the batches, run the fold per coarse key range
+(several state paths) so a batch rewrites only the ranges it touches.
 """
 
 from __future__ import annotations
