@@ -35,18 +35,52 @@ def _literal(row, fields) -> Column:
     return F.struct(*[F.lit(v).cast(f.dataType).alias(f"k{i}") for i, (v, f) in enumerate(zip(row, fields))])
 
 
+def _estimated_rows(df: DataFrame) -> int | None:
+    """Row estimate from Catalyst statistics (row count when known, else bytes / row width)."""
+    try:
+        stats = df._jdf.queryExecution().optimizedPlan().stats()
+        rc = stats.rowCount()
+        if rc.isDefined():
+            return int(str(rc.get()))
+    except Exception:  # noqa: BLE001
+        pass
+    est = estimated_bytes(df)
+    if est is None:
+        return None
+    try:
+        width = int(df._jdf.schema().defaultSize()) + 8
+    except Exception:  # noqa: BLE001
+        width = 8 * len(df.columns) + 8
+    return max(1, est // width)
+
+
 def range_boundaries(df: DataFrame, order: Sequence[str], n_buckets: int, oversample: int = 20) -> list:
-    """``n_buckets - 1`` (or fewer, de-duplicated) boundary keys from a bounded sample."""
+    """``n_buckets - 1`` (or fewer, de-duplicated) boundary keys from a bounded sample.
+
+    One pass over the input in the usual case: the sampling fraction comes from
+    Catalyst's row estimate (no ``count`` job); the sample is capped with a limit so
+    an underestimate cannot flood the driver, and is redrawn once with a corrected
+    fraction if it came back too small.  Boundaries only shape the balance of the
+    buckets, never the results."""
     if n_buckets <= 1:
         return []
     keys = df.select(*order).where(F.coalesce(*[F.col(c).isNotNull() for c in order]))
-    total = keys.count()
-    if total == 0:
-        return []
     want = min(oversample * n_buckets, MAX_SAMPLE_KEYS)
-    fraction = min(1.0, want / total)
-    sample = keys.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED) if fraction < 1.0 else keys
-    rows = [tuple(r) for r in sample.orderBy(*order).collect()]   # bounded: ~oversample * n rows
+    est = _estimated_rows(keys)
+    if est is None:
+        est = keys.count()
+    if est == 0:
+        return []
+
+    def draw(fraction: float) -> list:
+        sample = keys.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED) if fraction < 1.0 else keys
+        return [tuple(r) for r in sample.limit(4 * want).orderBy(*order).collect()]   # bounded
+
+    fraction = min(1.0, want / est)
+    rows = draw(fraction)
+    if len(rows) < want // 4 and fraction < 1.0:           # the estimate was too high
+        fraction = min(1.0, fraction * want / max(len(rows), 1))
+        rows = draw(fraction)
     if not rows:
         return []
     step = len(rows) / n_buckets
