@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricemart.operators.buckets import auto_buckets, bucket_expr, range_boundaries
+from pricemart.operators.buckets import TIE_BREAK, auto_buckets, bucket_expr, range_boundaries, with_tie_break
 
 
 def _frame(w, frame: str):
@@ -45,8 +45,12 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order: Sequence[str], by: S
         return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
                            for c in df.columns])
 
-    bounds = range_boundaries(df, order, buckets)
-    x = df.withColumn("_b", bucket_expr(df, order, bounds))
+    if frame == "rows":      # peers have no defined order: a row hash breaks ties (splits hot tie groups)
+        df_o, order = with_tie_break(df), order + [TIE_BREAK]
+    else:                    # RANGE frame: peers must stay together
+        df_o = df
+    bounds = range_boundaries(df_o, order, buckets)
+    x = df_o.withColumn("_b", bucket_expr(df_o, order, bounds))
     series = [F.struct(*by).alias("_s")] if by else []
     skey = ["_s"] if by else []
     x = x.select("*", *series)

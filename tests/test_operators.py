@@ -259,3 +259,19 @@ def test_forward_fill_range_frame_peers(spark):
     for buckets in (1, 2, 3):
         out = forward_fill(df, ["v"], ["o"], frame="range", buckets=buckets).orderBy("id")
         assert [r.v for r in out.collect()] == [None, 5.0, 5.0, 5.0, 7.0, 7.0]
+
+
+def test_hot_tie_group_is_split(spark):
+    """Half of all rows share one order value; with the row-hash tie-break they still spread
+    over many buckets, and the bucketed fill equals one window ordered the same way."""
+    from pricemart.operators.buckets import TIE_BREAK, with_range_bucket, with_tie_break
+    df = spark.range(0, 20000).select(
+        F.col("id"), F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id")).alias("t"),
+        F.when(F.col("id") % 5 == 0, F.col("id").cast("double")).alias("v"))
+    tb = with_tie_break(df)
+    hot = with_range_bucket(tb, ["t", TIE_BREAK], 16).where("t = 0").select("_bucket").distinct().count()
+    assert hot >= 8
+    w = Window.orderBy("t", TIE_BREAK).rowsBetween(Window.unboundedPreceding, 0)
+    ref = tb.select("id", F.last("v", True).over(w).alias("ref"))
+    got = forward_fill(df, ["v"], ["t"], buckets=16)
+    assert got.join(ref, "id").where(~F.col("v").eqNullSafe(F.col("ref"))).count() == 0
