@@ -106,10 +106,49 @@ def bucket_expr(df: DataFrame, order: Sequence[str], boundaries: list) -> Column
     return build(0, len(lits))
 
 
+FINE = 128   # boundaries handled by one literal CASE tree (larger trees outgrow the JIT limits)
+
+
+def add_bucket(df: DataFrame, order: Sequence[str], boundaries: list, name: str = "_bucket") -> DataFrame:
+    """Add the bucket id (number of boundaries <= key) for any number of boundaries.
+
+    Up to ``FINE`` boundaries: one literal binary-search CASE.  More: two levels -
+    a literal CASE over every m-th boundary picks a group; the group's boundaries
+    arrive as an array through a broadcast join (at most ``FINE`` rows of at most
+    ``FINE`` elements: a proven bound) and a CASE tree over the array elements
+    counts the ones <= key.  Code size stays small at every level."""
+    k = len(boundaries)
+    if k <= FINE:
+        return df.withColumn(name, bucket_expr(df, order, boundaries))
+    from pyspark.sql import types as T
+    m = -(-k // FINE)
+    groups = [boundaries[i:i + m] for i in range(0, k, m)]
+    key, fields = _key(df, order)
+    coarse = bucket_expr(df, order, [g[0] for g in groups[1:]])
+    if len(fields) == 1:
+        elem_type = fields[0].dataType
+        values = [[b[0] for b in g] for g in groups]
+    else:
+        elem_type = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(fields)])
+        values = [[tuple(b) for b in g] for g in groups]
+    table = df.sparkSession.createDataFrame(
+        list(enumerate(values)), T.StructType([T.StructField("_grp", T.IntegerType()),
+                                               T.StructField("_arr", T.ArrayType(elem_type))]))
+
+    def fine(lo: int, hi: int):
+        if lo >= hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key >= F.get(F.col("_arr"), mid), fine(mid + 1, hi)).otherwise(fine(lo, mid))
+
+    x = df.withColumn("_grp", coarse.cast("int")).join(F.broadcast(table), on="_grp", how="inner")
+    return x.withColumn(name, F.col("_grp") * m + fine(0, m)).drop("_grp", "_arr")
+
+
 def with_range_bucket(df: DataFrame, order: Sequence[str], n_buckets: int, name: str = "_bucket") -> DataFrame:
     """Add an ordered range-bucket column over ``order``."""
     bounds = range_boundaries(df, order, n_buckets)
-    return df.withColumn(name, bucket_expr(df, order, bounds))
+    return add_bucket(df, order, bounds, name)
 
 
 def estimated_bytes(df: DataFrame) -> int | None:

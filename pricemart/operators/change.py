@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricemart.functions.exact import round_half_up, safe_div
-from pricemart.operators.buckets import TIE_BREAK, auto_buckets, bucket_expr, range_boundaries, with_tie_break
+from pricemart.operators.buckets import TIE_BREAK, add_bucket, auto_buckets, range_boundaries, with_tie_break
 
 
 def previous_value(df: DataFrame, col: str, order: Sequence[str], by: Sequence[str] = (),
@@ -33,7 +33,7 @@ def previous_value(df: DataFrame, col: str, order: Sequence[str], by: Sequence[s
     # peers have no defined order: a row hash breaks ties (and splits hot tie groups)
     df_o, order = with_tie_break(df), order + [TIE_BREAK]
     bounds = range_boundaries(df_o, order, buckets)
-    x = df_o.withColumn("_b", bucket_expr(df_o, order, bounds))
+    x = add_bucket(df_o, order, bounds, "_b")
     if by:
         x = x.withColumn("_s", F.struct(*by))
     skey = ["_s"] if by else []

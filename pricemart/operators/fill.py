@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricemart.operators.buckets import TIE_BREAK, auto_buckets, bucket_expr, range_boundaries, with_tie_break
+from pricemart.operators.buckets import TIE_BREAK, add_bucket, auto_buckets, range_boundaries, with_tie_break
 
 
 def _frame(w, frame: str):
@@ -50,7 +50,7 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order: Sequence[str], by: S
     else:                    # RANGE frame: peers must stay together
         df_o = df
     bounds = range_boundaries(df_o, order, buckets)
-    x = df_o.withColumn("_b", bucket_expr(df_o, order, bounds))
+    x = add_bucket(df_o, order, bounds, "_b")
     series = [F.struct(*by).alias("_s")] if by else []
     skey = ["_s"] if by else []
     x = x.select("*", *series)

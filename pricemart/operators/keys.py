@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricemart.operators.buckets import TIE_BREAK, auto_buckets, bucket_expr, range_boundaries, with_tie_break
+from pricemart.operators.buckets import TIE_BREAK, add_bucket, auto_buckets, range_boundaries, with_tie_break
 
 
 def with_surrogate_key(df: DataFrame, order: Sequence[str], name: str = "fact_id", start: int = 1,
@@ -29,7 +29,7 @@ def with_surrogate_key(df: DataFrame, order: Sequence[str], name: str = "fact_id
     # huge tie group is split across buckets)
     df_o, order = with_tie_break(df), order + [TIE_BREAK]
     bounds = range_boundaries(df_o, order, buckets)
-    x = df_o.withColumn("_b", bucket_expr(df_o, order, bounds))
+    x = add_bucket(df_o, order, bounds, "_b")
     counts = x.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),

@@ -275,3 +275,12 @@ def test_hot_tie_group_is_split(spark):
     ref = tb.select("id", F.last("v", True).over(w).alias("ref"))
     got = forward_fill(df, ["v"], ["t"], buckets=16)
     assert got.join(ref, "id").where(~F.col("v").eqNullSafe(F.col("ref"))).count() == 0
+
+
+def test_two_level_buckets_match_single_level(spark):
+    from pricemart.operators.buckets import FINE, add_bucket, bucket_expr
+    df = spark.range(0, 5000).select((F.col("id") * 37 % 5003).alias("k"), (F.col("id") % 7).alias("j"))
+    bounds = [(i * 17, i % 5) for i in range(1, 3 * FINE + 5)]     # multi-column keys, > FINE boundaries
+    two = add_bucket(df, ["k", "j"], bounds, "b2")
+    one = two.withColumn("b1", bucket_expr(df, ["k", "j"], bounds))
+    assert two.count() == 5000 and one.where(F.col("b1") != F.col("b2")).count() == 0
