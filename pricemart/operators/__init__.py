@@ -1,6 +1,8 @@
 """Table operators (DataFrame -> DataFrame)."""
 
-from pricemart.operators.buckets import with_range_bucket, range_boundaries, bucket_expr
+from pricemart.operators.buckets import (
+    add_bucket, auto_buckets, bucket_expr, range_boundaries, with_range_bucket, with_tie_break,
+)
 from pricemart.operators.dedupe import keep_first, drop_duplicates_like
 from pricemart.operators.fill import forward_fill, calendar_fill
 from pricemart.operators.change import previous_value, pct_change, calendar_previous
@@ -9,4 +11,5 @@ from pricemart.operators.resample import resample_monthly
 from pricemart.operators.merge import priority_merge, source_cascade, tag_source
 from pricemart.operators.quality import (
     drop_nulls, range_filter, record_is_valid, split_valid, quality_counts, non_empty, period_shape_ok,
+    parse_then_filter,
 )
