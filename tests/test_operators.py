@@ -284,3 +284,13 @@ def test_two_level_buckets_match_single_level(spark):
     two = add_bucket(df, ["k", "j"], bounds, "b2")
     one = two.withColumn("b1", bucket_expr(df, ["k", "j"], bounds))
     assert two.count() == 5000 and one.where(F.col("b1") != F.col("b2")).count() == 0
+
+
+def test_calendar_fill_bucketed_per_series(spark):
+    rows_in = [(dt.date(2022, m, 1), s, float(m)) for s in ("A", "B") for m in (1, 4, 5, 9) if not (s == "B" and m == 4)]
+    df = spark.createDataFrame(rows_in, "period date, s string, r double")
+    for buckets in (1, 3):
+        out = calendar_fill(df, "period", ["r"], by=["s"], buckets=buckets)
+        got = {(r.s, r.period.month): r.r for r in out.collect()}
+        assert len(got) == 18                          # months 1..9 for both series
+        assert got[("A", 3)] == 1.0 and got[("A", 8)] == 5.0 and got[("B", 4)] == 1.0 and got[("B", 9)] == 9.0
