@@ -59,8 +59,9 @@ def range_boundaries(df: DataFrame, order: Sequence[str], n_buckets: int, oversa
 
     One pass over the input in the usual case: the sampling fraction comes from
     Catalyst's row estimate (no ``count`` job); the sample is capped with a limit so
-    an underestimate cannot flood the driver, and is redrawn once with a corrected
-    fraction if it came back too small.  Boundaries only shape the balance of the
+    an underestimate cannot flood the driver.  It is redrawn with a corrected
+    fraction if it came back too small, or (at most twice) with a smaller one if
+    the cap was hit, so the boundaries come from a uniform sample.  Boundaries only shape the balance of the
     buckets, never the results."""
     if n_buckets <= 1:
         return []
@@ -81,6 +82,11 @@ def range_boundaries(df: DataFrame, order: Sequence[str], n_buckets: int, oversa
     if len(rows) < want // 4 and fraction < 1.0:           # the estimate was too high
         fraction = min(1.0, fraction * want / max(len(rows), 1))
         rows = draw(fraction)
+    for _ in range(2):                                      # the estimate was far too low: the cap was hit,
+        if len(rows) < 4 * want:                            # so the capped sample is not uniform; redraw
+            break
+        fraction /= 8
+        rows = draw(fraction)
     if not rows:
         return []
     step = len(rows) / n_buckets

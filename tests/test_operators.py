@@ -294,3 +294,16 @@ def test_calendar_fill_bucketed_per_series(spark):
         got = {(r.s, r.period.month): r.r for r in out.collect()}
         assert len(got) == 18                          # months 1..9 for both series
         assert got[("A", 3)] == 1.0 and got[("A", 8)] == 5.0 and got[("B", 4)] == 1.0 and got[("B", 9)] == 9.0
+
+
+def test_boundaries_with_wrong_estimates(spark, monkeypatch):
+    """Boundaries stay balanced when the row estimate is far too low or too high."""
+    from pricemart.operators import buckets as B
+    df = spark.range(0, 50000).select(F.col("id").alias("k"))
+    for fake in (10, 10_000_000):
+        monkeypatch.setattr(B, "_estimated_rows", lambda d, fake=fake: fake)
+        bounds = B.range_boundaries(df, ["k"], 10)
+        assert len(bounds) == 9
+        cuts = [0] + [b[0] for b in bounds] + [50000]
+        sizes = [b - a for a, b in zip(cuts, cuts[1:])]           # rows per bucket (keys are 0..49999)
+        assert all(5000 / 3 <= n <= 5000 * 3 for n in sizes), sizes
