@@ -58,3 +58,10 @@ def test_auto_buckets_small_and_large(spark):
     small = spark.read.parquet(f"{SF}/orders.parquet")
     assert auto_buckets(small) == 1
     assert auto_buckets(small, target_bytes=1024) > 1
+
+
+def test_parsers_are_row_local(spark, qs):
+    # the only exchange in the HTML price query is the stand-in page renderer's aggregate
+    assert plan(qs["html_price_table"](spark, SF)).count("Exchange hashpartitioning") == 1
+    p = plan(qs["parse_daily_rate"](spark, SF))
+    assert "Exchange" not in p and "Generate" in p
