@@ -65,3 +65,10 @@ def test_parsers_are_row_local(spark, qs):
     assert plan(qs["html_price_table"](spark, SF)).count("Exchange hashpartitioning") == 1
     p = plan(qs["parse_daily_rate"](spark, SF))
     assert "Exchange" not in p and "Generate" in p
+
+
+def test_fact_scans_read_only_needed_columns(spark, qs):
+    df = qs["fact_prices"](spark, SF)
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    schemas = [ln for ln in text.splitlines() if ln.startswith("ReadSchema")]
+    assert schemas and not any(c in s for s in schemas for c in ("l_discount", "l_tax", "l_returnflag", "o_custkey"))
