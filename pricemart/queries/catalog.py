@@ -2,28 +2,12 @@
 
 from __future__ import annotations
 
-from pricemart.queries.star import QUERIES as _STAR
-from pricemart.queries.star_sql import STAR_SQL as _STAR_SQL
+from pricemart.queries import cleaning, cleaning_sql, jobs, jobs_sql, readers, readers_sql, star, star_sql
 
 
 def all_queries():
-    out = {}
-    out.update(_STAR)
-    for mod in ("cleaning", "readers", "jobs"):
-        try:
-            m = __import__(f"pricemart.queries.{mod}", fromlist=["QUERIES"])
-            out.update(m.QUERIES)
-        except ModuleNotFoundError:
-            pass
-    return out
+    return {**star.QUERIES, **cleaning.QUERIES, **readers.QUERIES, **jobs.QUERIES}
 
 
 def all_sql():
-    out = dict(_STAR_SQL)
-    for mod in ("cleaning_sql", "readers_sql", "jobs_sql"):
-        try:
-            m = __import__(f"pricemart.queries.{mod}", fromlist=["SQL"])
-            out.update(m.SQL)
-        except ModuleNotFoundError:
-            pass
-    return out
+    return {**star_sql.STAR_SQL, **cleaning_sql.SQL, **readers_sql.SQL, **jobs_sql.SQL}

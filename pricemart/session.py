@@ -1,13 +1,14 @@
 """Session helpers: a configured SparkSession and a shared scratch folder.
 
 On a cluster the scratch folder is the shared ``spark.checkpoint.dir`` the
-cluster names; a folder of our own is set only when that setting is absent
-(local runs and tests).
+cluster names; without that setting a cluster run stops with an error.  A folder
+of our own is set only on a local master (tests).
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -62,7 +63,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, setting a local one only when unset.
+    """Return the session's checkpoint folder, setting a local one only when unset on a local master.
 
     Works on classic sessions (``SparkContext.setCheckpointDir``) and on sessions
     without a SparkContext handle (Spark Connect), where the folder is only used
@@ -77,6 +78,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="pricemart-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if sc is None:
