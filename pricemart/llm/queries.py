@@ -4,16 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricemart.llm import decontam, line_dedup, token_files
+from pricemart.llm import decontam, host_rules, line_dedup, mix, revisits, token_files
 from pricemart.llm.common import configure, table
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that a mix of all sources takes of every document."""
+    configure(spark)
+    return mix.report(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_epochs=2.0)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of the benchmark's 10-word windows in every document."""
     configure(spark)
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule counts and verdicts of every document; its source is its host."""
+    configure(spark)
+    return host_rules.report(table(spark, sf_dir, "documents"))
+
+
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revisit records over captures rendered from every page, resolved."""
+    configure(spark)
+    return revisits.report(table(spark, sf_dir, "pages"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to Arrow stream files and read back."""
     import public_tokenizers
@@ -28,4 +46,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
 
-QUERIES = {f.__name__: f for f in (op4_decontaminate, op9_token_files, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op4_decontaminate, op7_host_rules, op8_revisits, op9_token_files, op10_line_dedup)}
