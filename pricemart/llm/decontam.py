@@ -53,19 +53,20 @@ class Grams:
                 self.behind.setdefault((size, of[size, g]), []).append((g, tuple(sorted(ids))))
             self.hashes[size] = np.array(sorted({of[size, g] for g in by}), np.uint64)
 
-    def find(self, w: Words) -> Iterator[tuple[int, int, tuple[str, ...]]]:
-        """(first token, number of tokens, items) of each verified window."""
-        for size, keys in self.hashes.items():
-            g = ngrams(w.hashes, size)
-            if not len(g):
-                continue
-            at = np.searchsorted(keys, g)
-            at[at == len(keys)] = 0
-            for i in np.flatnonzero((keys[at] == g) & starts_inside(w.offsets, size)):
-                found = b" ".join(token_bytes(w, j) for j in range(i, i + size))
-                for gram, ids in self.behind[size, int(g[i])]:
-                    if gram == found:
-                        yield int(i), size, ids
+
+def find(w: Words, hashes: dict[int, np.ndarray], behind: dict) -> Iterator[tuple[int, int, tuple[str, ...]]]:
+    """(first token, number of tokens, items) of each verified window; hashes and behind are those of ``Grams``."""
+    for size, keys in hashes.items():
+        g = ngrams(w.hashes, size)
+        if not len(g):
+            continue
+        at = np.searchsorted(keys, g)
+        at[at == len(keys)] = 0
+        for i in np.flatnonzero((keys[at] == g) & starts_inside(w.offsets, size)):
+            found = b" ".join(token_bytes(w, j) for j in range(i, i + size))
+            for gram, ids in behind[size, int(g[i])]:
+                if gram == found:
+                    yield int(i), size, ids
 
 
 def _covered(n: int, found: list[tuple[int, int]]) -> np.ndarray:
@@ -112,13 +113,15 @@ def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window:
     fields = [T.StructField(prefix + f.name, f.dataType) for f in FIELDS]
     if size > broadcast_bytes:
         return _joined(docs, items, text_col, window, fields, with_text)
-    grams = spark.sparkContext.broadcast(Grams([tuple(r) for r in items.collect()], window))
+    grams = Grams([tuple(r) for r in items.collect()], window)
+    shared = spark.sparkContext.broadcast((grams.hashes, grams.behind))
 
     def run(texts: pa.Array) -> list[pa.Array]:
         w = words(texts)
+        hashes, behind = shared.value
         own = owners(w.offsets)
         spans, ids = [], [set() for _ in range(len(texts))]
-        for at, n, found in grams.value.find(w):
+        for at, n, found in find(w, hashes, behind):
             spans.append((at, n))
             ids[own[at]].update(found)
         hit = _covered(len(own), spans)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricemart.llm import decontam, host_rules, line_dedup, mix, revisits, token_files
+from pricemart.llm import decontam, host_rules, line_dedup, mix, quality, revisits, token_files, toxicity
 from pricemart.llm.common import configure, table
 
 
@@ -14,12 +14,24 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.report(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, max_epochs=2.0)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality score of every document."""
+    configure(spark)
+    return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of the benchmark's 10-word windows in every document."""
     configure(spark)
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    configure(spark)
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdicts of every document; its source is its host."""
     configure(spark)
@@ -46,4 +58,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op4_decontaminate, op7_host_rules, op8_revisits, op9_token_files, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality, op4_decontaminate, op5_toxicity, op7_host_rules, op8_revisits, op9_token_files, op10_line_dedup)}
