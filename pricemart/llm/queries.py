@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricemart.llm import decontam, host_rules, line_dedup, mix, quality, revisits, token_files, toxicity
+from pricemart.llm import decontam, host_rules, line_dedup, mix, ngram_join, quality, revisits, token_files, toxicity
 from pricemart.llm.common import configure, table
 
 
@@ -20,6 +20,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document, at a Jaccard similarity of 0.8 of 5-word shingles."""
+    configure(spark)
+    return ngram_join.report(table(spark, sf_dir, "documents"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hits of the benchmark's 10-word windows in every document."""
     configure(spark)
@@ -58,4 +64,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality, op4_decontaminate, op5_toxicity, op7_host_rules, op8_revisits, op9_token_files, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality, op3_ngram_join, op4_decontaminate, op5_toxicity, op7_host_rules, op8_revisits, op9_token_files, op10_line_dedup)}

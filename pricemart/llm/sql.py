@@ -118,3 +118,18 @@ FROM z
 """
 
 SQL |= {"op1_mix_sources": OP1, "op7_host_rules": OP7, "op8_revisits": OP8}
+
+OP3 = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS} AS ws FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(ws[i:i + least(5, len(ws)) - 1], ' ') AS gram
+      FROM (SELECT r, ws, unnest(range(1, len(ws) - least(5, len(ws)) + 2)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+c AS (SELECT a.r AS x, b.r AS y, count(*) AS common FROM s a JOIN s b ON a.gram = b.gram AND a.r <> b.r GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n nx ON nx.r = x JOIN n ny ON ny.r = y WHERE 10 * common >= 8 * (nx.n + ny.n - common)),
+reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, l.y FROM reach JOIN l ON l.x = reach.y),
+k AS (SELECT x, min(doc_id) AS class_id FROM reach JOIN d ON d.r = y GROUP BY x),
+m AS (SELECT x, count(*) AS n_links FROM l GROUP BY x)
+SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links FROM d JOIN k ON k.x = d.r LEFT JOIN m ON m.x = d.r
+"""
+
+SQL["op3_ngram_join"] = OP3
