@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricemart.llm import decontam, host_rules, line_dedup, mix, ngram_join, quality, revisits, token_files, toxicity
+from pricemart.llm import decontam, host_rules, line_dedup, mix, ngram_join, quality, revisits, suffix_dedup, token_files, toxicity
 from pricemart.llm.common import configure, table
 
 
@@ -38,6 +38,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of at least 50 words that are in the corpus twice or more, by document."""
+    configure(spark)
+    return suffix_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op7_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and verdicts of every document; its source is its host."""
     configure(spark)
@@ -64,4 +70,4 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality, op3_ngram_join, op4_decontaminate, op5_toxicity, op7_host_rules, op8_revisits, op9_token_files, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_quality, op3_ngram_join, op4_decontaminate, op5_toxicity, op6_suffix_dedup, op7_host_rules, op8_revisits, op9_token_files, op10_line_dedup)}

@@ -133,3 +133,17 @@ SELECT doc_id, class_id, coalesce(n_links, 0)::BIGINT AS n_links FROM d JOIN k O
 """
 
 SQL["op3_ngram_join"] = OP3
+
+OP6 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT r, doc_id, i, md5(array_to_string(ws[i + 1:i + 50], ' ')) AS gram FROM (SELECT r, doc_id, ws, unnest(range(0, len(ws) - 49)) AS i FROM d WHERE len(ws) >= 50)),
+m AS (SELECT r, doc_id, i, row_number() OVER (PARTITION BY gram ORDER BY doc_id, i) > 1 AS later FROM w QUALIFY count(*) OVER (PARTITION BY gram) > 1),
+g AS (SELECT *, sum(gap) OVER (PARTITION BY r ORDER BY i) AS span FROM (SELECT *, (i > coalesce(lag(i) OVER (PARTITION BY r ORDER BY i) + 50, -1))::INT AS gap FROM m)),
+s AS (SELECT r, doc_id, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY r, doc_id, span),
+l AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 50)) AS p FROM m WHERE later) GROUP BY r)
+SELECT doc_id, count(*)::BIGINT AS n_spans, sum(b - a)::BIGINT AS n_repeated, coalesce(any_value(l.n), 0)::BIGINT AS n_later,
+       string_agg(a || '+' || (b - a), ',' ORDER BY a) AS spans
+FROM s LEFT JOIN l USING (r) GROUP BY r, doc_id
+"""
+
+SQL["op6_suffix_dedup"] = OP6
