@@ -1,160 +1,30 @@
 """Ordered range buckets: the device that keeps ordered scans off a single task.
 
 An ordered operator (forward fill, lag, numbering) over one long series would
-put the whole series in one window partition.  Instead the rows are cut into
-``n`` contiguous ranges of the order key.  Range boundaries come from a bounded
-random sample (the same idea as Spark's range partitioner): a small job samples
-about ``oversample * n`` keys, Spark sorts them, and ``n - 1`` evenly spaced keys
-become boundaries.  The bucket of a row is then a pure expression (a binary
-search written as nested ``CASE``), so it is deterministic, needs no
-checkpoint, and rows with equal keys always share a bucket.
+put the whole series in one window partition.  Instead the rows are dealt into
+contiguous ranges of their order by Spark's range shuffle and written once, with
+the range number as a column, to the shared scratch folder.  Every later step
+(summaries, local windows) reads that table, so all of them see the same ranges
+and the input is not computed again.
+
+The order is total: the order key, then a hash of the row.  It is the same for
+any number of buckets, so buckets only change parallelism, never results, and
+one order value that a third of all rows share is split like any other range.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-SAMPLE_SEED = 20240101
-MAX_SAMPLE_KEYS = 200_000     # keys collected to pick boundaries, whatever the cluster size
-MAX_BUCKETS = 10_000
+from pricemart.session import default_parallelism, scratch_path
 
-
-def _key(df: DataFrame, order: Sequence[str]) -> tuple[Column, list]:
-    fields = [df.schema[c] for c in order]
-    if len(order) == 1:
-        return F.col(order[0]), fields
-    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order)]), fields
-
-
-def _literal(row, fields) -> Column:
-    if len(fields) == 1:
-        return F.lit(row[0]).cast(fields[0].dataType)
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f"k{i}") for i, (v, f) in enumerate(zip(row, fields))])
-
-
-def _estimated_rows(df: DataFrame) -> int | None:
-    """Row estimate from Catalyst statistics (row count when known, else bytes / row width)."""
-    try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        rc = stats.rowCount()
-        if rc.isDefined():
-            return int(str(rc.get()))
-    except Exception:  # noqa: BLE001
-        pass
-    est = estimated_bytes(df)
-    if est is None:
-        return None
-    try:
-        width = int(df._jdf.schema().defaultSize()) + 8
-    except Exception:  # noqa: BLE001
-        width = 8 * len(df.columns) + 8
-    return max(1, est // width)
-
-
-def range_boundaries(df: DataFrame, order: Sequence[str], n_buckets: int, oversample: int = 20) -> list:
-    """``n_buckets - 1`` (or fewer, de-duplicated) boundary keys from a bounded sample.
-
-    One pass over the input in the usual case: the sampling fraction comes from
-    Catalyst's row estimate (no ``count`` job); the sample is capped with a limit so
-    an underestimate cannot flood the driver.  It is redrawn with a corrected
-    fraction if it came back too small, or (at most twice) with a smaller one if
-    the cap was hit, so the boundaries come from a uniform sample.  Boundaries only shape the balance of the
-    buckets, never the results."""
-    if n_buckets <= 1:
-        return []
-    keys = df.select(*order).where(F.coalesce(*[F.col(c).isNotNull() for c in order]))
-    want = min(oversample * n_buckets, MAX_SAMPLE_KEYS)
-    est = _estimated_rows(keys)
-    if est is None:
-        est = keys.count()
-    if est == 0:
-        return []
-
-    def draw(fraction: float) -> list:
-        sample = keys.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED) if fraction < 1.0 else keys
-        return [tuple(r) for r in sample.limit(4 * want).orderBy(*order).collect()]   # bounded
-
-    fraction = min(1.0, want / est)
-    rows = draw(fraction)
-    if len(rows) < want // 4 and fraction < 1.0:           # the estimate was too high
-        fraction = min(1.0, fraction * want / max(len(rows), 1))
-        rows = draw(fraction)
-    for _ in range(2):                                      # the estimate was far too low: the cap was hit,
-        if len(rows) < 4 * want:                            # so the capped sample is not uniform; redraw
-            break
-        fraction /= 8
-        rows = draw(fraction)
-    if not rows:
-        return []
-    step = len(rows) / n_buckets
-    picked = []
-    for i in range(1, n_buckets):
-        r = rows[min(len(rows) - 1, int(i * step))]
-        if not picked or picked[-1] != r:
-            picked.append(r)
-    return picked
-
-
-def bucket_expr(df: DataFrame, order: Sequence[str], boundaries: list) -> Column:
-    """Bucket id = number of boundaries <= key (NULL keys go to bucket 0)."""
-    key, fields = _key(df, order)
-    lits = [_literal(b, fields) for b in boundaries]
-
-    def build(lo: int, hi: int) -> Column:
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= lits[mid], build(mid + 1, hi)).otherwise(build(lo, mid))
-
-    return build(0, len(lits))
-
-
-FINE = 128   # boundaries handled by one literal CASE tree (larger trees outgrow the JIT limits)
-
-
-def add_bucket(df: DataFrame, order: Sequence[str], boundaries: list, name: str = "_bucket") -> DataFrame:
-    """Add the bucket id (number of boundaries <= key) for any number of boundaries.
-
-    Up to ``FINE`` boundaries: one literal binary-search CASE.  More: two levels -
-    a literal CASE over every m-th boundary picks a group; the group's boundaries
-    arrive as an array through a broadcast join (at most ``FINE`` rows of at most
-    ``FINE`` elements: a proven bound) and a CASE tree over the array elements
-    counts the ones <= key.  Code size stays small at every level."""
-    k = len(boundaries)
-    if k <= FINE:
-        return df.withColumn(name, bucket_expr(df, order, boundaries))
-    from pyspark.sql import types as T
-    m = -(-k // FINE)
-    groups = [boundaries[i:i + m] for i in range(0, k, m)]
-    key, fields = _key(df, order)
-    coarse = bucket_expr(df, order, [g[0] for g in groups[1:]])
-    if len(fields) == 1:
-        elem_type = fields[0].dataType
-        values = [[b[0] for b in g] for g in groups]
-    else:
-        elem_type = T.StructType([T.StructField(f"k{i}", f.dataType) for i, f in enumerate(fields)])
-        values = [[tuple(b) for b in g] for g in groups]
-    table = df.sparkSession.createDataFrame(
-        list(enumerate(values)), T.StructType([T.StructField("_grp", T.IntegerType()),
-                                               T.StructField("_arr", T.ArrayType(elem_type))]))
-
-    def fine(lo: int, hi: int):
-        if lo >= hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key >= F.get(F.col("_arr"), mid), fine(mid + 1, hi)).otherwise(fine(lo, mid))
-
-    x = df.withColumn("_grp", coarse.cast("int")).join(F.broadcast(table), on="_grp", how="inner")
-    return x.withColumn(name, F.col("_grp") * m + fine(0, m)).drop("_grp", "_arr")
-
-
-def with_range_bucket(df: DataFrame, order: Sequence[str], n_buckets: int, name: str = "_bucket") -> DataFrame:
-    """Add an ordered range-bucket column over ``order``."""
-    bounds = range_boundaries(df, order, n_buckets)
-    return add_bucket(df, order, bounds, name)
+TARGET_BYTES = 128 << 20
+TIE_BREAK = "_tb"
+BUCKET = "_b"
 
 
 def estimated_bytes(df: DataFrame) -> int | None:
@@ -167,33 +37,33 @@ def estimated_bytes(df: DataFrame) -> int | None:
         top = int(str(plan.stats().sizeInBytes()))
         leaves = plan.collectLeaves()
         read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-        return min(top, read) if read > 0 else top
+        size = min(top, read) if read > 0 else top
+        return None if max(size, read) >= 1 << 60 else size        # a leaf of unknown size counts as 2^63 - 1
     except Exception:  # noqa: BLE001  (e.g. a Spark Connect session)
         return None
 
 
-def auto_buckets(df: DataFrame, target_bytes: int = 32 << 20, cap: int | None = None) -> int:
-    """Bucket count for an ordered operator: one per ``target_bytes`` of estimated input,
-    at most ``cap`` (default 4 x shuffle partitions).  Buckets only change parallelism,
-    never results; an unknown estimate gives the cap."""
-    from pricemart.session import default_parallelism
-    cap = min(cap or 4 * default_parallelism(df.sparkSession), MAX_BUCKETS)
+def bucket_count(df: DataFrame, target_bytes: int = TARGET_BYTES) -> int:
+    """One bucket per ``target_bytes`` of estimated input, and at least the session's shuffle width."""
     est = estimated_bytes(df)
-    if est is None:
-        return cap
-    return int(max(1, min(cap, -(-est // target_bytes))))
-
-
-TIE_BREAK = "_tb"
+    return max(default_parallelism(df.sparkSession), -(-(est or 0) // target_bytes))
 
 
 def with_tie_break(df: DataFrame, name: str = TIE_BREAK) -> DataFrame:
     """Add a deterministic per-row hash used as the last ordering key.
 
     Rows that tie on the order key have no defined order among themselves (as in
-    SQL); breaking the tie by a hash of the row keeps results reproducible and
-    lets a huge tie group (one order value holding a third of all rows) be split
-    across range buckets instead of landing in one task."""
-    from pyspark.sql import types as T
+    SQL); breaking the tie by a hash of the row keeps results reproducible (rows that
+    are equal in every column are interchangeable)."""
     atomic = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     return df.withColumn(name, F.xxhash64(*atomic))
+
+
+def ranged(df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> DataFrame:
+    """``df`` with the tie-break and the number of its range of (``keys``, tie-break), written once."""
+    n = bucket_count(df) if buckets is None else max(1, buckets)
+    x = with_tie_break(df).repartitionByRange(n, *keys, TIE_BREAK).sortWithinPartitions(*keys, TIE_BREAK)
+    x = x.withColumn(BUCKET, F.spark_partition_id())
+    path = scratch_path(df.sparkSession, "ranges")
+    x.write.parquet(path)
+    return df.sparkSession.read.schema(x.schema).parquet(path)

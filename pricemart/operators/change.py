@@ -15,35 +15,39 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricemart.functions.exact import round_half_up, safe_div
-from pricemart.operators.buckets import TIE_BREAK, add_bucket, auto_buckets, range_boundaries, with_tie_break
+from pricemart.operators.buckets import BUCKET, TIE_BREAK, ranged
 
 
-def previous_value(df: DataFrame, col: str, order: Sequence[str], by: Sequence[str] = (),
-                   name: str | None = None, buckets: int | None = None) -> DataFrame:
-    """Add ``name`` (default ``prev_<col>``) = value of ``col`` in the previous row of the series.
-    ``buckets``: ordered range buckets; ``None`` picks the count from the input size, 1 means
-    one window per series."""
+def _neighbour(df: DataFrame, col: str, order: Sequence[str], by: Sequence[str], name: str, buckets: int | None,
+               step: int) -> DataFrame:
     order, by = list(order), list(by)
-    name = name or f"prev_{col}"
-    if buckets is None:
-        buckets = auto_buckets(df)
-    if buckets <= 1:
-        return df.withColumn(name, F.lag(col, 1).over(Window.partitionBy(*by).orderBy(*order)))
-
-    # peers have no defined order: a row hash breaks ties (and splits hot tie groups)
-    df_o, order = with_tie_break(df), order + [TIE_BREAK]
-    bounds = range_boundaries(df_o, order, buckets)
-    x = add_bucket(df_o, order, bounds, "_b")
+    x = ranged(df, [*by, *order], buckets)
+    order = [*order, TIE_BREAK]
     if by:
         x = x.withColumn("_s", F.struct(*by))
     skey = ["_s"] if by else []
-    summary = x.groupBy(*skey, "_b").agg(F.max_by(col, F.struct(*order)).alias("_lastv"))
-    carry = summary.select(*skey, "_b",
-                           F.lag("_lastv", 1).over(Window.partitionBy(*skey).orderBy("_b")).alias("_carry"))
-    joined = x.join(carry, on=[*skey, "_b"], how="left")
-    wl = Window.partitionBy(*skey, "_b").orderBy(*order)
-    prev = F.when(F.row_number().over(wl) == 1, F.col("_carry")).otherwise(F.lag(col, 1).over(wl))
-    return joined.select(*df.columns, prev.alias(name))
+    edge = (F.max_by if step < 0 else F.min_by)(col, F.struct(*order))
+    summary = x.groupBy(*skey, BUCKET).agg(edge.alias("_edge"))
+    carry = summary.select(*skey, BUCKET, F.lag("_edge", -step).over(Window.partitionBy(*skey).orderBy(BUCKET)).alias("_carry"))
+    joined = x.join(carry, on=[*skey, BUCKET], how="left")
+    local = Window.partitionBy(*skey, BUCKET).orderBy(*order)
+    inside = F.lag(F.struct(F.col(col).alias("v")), -step).over(local)      # a struct: a NULL value is not a missing row
+    return joined.withColumn("_in", inside).select(
+        *df.columns, F.when(F.col("_in").isNull(), F.col("_carry")).otherwise(F.col("_in.v")).alias(name))
+
+
+def previous_value(df: DataFrame, col: str, order: Sequence[str], by: Sequence[str] = (),
+                   name: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Add ``name`` (default ``prev_<col>``) = value of ``col`` in the previous row of the series; rows that
+    tie on ``order`` follow a row hash.  ``buckets``: number of ordered range buckets (default: by size);
+    the result does not depend on it."""
+    return _neighbour(df, col, order, by, name or f"prev_{col}", buckets, -1)
+
+
+def next_value(df: DataFrame, col: str, order: Sequence[str], by: Sequence[str] = (),
+               name: str | None = None, buckets: int | None = None) -> DataFrame:
+    """Like ``previous_value`` for the next row of the series."""
+    return _neighbour(df, col, order, by, name or f"next_{col}", buckets, 1)
 
 
 def pct_change(cur, prev, scale: int = 2) -> Column:
@@ -56,8 +60,10 @@ def pct_change(cur, prev, scale: int = 2) -> Column:
 def calendar_previous(df: DataFrame, col: str, period: str, by: Sequence[str] = (),
                       name: str | None = None) -> DataFrame:
     """Value of the previous *calendar* month (``add_months(period, -1)``) of the same series,
-    NULL when that month has no row (Q7 variant).  One equi-join, no window."""
+    NULL when that month has no row (Q7 variant).  A month with several rows gives its smallest value, so
+    rows are never multiplied; a NULL series is a series.  One equi-join, no window."""
     by = list(by)
     name = name or f"prev_{col}"
-    prev = df.select(*by, F.add_months(F.col(period), 1).alias(period), F.col(col).alias(name))
-    return df.join(prev, on=[*by, period], how="left").select(*df.columns, name)
+    prev = df.groupBy(F.struct(*by, F.add_months(F.col(period), 1).alias(period)).alias("_k")).agg(F.min(col).alias("_prev"))
+    return (df.withColumn("_k", F.struct(*by, F.col(period))).join(prev, on="_k", how="left")
+              .select(*df.columns, F.col("_prev").alias(name)))

@@ -1,15 +1,15 @@
 """Forward fill (last non-null value so far) without a single-partition window.
 
-Two phases over ordered range buckets (see ``buckets.py``):
+Three phases over ordered range buckets (see ``buckets.py``):
   1. per (series, bucket): the last non-null value of each column
      (``max_by(value, order)`` over non-null rows; a partial aggregate);
   2. the carry-in of a bucket = last non-null of those summaries over the
      earlier buckets of the same series (a window over the small summary);
   3. a local window per (series, bucket) fills inside the bucket and the
      carry-in fills what is still NULL at the bucket's start.
-The carry table has at most (#series x #buckets) rows; it is joined on
-(series, bucket), the same keys the local window is clustered by, so the big
-side is shuffled once.  AQE broadcasts it when its runtime size is small.
+Buckets are ranges of (series, order), so the carry table has about #series +
+#buckets rows; it is joined on (series, bucket), the same keys the local window
+is clustered by.  AQE broadcasts it when its runtime size is small.
 """
 
 from __future__ import annotations
@@ -19,15 +19,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricemart.operators.buckets import TIE_BREAK, add_bucket, auto_buckets, range_boundaries, with_tie_break
+from pricemart.operators.buckets import BUCKET, TIE_BREAK, ranged, with_tie_break
 
 
-def _frame(w, frame: str):
-    if frame == "rows":
-        return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if frame == "range":
-        return w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    raise ValueError("frame must be 'rows' or 'range'")
+def _filled(x: DataFrame, cols: Sequence[str], order: Sequence[str], by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """Fill over a ranged frame."""
+    order = [*order, TIE_BREAK]
+    x = x.withColumn("_s", F.struct(*by)) if by else x
+    skey = ["_s"] if by else []
+    summary = x.groupBy(*skey, BUCKET).agg(
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_last_{i}") for i, c in enumerate(cols)])
+    before = Window.partitionBy(*skey).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    carry = summary.select(*skey, BUCKET, *[F.last(f"_last_{i}", ignorenulls=True).over(before).alias(f"_carry_{i}")
+                                            for i in range(len(cols))])
+    joined = x.join(carry, on=[*skey, BUCKET], how="left")
+    local = Window.partitionBy(*skey, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return joined.select(*[
+        F.coalesce(F.last(c, ignorenulls=True).over(local), F.col(f"_carry_{cols.index(c)}")).alias(c) if c in cols else F.col(c)
+        for c in names])
 
 
 def forward_fill(df: DataFrame, cols: Sequence[str], order: Sequence[str], by: Sequence[str] = (),
@@ -35,52 +44,41 @@ def forward_fill(df: DataFrame, cols: Sequence[str], order: Sequence[str], by: S
     """Replace NULLs in ``cols`` by the last non-null value of the same series (``by``)
     in ``order``.  ``frame='rows'`` is ROWS UNBOUNDED PRECEDING..CURRENT ROW; ``'range'``
     is the default window frame, where rows with equal order values (peers) share
-    the value.  ``buckets``: number of ordered range buckets; ``None`` picks it from
-    the size of what the plan reads (``auto_buckets``), 1 means one window per series."""
+    the value: the last non-null one among them, in the order of a row hash.
+    ``buckets``: number of ordered range buckets (default: by size); the result does not
+    depend on it."""
     cols, order, by = list(cols), list(order), list(by)
-    if buckets is None:
-        buckets = auto_buckets(df)
-    if buckets <= 1:
-        w = _frame(Window.partitionBy(*by).orderBy(*order), frame)
-        return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
-                           for c in df.columns])
-
-    if frame == "rows":      # peers have no defined order: a row hash breaks ties (splits hot tie groups)
-        df_o, order = with_tie_break(df), order + [TIE_BREAK]
-    else:                    # RANGE frame: peers must stay together
-        df_o = df
-    bounds = range_boundaries(df_o, order, buckets)
-    x = add_bucket(df_o, order, bounds, "_b")
-    series = [F.struct(*by).alias("_s")] if by else []
-    skey = ["_s"] if by else []
-    x = x.select("*", *series)
-
-    ordering = F.struct(*order)
-    summary = x.groupBy(*skey, "_b").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), ordering)).alias(f"_last_{i}") for i, c in enumerate(cols)])
-    wc = Window.partitionBy(*skey).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*skey, "_b", *[F.last(f"_last_{i}", ignorenulls=True).over(wc).alias(f"_carry_{i}")
-                                         for i in range(len(cols))])
-
-    joined = x.join(carry, on=[*skey, "_b"], how="left")
-    wl = _frame(Window.partitionBy(*skey, "_b").orderBy(*order), frame)
-    out = []
-    for c in df.columns:
-        if c in cols:
-            i = cols.index(c)
-            out.append(F.coalesce(F.last(c, ignorenulls=True).over(wl), F.col(f"_carry_{i}")).alias(c))
-        else:
-            out.append(F.col(c))
-    return joined.select(*out)
+    if frame == "rows":
+        return _filled(ranged(df, [*by, *order], buckets), cols, order, by, df.columns)
+    if frame != "range":
+        raise ValueError("frame must be 'rows' or 'range'")
+    # one row per peer group (a partial aggregate splits a large group), filled, then joined back
+    keys = [*by, *order]
+    tb = with_tie_break(df)
+    last = tb.groupBy(*keys).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(TIE_BREAK))).alias(f"_f{i}") for i, c in enumerate(cols)])
+    names = [f"_f{i}" for i in range(len(cols))]
+    filled = _filled(ranged(last, keys, buckets), names, order, by, [*keys, *names])
+    filled = filled.select(F.struct(*keys).alias("_k"), *names)
+    return df.withColumn("_k", F.struct(*keys)).join(filled, "_k").select(
+        *[F.col(f"_f{cols.index(c)}").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def calendar_fill(df: DataFrame, period: str, cols: Sequence[str], by: Sequence[str] = (),
                   buckets: int | None = None) -> DataFrame:
     """Densify monthly ``period`` (a first-of-month DATE) between each series' first and
-    last month, then forward fill ``cols``: a missing month gets the last known value.
-    The month grid is generated per series with ``sequence`` (no cross join)."""
-    by = list(by)
-    span = df.groupBy(*by).agg(F.min(period).alias("_lo"), F.max(period).alias("_hi"))
-    grid = span.select(*by, F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))).alias(period))
-    dense = grid.join(df, on=[*by, period], how="left")
-    return forward_fill(dense, cols, [period], by=by, buckets=buckets).select(*df.columns)
+    last month, then forward fill ``cols``: a missing month gets the last known value,
+    other columns are NULL in it.  Rows with a NULL period are left out; a NULL series is a series.
+
+    Each row generates the missing months up to the next row of its series, so there is
+    no join with a month grid and the input is read once."""
+    from pricemart.operators.change import next_value
+
+    cols, by = list(cols), list(by)
+    x = forward_fill(df.where(F.col(period).isNotNull()), cols, [period], by=by, buckets=buckets)
+    x = next_value(x, period, [period], by=by, name="_next", buckets=buckets)
+    month = F.expr("INTERVAL 1 MONTH")
+    months = F.when(F.col("_next") > F.col(period), F.sequence(F.col(period), F.add_months("_next", -1), month)).otherwise(F.array(period))
+    x = x.select("*", F.posexplode(months).alias("_gap", "_month"))
+    own = [c for c in df.columns if c != period and c not in cols and c not in by]
+    return x.select(*[F.col("_month").alias(c) if c == period else F.when(F.col("_gap") == 0, F.col(c)).alias(c) if c in own else F.col(c)
+                      for c in df.columns])

@@ -1,10 +1,9 @@
 """Surrogate keys: unique ascending ids in a global order, without one-partition windows.
 
-Rows are cut into ordered range buckets; a small job counts rows per bucket and
-a running sum over those (at most ``n`` rows) gives each bucket's offset; the
-offsets table (bounded by the bucket count) is broadcast; inside each bucket
-``row_number`` adds the local position.  With a total order the ids equal
-``ROW_NUMBER() OVER (ORDER BY order)`` shifted by ``start - 1``.
+Rows are cut into ordered range buckets; a partial aggregate counts rows per bucket
+and a running sum over those (one row per bucket) gives each bucket's offset; inside each bucket
+``row_number`` adds the local position.  The ids equal ``ROW_NUMBER() OVER (ORDER BY
+order, row hash)`` shifted by ``start - 1``, whatever the number of buckets.
 """
 
 from __future__ import annotations
@@ -14,28 +13,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricemart.operators.buckets import TIE_BREAK, add_bucket, auto_buckets, range_boundaries, with_tie_break
+from pricemart.operators.buckets import BUCKET, TIE_BREAK, ranged
 
 
 def with_surrogate_key(df: DataFrame, order: Sequence[str], name: str = "fact_id", start: int = 1,
                        buckets: int | None = None) -> DataFrame:
     order = list(order)
-    if buckets is None:
-        buckets = auto_buckets(df)
-    if buckets <= 1:   # input estimated small: one ordered window
-        return df.select((F.row_number().over(Window.orderBy(*order)) + F.lit(start - 1)).cast("long").alias(name),
-                         *df.columns)
-    # rows tying on ``order`` are numbered in the order of a row hash (reproducible, and a
-    # huge tie group is split across buckets)
-    df_o, order = with_tie_break(df), order + [TIE_BREAK]
-    bounds = range_boundaries(df_o, order, buckets)
-    x = add_bucket(df_o, order, bounds, "_b")
-    counts = x.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
+    x = ranged(df, order, buckets)
+    counts = x.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
-        "_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)),
-                         F.lit(0)).alias("_off"))
-    # offsets has at most len(bounds) + 1 rows: a proven bound, so broadcast it.
-    joined = x.join(F.broadcast(offsets), on="_b", how="inner")
-    rn = F.row_number().over(Window.partitionBy("_b").orderBy(*order))
+        BUCKET, F.coalesce(F.sum("_n").over(Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)),
+                           F.lit(0)).alias("_off"))
+    rn = F.row_number().over(Window.partitionBy(BUCKET).orderBy(*order, TIE_BREAK))
     key = (F.lit(start - 1) + F.col("_off") + rn).cast("long")
-    return joined.select(key.alias(name), *df.columns)
+    return x.join(offsets, on=BUCKET, how="inner").select(key.alias(name), *df.columns)

@@ -54,19 +54,17 @@ VIEW_COLUMNS = ["period", "year", "quarter", "month_name", "is_crisis_period", "
 
 
 def price_vs_benchmark_view(fact: DataFrame, dates: DataFrame, categories: DataFrame,
-                            buckets: int = 1) -> DataFrame:
+                            buckets: int | None = None) -> DataFrame:
     """The BI view: fact INNER JOIN date dim INNER JOIN category dim, plus the previous
-    row's price of the same category (ordered by period, Q7) and the percent change.
-
-    Both dimensions are bounded by construction (a month grid, a static list), so
-    they are broadcast.  The previous-row value is computed once (not three times).
-    After the inner join with the date dimension a category's window holds at
-    most one fact row per dimension month (the fact's grain is period x
-    category), so a plain window per category is bounded by the dimension size;
-    pass ``buckets`` > 1 for facts of a finer grain (range buckets + carry-in)."""
-    j = (fact.join(F.broadcast(dates.select("date_key", "year", "quarter", "month_name", "is_crisis_period")),
+    row's price of the same category (ordered by period, Q7; rows of one period by a row hash)
+    and the percent change.
+
+    The dimensions are joined without hints: Spark broadcasts them when their size allows it.
+    The previous-row value is computed once, over range buckets: a category may hold any
+    number of rows (the fact can have several rows per period and category, Q1)."""
+    j = (fact.join(dates.select("date_key", "year", "quarter", "month_name", "is_crisis_period"),
                    fact["period"] == F.col("date_key"), "inner")
-             .join(F.broadcast(categories.select("fuel_type_key", "fuel_category")),
+             .join(categories.select("fuel_type_key", "fuel_category"),
                    F.col("fuel_type") == F.col("fuel_type_key"), "inner")
              .drop("date_key", "fuel_type_key"))
     j = previous_value(j, "price_lkr", ["period"], by=["fuel_type"], name="prev_month_price_lkr", buckets=buckets)
@@ -79,7 +77,7 @@ CREATE OR REPLACE TEMPORARY VIEW {view} AS
 WITH j AS (
   SELECT f.period, d.year, d.quarter, d.month_name, d.is_crisis_period, f.fuel_type, ft.fuel_category,
          f.price_lkr, f.price_usd, f.brent_usd_per_barrel, f.usd_lkr_rate, f.crude_cost_pct,
-         LAG(f.price_lkr) OVER (PARTITION BY f.fuel_type ORDER BY f.period) AS prev_month_price_lkr
+         LAG(f.price_lkr) OVER (PARTITION BY f.fuel_type ORDER BY f.period, f.price_lkr) AS prev_month_price_lkr
   FROM {fact} f
   JOIN {dates} d ON f.period = d.date_key
   JOIN {categories} ft ON f.fuel_type = ft.fuel_type_key)
@@ -93,8 +91,8 @@ def register_views(spark: SparkSession, fact: DataFrame, dates: DataFrame, categ
     """Register the star as temporary views and create the BI view in SQL (the LAG is
     written once and reused); returns ``spark.table(view)``."""
     fact.createOrReplaceTempView(f"{view}_fact")
-    F.broadcast(dates).createOrReplaceTempView(f"{view}_dates")
-    F.broadcast(categories).createOrReplaceTempView(f"{view}_categories")
+    dates.createOrReplaceTempView(f"{view}_dates")
+    categories.createOrReplaceTempView(f"{view}_categories")
     spark.sql(VIEW_SQL.format(view=view, fact=f"{view}_fact", dates=f"{view}_dates",
                               categories=f"{view}_categories"))
     return spark.table(view)
@@ -117,5 +115,5 @@ def row_counts(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
 def unmatched_keys(fact: DataFrame, categories: DataFrame, key: str = "fuel_type",
                    dim_key: str = "fuel_type_key") -> DataFrame:
     """Fact rows the inner join to the category dimension would drop (left anti, Q8)."""
-    dim = F.broadcast(categories.select(F.col(dim_key).alias(key)).distinct())
+    dim = categories.select(F.col(dim_key).alias(key)).distinct()
     return fact.join(dim, on=key, how="left_anti").select(*fact.columns)

@@ -26,7 +26,7 @@ from pricemart.functions.exact import exact_mean, in_bounds, round_half_up, safe
 from pricemart.functions.labels import standardise_label
 from pricemart.functions.periods import period_to_date
 from pricemart.operators.dedupe import keep_first
-from pricemart.operators.fill import calendar_fill, forward_fill
+from pricemart.operators.fill import calendar_fill
 
 FACT_COLUMNS = ["period", "fuel_type", "price_lkr", "price_usd", "usd_lkr_rate", "brent_usd_per_barrel",
                 "crude_cost_pct"]
@@ -108,14 +108,11 @@ def prepare_all(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec:
     period is not a real month (NULL after step 3), for the quarantine split."""
     # Step 1: duplicates
     b, r, p = dedupe_step(benchmark, rates, prices, spec)
-    # Step 2: missing values.  After step 1 the rates have one row per period text, so
-    # the fill input is usually tiny; the bucket count still follows the size of what
-    # the plan reads (one window when small, range buckets when not).
+    # Step 2: missing values.  Rows without a rate are dropped, so a forward fill by row has nothing
+    # left to fill (Q3) and none runs; calendar_fill (step 3) fills the months that have no row.
     b = b.dropna(subset=["period", "brent_usd_per_barrel"])
     r = r.dropna(subset=["period", "usd_lkr_rate"])
     p = p.dropna(subset=["period", "fuel_type", "price_lkr"])
-    if not spec.calendar_fill:
-        r = forward_fill(r, ["usd_lkr_rate"], ["period"])
     # Step 3: period text -> first-of-month DATE (impossible months -> NULL, quarantined)
     b = b.withColumn("period", period_to_date("period"))
     r = r.withColumn("period", period_to_date("period"))
