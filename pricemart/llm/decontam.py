@@ -197,6 +197,7 @@ def _joined(docs: DataFrame, items: DataFrame, text_col: str, window: int, field
     both = keyed.join(hits.withColumnRenamed("k2", key[1]), key[1], "left")
     n_in = len(docs.columns)
     place = docs.columns.index(text_col)
+    names = [*docs.columns, *(f.name for f in fields)]
 
     def finish(batches):
         for batch in batches:
@@ -207,7 +208,7 @@ def _joined(docs: DataFrame, items: DataFrame, text_col: str, window: int, field
                 spans = [(s["at"] + int(w.offsets[i]), s["size"]) for i, x in enumerate(part.column(m - 1).to_pylist()) for s in x or ()]
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(n_in)),
                                                   *_columns(texts, w, _covered(len(w.hashes), spans), ids, with_text)],
-                                                 names=[*docs.columns, *(f.name for f in fields)])
+                                                 names=names)
 
     return both.select(*docs.columns, "_items", "_spans").mapInArrow(finish, T.StructType([*docs.schema.fields, *fields]))
 

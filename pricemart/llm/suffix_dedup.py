@@ -178,7 +178,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = passages(docs, id_col, text_col, length).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), F.col("later_spans").alias(cut))
     rows = docs.withColumns({i: F.col(id_col), h: F.xxhash64(F.col(text_col))})
     both = rows.join(found, F.col(i).eqNullSafe(F.col("_d")) & (F.col(h) == F.col("_t")), "left").select(*docs.columns, cut)
-    place, n_in = docs.columns.index(text_col), len(docs.columns)
+    names = docs.columns
+    place, n_in = names.index(text_col), len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,7 +195,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                             at = int(w.ends[base + s["start"] + s["n"] - 1])
                         texts[r] = b"".join([*out, w.data[at:sizes[r + 1]].tobytes()]).decode()
                 cols = [part.column(c) if c != place else pa.array(texts, pa.string()) for c in range(n_in)]
-                yield pa.RecordBatch.from_arrays(cols, names=docs.columns)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return both.mapInArrow(run, docs.schema)
 
