@@ -30,9 +30,6 @@ FUEL_NAME_MAP: tuple[tuple[str, str], ...] = (
 # A table is the price table when its text contains any of these keywords.
 FUEL_TABLE_KEYWORDS: tuple[str, ...] = ("lp", "diesel", "lad", "lsd", "kerosene", "fur", "92", "95")
 
-# Price cells equal to one of these tokens (after stripping) carry no value.
-PRICE_NULL_TOKENS: tuple[str, ...] = ("-", "N/A", "n/a", "–", "—", "")
-
 # Date formats tried in order by the retail-price period parser (Python strptime codes).
 PERIOD_FORMATS: tuple[str, ...] = (
     "%d.%m.%Y",
@@ -84,7 +81,6 @@ CRISIS_END = "2022-12-31"
 
 # Source look-back window and API page size.
 LOOKBACK_DAYS = 730
-API_PAGE_SIZE = 5000
 
 # Python's str.strip() whitespace set, as a regex class usable by Java and RE2.
 PY_WHITESPACE_CLASS = (
@@ -113,8 +109,6 @@ class MartSpec:
 
     benchmark_bounds: Bounds = Bounds(0.0, 300.0)          # open (0, 300)
     price_bounds: Bounds = Bounds(0.0, 1500.0)             # open (0, 1500)
-    ingest_price_bounds: Bounds = Bounds(0.0, 1500.0, hi_inclusive=True)   # (0, 1500]
-    rate_bounds: Bounds = Bounds(0.0, 1000.0, hi_inclusive=True)           # (0, 1000]
     litres_per_barrel: float = LITRES_PER_BARREL
     date_dim_start: str = DATE_DIM_START
     date_dim_months: int = DATE_DIM_MONTHS

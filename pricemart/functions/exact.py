@@ -18,15 +18,15 @@ def _c(c) -> Column:
 
 
 def round_half_up(c, scale: int) -> Column:
-    """Round a double to ``scale`` places, HALF_UP, via decimal(28,8)."""
-    return _c(c).try_cast("decimal(28,8)").cast(f"decimal(28,{scale})").cast("double")
+    """Round a double to ``scale`` places, HALF_UP, in one step (its decimal text is cut at ``scale``)."""
+    return _c(c).try_cast(f"decimal(38,{scale})").cast("double")
 
 
 def exact_mean(c, input_scale: int = 8) -> Column:
-    """Order-independent mean: decimal sum / count (NULLs ignored, empty -> NULL)."""
-    col = _c(c)
-    total = F.sum(col.try_cast(f"decimal(28,{input_scale})")).cast("double")
-    return total / F.nullif(F.count(col), F.lit(0))
+    """Order-independent mean: decimal sum / count of the values that fit the decimal (NULLs ignored,
+    empty -> NULL)."""
+    exact = _c(c).try_cast(f"decimal(28,{input_scale})")
+    return F.sum(exact).cast("double") / F.nullif(F.count(exact), F.lit(0))
 
 
 def safe_div(num, den) -> Column:

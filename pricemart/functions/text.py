@@ -23,38 +23,78 @@ def normalise_label(c) -> Column:
     return F.upper(F.replace(_c(c), F.lit(" "), F.lit("_")))
 
 
-# The HTML entities decoded in cell text.
-HTML_ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# Named character references decoded in cell text (``&amp;`` is decoded last).
+HTML_SPACES = (("nbsp", "\u00a0"), ("ensp", "\u2002"), ("emsp", "\u2003"), ("thinsp", "\u2009"), ("Tab", "\t"), ("NewLine", "\n"))
+HTML_ENTITIES = (
+    ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("ndash", "\u2013"), ("mdash", "\u2014"), ("minus", "\u2212"),
+    ("hyphen", "\u2010"), ("lsquo", "\u2018"), ("rsquo", "\u2019"), ("ldquo", "\u201c"), ("rdquo", "\u201d"),
+    ("hellip", "\u2026"), ("bull", "\u2022"), ("middot", "\u00b7"), ("euro", "\u20ac"), ("pound", "\u00a3"), ("yen", "\u00a5"),
+    ("cent", "\u00a2"), ("curren", "\u00a4"), ("copy", "\u00a9"), ("reg", "\u00ae"), ("trade", "\u2122"), ("deg", "\u00b0"),
+    ("plusmn", "\u00b1"), ("times", "\u00d7"), ("divide", "\u00f7"), ("frac12", "\u00bd"), ("frac14", "\u00bc"),
+    ("frac34", "\u00be"), ("num", "#"), ("dollar", "$"), ("percnt", "%"), ("comma", ","), ("period", "."), ("colon", ":"),
+    ("sol", "/"), ("lpar", "("), ("rpar", ")"), ("plus", "+"),
+)
+# Numeric references 128 to 159 that stand for other characters.
+HTML_OLD_CODES = {128: 0x20AC, 130: 0x201A, 131: 0x192, 132: 0x201E, 133: 0x2026, 134: 0x2020, 135: 0x2021, 136: 0x2C6, 137: 0x2030,
+                  138: 0x160, 139: 0x2039, 140: 0x152, 142: 0x17D, 145: 0x2018, 146: 0x2019, 147: 0x201C, 148: 0x201D, 149: 0x2022,
+                  150: 0x2013, 151: 0x2014, 152: 0x2DC, 153: 0x2122, 154: 0x161, 155: 0x203A, 156: 0x153, 158: 0x17E, 159: 0x178}
+_SPACE_CODES = (9, 10, 11, 12, 13, 32, 160, 0x2002, 0x2003, 0x2009)
+
+
+def _numeric(code: int) -> str:
+    """Pattern of the decimal and hexadecimal references of a character."""
+    hexa = "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in f"{code:x}")
+    return f"&#(?:0*{code}|[xX]0*{hexa});"
+
+
+def _decode_spaces(c: Column) -> Column:
+    """White space written as references, decoded (it has to be there before texts are stripped)."""
+    out = c
+    for name, ch in HTML_SPACES:
+        out = F.replace(out, F.lit(f"&{name};"), F.lit(ch))
+    for code in _SPACE_CODES:
+        out = F.regexp_replace(out, _numeric(code), chr(code))
+    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
 
 
-def strip_tags(c, separator: str = "") -> Column:
-    """Text of an HTML fragment: tags removed (joined by ``separator``), basic entities decoded."""
-    out = F.regexp_replace(_c(c), "<[^>]*>", separator)
-    for ent, ch in HTML_ENTITIES:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+def _character(ref: Column) -> Column:
+    """The character of a numeric reference's inside (``45`` or ``x2D``); U+FFFD for one that is none."""
+    is_hex = F.lower(F.substring(ref, 1, 1)) == "x"
+    code = F.when(is_hex, F.conv(F.substring(ref, 2, 8), 16, 10)).otherwise(F.substring(ref, 1, 10)).try_cast("long")
+    old = F.create_map(*[F.lit(x).cast("long") for kv in HTML_OLD_CODES.items() for x in kv])
+    code = F.coalesce(F.element_at(old, code), code)
+    good = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+    return F.when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
 
 
-def _decode_entities(c: Column, entities=HTML_ENTITIES) -> Column:
-    out = c
-    for ent, ch in entities:
-        out = F.replace(out, F.lit(ent), F.lit(ch))
-    return out
+def _decode_entities(c: Column) -> Column:
+    """Every other reference decoded, ``&amp;`` last."""
+    named = c
+    for name, ch in HTML_ENTITIES:
+        named = F.replace(named, F.lit(f"&{name};"), F.lit(ch))
+    # pieces after each "&#...;" start with the digits and the semicolon
+    pieces = F.split(named, r"&#(?=(?:[0-9]+|[xX][0-9A-Fa-f]+);)")
+    rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda x: F.concat(
+        _character(F.substring_index(x, ";", 1)), F.substring(x, F.instr(x, ";") + 1, F.length(x))))
+    decoded = F.when(F.contains(named, F.lit("&#")), F.concat(F.get(pieces, 0), F.array_join(rest, ""))).otherwise(named)
+    return F.when(F.contains(c, F.lit("&")), F.replace(decoded, F.lit("&amp;"), F.lit("&"))).otherwise(c)
+
+
+def visible(c) -> Column:
+    """HTML without what a reader never sees: comments, scripts and styles."""
+    return F.regexp_replace(_c(c), r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "")
 
 
 def cell_text(c) -> Column:
     """Text of an HTML cell like a stripped-strings join: every text node stripped, then
     concatenated without a gap.  Text nodes are bounded by tags, so removing each tag
-    together with the whitespace touching it strips every node; ``&nbsp;`` is decoded
-    before (it is whitespace to strip), the other entities after (so ``&lt;b&gt;``
-    stays text).  Plain column expressions, no lambdas: stays in generated code."""
+    together with the whitespace touching it strips every node; references to white space are
+    decoded before, the other references after (so ``&lt;b&gt;`` stays text)."""
     ws = PY_WHITESPACE_CLASS
-    t = F.replace(_c(c), F.lit("&nbsp;"), F.lit("\u00a0"))
-    t = F.regexp_replace(t, f"{ws}*(?:<!--.*?-->|<[^>]*>){ws}*", "")
-    t = _decode_entities(t, [e for e in HTML_ENTITIES if e[0] != "&nbsp;"])
-    return py_strip(t)
+    t = F.regexp_replace(_decode_spaces(_c(c)), f"{ws}*(?:<!--.*?-->|<[^>]*>){ws}*", "")
+    return py_strip(_decode_entities(t))
 
 
 def spaced_text(c) -> Column:
     """Text of an HTML fragment with every tag replaced by a space (for keyword tests)."""
-    return _decode_entities(F.regexp_replace(_c(c), "<!--.*?-->|<[^>]*>", " "))
+    return _decode_entities(_decode_spaces(F.regexp_replace(_c(c), "<!--.*?-->|<[^>]*>", " ")))

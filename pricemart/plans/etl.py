@@ -1,10 +1,11 @@
 """Extract -> transform -> load: the batch job over landed snapshots.
 
-Actions: one emptiness probe per feed, one write per staged feed and per output.
-The cleaned feeds are staged once (written tables below the output folder), so
-the raw-volume work (scans and the dedupe shuffles) runs once per feed; dims,
-quarantine, fact and summary read the staged rows, and a lost executor only
+Actions: one emptiness probe per feed, one write per checked feed and per output.
+The checked feeds (one row per key, good or with a reason) are staged once as written tables
+below the output folder, so the raw-volume work (scans and the dedupe shuffles) runs once per feed;
+every output reads the staged rows, and a lost executor only
 recomputes from the staged files.  Counts come from Observations on the writes.
+Nothing is lost silently: rows in = duplicates + quarantined + rejected + loaded, feed by feed.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricemart.config import DEFAULT_SPEC, MartSpec
 from pricemart.operators.keys import with_surrogate_key
-from pricemart.plans.transform import assemble, monthly_summary, prepare_all, split_quarantine
+from pricemart.plans import mart
+from pricemart.plans.transform import assemble, check_feeds, good_rows, monthly_summary, quarantined
 from pricemart.sinks import warehouse as wh
 from pricemart.sources import envelope as env
 
@@ -28,7 +31,15 @@ class EtlOutputs:
     fact: str
     summary: str
     quarantine: str
-    counts: dict = field(default_factory=dict)
+    rejects: str
+    dim_date: str
+    dim_fuel_type: str
+    counts: dict = field(default_factory=dict)      # rows written, by output
+    read: dict = field(default_factory=dict)        # by feed: rows read, and rows after the dedupe
+    overflow: dict = field(default_factory=dict)    # by table: values that don't fit their declared type
+
+
+OUTPUTS = ("dim_benchmark", "dim_rates", "fact", "summary", "quarantine", "rejects", "dim_date", "dim_fuel_type")
 
 
 def _observed_write(df: DataFrame, path: str, name: str, counts: dict, cluster_by=(), sort_within=()) -> None:
@@ -71,33 +82,62 @@ def read_feeds(spark: SparkSession, raw_root: str, layout: str = "snapshot", mul
     return b, r, p
 
 
+def _load(df: DataFrame, schema: T.StructType, key, path: str, name: str, out: EtlOutputs, rejects: list, cluster_by=(), sort_within=()) -> None:
+    """Write the conforming rows of ``df``; its rejected rows join ``rejects``, values that don't fit are counted."""
+    out.overflow[name] = {c: n for c, n in wh.overflow_counts(df, schema).first().asDict().items() if n}
+    ok, bad = wh.conform(df, schema, key)
+    _observed_write(ok, path, name, out.counts, cluster_by, sort_within)
+    rejects.append(bad.select(F.lit(name).alias("tbl"), F.to_json(F.struct(*[f.name for f in schema.fields])).alias("row"),
+                              F.col("_reject").alias("reason")))
+
+
 def run_etl(spark: SparkSession, raw_root: str, out_root: str, spec: MartSpec = DEFAULT_SPEC,
             layout: str = "snapshot", multiline: bool = False) -> EtlOutputs:
-    b, r, p = read_feeds(spark, raw_root, layout, multiline)
-    for df, name in ((b, "benchmark"), (r, "rates"), (p, "prices")):
+    """Load the whole star below ``out_root``: both series dimensions, fact, summary, the date and category
+    dimensions (inserted when empty), the quarantine of all feeds and the rejects of all tables, and register
+    the BI view ``vw_price_vs_benchmark`` over them."""
+    feeds = dict(zip(("benchmark", "rates", "prices"), read_feeds(spark, raw_root, layout, multiline)))
+    for name, df in feeds.items():
         env.require_rows(df, name)
-    out = EtlOutputs(*(f"{out_root}/{n}" for n in ("dim_benchmark", "dim_rates", "fact", "summary", "quarantine")))
-
-    # The cleaned feeds (one row per key after the dedupe) are staged once, so each raw
-    # feed is scanned and shuffled exactly once; every output below reads the staged
-    # tables (and a lost executor only recomputes from them).
-    staged = {}
-    for name, df in zip(("benchmark", "rates", "prices"), prepare_all(b, r, p, spec)):
-        wh.write_table(df, f"{out_root}/staged_{name}")
-        staged[name] = spark.read.parquet(f"{out_root}/staged_{name}")
-    prices, quarantine = split_quarantine(staged["prices"])
-    fact = assemble(staged["benchmark"], staged["rates"], prices, spec)
-
-    # Dimensions first (conformed to the declared types), then facts; every write
-    # reports its row count through an Observation.
-    c = out.counts
-    _observed_write(wh.conform(staged["benchmark"], wh.BENCHMARK_DIM_SCHEMA)[0], out.dim_benchmark,
-                    "dim_benchmark", c, sort_within=["period"])
-    _observed_write(wh.conform(staged["rates"], wh.RATES_DIM_SCHEMA)[0], out.dim_rates, "dim_rates", c,
-                    sort_within=["period"])
-    _observed_write(quarantine, out.quarantine, "quarantine", c)
-    keyed = with_surrogate_key(fact, ["period", "fuel_type"], name="fact_id")
-    _observed_write(wh.conform(keyed, wh.FACT_SCHEMA)[0], out.fact, "fact", c, cluster_by=["period", "fuel_type"])
-    _observed_write(wh.conform(monthly_summary(fact), wh.SUMMARY_SCHEMA)[0], out.summary, "summary", c,
-                    cluster_by=["year", "month"])
+    out = EtlOutputs(*(f"{out_root}/{n}" for n in OUTPUTS))
+    c, rejects = out.counts, []
+
+    # Each raw feed is scanned and shuffled once; every output below reads the staged tables.
+    rows_in = {n: Observation(f"in_{n}") for n in feeds}
+    checked = check_feeds(*(df.observe(rows_in[n], F.count(F.lit(1)).alias("rows")) for n, df in feeds.items()), spec)
+    staged = []
+    for name, df in zip(feeds, checked):
+        kept = Observation(f"kept_{name}")
+        wh.write_table(df.observe(kept, F.count(F.lit(1)).alias("rows")), f"{out_root}/staged_{name}")
+        out.read[name] = {"rows": rows_in[name].get["rows"], "distinct": kept.get["rows"]}
+        staged.append(spark.read.schema(df.schema).parquet(f"{out_root}/staged_{name}"))
+    benchmark, rates, prices = good_rows(tuple(staged), spec)
+
+    # Dimensions first (conformed to the declared types), then facts.
+    _load(benchmark, wh.BENCHMARK_DIM_SCHEMA, wh.PERIOD_KEY, out.dim_benchmark, "dim_benchmark", out, rejects, sort_within=["period"])
+    _load(rates, wh.RATES_DIM_SCHEMA, wh.PERIOD_KEY, out.dim_rates, "dim_rates", out, rejects, sort_within=["period"])
+    dates = wh.load_if_empty(wh.conform(mart.dim_date(spark, spec=spec), wh.DATE_DIM_SCHEMA, wh.DATE_DIM_KEY)[0], out.dim_date, wh.DATE_DIM_SCHEMA)
+    categories = wh.load_if_empty(wh.conform(mart.dim_category(spark, spec.category_rows), wh.CATEGORY_DIM_SCHEMA, wh.CATEGORY_DIM_KEY)[0],
+                                  out.dim_fuel_type, wh.CATEGORY_DIM_SCHEMA)
+    _observed_write(quarantined(tuple(staged)), out.quarantine, "quarantine", c)
+    fact = assemble(benchmark, rates, prices, spec)
+    keyed = with_surrogate_key(fact, ["period", "fuel_type"], name="fact_id")       # written once, in the order of the key
+    _load(keyed, wh.FACT_SCHEMA, (), out.fact, "fact", out, rejects, sort_within=["period", "fuel_type"])      # fact_id is unique
+    _load(monthly_summary(fact), wh.SUMMARY_SCHEMA, wh.SUMMARY_KEY, out.summary, "summary", out, rejects, cluster_by=["year", "month"])
+    every = rejects[0]
+    for r in rejects[1:]:
+        every = every.unionByName(r)
+    _observed_write(every, out.rejects, "rejects", c)
+    mart.register_views(spark, spark.read.parquet(out.fact), dates, categories)
     return out
+
+
+def balance(spark: SparkSession, out: EtlOutputs) -> DataFrame:
+    """One row per feed: rows_in = duplicates + quarantined + rejected + loaded."""
+    quarantine = spark.read.parquet(out.quarantine).groupBy("feed").agg(F.count(F.lit(1)).alias("n"))
+    bad = {r.feed: r.n for r in quarantine.collect()}                               # three rows
+    rejects = {r.tbl: r.n for r in spark.read.parquet(out.rejects).groupBy("tbl").agg(F.count(F.lit(1)).alias("n")).collect()}
+    table = {"benchmark": "dim_benchmark", "rates": "dim_rates", "prices": "fact"}
+    rows = [(feed, n["rows"], n["rows"] - n["distinct"], bad.get(feed, 0), rejects.get(table[feed], 0), out.counts[table[feed]])
+            for feed, n in out.read.items()]
+    return spark.createDataFrame(rows, "feed string, rows_in long, duplicates long, quarantined long, rejected long, loaded long")

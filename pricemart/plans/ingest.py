@@ -23,12 +23,15 @@ from pricemart.sources import envelope as env
 def land(records: DataFrame, path: str, run_date: str, fetched_at: str = "fetched_at") -> DataFrame:
     """Write ``records`` as the snapshot of ``run_date`` (native layout: Parquet, one row per
     record, partitioned by ``fetched_at``; a re-run of the same day replaces only that
-    day) and return the landed snapshot read back.  Raises when nothing was landed
-    (Q15), checked on the written files, so the records are computed once."""
+    day) and return the landed snapshot read back.  Raises when this run landed nothing
+    (Q15): the rows are counted on the write itself, so what an earlier run of the day left doesn't hide it."""
     spark = records.sparkSession
-    env.write_snapshot(records.withColumn(fetched_at, F.lit(run_date)), path, fetched_at)
-    landed = env.read_snapshots(spark, path).where(F.col(fetched_at) == F.lit(run_date).cast("date"))
-    return env.require_rows(landed, path)
+    obs = Observation("landed")
+    counted = records.withColumn(fetched_at, F.lit(run_date)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    env.write_snapshot(counted, path, fetched_at)
+    if not obs.get["rows"]:
+        raise RuntimeError(f"{path}: 0 records; check that ingestion ran")
+    return env.read_snapshots(spark, path).where(F.col(fetched_at) == F.lit(run_date).cast("date"))
 
 
 def _cols(feed, *cols):

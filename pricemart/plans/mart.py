@@ -81,8 +81,8 @@ WITH j AS (
   FROM {fact} f
   JOIN {dates} d ON f.period = d.date_key
   JOIN {categories} ft ON f.fuel_type = ft.fuel_type_key)
-SELECT *, CAST(CAST(TRY_CAST((price_lkr - prev_month_price_lkr) / NULLIF(prev_month_price_lkr, 0) * 100
-                          AS DECIMAL(28,8)) AS DECIMAL(28,2)) AS DOUBLE) AS mom_price_change_pct
+SELECT *, CAST(TRY_CAST((price_lkr - prev_month_price_lkr) / NULLIF(prev_month_price_lkr, 0) * 100
+                     AS DECIMAL(38,2)) AS DOUBLE) AS mom_price_change_pct
 FROM j"""
 
 

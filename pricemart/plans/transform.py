@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pricemart.config import DEFAULT_SPEC, MartSpec
+from pricemart.config import DEFAULT_SPEC, Bounds, MartSpec
 from pricemart.functions.exact import exact_mean, in_bounds, round_half_up, safe_div
 from pricemart.functions.labels import standardise_label
 from pricemart.functions.periods import period_to_date
@@ -65,15 +65,11 @@ def dedupe_step(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec:
         prices = prices.withColumn("fuel_type", standardise_label("fuel_type"))
     # Only the needed columns enter the dedupe: fields inside the aggregated struct
     # cannot be pruned by Catalyst afterwards.
-    def needed(df, *cols):
-        return df.select(*cols, *[c for c, _ in _order_for(df)])
-    b = keep_first(needed(benchmark, "period", "brent_usd_per_barrel"), ["period"], _order_for(benchmark))
-    r = keep_first(needed(rates, "period", "usd_lkr_rate"), ["period"], _order_for(rates))
-    p = keep_first(needed(prices, "period", "fuel_type", "price_lkr"), ["period", "fuel_type"], _order_for(prices))
-    b = b.select("period", "brent_usd_per_barrel")
-    r = r.select("period", "usd_lkr_rate")
-    p = p.select("period", "fuel_type", "price_lkr")
-    return b, r, p
+    def first(df, keys, value):
+        order = _order_for(df)
+        return keep_first(df.select(*keys, value, *[c for c, _ in order]), keys, order)
+    return (first(benchmark, ["period"], "brent_usd_per_barrel"), first(rates, ["period"], "usd_lkr_rate"),
+            first(prices, ["period", "fuel_type"], "price_lkr"))
 
 
 def monthly_summary(fact: DataFrame) -> DataFrame:
@@ -103,40 +99,58 @@ def cost_share(df: DataFrame, litres_per_barrel: float = 159.0) -> DataFrame:
     return df.withColumn("crude_cost_pct", round_half_up(share, 2))
 
 
-def prepare_all(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec: MartSpec = DEFAULT_SPEC):
-    """Steps 1-5: cleaned (benchmark, rates, prices); prices still include rows whose
-    period is not a real month (NULL after step 3), for the quarantine split."""
-    # Step 1: duplicates
+QUARANTINE_COLUMNS = ["feed", "period_text", "label", "fuel_type", "value", "fetched_at", "position", "reason"]
+
+
+def _checked(df: DataFrame, feed: str, value: str, bounds: Bounds | None, label: str | None = None) -> DataFrame:
+    """Steps 2 to 5 for one feed: every row with its parsed month, standard label and, when it can't be
+    loaded, the reason (NULL: a good row).  The texts and the place it came from stay with it."""
+    text = df.withColumn("period_text", F.col("period")).withColumn("period", period_to_date("period"))
+    text = text.withColumn("label", F.col(label) if label else F.lit(None).cast("string"))
+    if label:
+        text = text.withColumn(label, standardise_label(label))
+    missing = F.col("period_text").isNull() | F.col(value).isNull() | (F.col("label").isNull() if label else F.lit(False))
+    reason = F.when(missing, "missing value")
+    if bounds is not None:
+        reason = reason.when(~F.coalesce(in_bounds(value, bounds), F.lit(False)), "out of range")
+    out = text.withColumn("reason", reason.when(F.col("period").isNull(), "impossible month")).withColumn("feed", F.lit(feed))
+    place = F.col("_pos").cast("string") if "_pos" in df.columns else F.lit(None).cast("string")
+    when = F.col("fetched_at") if "fetched_at" in df.columns else F.lit(None).cast("date")
+    fuel = F.col(label) if label else F.lit(None).cast("string")
+    return out.select("feed", "period", "period_text", "label", fuel.alias("fuel_type"), F.col(value).cast("double").alias("value"),
+                      when.cast("string").alias("fetched_at"), place.alias("position"), "reason")
+
+
+def check_feeds(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec: MartSpec = DEFAULT_SPEC) -> tuple:
+    """Steps 1-5 without dropping a row: (benchmark, rates, prices), one row per key after the dedupe, good or
+    with a reason.
+
+    Rows without a value are not filled: a forward fill by row has nothing left to fill once they are out
+    (Q3); ``calendar_fill`` fills the months that have no row."""
     b, r, p = dedupe_step(benchmark, rates, prices, spec)
-    # Step 2: missing values.  Rows without a rate are dropped, so a forward fill by row has nothing
-    # left to fill (Q3) and none runs; calendar_fill (step 3) fills the months that have no row.
-    b = b.dropna(subset=["period", "brent_usd_per_barrel"])
-    r = r.dropna(subset=["period", "usd_lkr_rate"])
-    p = p.dropna(subset=["period", "fuel_type", "price_lkr"])
-    # Step 3: period text -> first-of-month DATE (impossible months -> NULL, quarantined)
-    b = b.withColumn("period", period_to_date("period"))
-    r = r.withColumn("period", period_to_date("period"))
-    p = p.withColumn("period", period_to_date("period"))
+    return (_checked(b, "benchmark", "brent_usd_per_barrel", spec.benchmark_bounds), _checked(r, "rates", "usd_lkr_rate", None),
+            _checked(p, "prices", "price_lkr", spec.price_bounds, "fuel_type"))
+
+
+def good_rows(checked: tuple, spec: MartSpec = DEFAULT_SPEC) -> tuple:
+    """The good rows of ``check_feeds`` as (benchmark, rates, prices)."""
+    b, r, p = (x.where("reason is null") for x in checked)
+    r = r.select("period", F.col("value").alias("usd_lkr_rate"))
     if spec.calendar_fill:
-        r = calendar_fill(r.where(F.col("period").isNotNull()), "period", ["usd_lkr_rate"])
-    # Step 4: labels
-    p = p.withColumn("fuel_type", standardise_label("fuel_type"))
-    # Step 5: ranges
-    b = b.where(in_bounds("brent_usd_per_barrel", spec.benchmark_bounds))
-    p = p.where(in_bounds("price_lkr", spec.price_bounds))
-    return b, r, p
+        r = calendar_fill(r, "period", ["usd_lkr_rate"])
+    return b.select("period", F.col("value").alias("brent_usd_per_barrel")), r, p.select("period", "fuel_type", F.col("value").alias("price_lkr"))
 
 
-def split_quarantine(p: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(prices with a real month, prices whose period is NULL)."""
-    return p.where(F.col("period").isNotNull()), p.where(F.col("period").isNull())
+def quarantined(checked: tuple) -> DataFrame:
+    """The rows of all feeds that can't be loaded, with their original texts, place and reason."""
+    bad = [x.where("reason is not null").select(*QUARANTINE_COLUMNS) for x in checked]
+    return bad[0].unionByName(bad[1]).unionByName(bad[2])
 
 
 def prepare(benchmark: DataFrame, rates: DataFrame, prices: DataFrame, spec: MartSpec = DEFAULT_SPEC):
-    """Steps 1-5: returns cleaned (benchmark, rates, prices, quarantined prices)."""
-    b, r, p_all = prepare_all(benchmark, rates, prices, spec)
-    p, quarantine = split_quarantine(p_all)
-    return b, r, p, quarantine
+    """Steps 1-5: returns cleaned (benchmark, rates, prices) and the quarantine of all three feeds."""
+    checked = check_feeds(benchmark, rates, prices, spec)
+    return *good_rows(checked, spec), quarantined(checked)
 
 
 def assemble(b: DataFrame, r: DataFrame, p: DataFrame, spec: MartSpec = DEFAULT_SPEC) -> DataFrame:

@@ -156,9 +156,8 @@ def quarantine_periods(spark, sf) -> DataFrame:
                       F.col("o_orderkey").alias("_pos"))
     from pricemart.queries.inputs import benchmark_feed
     from pricemart.queries.star import _rates
-    # the benchmark and rate feeds are part of the step but not of this output (lazy, never computed)
     _b, _r, _p, quarantine = prepare(benchmark_feed(spark, sf), _rates(spark, sf), prices, ANALOG_SPEC)
-    return quarantine.select("fuel_type", "price_lkr")
+    return quarantine.where("feed = 'prices' and reason = 'impossible month'").select("fuel_type", F.col("value").alias("price_lkr"))
 
 
 QUERIES["quarantine_periods"] = quarantine_periods

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricemart.operators.resample import resample_monthly
 from pricemart.plans import ingest
-from pricemart.plans.etl import run_etl
+from pricemart.plans.etl import balance, run_etl
 from pricemart.queries.inputs import ANALOG_SPEC, table
 from pricemart.queries import readers as R
+from pricemart.queries.render import dfmt
 from pricemart.session import scratch_path
+from pricemart.sinks.warehouse import conform, varchar, write_table
 from pricemart.sources import csv_alias as csv
 from pricemart.sources import html_tables as html
 
@@ -65,7 +70,79 @@ def etl_job(spark, sf) -> DataFrame:
     return spark.read.parquet(out.fact)
 
 
+# Landed feeds with impossible months, missing and out-of-range values and repeated keys, as SQL for either engine.
+def dirty_feeds(engine: str) -> dict[str, str]:
+    month, year = (dfmt("{d}", n, engine) for n in ("ym", "y"))
+
+    def period(col, key, every):
+        return f"CASE WHEN {key} % {every} = 0 THEN concat({year.format(d=col)}, '-13') ELSE {month.format(d=col)} END"
+    return {
+        "benchmark": f"""SELECT {period("l_shipdate", "l_orderkey", 40)} AS period, l_orderkey * 8 + l_linenumber AS _pos,
+            CASE WHEN l_orderkey % 37 = 0 THEN 5000 WHEN l_orderkey % 41 <> 0 THEN l_extendedprice / 1000 END AS value FROM lineitem""",
+        "rates": f"""SELECT {period("o_orderdate", "o_orderkey", 50)} AS period, o_orderkey AS _pos,
+            CASE WHEN o_orderkey % 43 <> 0 THEN o_totalprice / 1000 END AS usd_lkr_avg FROM orders""",
+        "prices": f"""SELECT {period("o_orderdate", "o_orderkey", 45)} AS period, o_orderkey AS _pos,
+            concat(' ', lower(o_orderpriority)) AS fuel_type, o_totalprice / 200 AS price_lkr FROM orders""",
+    }
+
+
+MART_SPEC = replace(ANALOG_SPEC, date_dim_start="1995-01-01", date_dim_months=84)
+
+
+def _dirty_mart(spark, sf):
+    raw = scratch_path(spark, "raw")
+    for name in ("lineitem", "orders"):
+        table(spark, sf, name).createOrReplaceTempView(name)
+    for feed, sql in dirty_feeds("spark").items():
+        ingest.land(spark.sql(sql), f"{raw}/{feed}", RUN_DATE)
+    return run_etl(spark, raw, scratch_path(spark, "mart"), MART_SPEC)
+
+
+def etl_balance(spark, sf) -> DataFrame:
+    """Rows in, duplicates, quarantined, rejected and loaded of each feed of a load with dirty feeds."""
+    return balance(spark, _dirty_mart(spark, sf))
+
+
+def etl_quarantine(spark, sf) -> DataFrame:
+    """The quarantine of all three feeds, read back from the load."""
+    return spark.read.parquet(_dirty_mart(spark, sf).quarantine)
+
+
+def etl_summary(spark, sf) -> DataFrame:
+    """The monthly summary, read back from the load."""
+    return spark.read.parquet(_dirty_mart(spark, sf).summary)
+
+
+def etl_view(spark, sf) -> DataFrame:
+    """The BI view that the load registers over its fact, date and category tables."""
+    _dirty_mart(spark, sf)
+    return spark.table("vw_price_vs_benchmark")
+
+
+def append_load(spark, sf) -> DataFrame:
+    """Orders loaded in two appends (SNK9), read back."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    path = scratch_path(spark, "append")
+    write_table(o.where("o_orderstatus = 'F'"), path, mode="append", sort_within=["o_orderkey"])
+    write_table(o.where("o_orderstatus <> 'F'"), path, mode="append", sort_within=["o_orderkey"])
+    return spark.read.parquet(path)
+
+
+def conform_rejects(spark, sf) -> DataFrame:
+    """Rows that conform and rows rejected by NOT NULL, text length and primary key, counted by reason."""
+    schema = T.StructType([T.StructField("k", T.LongType(), False), varchar("label", 12)])
+    o = table(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 10 != 0, F.col("o_custkey")).alias("k"), F.col("o_orderpriority").alias("label"))
+    ok, bad = conform(o, schema, key=["k"])
+    return ok.withColumn("_reject", F.lit("loaded")).unionByName(bad).groupBy(F.col("_reject").alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
+    "etl_balance": etl_balance,
+    "etl_quarantine": etl_quarantine,
+    "etl_summary": etl_summary,
+    "etl_view": etl_view,
+    "append_load": append_load,
+    "conform_rejects": conform_rejects,
     "ingest_benchmark": ingest_benchmark,
     "ingest_rates": ingest_rates,
     "ingest_prices": ingest_prices,

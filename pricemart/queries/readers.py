@@ -152,11 +152,11 @@ PRICE_CENTS = "CAST(floor(CAST(ROUND(o_totalprice * 100) AS BIGINT) / 200) AS BI
 
 def prices_csv_text(engine: str) -> dict[int, list[tuple[str, str]]]:
     return {
-        0: [("o_orderkey", "row"), (dfmt("o_orderdate", "ym", engine), "period"), ("o_orderpriority", "fuel_type"),
+        0: [(dfmt("o_orderdate", "ym", engine), "period"), ("o_orderpriority", "fuel_type"),
             (money(PRICE_CENTS), "price_lkr")],
-        1: [(dfmt("o_orderdate", "dmy_dot", engine), "﻿Date"), ("o_orderkey", "row"), ("lower(o_orderpriority)", "Fuel Type"),
+        1: [(dfmt("o_orderdate", "dmy_dot", engine), "﻿Date"), ("lower(o_orderpriority)", "Fuel Type"),
             (f"concat('Rs ', {money(PRICE_CENTS)})", "Price LKR")],
-        2: [("o_orderkey", "row"), (dfmt("o_orderdate", "mon_y", engine), "date"), ("o_orderpriority", "fuel"),
+        2: [(dfmt("o_orderdate", "mon_y", engine), "date"), ("o_orderpriority", "fuel"),
             (money(PRICE_CENTS, thousands=True), "price")],
     }
 
@@ -166,7 +166,7 @@ def _prices_csv_paths(spark, sf, orders: DataFrame | None = None) -> list[str]:
     base = scratch_path(spark, "csv-prices")
     paths = []
     for lay, cols in prices_csv_text(SP).items():
-        part = o.where(F.col("o_orderkey") % 3 == lay).select(*[F.expr(e).alias(n) for e, n in cols])
+        part = o.where(F.col("o_orderkey") % 3 == lay).orderBy("o_orderkey").select(*[F.expr(e).alias(n) for e, n in cols])
         paths.append(_write_csv(part, f"{base}/layout{lay}"))
     return paths
 

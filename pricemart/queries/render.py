@@ -13,6 +13,7 @@ _PATTERNS = {  # name: (Spark pattern, DuckDB pattern)
     "dmy_dot": ("dd.MM.yyyy", "%d.%m.%Y"),
     "mdy_slash": ("MM/dd/yyyy", "%m/%d/%Y"),
     "ym": ("yyyy-MM", "%Y-%m"),
+    "y": ("yyyy", "%Y"),
     "mon_y": ("MMM yyyy", "%b %Y"),
     "month_y": ("MMMM yyyy", "%B %Y"),
     "m_slash_y": ("MM/yyyy", "%m/%Y"),

@@ -2,12 +2,13 @@
 
 
 def R(x: str, k: int) -> str:
-    """HALF_UP rounding through decimals (same recipe on both engines)."""
-    return f"CAST(CAST(TRY_CAST(({x}) AS DECIMAL(28,8)) AS DECIMAL(28,{k})) AS DOUBLE)"
+    """HALF_UP rounding of the shortest decimal text of a double."""
+    return f"CAST(TRY_CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,{k})) AS DOUBLE)"
 
 
 def MEAN(x: str) -> str:
-    return f"(CAST(SUM(TRY_CAST({x} AS DECIMAL(28,8))) AS DOUBLE) / NULLIF(COUNT({x}), 0))"
+    d = f"TRY_CAST({x} AS DECIMAL(28,8))"
+    return f"(CAST(SUM({d}) AS DOUBLE) / NULLIF(COUNT({d}), 0))"
 
 
 BASE = f"""
@@ -71,10 +72,9 @@ lagged AS (
   SELECT f.*, LAG(f.price_lkr) OVER (PARTITION BY f.fuel_type ORDER BY f.period) AS prev_month_price_lkr FROM fact f),
 vw AS (
   SELECT f.period, d.year, d.quarter, d.month_name, d.is_crisis_period, f.fuel_type, c.fuel_category,
-         f.price_lkr, f.price_usd, f.brent_usd_per_barrel, f.usd_lkr_rate, f.crude_cost_pct,
-         LAG(f.price_lkr) OVER (PARTITION BY f.fuel_type ORDER BY f.period) AS prev_month_price_lkr,
-         {R('(f.price_lkr - LAG(f.price_lkr) OVER (PARTITION BY f.fuel_type ORDER BY f.period)) / NULLIF(LAG(f.price_lkr) OVER (PARTITION BY f.fuel_type ORDER BY f.period), 0) * 100', 2)} AS mom_price_change_pct
-  FROM fact f JOIN dd d ON f.period = d.date_key JOIN cat c ON f.fuel_type = c.fuel_type_key),
+         f.price_lkr, f.price_usd, f.brent_usd_per_barrel, f.usd_lkr_rate, f.crude_cost_pct, f.prev_month_price_lkr,
+         {R('(f.price_lkr - f.prev_month_price_lkr) / NULLIF(f.prev_month_price_lkr, 0) * 100', 2)} AS mom_price_change_pct
+  FROM lagged f JOIN dd d ON f.period = d.date_key JOIN cat c ON f.fuel_type = c.fuel_type_key),
 records AS (SELECT period, price_lkr AS value, _pos FROM price_raw),
 records_flag AS (
   SELECT *, COALESCE(length(period) = 7 AND substr(period, 5, 1) = '-' AND value IS NOT NULL

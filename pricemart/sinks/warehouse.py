@@ -1,32 +1,37 @@
 """Warehouse tables: declared schemas, conforming casts, full-refresh and append loads.
 
-The declared schemas are the star's DDL (types, NOT NULL, primary key).
+The declared schemas are the star's DDL (types, text lengths, NOT NULL, primary key).
 ``conform`` casts a frame to a declared schema (a value that does not fit, e.g.
-DECIMAL(5,2) overflow, becomes NULL and is counted), and routes rows that break
-NOT NULL to a rejects frame.  Loads overwrite the data only, never the table
-definition (Q11).
+DECIMAL(5,2) overflow, becomes NULL and can be counted), and routes rows that break
+NOT NULL, a text length or the primary key to a rejects frame.  Loads overwrite the data only, never
+the table definition (Q11).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+def varchar(name: str, length: int, nullable: bool = True) -> T.StructField:
+    """A text column of at most ``length`` bytes."""
+    return T.StructField(name, T.StringType(), nullable, {"length": length})
+
+
 DATE_DIM_SCHEMA = T.StructType([
     T.StructField("date_key", T.DateType(), False),
     T.StructField("year", T.ShortType(), False),
     T.StructField("quarter", T.ShortType(), False),
     T.StructField("month", T.ShortType(), False),
-    T.StructField("month_name", T.StringType(), False),
+    varchar("month_name", 10, False),
     T.StructField("is_crisis_period", T.BooleanType(), True),
 ])
 CATEGORY_DIM_SCHEMA = T.StructType([
-    T.StructField("fuel_type_key", T.StringType(), False),
-    T.StructField("fuel_category", T.StringType(), False),
-    T.StructField("description", T.StringType(), True),
+    varchar("fuel_type_key", 30, False),
+    varchar("fuel_category", 20, False),
+    varchar("description", 150),
 ])
 BENCHMARK_DIM_SCHEMA = T.StructType([
     T.StructField("period", T.DateType(), False),
@@ -39,7 +44,7 @@ RATES_DIM_SCHEMA = T.StructType([
 FACT_SCHEMA = T.StructType([
     T.StructField("fact_id", T.LongType(), False),
     T.StructField("period", T.DateType(), False),
-    T.StructField("fuel_type", T.StringType(), False),
+    varchar("fuel_type", 30, False),
     T.StructField("price_lkr", T.DecimalType(10, 2), False),
     T.StructField("price_usd", T.DecimalType(10, 4), True),
     T.StructField("usd_lkr_rate", T.DecimalType(10, 4), True),
@@ -49,7 +54,7 @@ FACT_SCHEMA = T.StructType([
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("year", T.ShortType(), False),
     T.StructField("month", T.ShortType(), False),
-    T.StructField("fuel_type", T.StringType(), False),
+    varchar("fuel_type", 30, False),
     T.StructField("avg_price_lkr", T.DecimalType(10, 2), True),
     T.StructField("avg_brent_usd", T.DecimalType(8, 2), True),
     T.StructField("avg_usd_lkr", T.DecimalType(10, 4), True),
@@ -57,26 +62,41 @@ SUMMARY_SCHEMA = T.StructType([
 ])
 
 
+#: primary keys of the declared tables
+DATE_DIM_KEY, CATEGORY_DIM_KEY, PERIOD_KEY, SUMMARY_KEY = ["date_key"], ["fuel_type_key"], ["period"], ["year", "month", "fuel_type"]
+
+
+def _cast(df: DataFrame, schema: T.StructType) -> list[Column]:
+    return [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
+
+
 def conform(df: DataFrame, schema: T.StructType, key: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """Cast ``df`` to ``schema`` -> (conforming rows, rejected rows with ``_reject`` reason).
+    """Cast ``df`` to ``schema`` -> (conforming rows, rejected rows with ``_reject``, the reason).
 
     A value that cannot be represented becomes NULL (``try_cast``); a NULL in a NOT
-    NULL column rejects the row.  ``key`` is the primary key: duplicates are not
-    silently dropped here (``check_unique`` reports them)."""
-    def conv(f):
-        c = F.col(f.name)
-        if isinstance(f.dataType, T.DecimalType) and isinstance(df.schema[f.name].dataType, (T.DoubleType, T.FloatType)):
-            c = c.try_cast("decimal(28,8)")      # exact HALF_UP path for doubles (see functions.exact)
-        return c.try_cast(f.dataType).alias(f.name)
-    cast = df.select(*[conv(f) for f in schema.fields])
-    required = [f.name for f in schema.fields if not f.nullable]
-    bad = F.lit(False)
-    for c in required:
-        bad = bad | F.col(c).isNull()
-    flagged = cast.withColumn("_reject", bad)
-    ok = flagged.where(~F.col("_reject")).drop("_reject")
-    rejected = flagged.where(F.col("_reject")).withColumn("_reject", F.lit("null in NOT NULL column"))
-    return ok, rejected
+    NULL column, a text longer than its declared length and a further row of the same primary ``key``
+    reject the row, so conforming and rejected rows together are the rows of ``df``.  Of rows with one
+    key the one with the smallest row hash stays."""
+    names = [f.name for f in schema.fields]
+    reason = F.lit(None).cast("string")
+    for f in schema.fields:
+        if "length" in f.metadata:
+            reason = F.when(F.octet_length(f.name) > f.metadata["length"], f"text too long: {f.name}").otherwise(reason)
+    for f in schema.fields:
+        if not f.nullable:
+            reason = F.when(F.col(f.name).isNull(), f"null in NOT NULL column: {f.name}").otherwise(reason)
+    flagged = df.select(*_cast(df, schema)).withColumn("_reject", reason)
+    ok, rejected = flagged.where("_reject is null").drop("_reject"), flagged.where("_reject is not null")
+    if not key:
+        return ok, rejected
+    hashed = ok.withColumn("_h", F.xxhash64(*names))
+    several = hashed.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"), F.min("_h").alias("_low")).where("_n > 1")
+    joined = hashed.join(several, list(key), "left")
+    twins = joined.where("_n is not null").groupBy(*names, (F.col("_h") == F.col("_low")).alias("_first")).agg(F.count(F.lit(1)).alias("_c"))
+    further = twins.withColumn("_reject", F.explode(F.array_repeat(
+        F.lit("duplicate primary key"), (F.col("_c") - F.col("_first").cast("int")).cast("int"))))
+    ok = joined.where("_n is null").select(*names).unionByName(twins.where("_first").select(*names))
+    return ok, rejected.unionByName(further.select(*names, "_reject"))
 
 
 def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -139,3 +159,17 @@ def insert_if_empty(source: DataFrame, target: DataFrame) -> DataFrame:
     return (source.withColumn("_probe", F.lit(1))
                   .join(probe, on="_probe", how="left_anti")
                   .drop("_probe"))
+
+
+def read_if_there(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, empty when there is none yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
+
+def load_if_empty(source: DataFrame, path: str, schema: T.StructType) -> DataFrame:
+    """Append ``source`` to the table at ``path`` when that has no rows; returns the table."""
+    spark = source.sparkSession
+    insert_if_empty(source, read_if_there(spark, path, schema)).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)

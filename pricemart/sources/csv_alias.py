@@ -1,10 +1,13 @@
 """CSV feeds whose headers vary: columns are found by alias, first non-empty wins.
 
 Each file group with one header layout is read with ``header=true`` and all
-columns as text; a UTF-8 byte-order mark on the first header is removed; an
+columns as text (a folder whose files have different headers fails instead of mixing
+columns); quotes are doubled inside quoted values, which may hold line breaks; a UTF-8 byte-order
+mark on the first header is removed; an
 alias list resolves to ``coalesce(nullif(col, ''), ...)`` over the aliases that
 exist in that layout (truthiness of ``a or b or c``), and is stripped after.
-A row missing a value is skipped (not the whole file, Q18).
+A row missing a value is skipped (not the whole file, Q18).  Every row keeps its place: file, block of
+the file and order within the block, so "first listed wins" needs no column of the file.
 """
 
 from __future__ import annotations
@@ -26,10 +29,18 @@ from pricemart.operators.quality import non_empty, parse_then_filter
 BOM = "﻿"
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """All-text CSV read with a header row; BOM removed from the first column name."""
-    df = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
-    return df.toDF(*[c.lstrip(BOM) for c in df.columns])
+POSITION = "_pos"
+
+
+def read_csv_text(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """All-text CSV read with a header row; BOM removed from the first column name; ``_pos`` = (file, block
+    start, row).  ``multiline=False`` lets Spark split large files, for feeds whose values hold no line
+    breaks."""
+    df = (spark.read.option("header", True).option("inferSchema", False).option("enforceSchema", False).option("quote", '"')
+          .option("escape", '"').option("multiLine", multiline).option("mode", "PERMISSIVE").csv(path))
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("a"),
+                     F.monotonically_increasing_id().alias("b"), F.lit(0).cast("long").alias("c"))
+    return df.select(*[F.col(f"`{c}`").alias(c.lstrip(BOM)) for c in df.columns], place.alias(POSITION))
 
 
 def alias(df: DataFrame, names: Sequence[str], default: str | None = "") -> Column:
@@ -67,28 +78,18 @@ def rates_from_csv(df: DataFrame, bounds: Bounds = Bounds(0.0, 1000.0, hi_inclus
     return parse_then_filter(x, {"date": parse_rate_date("_d"), "usd_lkr": parse_rate("_r", bounds)}, keep=[])
 
 
-def row_position(a, b=None, c=None) -> Column:
-    """Position of a record in its source as a comparable (a, b, c) struct of longs."""
-    def part(x):
-        if x is None:
-            return F.lit(0).cast("long")
-        return (F.col(x) if isinstance(x, str) else x).try_cast("long")
-    return F.struct(part(a).alias("a"), part(b).alias("b"), part(c).alias("c"))
-
-
-def prices_from_csv(df: DataFrame, source: str = "history_csv", pos_col: str = "row") -> DataFrame:
+def prices_from_csv(df: DataFrame, source: str = "history_csv") -> DataFrame:
     """Retail-price CSV -> (period, fuel_type, price_lkr, source, _pos): period parsed from
-    mixed date text, price cleaned, label in upper snake case.  ``_pos`` is the row
-    number column of the file when it has one (first listed row wins later)."""
+    mixed date text, price cleaned, label in upper snake case.  ``_pos`` is the row's place
+    in the files (first listed row wins later)."""
     date = alias(df, PRICE_CSV_DATE_ALIASES)
     fuel = alias(df, PRICE_CSV_FUEL_ALIASES)
     price = alias(df, PRICE_CSV_PRICE_ALIASES)
-    pos = row_position(pos_col if pos_col in df.columns else None)
-    x = df.select(date.alias("_d"), fuel.alias("_f"), price.alias("_p"), pos.alias("_pos"))
+    x = df.select(date.alias("_d"), fuel.alias("_f"), price.alias("_p"), POSITION)
     x = x.where(non_empty("_d", "_f", "_p"))
     out = parse_then_filter(x, {"period": parse_period("_d"), "fuel_type": normalise_label("_f"),
-                                "price_lkr": clean_price("_p")}, keep=["_pos"], require=["period", "price_lkr"])
-    return out.select("period", "fuel_type", "price_lkr", F.lit(source).alias("source"), "_pos")
+                                "price_lkr": clean_price("_p")}, keep=[POSITION], require=["period", "price_lkr"])
+    return out.select("period", "fuel_type", "price_lkr", F.lit(source).alias("source"), POSITION)
 
 
 def read_layouts(spark: SparkSession, paths: Sequence[str], parse) -> DataFrame:

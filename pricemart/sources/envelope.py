@@ -8,9 +8,9 @@ whole directory back.  Here:
     ``multiline=True`` reads the reference's one-object-per-file layout, the
     default reads JSON Lines (one envelope per line, splittable);
   * ``write_envelopes`` writes JSON Lines envelopes partitioned by ``fetched_at``;
-    a day's records are hashed into ``ceil(n / max_records)`` chunks, one envelope
-    each (about ``max_records`` records per envelope), so no single row or task
-    has to hold a whole day;
+    a day's records are numbered in their listed order and cut into envelopes of at most ``max_records``,
+    so no single row or task has to hold a whole day and the order survives a round trip;
+  * a file that isn't JSON in the stated layout stops the read (it is never skipped);
   * ``write_snapshot``/``read_snapshots`` are the native layout: Parquet, one row
     per record, partitioned by ``fetched_at`` with dynamic partition overwrite
     (a same-day re-run replaces that day only) and partition pruning on read.
@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pricemart.operators.keys import with_surrogate_key
+
 BENCHMARK_RECORD = T.StructType([
     T.StructField("period", T.StringType()),
     T.StructField("value", T.StringType()),
@@ -54,8 +56,9 @@ def envelope_schema(record: T.StructType) -> T.StructType:
 def read_envelopes(spark: SparkSession, path: str | Sequence[str], record: T.StructType,
                    multiline: bool = False) -> DataFrame:
     """Envelope files -> one row per record: record fields (as typed in ``record``),
-    ``envelope_source``, ``fetched_at`` (DATE) and ``_pos`` = (part, index)."""
-    reader = spark.read.schema(envelope_schema(record)).option("multiLine", multiline).option("mode", "PERMISSIVE")
+    ``envelope_source``, ``fetched_at`` (DATE) and ``_pos`` = (part, index).  Malformed JSON fails: a file
+    of the other layout (``multiline``) is an error, not an empty feed."""
+    reader = spark.read.schema(envelope_schema(record)).option("multiLine", multiline).option("mode", "FAILFAST")
     df = reader.json(path if isinstance(path, str) else list(path))
     ex = df.select(F.col("source").alias("envelope_source"), "fetched_at", "part",
                    F.posexplode("records").alias("_idx", "r"))
@@ -70,16 +73,15 @@ def read_envelopes(spark: SparkSession, path: str | Sequence[str], record: T.Str
 def write_envelopes(records: DataFrame, path: str, source: str, fetched_at: str = "fetched_at",
                     order: Sequence[str] = (), max_records: int = 5000, mode: str = "overwrite") -> None:
     """Write ``records`` (with a ``fetched_at`` text column) as JSON Lines envelopes,
-    one folder per ``fetched_at``; a day's records are hashed into
-    ``ceil(n / max_records)`` envelopes (about ``max_records`` each), records inside
-    an envelope sorted by ``order``."""
+    one folder per ``fetched_at``; a day's records, in the order of ``order`` (ties and no order: of a row
+    hash), are cut into envelopes of exactly ``max_records`` and a smaller last one."""
     payload = [c for c in records.columns if c != fetched_at]
-    per_day = records.groupBy(fetched_at).agg(F.count(F.lit(1)).alias("_n"))
-    chunked = (records.join(per_day, on=fetched_at)
-                      .withColumn("part", F.pmod(F.xxhash64(*payload), F.ceil(F.col("_n") / max_records)).cast("long")))
-    sort_key = F.struct(*[F.col(c) for c in order]) if order else F.lit(0)
+    listed = with_surrogate_key(records, [fetched_at, *order], name="_n")
+    first = listed.groupBy(F.col(fetched_at).alias("_d")).agg(F.min("_n").alias("_first"))
+    chunked = listed.join(first, F.col(fetched_at).eqNullSafe(F.col("_d"))).withColumn(
+        "part", F.floor((F.col("_n") - F.col("_first")) / max_records).cast("long"))
     env = chunked.groupBy(fetched_at, "part").agg(
-        F.sort_array(F.collect_list(F.struct(sort_key.alias("_k"), F.struct(*payload).alias("_r")))).alias("_rs"))
+        F.sort_array(F.collect_list(F.struct("_n", F.struct(*payload).alias("_r")))).alias("_rs"))
     out = env.select(F.lit(source).alias("source"), F.col(fetched_at).alias("fetched_at"), "part",
                      F.transform("_rs", lambda x: x["_r"]).alias("records"),
                      F.col(fetched_at).alias("_day"))

@@ -1,9 +1,10 @@
 """HTML tables held in a ``pages(page_id, url, html)`` table, extracted with native
 regular expressions and exploded into rows and cells (no DOM parser, no UDF).
 
-Table, row and cell boundaries: ``<table ...>...</table>``, ``<tr ...>`` up to the
-next ``<tr``/``</table>`` (closing tags optional), ``<td|th ...>`` up to the next
-cell or row end.  Cell text = text nodes decoded, stripped and joined without a
+Comments, scripts and styles are removed first.  A table runs from ``<table ...>`` to
+``</table>``, the next ``<table`` or the end of the page, a row from ``<tr ...>`` to the next row or the
+table's end, a cell from ``<td ...>`` or ``<th ...>`` to the next cell of either kind or the row's end: closing
+tags may be missing.  Cell text = text nodes decoded, stripped and joined without a
 gap.  Nested tables are out of scope.  Every step is per page (one row), so the
 work is spread by Spark's scan of the pages table.
 """
@@ -19,30 +20,15 @@ from pricemart.config import FUEL_TABLE_KEYWORDS
 from pricemart.functions.labels import map_category
 from pricemart.functions.numbers import clean_price, parse_rate
 from pricemart.functions.periods import parse_period, parse_rate_date
-from pricemart.functions.text import cell_text, spaced_text
+from pricemart.functions.text import cell_text, spaced_text, visible
 from pricemart.operators.quality import parse_then_filter
 
-TABLE_RE = "(?is)<table\\b[^>]*>.*?</table\\s*>"
-ROW_RE = "(?is)<tr\\b[^>]*>.*?(?=<tr\\b|</table\\s*>|$)"
+TABLE_RE = r"(?is)<table\b[^>]*>.*?(?=</table\s*>|<table\b|\z)"
+ROW_RE = r"(?is)<tr\b[^>]*>.*?(?=<tr\b|</table\s*>|\z)"
 
 
 def _cells_re(kinds: Sequence[str]) -> str:
-    k = "|".join(kinds)
-    return f"(?is)<(?:{k})\\b[^>]*>.*?(?=<(?:{k})\\b|</tr\\s*>|<tr\\b|$)"
-
-
-def tables(pages: DataFrame, html: str = "html", keep: Sequence[str] = ("page_id",)) -> DataFrame:
-    """One row per table: (*keep, table_pos, table_html)."""
-    return pages.select(*keep, F.posexplode(F.regexp_extract_all(html, F.lit(TABLE_RE), 0))
-                        .alias("table_pos", "table_html"))
-
-
-def rows(tbls: DataFrame, kinds: Sequence[str] = ("td",), keep: Sequence[str] = ("page_id", "table_pos")) -> DataFrame:
-    """One row per table row: (*keep, row_pos, cells ARRAY<STRING>) with the text of the
-    cells of the given kinds, in order."""
-    ex = tbls.select(*keep, F.posexplode(F.regexp_extract_all("table_html", F.lit(ROW_RE), 0)).alias("row_pos", "row_html"))
-    cells = F.transform(F.regexp_extract_all("row_html", F.lit(_cells_re(kinds)), 0), lambda c: cell_text(c))
-    return ex.select(*keep, "row_pos", cells.alias("cells"))
+    return rf"(?is)<(?:{'|'.join(kinds)})\b[^>]*>.*?(?=<t[dh]\b|</tr\s*>|<tr\b|\z)"
 
 
 def _cells(row_html: Column, kinds: Sequence[str]) -> Column:
@@ -61,7 +47,7 @@ def two_column_rates(pages: DataFrame, first_table_only: bool) -> DataFrame:
 
     Per page one pass: the data rows of the first (or every) table are gathered
     with array functions and exploded once; no join, no shuffle."""
-    tabs = F.regexp_extract_all("html", F.lit(TABLE_RE), 0)
+    tabs = F.regexp_extract_all(visible("html"), F.lit(TABLE_RE), 0)
     if first_table_only:
         tabs = F.slice(tabs, 1, 1)
     data_rows = F.flatten(F.transform(tabs, lambda t: F.filter(
@@ -98,7 +84,7 @@ def price_table(pages: DataFrame, keywords: Sequence[str] = FUEL_TABLE_KEYWORDS,
     # Per-page columns are projected before the explode: expressions written next to a
     # generator are evaluated after it (once per generated row), which would redo the
     # table search and the header map for every table row.
-    tabs = F.regexp_extract_all("html", F.lit(TABLE_RE), 0)
+    tabs = F.regexp_extract_all(visible("html"), F.lit(TABLE_RE), 0)
     target = F.get(F.filter(tabs, lambda t: keyword_hit(spaced_text(t), keywords)), 0)
     per_page = pages.select("page_id", F.regexp_extract_all(target, F.lit(ROW_RE), 0).alias("_rows"))
     heads = F.transform(_cells(F.get("_rows", 0), ("th", "td")), lambda c: map_category(c))
@@ -112,7 +98,7 @@ def price_table(pages: DataFrame, keywords: Sequence[str] = FUEL_TABLE_KEYWORDS,
     x = parse_then_filter(x, {"period": parse_period("_d")}, keep=["page_id", "_heads", "row_pos", "cells"])
     y = x.select("page_id", "row_pos", "period", "_heads", F.posexplode("cells").alias("col_pos", "cell"))
     y = y.withColumn("fuel_type", F.get("_heads", F.col("col_pos"))).where(F.col("fuel_type").isNotNull())
-    pos = F.struct(F.col("page_id").cast("long").alias("a"), F.col("row_pos").cast("long").alias("b"),
+    pos = F.struct(F.lit("").alias("file"), F.col("page_id").cast("long").alias("a"), F.col("row_pos").cast("long").alias("b"),
                    F.col("col_pos").cast("long").alias("c"))
     y = y.select("page_id", "row_pos", "col_pos", "period", "fuel_type", pos.alias("_pos"), "cell")
     out = parse_then_filter(y, {"price_lkr": clean_price(cell_text(F.col("cell")))},

@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,7 +32,9 @@ def latest_version(spark: SparkSession, state_path: str) -> DataFrame | None:
     """The newest state version under ``state_path`` (None before the first batch)."""
     try:
         versions = spark.read.parquet(state_path)
-    except Exception:  # noqa: BLE001  (no version written yet)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":        # any other failure must not reset the state
+            raise
         return None
     last = versions.agg(F.max("state_version")).first()[0]
     if last is None:

@@ -149,7 +149,45 @@ def test_transform_quarantines_impossible_month(spark):
     prices = spark.createDataFrame([("2022-13", "LP_92", 317.0), ("2022-03", "LP_92", 2000.0)],
                                    "period string, fuel_type string, price_lkr double")
     res = transform(bench, rates, prices)
-    assert res.fact.count() == 0 and res.quarantine.count() == 1
+    assert res.fact.count() == 0
+    assert sorted((r.period_text, r.value, r.reason) for r in res.quarantine.collect()) == [
+        ("2022-03", 2000.0, "out of range"), ("2022-13", 317.0, "impossible month")]
+
+
+def test_quarantine_holds_all_feeds_with_their_texts(spark):
+    meta = "fetched_at string, _pos long"
+    bench = spark.createDataFrame([("2022-13", 83.5, "2024-01-02", 3), ("2022-03", None, "2024-01-02", 4), ("2022-04", 80.0, "2024-01-02", 5)],
+                                  f"period string, brent_usd_per_barrel double, {meta}")
+    rates = spark.createDataFrame([("2022-77", 365.4, "2024-01-02", 1)], f"period string, usd_lkr_rate double, {meta}")
+    prices = spark.createDataFrame([("2022-00", " lp_92", 317.0, "2024-01-02", 9), (None, "LP_92", 3.0, "2024-01-02", 8)],
+                                   f"period string, fuel_type string, price_lkr double, {meta}")
+    res = transform(bench, rates, prices)
+    got = sorted(((r.feed, r.period_text, r.label, r.fuel_type, r.value, r.fetched_at, r.position, r.reason) for r in res.quarantine.collect()), key=str)
+    assert got == sorted([("benchmark", "2022-13", None, None, 83.5, "2024-01-02", "3", "impossible month"),
+                          ("benchmark", "2022-03", None, None, None, "2024-01-02", "4", "missing value"),
+                          ("rates", "2022-77", None, None, 365.4, "2024-01-02", "1", "impossible month"),
+                          ("prices", "2022-00", " lp_92", "LP_92", 317.0, "2024-01-02", "9", "impossible month"),
+                          ("prices", None, "LP_92", "LP_92", 3.0, "2024-01-02", "8", "missing value")], key=str)
+    assert res.dim_benchmark.count() == 1 and res.dim_rates.count() == 0 and res.fact.count() == 0
+
+
+def test_conform_rejects_duplicate_keys_and_long_texts(spark):
+    from pricemart.sinks.warehouse import T, varchar
+    schema = T.StructType([T.StructField("k", T.IntegerType(), False), varchar("v", 3)])
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c"), (2, "c"), (3, "long"), (None, "x"), (4, None)], "k int, v string")
+    ok, bad = conform(df, schema, key=["k"])
+    assert sorted(r.k for r in ok.collect()) == [1, 2, 4]
+    assert sorted((r.k or 0, r["_reject"]) for r in bad.collect()) == [
+        (0, "null in NOT NULL column: k"), (1, "duplicate primary key"), (2, "duplicate primary key"), (2, "duplicate primary key"),
+        (3, "text too long: v")]
+
+
+def test_rounding_is_one_step_and_means_count_what_they_sum(spark):
+    from pricemart.functions.exact import exact_mean, round_half_up
+    df = spark.createDataFrame([(0.00004999999999,), (0.00005,), (2.675,), (-1.00005,)], "x double")
+    assert [r.r for r in df.select(round_half_up("x", 4).alias("r")).collect()] == [0.0, 0.0001, 2.675, -1.0001]
+    df = spark.createDataFrame([(1e21,), (2.0,), (None,)], "x double")
+    assert df.agg(exact_mean("x").alias("m")).first().m == 2.0
 
 
 def test_conform_overflow_and_insert_if_empty(spark):
@@ -187,7 +225,15 @@ def test_etl_counts_from_observations(spark):
     for df, name in ((b, "benchmark"), (r, "rates"), (p, "prices")):
         ingest.land(df, f"{raw}/{name}", "2024-01-01")
     out = run_etl(spark, raw, scratch_path(spark, "mart"))
-    assert out.counts == {"dim_benchmark": 1, "dim_rates": 1, "quarantine": 1, "fact": 1, "summary": 1}
+    assert out.counts == {"dim_benchmark": 1, "dim_rates": 1, "quarantine": 1, "fact": 1, "summary": 1, "rejects": 0}
+    assert out.read["prices"] == {"rows": 2, "distinct": 2}
+    from pricemart.plans.etl import balance
+    for r in balance(spark, out).collect():
+        assert r.rows_in == r.duplicates + r.quarantined + r.rejected + r.loaded
+    assert spark.read.parquet(out.dim_date).count() == 192 and spark.read.parquet(out.dim_fuel_type).count() == 8
+    assert spark.table("vw_price_vs_benchmark").count() == 1
+    again = run_etl(spark, raw, out.fact.removesuffix("/fact"))          # a second run doesn't insert the dimensions again
+    assert spark.read.parquet(again.dim_date).count() == 192
     row = spark.read.parquet(out.fact).first()
     assert (row.fact_id, str(row.price_usd), str(row.crude_cost_pct)) == (1, "0.8675", "60.54")
 
@@ -241,6 +287,17 @@ def test_etl_reads_reference_style_envelopes(spark):
     assert [(r.fuel_type, str(r.price_usd)) for r in rows_] == [("LP_92", "0.8675")]
 
 
+def test_an_empty_rerun_of_a_landed_day_raises(spark):
+    import pytest
+    from pricemart.plans import ingest
+    from pricemart.session import scratch_path
+    path = scratch_path(spark, "rerun")
+    df = spark.createDataFrame([("2022-01", 1.0)], "period string, value double")
+    assert ingest.land(df, path, "2024-01-01").count() == 1
+    with pytest.raises(RuntimeError, match="0 records"):
+        ingest.land(df.limit(0), path, "2024-01-01")
+
+
 def test_ingest_benchmark_counts_from_observation(spark):
     from pricemart.plans import ingest
     from pricemart.session import scratch_path

@@ -4,7 +4,6 @@ import datetime as dt
 
 from pricemart.session import scratch_path
 from pricemart.sinks import warehouse as wh
-from pricemart.sources import html_tables as html
 from pricemart.sources.lookback import lookback_filter, month_window
 
 
@@ -46,13 +45,3 @@ def test_lookback_and_month_window(spark):
     assert got == [dt.date(2022, 1, 1), dt.date(2023, 12, 31)]
     p = spark.createDataFrame([("2021-12",), ("2022-01",), ("2024-01",), ("2024-02",)], "period string")
     assert sorted(r.period for r in month_window(p, "period", "2024-01-01", 730).collect()) == ["2022-01", "2024-01"]
-
-
-def test_table_and_row_helpers(spark):
-    page = ("<table id=a><tr><th>x</th><th>y</th></tr><tr><td> 1 </td><td><i>2</i></td></tr></table>"
-            "<TABLE><tr><td>3</td></TABLE>")
-    pages = spark.createDataFrame([(1, page)], "page_id long, html string")
-    t = html.tables(pages)
-    assert t.count() == 2
-    r = html.rows(t, ("th", "td")).orderBy("table_pos", "row_pos")
-    assert [list(x.cells) for x in r.collect()] == [["x", "y"], ["1", "2"], ["3"]]

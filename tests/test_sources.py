@@ -47,7 +47,7 @@ def test_envelope_round_trip_and_chunks(spark):
     env.write_envelopes(recs, path, source="t", order=["event_id"], max_records=300)
     raw = spark.read.json(path)
     sizes = [r[0] for r in raw.select(F.size("records")).collect()]
-    assert len(sizes) == 4 + 1 and max(sizes) <= 2 * 300      # 4 chunks for 1000 records, 1 for 200
+    assert sorted(sizes) == [100, 200, 300, 300, 300]         # 1000 records of one day, 200 of the other
     back = env.read_envelopes(spark, path, env.BENCHMARK_RECORD.__class__([
         *[f for f in __import__("pricemart.queries.readers", fromlist=["EVENT_RECORD"]).EVENT_RECORD.fields]]))
     assert back.count() == 1200
@@ -123,3 +123,83 @@ def test_two_column_rates_fixture(spark):
     first = sorted((str(r.date), r.usd_lkr) for r in html.two_column_rates(pages, True).collect())
     assert first == [("2023-01-05", 365.2), ("2023-01-05", 1000.0)]
     assert html.two_column_rates(pages, False).count() == 3
+
+
+def test_envelopes_keep_order_and_size_of_equal_records(spark):
+    rec = env.BENCHMARK_RECORD
+    same = spark.createDataFrame([("2022-01", "5", "api", "2024-01-01")] * 50, "period string, value string, source string, fetched_at string")
+    path = scratch_path(spark, "same")
+    env.write_envelopes(same, path, source="t", max_records=5)
+    assert {r[0] for r in spark.read.json(path).select(F.size("records")).collect()} == {5}
+    listed = spark.createDataFrame([("2022-01", str(v), "api", "2024-01-01", i) for i, v in enumerate((300, 250, 296, 280))],
+                                   "period string, value string, source string, fetched_at string, n int")
+    path = scratch_path(spark, "listed")
+    env.write_envelopes(listed, path, source="t", order=["n"], max_records=2)
+    back = env.read_envelopes(spark, path, rec).orderBy("_pos")
+    assert [r.value for r in back.collect()] == ["300", "250", "296", "280"]
+
+
+def test_a_file_of_the_other_layout_stops_the_read(spark):
+    import pytest
+    base = scratch_path(spark, "mixed")
+    os.makedirs(_local(base), exist_ok=True)
+    doc = {"source": "api", "fetched_at": "2024-01-01", "records": [{"period": "2022-01", "value": 1}]}
+    for name, indent in (("a.json", None), ("b.json", 2)):
+        with open(os.path.join(_local(base), name), "w") as fh:
+            json.dump(doc, fh, indent=indent)
+    with pytest.raises(Exception, match="(?i)malformed"):
+        env.read_envelopes(spark, base, env.BENCHMARK_RECORD).collect()
+    assert env.read_envelopes(spark, base, env.BENCHMARK_RECORD, multiline=True).count() == 2
+
+
+def test_csv_first_listed_row_wins(spark):
+    from pricemart.operators import priority_merge, tag_source
+    p = _write(scratch_path(spark, "first"), "date,fuel,price\nMar 2026,LP 92,300\nMar 2026,LP 92,250\nMar 2026,LP 92,280\n")
+    df = csv.prices_from_csv(csv.read_csv_text(spark, p))
+    merged = priority_merge([tag_source(df, 0, "csv")], ["period", "fuel_type"])
+    assert [r.price_lkr for r in merged.collect()] == [300.0]
+
+
+def test_csv_quoted_line_breaks_and_quotes(spark):
+    p = _write(scratch_path(spark, "quoted"), 'period,value,note\n2022-01,"1,2\n50",x\n2022-02,7,"a ""b"", c"\n')
+    df = csv.read_csv_text(spark, p)
+    assert df.count() == 2 and df.where("period = '2022-02'").first().note == 'a "b", c'
+    assert [tuple(r) for r in csv.benchmark_from_csv(df).collect()] == [("2022-02", 7.0, "backup_csv")]
+
+
+def test_csv_headers_that_differ_in_one_folder_fail(spark):
+    import pytest
+    base = scratch_path(spark, "swapped")
+    os.makedirs(_local(base), exist_ok=True)
+    for name, text in (("a.csv", "period,value\n2022-01,5\n"), ("b.csv", "value,period\n6,2022-02\n")):
+        with open(os.path.join(_local(base), name), "w") as fh:
+            fh.write(text)
+    with pytest.raises(Exception, match="(?i)header"):
+        csv.benchmark_from_csv(csv.read_csv_text(spark, base)).collect()
+
+
+def _price_page(spark, *rows, head="<th>Date</th><th>LP 95</th><th>LP 92</th>", end="</table>"):
+    page = f"<table><tr>{head}</tr>" + "".join(f"<tr><td>22.03.2026</td>{r}</tr>" for r in rows) + end
+    return spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+
+
+def test_html_references_never_become_prices(spark):
+    cells = ["&#160;", "&#xA0;", "&nbsp;", "&#45;", "&#x2D;", "&ndash;", "&#8212;", "&#150;", "&#160;13.5", "&#49;&#50;.5", "1&#44;200.5", "&amp;#49;"]
+    pages = _price_page(spark, *[f"<td>{c}</td>" for c in cells])
+    got = {(r.row_pos, r.price_lkr) for r in html.price_table(pages).collect()}
+    assert got == {(9, 13.5), (10, 12.5), (11, 1200.5)} | {(r, p) for r, p in got if r == 12}      # "&#49;" as text: digits of a text
+    from pricemart.functions.text import cell_text
+    texts = ["&lt;b&gt;", "&amp;lt;", "&amp;#49;", " &#x1F600; ", "a&#0;b&#xD800;", "&bogus; & &#x;", "&euro;&#128;", "<i>&#32; x </i>\n y"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(cell_text("t").alias("c"))
+    assert [r.c for r in df.collect()] == ["<b>", "&lt;", "&#49;", "\U0001F600", "a\ufffdb\ufffd", "&bogus; & &#x;", "\u20ac\u20ac", "xy"]
+
+
+def test_html_comments_scripts_and_missing_ends(spark):
+    hidden = ("<!-- <table><tr><td>2023-01-01</td><td>1</td></tr><tr><td>2023-01-01</td><td>1</td></tr></table> -->"
+              "<script>var t='<table><tr><td>x</td></tr><tr><td>2023-01-02</td><td>2</td></tr></table>';</script>")
+    page = hidden + "<table><tr><th>D</th><th>R</th></tr><tr><td>2023-01-05<th>note<td>365.2<tr><td>06.01.2023</td><td>366"
+    pages = spark.createDataFrame([(1, "u", page), (2, "u", page + "<table><tr><td>h</td></tr><tr><td>07.01.2023<td>367")],
+                                  "page_id long, url string, html string")
+    first = sorted((r.page_id, str(r.date), r.usd_lkr) for r in html.two_column_rates(pages, True).collect())
+    assert first == [(i, d, v) for i in (1, 2) for d, v in (("2023-01-05", 365.2), ("2023-01-06", 366.0))]
+    assert html.two_column_rates(pages, False).count() == 5

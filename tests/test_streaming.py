@@ -25,3 +25,36 @@ def test_fold_latest_is_incremental(spark):
     # two micro-batches, one per landing: the second saw only the new day's files
     versions = sorted(r[0] for r in spark.read.parquet(state).select("state_version").distinct().collect())
     assert len(versions) == 2
+
+
+def test_only_a_missing_path_means_no_state(spark):
+    import os
+    import pytest
+    from pricemart.session import scratch_path
+    from pricemart.streaming.snapshots import latest_version
+    path = scratch_path(spark, "state")
+    assert latest_version(spark, path) is None
+    folder = path[len("file:"):] if path.startswith("file:") else path
+    os.makedirs(f"{folder}/state_version=1")
+    with open(f"{folder}/state_version=1/part-0.parquet", "w") as fh:
+        fh.write("not a table")
+    with pytest.raises(Exception):
+        latest_version(spark, path)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    import pytest
+    from pricemart.session import ensure_checkpoint_dir
+
+    class Cluster:
+        master = "spark://host:7077"
+
+        class conf:
+            get = staticmethod(lambda k, d=None: d)
+
+        def getCheckpointDir(self):
+            return None
+
+    Cluster.sparkContext = Cluster()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Cluster())
