@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 
 from pricemart.plans import ingest
 from pricemart.plans.etl import run_etl
-from pricemart.session import apply_runtime_conf, ensure_checkpoint_dir
+from pricemart.session import apply_runtime_conf, clear_scratch, ensure_checkpoint_dir
 from pricemart.sources import api_payload, csv_alias, html_tables
 
 
@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
             feeds.append(lambda: csv_alias.read_layouts(spark, a.csv, csv_alias.rates_from_csv))
         result = {"landed": ingest.ingest_rates(feeds, a.out, a.run_date).count()}
     elif a.cmd == "ingest-prices":
-        empty = "period string, fuel_type string, price_lkr double, source string, _pos struct<a:long,b:long,c:long>"
+        empty = "period string, fuel_type string, price_lkr double, source string, _pos struct<file:string,a:long,b:long,c:long>"
         scraped = (html_tables.price_table(spark.read.parquet(a.pages)) if a.pages
                    else spark.createDataFrame([], empty))
         history = (csv_alias.read_layouts(spark, a.csv, csv_alias.prices_from_csv) if a.csv
@@ -81,7 +81,9 @@ def main(argv: list[str] | None = None) -> int:
         result = {"landed": ingest.ingest_prices(scraped, history, a.out, a.run_date).count()}
     else:
         out = run_etl(spark, a.raw, a.out, layout=a.layout, multiline=a.multiline)
-        result = {"outputs": {k: v for k, v in vars(out).items() if k != "counts"}, "counts": out.counts}
+        measured = ("counts", "read", "overflow")
+        result = {"outputs": {k: v for k, v in vars(out).items() if k not in measured}, **{k: getattr(out, k) for k in measured}}
+    clear_scratch(spark)
     print(json.dumps(result))
     return 0
 

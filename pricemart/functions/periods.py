@@ -4,8 +4,8 @@ Python ``strptime`` formats are matched exactly: each format becomes an
 anchored regular expression with the same alternatives Python uses for its
 directives (``%d`` takes one or two digits, ``%Y`` exactly four, month names
 are case-insensitive, a space matches one or more whitespace characters), and
-calendar validity is checked by ``try_to_date``.  Formats are tried in order;
-the first valid one wins.
+calendar validity is checked by ``try_to_date``.  Formats are tried in order, those that no text can
+confuse at once; the first valid one wins.
 """
 
 from __future__ import annotations
@@ -36,10 +36,7 @@ def _c(c) -> Column:
 
 
 def _compile(fmt: str) -> tuple[str, list[str]]:
-    """Python strptime format -> (anchored regex, directive per group); month names match
-    case-insensitively, as in Python.
-    Leading/trailing whitespace is absorbed, as the callers strip first."""
-    ws = PY_WHITESPACE_CLASS
+    """Python strptime format -> (regex of its text, directive per group)."""
     out, groups, i = [], [], 0
     while i < len(fmt):
         ch = fmt[i]
@@ -51,35 +48,60 @@ def _compile(fmt: str) -> tuple[str, list[str]]:
         elif ch.isspace():
             while i < len(fmt) and fmt[i].isspace():
                 i += 1
-            out.append(ws + "+")
+            out.append(PY_WHITESPACE_CLASS + "+")
         else:
             out.append(re.escape(ch))
             i += 1
-    flags = "(?i)" if ("b" in groups or "B" in groups) else ""   # case folding only for month names
-    return f"{flags}^{ws}*" + "".join(out) + f"{ws}*$", groups
+    return "".join(out), groups
+
+
+def _groups(formats) -> list[list[str]]:
+    """Formats that one regular expression can try at once, groups in the order of their first format.
+
+    The formats of a group have the same kind of month and all or none of them a day; no text fits two of
+    them, as their separators or the places of the year differ (``%d/%m/%Y`` and ``%m/%d/%Y`` don't meet in a
+    group).  Formats of different groups share texts only in that last case, so the order is kept."""
+    def shape(fmt):
+        return re.sub("%[dm]", "2", fmt)
+    out: list[tuple[tuple, list[str]]] = []
+    for fmt in formats:
+        kind = next(code for code in "mbB" if f"%{code}" in fmt), "%d" in fmt
+        for key, own in out:
+            if key == kind and shape(fmt) not in map(shape, own):
+                own.append(fmt)
+                break
+        else:
+            out.append((kind, [fmt]))
+    return [own for _, own in out]
 
 
-def _one_format(text: Column, fmt: str) -> Column:
-    """DATE if the whole (stripped) text matches ``fmt`` and names a real calendar day, else NULL.
+def _one_group(text: Column, formats: list[str]) -> Column:
+    """DATE if the whole (stripped) text matches one of the formats and names a real calendar day, else NULL.
 
     A chain in which each step uses the previous one once (no common
     subexpressions to eliminate): ``regexp_extract`` gives the matching text or
-    '' (-> NULL), ``regexp_replace`` rewrites it to ``Y/M/D`` (month names kept),
-    and ``try_to_date`` checks the calendar.  Texts that do not match never reach
-    the datetime parser (a failed parse is an exception inside the JVM)."""
-    rx, groups = _compile(fmt)
-    ref = {code: f"${i + 1}" for i, code in enumerate(groups)}
-    month_ref = ref.get("m") or ref.get("b") or ref.get("B")
+    '' (-> NULL), ``regexp_replace`` rewrites it to ``Y/M/D`` (month names kept; a part that another
+    format would have filled is empty), and ``try_to_date`` checks the calendar.  Texts that do not match
+    never reach the datetime parser (a failed parse is an exception inside the JVM).  Month names match
+    case-insensitively, as in Python; surrounding whitespace is absorbed, as the callers strip first."""
+    ws = PY_WHITESPACE_CLASS
+    bodies, refs, n = [], {"Y": "", "month": "", "d": ""}, 0
+    for fmt in formats:
+        body, codes = _compile(fmt)
+        bodies.append(body)
+        for code in codes:
+            n += 1
+            refs[code if code in refs else "month"] += f"${n}"
+    named = "m" not in _compile(formats[0])[1]
+    rx = f"{'(?i)' if named else ''}^{ws}*(?:{'|'.join(bodies)}){ws}*$"
     matched = F.nullif(F.regexp_extract(text, rx, 0), F.lit(""))
-    ymd = F.replace(F.regexp_replace(matched, rx, f"{ref['Y']}/{month_ref}/{ref.get('d', '1')}"), F.lit(" "), F.lit(""))
-    mpat = "M" if "m" in ref else ("MMM" if "b" in ref else "MMMM")
-    return F.try_to_date(ymd, f"yyyy/{mpat}/d")
+    ymd = F.replace(F.regexp_replace(matched, rx, f"{refs['Y']}/{refs['month']}/{refs['d'] or '1'}"), F.lit(" "), F.lit(""))
+    return F.try_to_date(ymd, f"yyyy/{'M' if not named else 'MMM' if '%b' in formats[0] else 'MMMM'}/d")
 
 
 def parse_with_formats(c, formats) -> Column:
     """First calendar-valid parse of ``c`` by the formats, in order -> DATE (or NULL)."""
-    text = _c(c)
-    tries = [_one_format(text, fmt) for fmt in formats]
+    tries = [_one_group(_c(c), own) for own in _groups(formats)]
     return F.coalesce(*tries) if len(tries) > 1 else tries[0]
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricemart.session import default_parallelism, scratch_path
+from pricemart.session import default_parallelism, staged
 
 TARGET_BYTES = 128 << 20
 TIE_BREAK = "_tb"
@@ -64,6 +64,4 @@ def ranged(df: DataFrame, keys: Sequence[str], buckets: int | None = None) -> Da
     n = bucket_count(df) if buckets is None else max(1, buckets)
     x = with_tie_break(df).repartitionByRange(n, *keys, TIE_BREAK).sortWithinPartitions(*keys, TIE_BREAK)
     x = x.withColumn(BUCKET, F.spark_partition_id())
-    path = scratch_path(df.sparkSession, "ranges")
-    x.write.parquet(path)
-    return df.sparkSession.read.schema(x.schema).parquet(path)
+    return staged(df.sparkSession, x, "ranges")

@@ -12,7 +12,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -94,6 +94,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/pricemart-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this session has written below its scratch folder (results that still read from it end)."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricemart-scratch")
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the scratch folder and read it back: what follows doesn't compute it again, and a
+    lost executor re-reads the files."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def default_parallelism(spark: SparkSession) -> int:
     """Shuffle width the session is configured for."""
     try:
