@@ -15,6 +15,7 @@ null ids come first; an empty table gives an empty index and no files.
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 import types
@@ -42,7 +43,8 @@ class Encoder:
     """ids of texts, by the ``tokenizers`` library.
 
     ``drops_space``: for tokenizers that drop white space, a text's ids are those of its space-separated pieces in
-    a row, so each distinct piece is encoded once per worker.  The cache is bounded."""
+    a row, so each distinct piece is encoded once per worker.  The cache is bounded.  New pieces of letters only are one word
+    each; where the vocabulary marks word ends, many are encoded as one text and told apart by those marks."""
 
     TRAIL = re.compile(rb"(?<=[a-z])([.,!?;:|&*#$%]+)(?=[ \n])")
 
@@ -52,6 +54,11 @@ class Encoder:
         self.tok = Tokenizer.from_file(path)
         self.drops_space = drops_space
         self.known: dict[bytes, bytes] = {}
+        mark = json.loads(self.tok.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self.tok.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        if mark:
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(mark)]] = True
 
     @staticmethod
     def shared(path: str, drops_space: bool) -> Encoder:
@@ -76,13 +83,34 @@ class Encoder:
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         cut = [self.pieces(t or "") for t in texts]
-        new = list({p for c in cut for p in c if p not in self.known})
-        for p, e in zip(new, self.tok.encode_batch_fast([p.decode() for p in new], add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, "<u4").tobytes()
+        self._learn(set().union(*cut).difference(self.known))
         get = self.known.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
 
+    def _learn(self, pieces: set[bytes]) -> None:
+        alone, groups, marked = [], [[]], bool(self.ends.any())
+        for p in pieces:
+            if marked and p.decode().isalpha():
+                if len(groups[-1]) == 1000:
+                    groups.append([])
+                groups[-1].append(p)
+            else:
+                alone.append(p)
+        for g in groups:
+            ids = np.array(self.tok.encode(b" ".join(g).decode(), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
+            if len(cuts) != len(g):                 # a letter that turns into something else in lower case
+                alone += g
+                continue
+            b, at = ids.tobytes(), 0
+            for p, end in zip(g, (4 * cuts).tolist()):
+                self.known[p] = b[at:end]
+                at = end
+        for p, e in zip(alone, self.tok.encode_batch_fast([p.decode() for p in alone], add_special_tokens=False)):
+            self.known[p] = np.array(e.ids, "<u4").tobytes()
+
+
 def id_type(vocabulary: int) -> pa.DataType:
     return pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
 
