@@ -6,7 +6,7 @@ that a 304 answer may carry replace those of the response.
 
 The as-of join has no window over a whole URL: captures are split by (URL, hour), a window finds the latest
 response inside the hour, and per (URL, hour) only the last response goes on to the hours after it.  Bodies are not
-moved: the resolved record carries the response's id and payload digest.
+moved, headers only in the last join: the resolved record carries the response's id and payload digest.
 
 Defined cases: a null URI is a URL of its own ('') that matches nothing; a null date is never earlier or later than another, so
 such revisits have no response; responses of the same instant as the revisit are not earlier; of several latest responses the
@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricemart.llm.common import staged
+
 #: headers of a 304 answer that update the stored response
 # fixed values
 MERGED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
@@ -53,24 +55,31 @@ def resolve(records: DataFrame) -> DataFrame:
 
     verdict: resolved; mismatch (a validator differs); unverified (no validator in common); no_response."""
     none = F.array().cast(records.schema["headers"].dataType)
-    x = records.select(
-        "record_id", F.col("target_uri").isNull().alias("no_url"), F.coalesce(canonical_url(F.col("target_uri")), F.lit("")).alias("url"),
-        F.unix_micros(F.col("warc_date").cast("timestamp")).alias("t"), F.coalesce("headers", none).alias("headers"), "payload_digest",
-        (F.col("warc_type") == "revisit").alias("revisit"),
-        ((F.col("warc_type") == "response") & (F.col("status") == 200)).alias("full"))
-    x = x.where("revisit or full").withColumn("hour", F.floor(F.col("t") / 3_600_000_000))
-    base = F.when(F.col("full") & F.col("t").isNotNull() & ~F.col("no_url"),
-                  F.struct("t", "record_id", "payload_digest", "headers"))
+    uri, heads = F.col("target_uri"), F.coalesce("headers", none)
+    x = records.where("warc_type = 'revisit' or (warc_type = 'response' and status = 200)").select(
+        "record_id", uri.isNull().alias("no_url"), F.coalesce(canonical_url(uri), F.lit("")).alias("url"),
+        F.unix_micros(F.col("warc_date").cast("timestamp")).alias("t"), heads.alias("headers"), "payload_digest",
+        (F.col("warc_type") == "revisit").alias("revisit"))
+    # Written once: the windows below read a few columns of it, and URLs are parsed once.
+    x = staged(records.sparkSession, x.withColumn("hour", F.floor(F.col("t") / 3_600_000_000)), "captures")
+    place = F.struct("t", "record_id", F.xxhash64("payload_digest", "headers").alias("h"))
+    full = ~F.col("revisit") & F.col("t").isNotNull() & ~F.col("no_url")
+    slim = x.where(F.col("revisit") | full).select("record_id", "url", "hour", "t", "revisit", F.when(full, place).alias("base"))
     inside = Window.partitionBy("url", "hour").orderBy("t").rangeBetween(Window.unboundedPreceding, -1)
-    local = x.withColumn("near", F.max(base).over(inside)).where("revisit").drop("full", "revisit")
-    last = x.select("url", "hour", base.alias("base")).where("base is not null").groupBy("url", "hour").agg(F.max("base").alias("base"))
+    local = slim.withColumn("near", F.max("base").over(inside)).where("revisit and near is not null")
+    last = slim.where("base is not null").groupBy("url", "hour").agg(F.max("base").alias("base"))
     # hours of revisits get the last response of the hours before them
-    hours = x.where("revisit and hour is not null").select("url", "hour").distinct()
+    hours = slim.where("revisit and hour is not null").select("url", "hour").distinct()
     before = Window.partitionBy("url").orderBy("hour").rowsBetween(Window.unboundedPreceding, -1)
     far = (last.join(hours, ["url", "hour"], "full_outer").withColumn("far", F.max("base").over(before))
            .where("far is not null").select("url", "hour", "far"))
-    y = local.join(far, ["url", "hour"], "left").withColumn(
-        "base", F.when(F.col("t").isNotNull() & ~F.col("no_url"), F.coalesce("near", "far")))
+    near = local.groupBy("url", "t").agg(F.max("near").alias("near"))       # revisits of one instant have the same response
+    revisits = x.where("revisit").drop("revisit")
+    y = (revisits.join(near, ["url", "t"], "left").join(far, ["url", "hour"], "left")
+         .withColumn("place", F.when(F.col("t").isNotNull() & ~F.col("no_url"), F.coalesce("near", "far"))).drop("near", "far"))
+    stored = (x.where(full).select("url", place.alias("place"), F.struct("t", "record_id", "payload_digest", "headers").alias("base"))
+              .dropDuplicates(["url", "place"]))
+    y = y.join(stored, ["url", "place"], "left")
     weak = lambda c: F.regexp_replace(F.trim(c), "^W/", "")
     checks = [(weak(header(F.col("headers"), "etag")), weak(header(F.col("base.headers"), "etag"))),
               (header(F.col("headers"), "last-modified"), header(F.col("base.headers"), "last-modified")),
