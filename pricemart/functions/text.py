@@ -47,37 +47,50 @@ def _numeric(code: int) -> str:
     return f"&#(?:0*{code}|[xX]0*{hexa});"
 
 
+def _let(value: Column, use) -> Column:
+    """``use`` applied to ``value``, which is computed once however often ``use`` refers to it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _if_references(c: Column, decode) -> Column:
+    """``decode`` of a text that may hold references; other texts pass as they are."""
+    return _let(c, lambda x: F.when(F.contains(x, F.lit("&")), decode(x)).otherwise(x))
+
+
 def _decode_spaces(c: Column) -> Column:
     """White space written as references, decoded (it has to be there before texts are stripped)."""
-    out = c
-    for name, ch in HTML_SPACES:
-        out = F.replace(out, F.lit(f"&{name};"), F.lit(ch))
-    for code in _SPACE_CODES:
-        out = F.regexp_replace(out, _numeric(code), chr(code))
-    return F.when(F.contains(c, F.lit("&")), out).otherwise(c)
+    def decode(x):
+        for name, ch in HTML_SPACES:
+            x = F.replace(x, F.lit(f"&{name};"), F.lit(ch))
+        for code in _SPACE_CODES:
+            x = F.regexp_replace(x, _numeric(code), chr(code))
+        return x
+    return _if_references(c, decode)
 
 
 def _character(ref: Column) -> Column:
     """The character of a numeric reference's inside (``45`` or ``x2D``); U+FFFD for one that is none."""
-    is_hex = F.lower(F.substring(ref, 1, 1)) == "x"
-    code = F.when(is_hex, F.conv(F.substring(ref, 2, 8), 16, 10)).otherwise(F.substring(ref, 1, 10)).try_cast("long")
     old = F.create_map(*[F.lit(x).cast("long") for kv in HTML_OLD_CODES.items() for x in kv])
-    code = F.coalesce(F.element_at(old, code), code)
-    good = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
-    return F.when(good, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+    number = lambda r: F.when(F.lower(F.substring(r, 1, 1)) == "x", F.conv(F.substring(r, 2, 8), 16, 10)).otherwise(
+        F.substring(r, 1, 10)).try_cast("long")
+    good = lambda n: (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
+    char = lambda n: F.when(good(n), F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")).otherwise("\ufffd")
+    return _let(_let(_let(ref, number), lambda n: F.coalesce(F.element_at(old, n), n)), char)
 
 
 def _decode_entities(c: Column) -> Column:
     """Every other reference decoded, ``&amp;`` last."""
-    named = c
-    for name, ch in HTML_ENTITIES:
-        named = F.replace(named, F.lit(f"&{name};"), F.lit(ch))
-    # pieces after each "&#...;" start with the digits and the semicolon
-    pieces = F.split(named, r"&#(?=(?:[0-9]+|[xX][0-9A-Fa-f]+);)")
-    rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda x: F.concat(
-        _character(F.substring_index(x, ";", 1)), F.substring(x, F.instr(x, ";") + 1, F.length(x))))
-    decoded = F.when(F.contains(named, F.lit("&#")), F.concat(F.get(pieces, 0), F.array_join(rest, ""))).otherwise(named)
-    return F.when(F.contains(c, F.lit("&")), F.replace(decoded, F.lit("&amp;"), F.lit("&"))).otherwise(c)
+    def rejoined(pieces):       # pieces after each "&#" start with the digits and the semicolon
+        rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda x: F.concat(
+            _character(F.substring_index(x, ";", 1)), F.substring(x, F.instr(x, ";") + 1, F.length(x))))
+        return F.concat(F.get(pieces, 0), F.array_join(rest, ""))
+
+    def decode(x):
+        for name, ch in HTML_ENTITIES:
+            x = F.replace(x, F.lit(f"&{name};"), F.lit(ch))
+        x = _let(F.split(x, r"&#(?=(?:[0-9]+|[xX][0-9A-Fa-f]+);)"), rejoined)
+        return F.replace(x, F.lit("&amp;"), F.lit("&"))
+    return _if_references(c, decode)
 
 
 def visible(c) -> Column:
