@@ -99,8 +99,9 @@ def plan(slim: DataFrame, weights: Sequence[float], share: float, max_epochs: fl
              .join(start, F.col("source").eqNullSafe(F.col("_s")) & (F.col("range") == F.col("_r")))
              .where(F.col("start") + F.col("within") - F.col("mass") / 2 <= F.col("rest")))
     cut = taken.groupBy(F.col("source").alias("_s")).agg(F.max(F.struct("key", "id", "size")).alias("cutoff"))
-    return (p.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left")
-            .select("source", "source_size", "target", "epochs", "cutoff"))
+    # Written, so that its size is known: joins with it are broadcast while it is small, and skewed joins that Spark splits beyond.
+    return staged(spark, p.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left")
+                  .select("source", "source_size", "target", "epochs", "cutoff"), "mix-plan")
 
 
 def _planned(docs: DataFrame, weights: Sequence[float], share: float, max_epochs: float, quality: Column | None,
