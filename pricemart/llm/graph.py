@@ -16,8 +16,9 @@ def _mark(edges: DataFrame) -> tuple:
 def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, root) of every node of ``edges`` (a long, b long): root is the smallest node of its component.
 
-    Alternating large-star and small-star rounds; every round is a written table in the shared folder.  Each join has
-    one row per node on one side, so a node with very many edges is a skewed join that Spark can split."""
+    Alternating large-star and small-star rounds; every step is a written table in the shared folder.  Each join has
+    one row per node on one side, read from its own table, so a node with very many edges is a skewed join that Spark
+    splits."""
     spark = edges.sparkSession
     now = staged(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     mark = _mark(now)
@@ -25,9 +26,10 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         if not mark[0]:
             break
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        low = staged(spark, both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "lows")
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = staged(spark, large, "large-star")
+        low = staged(spark, large.groupBy("a").agg(F.min("b").alias("m")), "lows")
         small = (large.join(low, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"))
                  .where("a <> b").distinct())
         after = staged(spark, small, "edges")
