@@ -46,7 +46,7 @@ class Encoder:
     a row, so each distinct piece is encoded once per worker.  The cache is bounded.  New pieces of letters only are one word
     each; where the vocabulary marks word ends, many are encoded as one text and told apart by those marks."""
 
-    TRAIL = re.compile(rb"(?<=[a-z])([.,!?;:|&*#$%]+)(?=[ \n])")
+    TRAIL = re.compile(rb"(?<=[A-Za-z])([.,!?;:|&*#$%]+)(?=[ \n])")
 
     def __init__(self, path: str, drops_space: bool = False):
         from tokenizers import Tokenizer
@@ -71,9 +71,13 @@ class Encoder:
 
     def pieces(self, text: str) -> list[bytes]:
         b = text.encode()
-        if b"<|" not in b:          # no special token: case and signs after a word don't matter to the split
-            b = self.TRAIL.sub(rb" \1", b.lower())
-        return b.split()
+        if b"<|" in b:
+            return b.split()
+        # No special token: case and signs after a word don't matter to the split.  Only ASCII pieces are put in lower
+        # case here: the tokenizer composes first, and some letters with a mark compose in lower case only.
+        if b.isascii():
+            return self.TRAIL.sub(rb" \1", b.lower()).split()
+        return [p.lower() if p.isascii() else p for p in self.TRAIL.sub(rb" \1", b).split()]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""

@@ -313,6 +313,14 @@ def test_pieces_encode_like_whole_texts(spark, name):
     assert got == [e.ids for e in coder.tok.encode_batch(texts, add_special_tokens=False)]
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_letters_that_compose_in_lower_case_only(name):
+    texts = ["H\u0331adra", "T\u0308 x", "W\u030aX.", "Y\u030a, y", "GJ\u030cG! A", "H\u0331.  AB, \u0331H C"]
+    coder = token_files.Encoder(public_tokenizers.path(name), drops_space=name.startswith("word"))
+    got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)]
+    assert got == [e.ids for e in coder.tok.encode_batch(texts, add_special_tokens=False)]
+
+
 # ---- pipeline
 
 def test_pipeline_equals_brute_force(spark):
