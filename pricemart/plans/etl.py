@@ -87,8 +87,19 @@ def _load(df: DataFrame, schema: T.StructType, key, path: str, name: str, out: E
     out.overflow[name] = {c: n for c, n in wh.overflow_counts(df, schema).first().asDict().items() if n}
     ok, bad = wh.conform(df, schema, key)
     _observed_write(ok, path, name, out.counts, cluster_by, sort_within)
-    rejects.append(bad.select(F.lit(name).alias("tbl"), F.to_json(F.struct(*[f.name for f in schema.fields])).alias("row"),
-                              F.col("_reject").alias("reason")))
+    rejects.append(_reject_rows(bad, schema, name))
+
+
+def _reject_rows(bad: DataFrame, schema: T.StructType, name: str) -> DataFrame:
+    return bad.select(F.lit(name).alias("tbl"), F.to_json(F.struct(*[f.name for f in schema.fields])).alias("row"),
+                      F.col("_reject").alias("reason"))
+
+
+def _insert(df: DataFrame, schema: T.StructType, key, path: str, name: str, rejects: list) -> DataFrame:
+    """The table at ``path``, with the conforming rows of ``df`` when it was empty; its rejected rows join ``rejects``."""
+    ok, bad = wh.conform(df, schema, key)
+    rejects.append(_reject_rows(bad, schema, name))
+    return wh.load_if_empty(ok, path, schema)
 
 
 def run_etl(spark: SparkSession, raw_root: str, out_root: str, spec: MartSpec = DEFAULT_SPEC,
@@ -116,9 +127,9 @@ def run_etl(spark: SparkSession, raw_root: str, out_root: str, spec: MartSpec =
     # Dimensions first (conformed to the declared types), then facts.
     _load(benchmark, wh.BENCHMARK_DIM_SCHEMA, wh.PERIOD_KEY, out.dim_benchmark, "dim_benchmark", out, rejects, sort_within=["period"])
     _load(rates, wh.RATES_DIM_SCHEMA, wh.PERIOD_KEY, out.dim_rates, "dim_rates", out, rejects, sort_within=["period"])
-    dates = wh.load_if_empty(wh.conform(mart.dim_date(spark, spec=spec), wh.DATE_DIM_SCHEMA, wh.DATE_DIM_KEY)[0], out.dim_date, wh.DATE_DIM_SCHEMA)
-    categories = wh.load_if_empty(wh.conform(mart.dim_category(spark, spec.category_rows), wh.CATEGORY_DIM_SCHEMA, wh.CATEGORY_DIM_KEY)[0],
-                                  out.dim_fuel_type, wh.CATEGORY_DIM_SCHEMA)
+    dates = _insert(mart.dim_date(spark, spec=spec), wh.DATE_DIM_SCHEMA, wh.DATE_DIM_KEY, out.dim_date, "dim_date", rejects)
+    categories = _insert(mart.dim_category(spark, spec.category_rows), wh.CATEGORY_DIM_SCHEMA, wh.CATEGORY_DIM_KEY, out.dim_fuel_type,
+                         "dim_fuel_type", rejects)
     _observed_write(quarantined(tuple(staged)), out.quarantine, "quarantine", c)
     fact = assemble(benchmark, rates, prices, spec)
     keyed = with_surrogate_key(fact, ["period", "fuel_type"], name="fact_id")       # written once, in the order of the key

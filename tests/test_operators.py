@@ -238,6 +238,29 @@ def test_etl_counts_from_observations(spark):
     assert (row.fact_id, str(row.price_usd), str(row.crude_cost_pct)) == (1, "0.8675", "60.54")
 
 
+def test_etl_reports_rejected_dimension_rows(spark):
+    from dataclasses import replace
+
+    from pricemart.config import DEFAULT_SPEC
+    from pricemart.plans import ingest
+    from pricemart.plans.etl import run_etl
+    from pricemart.session import scratch_path
+    raw = scratch_path(spark, "raw")
+    for name, df in (("benchmark", spark.createDataFrame([("2022-03", 83.5)], "period string, value double")),
+                     ("rates", spark.createDataFrame([("2022-03", 365.4)], "period string, usd_lkr_avg double")),
+                     ("prices", spark.createDataFrame([("2022-03", "LP_92", 317.0, 0)],
+                                                      "period string, fuel_type string, price_lkr double, _pos long"))):
+        ingest.land(df, f"{raw}/{name}", "2024-01-01")
+    spec = replace(DEFAULT_SPEC, category_rows=(("LP_92", "PETROL", "x" * 151), ("LP_95", "PETROL", "a"), ("LP_95", "PETROL", "b"),
+                                                ("LAD", None, "c"), ("LSD", "DIESEL", "d")))
+    out = run_etl(spark, raw, scratch_path(spark, "mart"), spec)
+    rows = [(r.tbl, r.reason) for r in spark.read.parquet(out.rejects).collect()]
+    assert sorted(rows) == [("dim_fuel_type", "duplicate primary key"), ("dim_fuel_type", "null in NOT NULL column: fuel_category"),
+                            ("dim_fuel_type", "text too long: description")]
+    assert out.counts["rejects"] == 3
+    assert sorted(r.fuel_type_key for r in spark.read.parquet(out.dim_fuel_type).collect()) == ["LP_95", "LSD"]
+
+
 def test_hot_series_is_spread_over_buckets(spark):
     """One series holding half of all rows still lands in many ordered buckets (tasks)."""
     df = spark.range(0, 20000).select(F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 97).alias("k"),
