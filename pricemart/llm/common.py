@@ -106,3 +106,12 @@ def bounded_sample(labelled: DataFrame, bound: int, id_col: str = "doc_id") -> D
         return labelled
     cut = int(bound / n * (1 << 31))
     return labelled.where(F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 31)) < cut)
+
+
+def labelled_rows(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, text and label of the documents in ``known`` (doc_id, label; one row per id, few enough to broadcast), one
+    row per id: of rows that repeat an id the one with the smallest text hash.  Tasks fold their own rows first, so an id
+    that many rows share sends one row per task."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    return rows.groupBy("doc_id", "label").agg(one).select("doc_id", F.col("one.text").alias("text"), "label")

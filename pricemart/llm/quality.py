@@ -8,7 +8,8 @@ with numpy on a bounded sample of labelled rows (``SAMPLE``, about 20,000 rows o
 fitted on a part of them kept aside calibrates its probabilities.
 
 Defined cases: null and empty texts pool to zeros and get the network's answer to that; with no usable labels, or labels
-of one kind only, every score is the smoothed share of label 1; repeated rows get equal scores; other columns are kept.
+of one kind only, every score is the smoothed share of label 1; of rows that repeat an id one is learnt (the smallest text
+hash); repeated rows get equal scores; other columns are kept.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricemart.llm.common import bounded_sample, chunks, fold, fresh, label_table, map_text
+from pricemart.llm.common import bounded_sample, chunks, fold, fresh, label_table, labelled_rows, map_text
 from pricemart.llm.tokens import ALNUM_OR_SIGNS, SAME, mix, owners, words
 
 BUCKETS = 1 << 15
@@ -176,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", learn: C
     vectors = word_vectors(context_table(docs.select(F.col(text_col).alias("text"))))
     known = label_table(labels, label_col)
     known = bounded_sample(known.where(learn) if learn is not None else known, sample)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "doc_id")
+    rows = labelled_rows(docs, known, id_col, text_col)
     shared = spark.sparkContext.broadcast(vectors)
 
     def run(texts: pa.Array) -> list[pa.Array]:

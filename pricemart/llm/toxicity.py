@@ -7,7 +7,8 @@ a bounded sample of labelled rows (``SAMPLE``, about 20,000), in an order given
 Every fifth row is kept aside to calibrate the probabilities (a line through the log odds).
 
 Defined cases: null and empty texts have no features and get the bias alone; with no usable labels every score is 0.5, with
-labels of one kind near that kind; fewer than 50 rows are not calibrated; repeated rows get equal scores; other columns are kept.
+labels of one kind near that kind; fewer than 50 rows are not calibrated; of rows that repeat an id one is learnt (the smallest
+text hash); repeated rows get equal scores; other columns are kept.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricemart.llm.common import bounded_sample, chunks, fold, label_table, map_text
+from pricemart.llm.common import bounded_sample, chunks, fold, label_table, labelled_rows, map_text
 from pricemart.llm.tokens import BASE, Words, mix, owners, words
 
 BITS = 20
@@ -102,7 +103,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", learn: Col
     """(columns, weights) other than 0, then bias, slope and shift, learnt from the labels that ``learn`` (a condition on doc_id) allows."""
     known = label_table(labels, label_col)
     known = bounded_sample(known.where(learn) if learn is not None else known, sample)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(known), "doc_id")
+    rows = labelled_rows(docs, known, id_col, text_col)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Distinct columns of each document."""

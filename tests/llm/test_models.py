@@ -164,6 +164,20 @@ def test_sample_is_bounded_and_repeatable(spark):
 
 # ---- toxicity
 
+def test_a_repeated_document_is_learnt_once(spark, monkeypatch):
+    docs, labels = table(spark, SF1, "documents").select("doc_id", "text"), table(spark, SF1, "labels")
+    some = labels.orderBy("doc_id").limit(1).select("doc_id")
+    hot = docs.join(some, "doc_id").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("n")
+    other = hot.limit(200).withColumn("text", F.lit("another text of the same id"))
+    seen = []
+    monkeypatch.setattr(quality, "Network", lambda x, y: seen.append(x.shape))
+    quality.fit(docs.unionByName(hot).unionByName(other), labels)
+    quality.fit(docs, labels)
+    assert seen[0] == seen[1] and seen[0][0] <= labels.count()
+    once, often = toxicity.fit(docs, labels), toxicity.fit(docs.unionByName(hot), labels)
+    assert all(np.array_equal(a, b) for a, b in zip(once, often))
+
+
 def test_toxicity_on_held_out_labels(spark):
     docs, labels = table(spark, "/root/testdata/sf0.1", "documents"), table(spark, "/root/testdata/sf0.1", "labels")
     got = toxicity.report(docs, labels).join(labels, "doc_id").where("held_out and toxic is not null").collect()
