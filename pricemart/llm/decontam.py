@@ -4,8 +4,8 @@ Every text is scanned for windows of 10 words (an item of fewer words is one win
 whose hash is in the set are verified word by word; words inside a verified window are hit.  Hit spans or whole
 documents can be removed.
 
-The set is broadcast only while the benchmark's texts stay below ``BROADCAST_BYTES``.  A larger benchmark is
-joined with the windows' 128-bit hashes by a shuffle instead (same results).
+The set is broadcast only while the benchmark's texts stay below ``BROADCAST_BYTES`` and the set built from them, by
+estimate, below ``SET_BYTES``.  A larger benchmark is joined with the windows' 128-bit hashes by a shuffle instead (same results).
 
 Defined cases: a null or empty text has no words and no hits; null or empty items have no windows; items that repeat
 an id count once; a null item id is written as ''; repeated documents are each judged; other columns are kept.
@@ -26,6 +26,8 @@ from pricemart.llm.tokens import Words, flat, mix, ngrams, owners, starts_inside
 
 WINDOW = 10
 BROADCAST_BYTES = 64 << 20      # of benchmark text
+SET_BYTES = 96 << 20            # of the built set at the driver's peak; Python workers hold about a third
+WINDOW_BYTES = 1300             # measured at that peak: a window's objects besides its words
 
 
 class Grams:
@@ -103,15 +105,32 @@ def item_rows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "
                             F.col(text_col).cast("string").alias("text")).where("text is not null").distinct()
 
 
+def set_sizes(items: DataFrame, window: int = WINDOW) -> tuple[int, int]:
+    """(bytes of text, estimated bytes of ``Grams``) of ``items``; every window counts, also repeated ones."""
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, "text"):
+                texts = part.column(0)
+                n = np.diff(words(texts).offsets)
+                size = np.minimum(n, window)
+                text = np.diff(flat(texts)[1])
+                built = np.where(n > 0, (n - size + 1) * WINDOW_BYTES + size * text, 0)
+                yield pa.RecordBatch.from_arrays([pa.array([int(text.sum())], pa.int64()), pa.array([int(built.sum())], pa.int64())],
+                                                 names=["text", "built"])
+
+    found = items.select("text").mapInArrow(measured, "text long, built long").agg(F.sum("text"), F.sum("built")).first()
+    return found[0] or 0, found[1] or 0
+
+
 def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, prefix: str = "",
-         broadcast_bytes: int = BROADCAST_BYTES, with_text: bool = True) -> DataFrame:
+         broadcast_bytes: int = BROADCAST_BYTES, with_text: bool = True, set_bytes: int = SET_BYTES) -> DataFrame:
     """``docs`` with n_words, n_hit, items (sorted ids of the items found) and clean_text (hit spans removed;
     null for a null text).  ``prefix`` goes before the four names."""
     spark = docs.sparkSession
     items = item_rows(benchmark)
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size, built = set_sizes(items, window)
     fields = [T.StructField(prefix + f.name, f.dataType) for f in FIELDS]
-    if size > broadcast_bytes:
+    if size > broadcast_bytes or built > set_bytes:
         return _joined(docs, items, text_col, window, fields, with_text)
     grams = Grams([tuple(r) for r in items.collect()], window)
     shared = spark.sparkContext.broadcast((grams.hashes, grams.behind))

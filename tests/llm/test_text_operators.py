@@ -68,6 +68,16 @@ def test_decontamination_equals_brute_force(spark, bound):
     assert sorted(tuple(r) for r in got) == sorted((d, *brute_hits(t, BENCH)) for d, t in LEAKY)
 
 
+def test_a_set_too_big_to_broadcast_is_not_built(spark, monkeypatch):
+    """Half a megabyte of text, but 100,000 windows: joined, with the same hits."""
+    monkeypatch.setattr(decontam, "Grams", None)
+    long = " ".join(f"w{i % 977}x{i % 101}" for i in range(100_009))
+    bench = spark.createDataFrame([(1, long), (2, "short item")], "item_id long, text string")
+    docs = documents(spark, [(1, "so " + " ".join(long.split()[500:512]) + " off"), (2, "a short item"), (3, "nothing"), (4, None)])
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontam.report(docs, bench).collect()}
+    assert got == {1: (14, 12, 1), 2: (3, 2, 1), 3: (1, 0, 0), 4: (0, 0, 0)}
+
+
 def test_decontamination_removes_documents_or_spans(spark):
     bench = spark.createDataFrame(BENCH, "item_id long, text string")
     docs = documents(spark, LEAKY).withColumnRenamed("lang", "n_hit")           # a clashing name
