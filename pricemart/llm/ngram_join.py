@@ -4,7 +4,7 @@ A document's set holds the 64-bit hashes of its 5-word shingles (1 to 4 words: o
 folded into one node first, so exact copies cost one row each.  ``banding`` picks rows and bands for the wanted recall at
 the threshold; nodes that share a band's hash are candidates.  Candidates that hang together are grouped into
 components, and every node's text travels once to its component, where all pairs are compared on their full sets.  A
-component of more than ``BLOCK`` nodes is cut into blocks, and each pair of blocks is a group of its own: no group outgrows a
+component of more than ``BLOCK`` nodes or ``BLOCK_BYTES`` of text is cut into blocks, and each pair of blocks is a group of its own: no group outgrows a
 task, and pairs are counted inside tasks, never emitted.
 
 Result: for every document its class (documents connected by links) and its number of links, i.e. of other documents whose
@@ -35,6 +35,7 @@ THRESHOLD = 0.8
 RECALL = 0.9999
 MAX_HASHES = 128
 BLOCK = 512
+BLOCK_BYTES = 16 << 20          # of text in a block, where it has several nodes
 
 
 def banding(threshold: float = THRESHOLD, recall: float = RECALL, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -141,12 +142,28 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
         yield close(group)
 
 
+def groups(found: DataFrame, slim: DataFrame, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(comp, i, j, node, copies, side, text): each node's text once in every pair of blocks it belongs to.
+
+    ``found`` has root, node, copies and place (doc_id, text_hash, bytes) of the candidates.  Repeated rows of a place are
+    one row before texts are copied."""
+    by_bytes = F.least(F.ceil(F.sum("place.bytes") / block_bytes), F.count("*"))
+    sizes = found.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / block), by_bytes, F.lit(1)).cast("int").alias("blocks"))
+    members = found.join(sizes, "root").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    texts = members.join(slim, (slim["doc_id"].eqNullSafe(F.col("place.doc_id"))) & (slim["text_hash"] == F.col("place.text_hash")))
+    once = texts.select("root", "node", "copies", "side", "blocks", "text").dropDuplicates(["node"])
+    return (once.select("root", "node", "copies", "side", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+            .select(F.col("root").alias("comp"), F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
+                    "node", "copies", "side", "text"))
+
+
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL,
              block: int = BLOCK) -> DataFrame:
     """One row per document: doc_id, text_hash, class (a number), class_id, n_links."""
     spark = docs.sparkSession
     rows, bands = banding(threshold, recall)
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_hash"))
+    sized = slim.withColumn("bytes", F.octet_length("text"))
 
     def shingled(texts: pa.Array) -> list[pa.Array]:
         by = _multipliers(rows * bands)
@@ -157,23 +174,17 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
         ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])])
         return [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(keys), pa.int64()))]
 
-    marked = map_text(slim, "text", [T.StructField("node", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))], shingled).drop("text")
+    marked = map_text(sized, "text", [T.StructField("node", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))], shingled).drop("text")
     marked = staged(spark, marked, "shingled")
     nodes = (marked.where("node is not null").groupBy("node")
-             .agg(F.count("*").alias("copies"), F.min("doc_id").alias("low_id"), F.min(F.struct("doc_id", "text_hash")).alias("place"),
+             .agg(F.count("*").alias("copies"), F.min("doc_id").alias("low_id"), F.min(F.struct("doc_id", "text_hash", "bytes")).alias("place"),
                   F.first("keys").alias("keys")))
     nodes = staged(spark, nodes, "shingle-nodes")
     buckets = nodes.select("node", F.explode("keys").alias("key"))
     shared = buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     found = components(buckets.join(shared, "key").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")))
-    found = staged(spark, found, "candidates")
-    sizes = found.groupBy("root").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    members = (found.join(sizes, "root").join(nodes.select("node", "copies", "place"), "node")
-               .withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
-    texts = members.join(slim, (slim["doc_id"].eqNullSafe(F.col("place.doc_id"))) & (slim["text_hash"] == F.col("place.text_hash")))
-    pairs = (texts.select("root", "node", "copies", "side", "text", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-             .select(F.col("root").alias("comp"), F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"),
-                     "node", "copies", "side", "text"))
+    found = staged(spark, found.join(nodes.select("node", "copies", "place"), "node"), "candidates")
+    pairs = groups(found, slim, block)
     verified = (pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "comp", "i", "j").sortWithinPartitions("comp", "i", "j", "node")
                 .mapInArrow(lambda b: _verify(b, threshold), "node long, links long, root long"))
     verified = staged(spark, verified, "links")

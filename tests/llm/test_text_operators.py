@@ -1,9 +1,11 @@
 import hashlib
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from pricemart.llm import decontam, line_dedup, ngram_join, suffix_dedup, tokens
 from pricemart.llm.graph import components
@@ -177,6 +179,21 @@ def test_join_equals_brute_force(spark, block):
     assert sorted((tuple(r) for r in got), key=str) == brute_classes(NEAR)
 
 
+def test_groups_hold_each_text_once_and_bounded_bytes(spark):
+    slim = documents(spark, [(i, f"{i:03}" + "y" * 997) for i in range(60)] + [(7, "007" + "y" * 997)] * 500).select(
+        "doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = slim.distinct().select(F.lit(1).cast("long").alias("root"), F.col("doc_id").alias("node"), F.lit(1).cast("long").alias("copies"),
+                                   F.struct("doc_id", "text_hash", F.octet_length("text").alias("bytes")).alias("place"))
+    rows = [(r.i, r.j, r.node, len(r.text)) for r in ngram_join.groups(found, slim, 512, 6000).collect()]
+    assert len(rows) == len({r[:3] for r in rows}) == 60 * 10          # ten blocks
+    size = Counter()
+    for i, j, _, n in rows:
+        size[i, j] += n
+    assert max(size.values()) <= 30_000
+    met = {frozenset((a[2], b[2])) for a in rows for b in rows if a[:2] == b[:2] and a[2] < b[2]}
+    assert len(met) == 60 * 59 // 2                                     # every pair meets
+
+
 def test_one_document_of_each_class_stays(spark):
     docs = documents(spark, NEAR).withColumnRenamed("lang", "class")
     kept = ngram_join.keep_one(docs)
