@@ -47,6 +47,7 @@ def main(argv: list[str] | None = None) -> int:
     for s in (b, r, p):
         s.add_argument("--out", required=True)
         s.add_argument("--run-date", required=True)
+        s.add_argument("--csv-single-line", action="store_true", help="no CSV value holds a line break: large files are split")
     e = sub.add_parser("etl")
     e.add_argument("--raw", required=True)
     e.add_argument("--out", required=True)
@@ -60,7 +61,7 @@ def main(argv: list[str] | None = None) -> int:
         if a.payloads:
             feeds.append(lambda: api_payload.payload_records(spark.read.parquet(a.payloads)))
         if a.csv:
-            feeds.append(lambda: csv_alias.read_layouts(spark, a.csv, csv_alias.benchmark_from_csv))
+            feeds.append(lambda: csv_alias.read_layouts(spark, a.csv, csv_alias.benchmark_from_csv, not a.csv_single_line))
         _landed, _removed, counts = ingest.ingest_benchmark(feeds[0], feeds[-1], a.out, a.run_date)
         result = {"landed": counts["kept"], "removed": counts["removed"]}
     elif a.cmd == "ingest-rates":
@@ -70,13 +71,13 @@ def main(argv: list[str] | None = None) -> int:
         if a.pages_all:
             feeds.append(lambda: html_tables.two_column_rates(spark.read.parquet(a.pages_all), False))
         if a.csv:
-            feeds.append(lambda: csv_alias.read_layouts(spark, a.csv, csv_alias.rates_from_csv))
+            feeds.append(lambda: csv_alias.read_layouts(spark, a.csv, csv_alias.rates_from_csv, not a.csv_single_line))
         result = {"landed": ingest.ingest_rates(feeds, a.out, a.run_date).count()}
     elif a.cmd == "ingest-prices":
         empty = "period string, fuel_type string, price_lkr double, source string, _pos struct<file:string,a:long,b:long,c:long>"
         scraped = (html_tables.price_table(spark.read.parquet(a.pages)) if a.pages
                    else spark.createDataFrame([], empty))
-        history = (csv_alias.read_layouts(spark, a.csv, csv_alias.prices_from_csv) if a.csv
+        history = (csv_alias.read_layouts(spark, a.csv, csv_alias.prices_from_csv, not a.csv_single_line) if a.csv
                    else spark.createDataFrame([], empty))
         result = {"landed": ingest.ingest_prices(scraped, history, a.out, a.run_date).count()}
     else:

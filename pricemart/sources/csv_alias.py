@@ -92,9 +92,10 @@ def prices_from_csv(df: DataFrame, source: str = "history_csv") -> DataFrame:
     return out.select("period", "fuel_type", "price_lkr", F.lit(source).alias("source"), POSITION)
 
 
-def read_layouts(spark: SparkSession, paths: Sequence[str], parse) -> DataFrame:
-    """Read each header layout separately, resolve aliases per layout, union the results."""
-    parts = [parse(read_csv_text(spark, p)) for p in paths]
+def read_layouts(spark: SparkSession, paths: Sequence[str], parse, multiline: bool = True) -> DataFrame:
+    """Read each header layout separately, resolve aliases per layout, union the results.  ``multiline=False`` as in
+    ``read_csv_text``."""
+    parts = [parse(read_csv_text(spark, p, multiline)) for p in paths]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -96,6 +96,18 @@ def test_csv_layouts(spark):
     assert got == [("2026-03", "LP_92", 1200.5)]
 
 
+def test_csv_without_line_breaks_is_split(spark):
+    p = _write(scratch_path(spark, "split"), "period,value\n" + "".join(f"{1900 + i % 100}-01,{i}\n" for i in range(2000)))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        whole, split = (csv.read_layouts(spark, [p], csv.benchmark_from_csv, m) for m in (True, False))
+        assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 1
+        assert sorted(whole.collect()) == sorted(split.collect()) and split.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 PRICE_PAGE = """<html><body>
 <table class="menu"><tr><td>Home</td><td>About</td></tr></table>
 <table id="t" border=1>
