@@ -100,10 +100,11 @@ def links(sets: list[np.ndarray], threshold: float, cross: np.ndarray | None = N
 
 
 def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Groups (comp, i, j) arrive one after another; a row for each node: its links and the root of its linked nodes."""
+    """Groups (comp, i, j) arrive one after another; a row for each node: its links and the root of its linked nodes.
+    A group of two blocks counts links between them only, also where one of them has no nodes."""
     names = ["node", "links", "root"]
 
-    def close(group: list[tuple]) -> pa.RecordBatch:
+    def close(group: list[tuple], across: bool) -> pa.RecordBatch:
         nodes = {r[0]: r for r in group}                # repeated rows of one node
         rows = list(nodes.values())
         sets = []
@@ -120,7 +121,7 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
             return x
 
         total = np.zeros(len(rows), np.int64)
-        for i, near in links(sets, threshold, side if len(set(side.tolist())) > 1 else None):
+        for i, near in links(sets, threshold, side if across else None):
             total[i] = weight[near].sum()
             for j in near[near > i].tolist():
                 a, b = top(i), top(j)
@@ -135,11 +136,11 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
         for comp, i, j, node, copies, side, text in zip(*(c.to_pylist() for c in cols)):
             if (comp, i, j) != key:
                 if group:
-                    yield close(group)
+                    yield close(group, key[1] != key[2])
                 key, group = (comp, i, j), []
             group.append((node, copies, text, side))
     if group:
-        yield close(group)
+        yield close(group, key[1] != key[2])
 
 
 def groups(found: DataFrame, slim: DataFrame, block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -158,7 +159,7 @@ def groups(found: DataFrame, slim: DataFrame, block: int = BLOCK, block_bytes: i
 
 
 def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, recall: float = RECALL,
-             block: int = BLOCK) -> DataFrame:
+             block: int = BLOCK, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: doc_id, text_hash, class (a number), class_id, n_links."""
     spark = docs.sparkSession
     rows, bands = banding(threshold, recall)
@@ -184,7 +185,7 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     shared = buckets.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     found = components(buckets.join(shared, "key").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")))
     found = staged(spark, found.join(nodes.select("node", "copies", "place"), "node"), "candidates")
-    pairs = groups(found, slim, block)
+    pairs = groups(found, slim, block, block_bytes)
     verified = (pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "comp", "i", "j").sortWithinPartitions("comp", "i", "j", "node")
                 .mapInArrow(lambda b: _verify(b, threshold), "node long, links long, root long"))
     verified = staged(spark, verified, "links")

@@ -172,10 +172,11 @@ NEAR = [*((100 + i, t) for i, t in enumerate(copies(11, 12, 1))), *((200 + i, t)
         (405, "..."), (100, copies(11, 1, 1)[0]), (None, prose(50, 80))]
 
 
-@pytest.mark.parametrize("block", [ngram_join.BLOCK, 4])
-def test_join_equals_brute_force(spark, block):
+@pytest.mark.parametrize("block,block_bytes", [(ngram_join.BLOCK, ngram_join.BLOCK_BYTES), (4, ngram_join.BLOCK_BYTES), (1, ngram_join.BLOCK_BYTES),
+                                               (ngram_join.BLOCK, 1), (ngram_join.BLOCK, 1500)])
+def test_join_equals_brute_force(spark, block, block_bytes):
     """Also with components cut into blocks."""
-    got = ngram_join.classify(documents(spark, NEAR).repartition(3), block=block).select("doc_id", "class_id", "n_links").collect()
+    got = ngram_join.classify(documents(spark, NEAR).repartition(3), block=block, block_bytes=block_bytes).select("doc_id", "class_id", "n_links").collect()
     assert sorted((tuple(r) for r in got), key=str) == brute_classes(NEAR)
 
 
@@ -194,6 +195,16 @@ def test_groups_hold_each_text_once_and_bounded_bytes(spark):
     assert len(met) == 60 * 59 // 2                                     # every pair meets
 
 
+def test_pairs_of_long_near_copies_have_one_link_each(spark):
+    """Two texts above the byte bound are two blocks; both may fall on one side."""
+    rows = []
+    for i in range(6):
+        base = prose(900 + i, 3000)
+        rows += [(2 * i, base), (2 * i + 1, base + " tail")]
+    got = ngram_join.classify(documents(spark, rows), block_bytes=4000).select("doc_id", "class_id", "n_links").collect()
+    assert sorted(tuple(r) for r in got) == [(d, d // 2 * 2, 1) for d in range(12)]
+
+
 def test_one_document_of_each_class_stays(spark):
     docs = documents(spark, NEAR).withColumnRenamed("lang", "class")
     kept = ngram_join.keep_one(docs)
