@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 
 from pricemart.plans import ingest
 from pricemart.plans.etl import run_etl
-from pricemart.session import apply_runtime_conf, clear_scratch, ensure_checkpoint_dir
+from pricemart.session import apply_runtime_conf, ensure_checkpoint_dir, job_scratch
 from pricemart.sources import api_payload, csv_alias, html_tables
 
 
@@ -55,7 +55,13 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--multiline", action="store_true")
     a = ap.parse_args(argv)
     spark = _spark()
+    with job_scratch(spark):
+        result = _run(spark, a)
+    print(json.dumps(result))
+    return 0
+
 
+def _run(spark: SparkSession, a: argparse.Namespace) -> dict:
     if a.cmd == "ingest-benchmark":
         feeds = []
         if a.payloads:
@@ -84,9 +90,7 @@ def main(argv: list[str] | None = None) -> int:
         out = run_etl(spark, a.raw, a.out, layout=a.layout, multiline=a.multiline)
         measured = ("counts", "read", "overflow")
         result = {"outputs": {k: v for k, v in vars(out).items() if k not in measured}, **{k: getattr(out, k) for k in measured}}
-    clear_scratch(spark)
-    print(json.dumps(result))
-    return 0
+    return result
 
 
 if __name__ == "__main__":

@@ -11,6 +11,9 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -88,15 +91,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+_made: ContextVar[list[str] | None] = ContextVar("pricemart_scratch", default=None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/pricemart-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/pricemart-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders that are made inside this block are removed at its end, whether it succeeds or not.
+
+    Only those: what a caller made before, what live DataFrames read and what other applications keep below the
+    same checkpoint folder stays.  Frames made inside the block can't be read after it."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            remove_path(spark, path)
 
 
-def clear_scratch(spark: SparkSession) -> None:
-    """Remove what this session has written below its scratch folder (results that still read from it end)."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricemart-scratch")
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system it lies; a missing one is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 

@@ -3,7 +3,8 @@
 import json
 
 from pricemart import cli
-from pricemart.session import scratch_path
+from pricemart.operators.fill import forward_fill
+from pricemart.session import job_scratch, scratch_path, staged
 from tests.test_sources import PRICE_PAGE, _write
 
 
@@ -22,3 +23,24 @@ def test_cli_jobs_end_to_end(spark, capsys):
     outs = [json.loads(line) for line in capsys.readouterr().out.strip().splitlines()]
     assert outs[0] == {"landed": 1, "removed": 0} and outs[1] == {"landed": 1}
     assert outs[3]["counts"]["fact"] == 6 and outs[3]["counts"]["dim_rates"] == 1
+
+
+def test_a_job_removes_its_own_scratch_only(spark):
+    """A caller's folder and a live DataFrame survive a job; what the job staged goes, also when it fails."""
+    mine = scratch_path(spark, "mine")
+    spark.range(3).write.parquet(mine)
+    live = forward_fill(spark.createDataFrame([("a", 1, 2.0), ("a", 2, None)], "s string, t int, v double"), ["v"], ["t"], ["s"])
+    with job_scratch(spark):
+        inside = staged(spark, spark.range(5), "inside")
+        path = inside.inputFiles()[0]
+        assert inside.count() == 5
+    assert spark.read.parquet(mine).count() == 3 and sorted(r.v for r in live.collect()) == [2.0, 2.0]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    assert not folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
+    try:
+        with job_scratch(spark):
+            failed = staged(spark, spark.range(5), "failed").inputFiles()[0]
+            raise ValueError
+    except ValueError:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(failed)
+        assert not folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(folder)
