@@ -15,10 +15,7 @@ null ids come first; an empty table gives an empty index and no files.
 
 from __future__ import annotations
 
-import json
 import re
-import sys
-import types
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,88 +28,25 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricemart.llm.common import staged
+from pricemart.llm.common import chunks, staged
+from pricemart.llm.pieces import PieceTable, with_end
 from pricemart.session import scratch_path
 
 SEQ_LEN = 1024
 ROWS = 32                       # sequences in a record batch
-CACHE_WORDS = 600_000           # encoded pieces that a worker remembers
 
 
 class Encoder:
-    """ids of texts, by the ``tokenizers`` library.
-
-    ``drops_space``: for tokenizers that drop white space, a text's ids are those of its space-separated pieces in
-    a row, so each distinct piece is encoded once per worker.  The cache is bounded.  New pieces of letters only are one word
-    each; where the vocabulary marks word ends, many are encoded as one text and told apart by those marks."""
-
-    TRAIL = re.compile(rb"(?<=[A-Za-z])([.,!?;:|&*#$%]+)(?=[ \n])")
+    """ids of single texts, by a table of pieces."""
 
     def __init__(self, path: str, drops_space: bool = False):
-        from tokenizers import Tokenizer
-
-        self.tok = Tokenizer.from_file(path)
-        self.drops_space = drops_space
-        self.known: dict[bytes, bytes] = {}
-        mark = json.loads(self.tok.to_str())["model"].get("end_of_word_suffix")
-        vocabulary = self.tok.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
-        if mark:
-            self.ends[[i for t, i in vocabulary.items() if t.endswith(mark)]] = True
-
-    @staticmethod
-    def shared(path: str, drops_space: bool) -> Encoder:
-        """The worker process's encoder: Spark reuses workers, so later tasks find the cache warm."""
-        home = sys.modules.setdefault("_pricemart_encoders", types.ModuleType("_pricemart_encoders"))
-        key = f"{path}|{drops_space}"
-        if not hasattr(home, key):
-            setattr(home, key, Encoder(path, drops_space))
-        return getattr(home, key)
-
-    def pieces(self, text: str) -> list[bytes]:
-        b = text.encode()
-        if b"<|" in b:
-            return b.split()
-        # No special token: case and signs after a word don't matter to the split.  Only ASCII pieces are put in lower
-        # case here: the tokenizer composes first, and some letters with a mark compose in lower case only.
-        if b.isascii():
-            return self.TRAIL.sub(rb" \1", b.lower()).split()
-        return [p.lower() if p.isascii() else p for p in self.TRAIL.sub(rb" \1", b).split()]
+        self.table = PieceTable(path, drops_space)
+        self.tok = self.table.tok
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if not self.drops_space:
-            found = self.tok.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in found]
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        cut = [self.pieces(t or "") for t in texts]
-        self._learn(set().union(*cut).difference(self.known))
-        get = self.known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
-
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        alone, groups, marked = [], [[]], bool(self.ends.any())
-        for p in pieces:
-            if marked and p.decode().isalpha():
-                if len(groups[-1]) == 1000:
-                    groups.append([])
-                groups[-1].append(p)
-            else:
-                alone.append(p)
-        for g in groups:
-            ids = np.array(self.tok.encode(b" ".join(g).decode(), add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(self.ends[ids]) + 1 if len(ids) else np.zeros(0, np.int64)
-            if len(cuts) != len(g):                 # a letter that turns into something else in lower case
-                alone += g
-                continue
-            b, at = ids.tobytes(), 0
-            for p, end in zip(g, (4 * cuts).tolist()):
-                self.known[p] = b[at:end]
-                at = end
-        for p, e in zip(alone, self.tok.encode_batch_fast([p.decode() for p in alone], add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, "<u4").tobytes()
+        ids, at = self.table.encode(pa.array(texts, pa.string()))
+        return [ids[a:b].astype("<u4").tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 def id_type(vocabulary: int) -> pa.DataType:
@@ -207,9 +141,8 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int, drops_space: b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        coder = Encoder.shared(tokenizer, drops_space)
-        kind = id_type(max(coder.tok.get_vocab_size(with_added_tokens=True), end_id + 1))
-        end = np.array([end_id], kind.to_pandas_dtype())
+        table = PieceTable.shared(tokenizer, drops_space)
+        kind = id_type(max(table.size, end_id + 1))
         fs, base = pafs.FileSystem.from_uri(uri)
         target, own = f"{base}/part-{part:08d}.arrows", f"{base}/_part-{part:08d}-{uuid.uuid4().hex}"
         sink = writer = None
@@ -220,15 +153,15 @@ def write(docs: DataFrame, out: str, tokenizer: str, end_id: int, drops_space: b
                 sink = fs.open_output_stream(own)
                 writer = _Writer(sink, kind, seq_len, rows)
             sizes = []
-            texts = batch.column(1).to_pylist()
-            for i in range(0, len(texts), 100):
-                for ids in coder.encode(texts[i:i + 100]):
-                    ids = np.concatenate([np.frombuffer(ids, "<u4").astype(end.dtype), end])
-                    writer.add(ids)
-                    sizes.append(len(ids))
+            for texts in chunks(batch, "text"):
+                ids, ends = table.encode(texts.column(1))
+                ids, ends = with_end(ids.astype(kind.to_pandas_dtype()), ends, end_id)
+                writer.add(ids)
+                sizes.append(np.diff(ends))
+            sizes = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
             ends = at + np.cumsum(sizes)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([part] * len(sizes), pa.int64()), pa.array(ends - sizes, pa.int64()),
-                                              pa.array(sizes, pa.int64()), pa.array([f"{uri}/part-{part:08d}.arrows"] * len(sizes))],
+                                              pa.array(sizes, pa.int64()), pa.array([f"{uri}/part-{part:08d}.arrows"] * len(sizes), pa.string())],
                                              names=schema.names)
             at = int(ends[-1]) if len(sizes) else at
         if writer is not None:

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from pricemart.llm import decontam, host_rules, mix, ngram_join, quality, revisits, token_files, toxicity
+from pricemart.llm import decontam, host_rules, mix, ngram_join, pieces, quality, revisits, token_files, toxicity
 from pricemart.llm.common import bounded_sample, table
 from pricemart.llm.tokens import words
 
@@ -335,6 +336,28 @@ def test_letters_that_compose_in_lower_case_only(name):
     assert got == [e.ids for e in coder.tok.encode_batch(texts, add_special_tokens=False)]
 
 
+PARTS = ["a", "B", "é", "ß", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\u2003", "\u2028", "'s", "'", "'LL", "12", "3", ".", "!?", "…", "—", "Σ", "H\u0331",
+         "T\u0308", "≠", "İ", "日本", "\u0301", "<|endoftext|>", "<|", "|>", "\x00", "\x1c", "\x85", "×", "÷", "don't", "foo", "🙂", "👩\u200d👧", "\u200b",
+         "\r\n", "º", "١٢", "A\u030a", "ŉ", "ﬁ", "가", "\u1100", "\u1161", "averyveryverylongwordofmorethanthirtybytes", "Привет"]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_tables_of_pieces_give_the_tokenizers_ids(name):
+    """Random texts of letters, signs, marks and white space of many kinds, many in one call, with a table that is full
+    (and emptied) and without."""
+    rng = random.Random(7)
+    texts = ["".join(rng.choice(PARTS) for _ in range(rng.randrange(14))) or None for _ in range(4000)]
+    for room in (pieces.TABLE_PIECES, 300):
+        coder = pieces.PieceTable(public_tokenizers.path(name), name.startswith("word"), room)
+        want = [e.ids for e in coder.tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+        assert not coder.whole and coder.parts
+        for i in range(0, len(texts), 500):
+            ids, at = coder.encode(pa.array(texts[i:i + 500], pa.string()))
+            assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want[i:i + 500]
+    ids, at = pieces.with_end(*coder.encode(pa.array(["a b", None, "", "c"])), 1)
+    assert (np.diff(at) >= 1).all() and ids[at[1:] - 1].tolist() == [1, 1, 1, 1] and at[0] == 0
+
+
 # ---- pipeline
 
 def test_pipeline_equals_brute_force(spark):
