@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pricemart.llm import (decontam, host_rules, line_dedup, mix, ngram_join, periodic_runs, quality, revisits, suffix_dedup,
+from pricemart.llm import (decontam, host_rules, line_dedup, mix, ngram_join, packing, periodic_runs, quality, revisits, suffix_dedup,
                            token_files, toxicity)
 from pricemart.llm.common import configure, table
 
@@ -77,6 +77,14 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.report(table(spark, sf_dir, "documents"))
 
 
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2,048 tokens, each window by the sources' shares: the pieces."""
+    import public_tokenizers
+
+    configure(spark)
+    return packing.report(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_quality, op3_ngram_join, op4_decontaminate, op5_toxicity, op6_suffix_dedup, op7_host_rules, op8_revisits,
-    op9_token_files, op10_line_dedup, op12_periodic_runs)}
+    op9_token_files, op10_line_dedup, op12_periodic_runs, op13_packing)}
