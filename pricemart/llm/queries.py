@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pricemart.llm import (decontam, host_rules, line_dedup, mix, ngram_join, packing, periodic_runs, quality, revisits, suffix_dedup,
-                           token_files, toxicity)
+                           token_files, toxicity, whitening)
 from pricemart.llm.common import configure, table
 
 
@@ -71,6 +71,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the components of all vectors' covariance, with unit variance."""
+    configure(spark)
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of words in every document, and the digest of what is left without repetitions."""
     configure(spark)
@@ -87,4 +93,4 @@ def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mix_sources, op2_quality, op3_ngram_join, op4_decontaminate, op5_toxicity, op6_suffix_dedup, op7_host_rules, op8_revisits,
-    op9_token_files, op10_line_dedup, op12_periodic_runs, op13_packing)}
+    op9_token_files, op10_line_dedup, op11_whitening, op12_periodic_runs, op13_packing)}
