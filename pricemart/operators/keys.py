@@ -17,7 +17,9 @@ from pricemart.operators.buckets import BUCKET, TIE_BREAK, ranged
 
 
 def with_surrogate_key(df: DataFrame, order: Sequence[str], name: str = "fact_id", start: int = 1,
-                       buckets: int | None = None) -> DataFrame:
+                       buckets: int | None = None, range_name: str | None = None) -> DataFrame:
+    """``df`` with its id first; ``range_name``: also the number of the row's range as the last column (ids rise from range
+    to range), so that later ordered work over the same order needs no ranges of its own."""
     order = list(order)
     x = ranged(df, order, buckets)
     counts = x.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
@@ -26,4 +28,5 @@ def with_surrogate_key(df: DataFrame, order: Sequence[str], name: str = "fact_id
                            F.lit(0)).alias("_off"))
     rn = F.row_number().over(Window.partitionBy(BUCKET).orderBy(*order, TIE_BREAK))
     key = (F.lit(start - 1) + F.col("_off") + rn).cast("long")
-    return x.join(offsets, on=BUCKET, how="inner").select(key.alias(name), *df.columns)
+    more = [F.col(BUCKET).alias(range_name)] if range_name else []
+    return x.join(offsets, on=BUCKET, how="inner").select(key.alias(name), *df.columns, *more)

@@ -1,9 +1,9 @@
 """Extract -> transform -> load: the batch job over landed snapshots.
 
 Actions: one emptiness probe per feed, one write per checked feed and per output.
-The checked feeds (one row per key, good or with a reason) are staged once as written tables
-below the output folder, so the raw-volume work (scans and the dedupe shuffles) runs once per feed;
-every output reads the staged rows, and a lost executor only
+The checked feeds (one row per key, good or with a reason) and the joined fact are staged once as written tables
+in the scratch folder (removed at the end), so the raw-volume work (scans and the dedupe shuffles) runs once per feed and
+the joins once; every output reads the staged rows, and a lost executor only
 recomputes from the staged files.  Counts come from Observations on the writes.
 Nothing is lost silently: rows in = duplicates + quarantined + rejected + loaded, feed by feed.
 """
@@ -20,6 +20,8 @@ from pricemart.config import DEFAULT_SPEC, MartSpec
 from pricemart.operators.keys import with_surrogate_key
 from pricemart.plans import mart
 from pricemart.plans.transform import assemble, check_feeds, good_rows, monthly_summary, quarantined
+from pricemart.session import job_scratch, staged
+from pricemart.sinks import publish
 from pricemart.sinks import warehouse as wh
 from pricemart.sources import envelope as env
 
@@ -82,11 +84,20 @@ def read_feeds(spark: SparkSession, raw_root: str, layout: str = "snapshot", mul
     return b, r, p
 
 
-def _load(df: DataFrame, schema: T.StructType, key, path: str, name: str, out: EtlOutputs, rejects: list, cluster_by=(), sort_within=()) -> None:
-    """Write the conforming rows of ``df``; its rejected rows join ``rejects``, values that don't fit are counted."""
-    out.overflow[name] = {c: n for c, n in wh.overflow_counts(df, schema).first().asDict().items() if n}
-    ok, bad = wh.conform(df, schema, key)
+def _load(df: DataFrame, schema: T.StructType, key, path: str, name: str, out: EtlOutputs, rejects: list, cluster_by=(), sort_within=(),
+          also=()) -> None:
+    """Write the conforming rows of ``df`` (a written table: it is scanned, not computed again); its rejected rows join
+    ``rejects``, values that don't fit are counted.  ``also``: columns outside ``schema`` that are written with the rows."""
+    if key:
+        out.overflow[name] = {c: n for c, n in wh.overflow_counts(df, schema).first().asDict().items() if n}
+        ok, bad = wh.conform(df, schema, key)
+    else:                                               # counted by the write itself, above which rows are dropped
+        seen = Observation(f"overflow_{name}")
+        flagged = wh.flagged(df.observe(seen, *wh.overflow_columns(df, schema)), schema, also)
+        ok, bad = flagged.where("_reject is null").drop("_reject"), wh.flagged(df, schema).where("_reject is not null")
     _observed_write(ok, path, name, out.counts, cluster_by, sort_within)
+    if not key:
+        out.overflow[name] = {c: n for c, n in seen.get.items() if n}
     rejects.append(_reject_rows(bad, schema, name))
 
 
@@ -95,51 +106,71 @@ def _reject_rows(bad: DataFrame, schema: T.StructType, name: str) -> DataFrame:
                       F.col("_reject").alias("reason"))
 
 
-def _insert(df: DataFrame, schema: T.StructType, key, path: str, name: str, rejects: list) -> DataFrame:
-    """The table at ``path``, with the conforming rows of ``df`` when it was empty; its rejected rows join ``rejects``."""
+def _insert(df: DataFrame, schema: T.StructType, key, path: str, name: str, old: str | None, rejects: list) -> str:
+    """The path of a table that is inserted when empty: ``old`` if that has rows, else ``path`` with the conforming rows of ``df``.
+    Rejected rows join ``rejects``."""
     ok, bad = wh.conform(df, schema, key)
     rejects.append(_reject_rows(bad, schema, name))
-    return wh.load_if_empty(ok, path, schema)
+    if old is not None and not df.sparkSession.read.schema(schema).parquet(old).isEmpty():
+        return old
+    wh.write_table(ok, path)
+    return path
 
 
 def run_etl(spark: SparkSession, raw_root: str, out_root: str, spec: MartSpec = DEFAULT_SPEC,
             layout: str = "snapshot", multiline: bool = False) -> EtlOutputs:
     """Load the whole star below ``out_root``: both series dimensions, fact, summary, the date and category
     dimensions (inserted when empty), the quarantine of all feeds and the rejects of all tables, and register
-    the BI view ``vw_price_vs_benchmark`` over them."""
+    the BI view ``vw_price_vs_benchmark`` over them.
+
+    All tables go to a version folder of this load and are published by one commit at the end (``sinks.publish``): a load
+    that breaks leaves the star as it was."""
+    base = publish.current(spark, out_root)
+    version = publish.new_version(out_root)
+    with job_scratch(spark):
+        out = _write_star(spark, raw_root, version, base, spec, layout, multiline)
+    publish.publish(spark, out_root, {n: getattr(out, n) for n in OUTPUTS}, base)
+    mart.register_views(spark, spark.read.parquet(out.fact), spark.read.schema(wh.DATE_DIM_SCHEMA).parquet(out.dim_date),
+                        spark.read.schema(wh.CATEGORY_DIM_SCHEMA).parquet(out.dim_fuel_type))
+    return out
+
+
+def _write_star(spark: SparkSession, raw_root: str, version: str, base: publish.Release, spec: MartSpec, layout: str, multiline: bool) -> EtlOutputs:
     feeds = dict(zip(("benchmark", "rates", "prices"), read_feeds(spark, raw_root, layout, multiline)))
     for name, df in feeds.items():
         env.require_rows(df, name)
-    out = EtlOutputs(*(f"{out_root}/{n}" for n in OUTPUTS))
+    out = EtlOutputs(*(f"{version}/{n}" for n in OUTPUTS))
     c, rejects = out.counts, []
 
     # Each raw feed is scanned and shuffled once; every output below reads the staged tables.
     rows_in = {n: Observation(f"in_{n}") for n in feeds}
     checked = check_feeds(*(df.observe(rows_in[n], F.count(F.lit(1)).alias("rows")) for n, df in feeds.items()), spec)
-    staged = []
+    staged_feeds = []
     for name, df in zip(feeds, checked):
         kept = Observation(f"kept_{name}")
-        wh.write_table(df.observe(kept, F.count(F.lit(1)).alias("rows")), f"{out_root}/staged_{name}")
+        staged_feeds.append(staged(spark, df.observe(kept, F.count(F.lit(1)).alias("rows")), f"checked-{name}"))
         out.read[name] = {"rows": rows_in[name].get["rows"], "distinct": kept.get["rows"]}
-        staged.append(spark.read.schema(df.schema).parquet(f"{out_root}/staged_{name}"))
-    benchmark, rates, prices = good_rows(tuple(staged), spec)
+    benchmark, rates, prices = good_rows(tuple(staged_feeds), spec)
 
     # Dimensions first (conformed to the declared types), then facts.
     _load(benchmark, wh.BENCHMARK_DIM_SCHEMA, wh.PERIOD_KEY, out.dim_benchmark, "dim_benchmark", out, rejects, sort_within=["period"])
     _load(rates, wh.RATES_DIM_SCHEMA, wh.PERIOD_KEY, out.dim_rates, "dim_rates", out, rejects, sort_within=["period"])
-    dates = _insert(mart.dim_date(spark, spec=spec), wh.DATE_DIM_SCHEMA, wh.DATE_DIM_KEY, out.dim_date, "dim_date", rejects)
-    categories = _insert(mart.dim_category(spark, spec.category_rows), wh.CATEGORY_DIM_SCHEMA, wh.CATEGORY_DIM_KEY, out.dim_fuel_type,
-                         "dim_fuel_type", rejects)
-    _observed_write(quarantined(tuple(staged)), out.quarantine, "quarantine", c)
-    fact = assemble(benchmark, rates, prices, spec)
-    keyed = with_surrogate_key(fact, ["period", "fuel_type"], name="fact_id")       # written once, in the order of the key
-    _load(keyed, wh.FACT_SCHEMA, (), out.fact, "fact", out, rejects, sort_within=["period", "fuel_type"])      # fact_id is unique
-    _load(monthly_summary(fact), wh.SUMMARY_SCHEMA, wh.SUMMARY_KEY, out.summary, "summary", out, rejects, cluster_by=["year", "month"])
+    out.dim_date = _insert(mart.dim_date(spark, spec=spec), wh.DATE_DIM_SCHEMA, wh.DATE_DIM_KEY, out.dim_date, "dim_date",
+                           base.tables.get("dim_date"), rejects)
+    out.dim_fuel_type = _insert(mart.dim_category(spark, spec.category_rows), wh.CATEGORY_DIM_SCHEMA, wh.CATEGORY_DIM_KEY, out.dim_fuel_type,
+                                "dim_fuel_type", base.tables.get("dim_fuel_type"), rejects)
+    _observed_write(quarantined(tuple(staged_feeds)), out.quarantine, "quarantine", c)
+    # The two joins of the fact run once, here; ids, rejects and the summary read what they gave.
+    fact = staged(spark, assemble(benchmark, rates, prices, spec), "fact")
+    # Written in the order of its key: a file holds a span of periods, and the view reads the ranges.
+    keyed = staged(spark, with_surrogate_key(fact, ["period", "fuel_type"], name="fact_id", range_name=mart.RANGE), "keyed-fact")
+    _load(keyed, wh.FACT_SCHEMA, (), out.fact, "fact", out, rejects, sort_within=["fact_id"], also=[mart.RANGE])      # fact_id is unique
+    _load(staged(spark, monthly_summary(fact), "summary"), wh.SUMMARY_SCHEMA, wh.SUMMARY_KEY, out.summary, "summary", out, rejects,
+          cluster_by=["year", "month"])
     every = rejects[0]
     for r in rejects[1:]:
         every = every.unionByName(r)
     _observed_write(every, out.rejects, "rejects", c)
-    mart.register_views(spark, spark.read.parquet(out.fact), dates, categories)
     return out
 
 

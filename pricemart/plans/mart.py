@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricemart.config import DEFAULT_SPEC, MartSpec
-from pricemart.operators.change import pct_change, previous_value
+from pricemart.operators.keys import with_surrogate_key
 
 DIM_CATEGORY_SCHEMA = "fuel_type_key string, fuel_category string, description string"
 
@@ -53,48 +53,57 @@ VIEW_COLUMNS = ["period", "year", "quarter", "month_name", "is_crisis_period", "
                 "prev_month_price_lkr", "mom_price_change_pct"]
 
 
-def price_vs_benchmark_view(fact: DataFrame, dates: DataFrame, categories: DataFrame,
-                            buckets: int | None = None) -> DataFrame:
-    """The BI view: fact INNER JOIN date dim INNER JOIN category dim, plus the previous
-    row's price of the same category (ordered by period, Q7; rows of one period by a row hash)
-    and the percent change.
-
-    The dimensions are joined without hints: Spark broadcasts them when their size allows it.
-    The previous-row value is computed once, over range buckets: a category may hold any
-    number of rows (the fact can have several rows per period and category, Q1)."""
-    j = (fact.join(dates.select("date_key", "year", "quarter", "month_name", "is_crisis_period"),
-                   fact["period"] == F.col("date_key"), "inner")
-             .join(categories.select("fuel_type_key", "fuel_category"),
-                   F.col("fuel_type") == F.col("fuel_type_key"), "inner")
-             .drop("date_key", "fuel_type_key"))
-    j = previous_value(j, "price_lkr", ["period"], by=["fuel_type"], name="prev_month_price_lkr", buckets=buckets)
-    j = j.withColumn("mom_price_change_pct", pct_change("price_lkr", "prev_month_price_lkr", 2))
-    return j.select(*VIEW_COLUMNS)
-
+RANGE = "range_no"
 
+# LAG in two steps: inside (category, range of the load), and for a range's first row the last price of the category's
+# range before.  Ranges rise with the id, so no window holds a whole category.
 VIEW_SQL = """
-CREATE OR REPLACE TEMPORARY VIEW {view} AS
 WITH j AS (
   SELECT f.period, d.year, d.quarter, d.month_name, d.is_crisis_period, f.fuel_type, ft.fuel_category,
-         f.price_lkr, f.price_usd, f.brent_usd_per_barrel, f.usd_lkr_rate, f.crude_cost_pct,
-         LAG(f.price_lkr) OVER (PARTITION BY f.fuel_type ORDER BY f.period, f.price_lkr) AS prev_month_price_lkr
+         f.price_lkr, f.price_usd, f.brent_usd_per_barrel, f.usd_lkr_rate, f.crude_cost_pct, f.{id} AS n, f.{range} AS r
   FROM {fact} f
   JOIN {dates} d ON f.period = d.date_key
-  JOIN {categories} ft ON f.fuel_type = ft.fuel_type_key)
-SELECT *, CAST(TRY_CAST((price_lkr - prev_month_price_lkr) / NULLIF(prev_month_price_lkr, 0) * 100
-                     AS DECIMAL(38,2)) AS DOUBLE) AS mom_price_change_pct
-FROM j"""
+  JOIN {categories} ft ON f.fuel_type = ft.fuel_type_key),
+edges AS (SELECT fuel_type, r, MAX_BY(price_lkr, n) AS last_price FROM j GROUP BY fuel_type, r),
+carried AS (SELECT fuel_type AS ct, r AS cr, LAG(last_price) OVER (PARTITION BY fuel_type ORDER BY r) AS carry FROM edges),
+l AS (SELECT j.*, carry, LAG(STRUCT(price_lkr AS v)) OVER (PARTITION BY fuel_type, r ORDER BY n) AS before
+      FROM j JOIN carried ON fuel_type = ct AND r = cr),
+p AS (SELECT *, CASE WHEN before IS NULL THEN carry ELSE before.v END AS prev_month_price_lkr FROM l)
+SELECT {columns}, prev_month_price_lkr,
+       CAST(TRY_CAST((price_lkr - prev_month_price_lkr) / NULLIF(prev_month_price_lkr, 0) * 100 AS DECIMAL(38,2)) AS DOUBLE)
+         AS mom_price_change_pct
+FROM p"""
+
+
+def view_sql(fact: str, dates: str, categories: str, id_col: str = "fact_id", range_col: str = RANGE) -> str:
+    """The BI view over table or view names: fact INNER JOIN date dim INNER JOIN category dim, the previous row's price of the
+    same category (by period, Q7; rows of one period by ``id_col``) and the percent change.
+
+    The fact has ``range_col``: the number of the range of ids that a row lies in (``with_surrogate_key``)."""
+    return VIEW_SQL.format(fact=fact, dates=dates, categories=categories, id=id_col, range=range_col, columns=", ".join(VIEW_COLUMNS[:-2]))
+
+
+def price_vs_benchmark_view(fact: DataFrame, dates: DataFrame, categories: DataFrame, buckets: int | None = None) -> DataFrame:
+    """The BI view as a frame.  A loaded fact (``fact_id`` and ``range_no``) is read as it is; any other gets ids in the order of
+    (period, fuel_type, its ``fact_id`` or a row hash) and ranges first."""
+    if not {"fact_id", RANGE} <= set(fact.columns):
+        order = ["period", "fuel_type", *(["fact_id"] if "fact_id" in fact.columns else [])]
+        fact = with_surrogate_key(fact, order, name="_n", buckets=buckets, range_name=RANGE).withColumnRenamed("_n", "_id")
+        sql = view_sql("{fact}", "{dates}", "{categories}", "_id")
+    else:
+        sql = view_sql("{fact}", "{dates}", "{categories}")
+    return fact.sparkSession.sql(sql, fact=fact, dates=dates, categories=categories)
 
 
 def register_views(spark: SparkSession, fact: DataFrame, dates: DataFrame, categories: DataFrame,
                    view: str = "vw_price_vs_benchmark") -> DataFrame:
-    """Register the star as temporary views and create the BI view in SQL (the LAG is
-    written once and reused); returns ``spark.table(view)``."""
-    fact.createOrReplaceTempView(f"{view}_fact")
-    dates.createOrReplaceTempView(f"{view}_dates")
-    categories.createOrReplaceTempView(f"{view}_categories")
-    spark.sql(VIEW_SQL.format(view=view, fact=f"{view}_fact", dates=f"{view}_dates",
-                              categories=f"{view}_categories"))
+    """Register the star and the BI view over it as temporary views; returns ``spark.table(view)``."""
+    if not {"fact_id", RANGE} <= set(fact.columns):
+        price_vs_benchmark_view(fact, dates, categories).createOrReplaceTempView(view)
+        return spark.table(view)
+    for name, df in (("fact", fact), ("dates", dates), ("categories", categories)):
+        df.createOrReplaceTempView(f"{view}_{name}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {view} AS {view_sql(f'{view}_fact', f'{view}_dates', f'{view}_categories')}")
     return spark.table(view)
 
 

@@ -15,7 +15,8 @@ from pricemart.queries.inputs import ANALOG_SPEC, table
 from pricemart.queries import readers as R
 from pricemart.queries.render import dfmt
 from pricemart.session import scratch_path
-from pricemart.sinks.warehouse import conform, varchar, write_table
+from pricemart.sinks import ledger, publish
+from pricemart.sinks.warehouse import FACT_SCHEMA, conform, varchar, write_table
 from pricemart.sources import csv_alias as csv
 from pricemart.sources import html_tables as html
 
@@ -66,8 +67,9 @@ def etl_job(spark, sf) -> DataFrame:
     ingest.land(rates, f"{raw}/rates", RUN_DATE)
     scraped, history = _scraped_and_history(spark, sf)
     ingest.ingest_prices(scraped, history, f"{raw}/prices", RUN_DATE)
-    out = run_etl(spark, raw, scratch_path(spark, "mart"), ANALOG_SPEC)
-    return spark.read.parquet(out.fact)
+    mart = scratch_path(spark, "mart")
+    run_etl(spark, raw, mart, ANALOG_SPEC)
+    return publish.read(spark, mart, "fact", FACT_SCHEMA)
 
 
 # Landed feeds with impossible months, missing and out-of-range values and repeated keys, as SQL for either engine.
@@ -128,6 +130,41 @@ def append_load(spark, sf) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def refresh_load(spark, sf) -> DataFrame:
+    """Full refreshes of two tables, published together: what is read after a load of the finished orders, after one that
+    broke between its two tables, and after one of all orders."""
+    o = table(spark, sf, "orders")
+    root = scratch_path(spark, "refresh")
+
+    def load(rows: DataFrame, breaks: bool) -> None:
+        base, version = publish.current(spark, root), publish.new_version(root)
+        write_table(rows.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n")), f"{version}/statuses")
+        if not breaks:
+            write_table(rows.select("o_orderkey", "o_orderstatus"), f"{version}/orders")
+            publish.publish(spark, root, {n: f"{version}/{n}" for n in ("statuses", "orders")}, base)
+
+    def seen(step: str) -> DataFrame:
+        release = publish.current(spark, root)
+        counted = publish.read(spark, root, "statuses", release=release)
+        rows = publish.read(spark, root, "orders", release=release).groupBy("o_orderstatus").agg(F.sum("o_orderkey").alias("keys"))
+        return counted.join(rows, "o_orderstatus").withColumn("step", F.lit(step))
+
+    load(o.where("o_orderstatus = 'F'"), False)
+    load(o.where("o_orderstatus <> 'F'"), True)
+    broken = seen("after a broken load")
+    load(o, False)
+    return broken.unionByName(seen("after a whole load"))
+
+
+def append_once(spark, sf) -> DataFrame:
+    """Three appends with load ids, the second one twice, ids going on from load to load (SNK9, SNK8)."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    root = scratch_path(spark, "ledger")
+    for status in ("F", "O", "O", "P"):
+        ledger.append_once(o.where(F.col("o_orderstatus") == status), root, f"orders-{status}", ["o_orderkey"])
+    return ledger.read(spark, root, T.StructType([T.StructField("fact_id", T.LongType()), *o.schema.fields]))
+
+
 def conform_rejects(spark, sf) -> DataFrame:
     """Rows that conform and rows rejected by NOT NULL, text length and primary key, counted by reason."""
     schema = T.StructType([T.StructField("k", T.LongType(), False), varchar("label", 12)])
@@ -142,6 +179,8 @@ QUERIES = {
     "etl_summary": etl_summary,
     "etl_view": etl_view,
     "append_load": append_load,
+    "append_once": append_once,
+    "refresh_load": refresh_load,
     "conform_rejects": conform_rejects,
     "ingest_benchmark": ingest_benchmark,
     "ingest_rates": ingest_rates,

@@ -123,6 +123,12 @@ SELECT period, CAST(year(period) AS SMALLINT) AS year, CAST(quarter(period) AS S
        CAST(round((price_lkr - prev_month_price_lkr)::DECIMAL(18,2) * 100 / NULLIF(prev_month_price_lkr, 0), 2) AS DOUBLE) AS mom_price_change_pct
 FROM l""",
     "append_load": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+    "append_once": """
+SELECT row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END, o_orderkey) AS fact_id, o_orderkey, o_orderstatus
+FROM orders""",
+    "refresh_load": """
+SELECT o_orderstatus, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS keys, 'after a whole load' AS step FROM orders GROUP BY 1
+UNION ALL SELECT o_orderstatus, count(*), CAST(sum(o_orderkey) AS BIGINT), 'after a broken load' FROM orders WHERE o_orderstatus = 'F' GROUP BY 1""",
     "conform_rejects": """
 WITH o AS (SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_custkey END AS k, o_orderpriority AS label FROM orders),
 f AS (SELECT *, CASE WHEN k IS NULL THEN 'null in NOT NULL column: k' WHEN length(label) > 12 THEN 'text too long: label' END AS reason FROM o)

@@ -70,6 +70,19 @@ def _cast(df: DataFrame, schema: T.StructType) -> list[Column]:
     return [F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]
 
 
+def flagged(df: DataFrame, schema: T.StructType, also: Sequence[str] = ()) -> DataFrame:
+    """Every row of ``df`` cast to ``schema``, with ``_reject``: why it can't be loaded (NULL: it can), keys aside.
+    ``also``: columns that are kept as they are."""
+    reason = F.lit(None).cast("string")
+    for f in schema.fields:
+        if "length" in f.metadata:
+            reason = F.when(F.octet_length(f.name) > f.metadata["length"], f"text too long: {f.name}").otherwise(reason)
+    for f in schema.fields:
+        if not f.nullable:
+            reason = F.when(F.col(f.name).isNull(), f"null in NOT NULL column: {f.name}").otherwise(reason)
+    return df.select(*_cast(df, schema), *also).withColumn("_reject", reason)
+
+
 def conform(df: DataFrame, schema: T.StructType, key: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Cast ``df`` to ``schema`` -> (conforming rows, rejected rows with ``_reject``, the reason).
 
@@ -78,15 +91,8 @@ def conform(df: DataFrame, schema: T.StructType, key: Sequence[str] = ()) -> tup
     reject the row, so conforming and rejected rows together are the rows of ``df``.  Of rows with one
     key the one with the smallest row hash stays."""
     names = [f.name for f in schema.fields]
-    reason = F.lit(None).cast("string")
-    for f in schema.fields:
-        if "length" in f.metadata:
-            reason = F.when(F.octet_length(f.name) > f.metadata["length"], f"text too long: {f.name}").otherwise(reason)
-    for f in schema.fields:
-        if not f.nullable:
-            reason = F.when(F.col(f.name).isNull(), f"null in NOT NULL column: {f.name}").otherwise(reason)
-    flagged = df.select(*_cast(df, schema)).withColumn("_reject", reason)
-    ok, rejected = flagged.where("_reject is null").drop("_reject"), flagged.where("_reject is not null")
+    rows = flagged(df, schema)
+    ok, rejected = rows.where("_reject is null").drop("_reject"), rows.where("_reject is not null")
     if not key:
         return ok, rejected
     hashed = ok.withColumn("_h", F.xxhash64(*names))
@@ -106,9 +112,12 @@ def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
 
 def overflow_counts(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Per column, how many non-null values do not fit the declared type (one row)."""
-    aggs = [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name)
+    return df.agg(*overflow_columns(df, schema))
+
+
+def overflow_columns(df: DataFrame, schema: T.StructType) -> list[Column]:
+    return [F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name)
             for f in schema.fields if f.name in df.columns]
-    return df.agg(*aggs)
 
 
 def layout(df: DataFrame, cluster_by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> DataFrame:

@@ -405,3 +405,27 @@ def test_calendar_previous_does_not_multiply_rows(spark):
                                "period date, k string, p double")
     out = calendar_previous(df, "p", "period", by=["k"], name="prev").orderBy("period", "p")
     assert [(r.p, r.prev) for r in out.collect()] == [(4.0, None), (5.0, None), (6.0, 4.0)]
+
+
+def test_view_and_function_agree_on_ties(spark):
+    """10, 20, 30 in one month and 40 in the next, and a hot category over many ranges: one definition, one window's answer."""
+    from pyspark.sql import Window
+
+    from pricemart.operators.keys import with_surrogate_key
+    from pricemart.plans import mart
+    rows = [(f"2022-{1 + i // 400:02d}-01", "A" if i % 3 else "B", float(i * 7 % 100), i) for i in range(1200)]
+    fact = spark.createDataFrame(rows, "p string, fuel_type string, price_lkr double, k int").select(
+        F.to_date("p").alias("period"), "fuel_type", "price_lkr", *[F.lit(1.0).alias(c) for c in (
+            "price_usd", "brent_usd_per_barrel", "usd_lkr_rate", "crude_cost_pct")], "k")
+    loaded = with_surrogate_key(fact, ["period", "fuel_type"], buckets=7, range_name=mart.RANGE)
+    dates = mart.dim_date(spark, "2022-01-01", 3)
+    cats = spark.createDataFrame([("A", "x"), ("B", "y")], "fuel_type_key string, fuel_category string")
+    view = mart.register_views(spark, loaded, dates, cats, "vw_ties")
+    plan = spark.sql("EXPLAIN FORMATTED SELECT * FROM vw_ties").first()[0]
+    assert "range_no" in plan
+    a = sorted((tuple(r) for r in view.collect()), key=str)
+    assert a == sorted((tuple(r) for r in mart.price_vs_benchmark_view(loaded, dates, cats).collect()), key=str)
+    assert a == sorted((tuple(r) for r in mart.price_vs_benchmark_view(loaded.drop(mart.RANGE), dates, cats, buckets=3).collect()), key=str)
+    one = loaded.withColumn("want", F.lag("price_lkr").over(Window.partitionBy("fuel_type").orderBy("fact_id")))
+    want = sorted((r.fuel_type, r.price_lkr, -1.0 if r.want is None else r.want) for r in one.collect())
+    assert want == sorted((r.fuel_type, r.price_lkr, -1.0 if r.prev_month_price_lkr is None else r.prev_month_price_lkr) for r in view.collect())

@@ -45,3 +45,91 @@ def test_lookback_and_month_window(spark):
     assert got == [dt.date(2022, 1, 1), dt.date(2023, 12, 31)]
     p = spark.createDataFrame([("2021-12",), ("2022-01",), ("2024-01",), ("2024-02",)], "period string")
     assert sorted(r.period for r in month_window(p, "period", "2024-01-01", 730).collect()) == ["2022-01", "2024-01"]
+
+
+def test_a_broken_load_leaves_the_old_star(spark):
+    """Two published tables; a load that breaks between them changes nothing, the next one replaces both."""
+    import pytest
+
+    from pricemart.sinks import publish
+    root = scratch_path(spark, "star")
+    assert publish.current(spark, root).number == 0
+    with pytest.raises(KeyError):
+        publish.read(spark, root, "a")
+
+    def load(value, breaks=False):
+        base, version = publish.current(spark, root), publish.new_version(root)
+        wh.write_table(spark.createDataFrame([(value,)], "v int"), f"{version}/a")
+        if breaks:
+            raise RuntimeError("lost")
+        wh.write_table(spark.createDataFrame([(value,)], "v int"), f"{version}/b")
+        return publish.publish(spark, root, {"a": f"{version}/a", "b": f"{version}/b"}, base)
+
+    load(1)
+    old = publish.current(spark, root)
+    with pytest.raises(RuntimeError):
+        load(2, breaks=True)
+    assert [publish.read(spark, root, t).first().v for t in "ab"] == [1, 1]
+    load(3)
+    assert [publish.read(spark, root, t).first().v for t in "ab"] == [3, 3]
+    assert [publish.read(spark, root, t, release=old).first().v for t in "ab"] == [1, 1]      # a reader of the old release goes on
+    with pytest.raises(publish.commits.ConflictError):                                         # a load that began before the last one
+        publish.publish(spark, root, {}, old)
+    load(4)
+    assert len(publish.prune(spark, root, keep=1)) >= 2 and publish.read(spark, root, "b").first().v == 4
+
+
+def test_the_etl_publishes_its_star_at_once(spark, monkeypatch):
+    import pytest
+
+    from pricemart.plans import etl, ingest
+    from pricemart.sinks import publish
+    raw, root = scratch_path(spark, "raw"), scratch_path(spark, "mart")
+
+    def feeds(price, day):
+        for name, df in (("benchmark", spark.createDataFrame([("2022-03", 83.5)], "period string, value double")),
+                         ("rates", spark.createDataFrame([("2022-03", 365.4)], "period string, usd_lkr_avg double")),
+                         ("prices", spark.createDataFrame([("2022-03", "LP_92", price, 0)],
+                                                          "period string, fuel_type string, price_lkr double, _pos long"))):
+            ingest.land(df, f"{raw}/{name}", day)
+
+    feeds(317.0, "2024-01-01")
+    etl.run_etl(spark, raw, root)
+    feeds(400.0, "2024-01-02")
+    summary = etl.monthly_summary
+    monkeypatch.setattr(etl, "monthly_summary", lambda fact: 1 / 0)                 # breaks after the fact was written
+    with pytest.raises(ZeroDivisionError):
+        etl.run_etl(spark, raw, root)
+    tables = publish.current(spark, root)
+    assert tables.number == 1 and set(tables.tables) == set(etl.OUTPUTS)
+    prices = lambda: (float(publish.read(spark, root, "fact").first().price_lkr), float(publish.read(spark, root, "summary").first().avg_price_lkr))
+    assert prices() == (317.0, 317.0)
+    monkeypatch.setattr(etl, "monthly_summary", summary)
+    etl.run_etl(spark, raw, root)
+    assert prices() == (400.0, 400.0) and publish.current(spark, root).number == 2
+    assert publish.current(spark, root).tables["dim_date"] == tables.tables["dim_date"]        # inserted when empty: the old one stays
+
+
+def test_an_append_happens_once(spark):
+    import pytest
+
+    from pricemart.sinks import ledger
+    root = scratch_path(spark, "appended")
+    schema = wh.T.StructType([wh.T.StructField("fact_id", wh.T.LongType()), wh.T.StructField("k", wh.T.StringType())])
+    assert ledger.read(spark, root, schema).count() == 0
+    a, b = (spark.createDataFrame([(x,) for x in xs], "k string") for xs in ("ba", "dce"))
+    assert ledger.append_once(a, root, "one", ["k"]).appended
+    again = ledger.append_once(a, root, "one", ["k"])
+    assert not again.appended and (again.rows, again.first_id, again.last_id) == (2, 1, 2)
+    assert ledger.append_once(a.limit(0), root, "none", ["k"]).first_id is None
+    # a load that broke before its commit is not seen, and its ids are given again
+    real = ledger.commits.commit
+    ledger.commits.commit = lambda *x: 1 / 0
+    try:
+        with pytest.raises(ZeroDivisionError):
+            ledger.append_once(b, root, "two", ["k"])
+    finally:
+        ledger.commits.commit = real
+    assert ledger.read(spark, root, schema).count() == 2
+    assert ledger.append_once(b, root, "two", ["k"]).last_id == 5
+    assert sorted(tuple(r) for r in ledger.read(spark, root, schema).collect()) == [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")]
