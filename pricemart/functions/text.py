@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,6 +40,8 @@ HTML_ENTITIES = (
 HTML_OLD_CODES = {128: 0x20AC, 130: 0x201A, 131: 0x192, 132: 0x201E, 133: 0x2026, 134: 0x2020, 135: 0x2021, 136: 0x2C6, 137: 0x2030,
                   138: 0x160, 139: 0x2039, 140: 0x152, 142: 0x17D, 145: 0x2018, 146: 0x2019, 147: 0x201C, 148: 0x201D, 149: 0x2022,
                   150: 0x2013, 151: 0x2014, 152: 0x2DC, 153: 0x2122, 154: 0x161, 155: 0x203A, 156: 0x153, 158: 0x17E, 159: 0x178}
+# All other names that HTML 5 defines, from Python's own table; looked up only where a text holds such a reference.
+_OTHER_NAMES = {n[:-1]: ch for n, ch in html5.items() if n.endswith(";") and n != "amp;"}
 _SPACE_CODES = (9, 10, 11, 12, 13, 32, 160, 0x2002, 0x2003, 0x2009)
 
 
@@ -85,9 +89,18 @@ def _decode_entities(c: Column) -> Column:
             _character(F.substring_index(x, ";", 1)), F.substring(x, F.instr(x, ";") + 1, F.length(x))))
         return F.concat(F.get(pieces, 0), F.array_join(rest, ""))
 
+    def named(pieces):          # pieces after each "&" start with a name and the semicolon
+        table = F.create_map(*[F.lit(t) for kv in _OTHER_NAMES.items() for t in kv])
+        rest = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda x: _let(
+            F.substring_index(x, ";", 1), lambda name: F.coalesce(
+                F.concat(F.element_at(table, name), F.substring(x, F.length(name) + 2, F.length(x))), F.concat(F.lit("&"), x))))
+        return F.concat(F.get(pieces, 0), F.array_join(rest, ""))
+
     def decode(x):
         for name, ch in HTML_ENTITIES:
             x = F.replace(x, F.lit(f"&{name};"), F.lit(ch))
+        other = r"&(?!amp;)(?=[A-Za-z][A-Za-z0-9]*;)"
+        x = _let(x, lambda t: F.when(F.rlike(t, F.lit(other)), _let(F.split(t, other), named)).otherwise(t))
         x = _let(F.split(x, r"&#(?=(?:[0-9]+|[xX][0-9A-Fa-f]+);)"), rejoined)
         return F.replace(x, F.lit("&amp;"), F.lit("&"))
     return _if_references(c, decode)

@@ -5,12 +5,14 @@ whole directory back.  Here:
   * ``read_envelopes`` reads envelopes with an explicit schema (no inference, so an
     empty ``records`` array cannot break the schema), ``posexplode``s the records
     and keeps ``fetched_at`` and the record position for deterministic dedupe;
-    ``multiline=True`` reads the reference's one-object-per-file layout, the
+    ``multiline=True`` reads the reference's layout of objects over several lines (a file is read by one task), the
     default reads JSON Lines (one envelope per line, splittable);
   * ``write_envelopes`` writes JSON Lines envelopes partitioned by ``fetched_at``;
     a day's records are numbered in their listed order and cut into envelopes of at most ``max_records``,
     so no single row or task has to hold a whole day and the order survives a round trip;
-  * a file that isn't JSON in the stated layout stops the read (it is never skipped);
+  * files are scanned as text for their top-level objects, so no object is skipped: several objects in a file or on a line
+    are all read, with ``multiline=True`` in files of either layout.  An object that isn't an envelope, or what else
+    a file holds, stops the read or, if so wished, is kept with its path (``corrupt_envelopes``);
   * ``write_snapshot``/``read_snapshots`` are the native layout: Parquet, one row
     per record, partitioned by ``fetched_at`` with dynamic partition overwrite
     (a same-day re-run replaces that day only) and partition pruning on read.
@@ -53,15 +55,57 @@ def envelope_schema(record: T.StructType) -> T.StructType:
     ])
 
 
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'          # a JSON string; it holds no line breaks
+
+
+def scan_objects(spark: SparkSession, path: str | Sequence[str], multiline: bool = False) -> DataFrame:
+    """(path, text, whole) of every top-level object of the files, and of anything else that stands between them.
+
+    A begin brace right after an end brace (white space aside) only stands between top-level objects, so texts are cut
+    there, strings passed over.  ``whole``: it is one balanced object with nothing before or after it."""
+    lines = spark.read.text(path if isinstance(path, str) else list(path), wholetext=multiline)
+    parted = F.regexp_replace("value", rf"({_STRING})|(\}})\s*+(?=\{{)", "$1$2\n")       # also after strings, where it is white space
+    # blank ones go before the explode: a filter above it could be evaluated after the check that stops the read
+    some = F.filter(F.split(parted, r"(?<=\})\n(?=\{)"), lambda t: ~F.rlike(t, F.lit(r"^[\s\x{FEFF}]*$")))
+    objects = lines.select(F.input_file_name().alias("path"), F.explode(some).alias("text"))
+    bare = F.regexp_replace(F.regexp_replace("text", _STRING, "0"), r"^\x{FEFF}", "")
+    # an unended string leaves its quote; after an object's end only a comma, an end or nothing may stand
+    good = (F.rlike(bare, F.lit(r"^\s*\{")) & F.rlike(bare, F.lit(r"\}\s*$")) & ~F.contains(bare, F.lit('"'))
+            & ~F.rlike(bare, F.lit(r"\}\s*[^\s,\]}]"))
+            & (F.length(F.regexp_replace(bare, r"[^{]", "")) == F.length(F.regexp_replace(bare, r"[^}]", "")))
+            & (F.length(F.regexp_replace(bare, r"[^\[]", "")) == F.length(F.regexp_replace(bare, r"[^\]]", ""))))
+    return objects.select("path", F.regexp_replace("text", r"^\x{FEFF}", "").alias("text"), good.alias("whole"))
+
+
+def _parsed(spark: SparkSession, path: str | Sequence[str], record: T.StructType, multiline: bool) -> DataFrame:
+    schema = envelope_schema(record).add("_corrupt", T.StringType())
+    parsed = F.from_json("text", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    out = scan_objects(spark, path, multiline).withColumn("e", parsed)
+    return out.withColumn("bad", ~F.col("whole") | F.col("e").isNull() | F.col("e._corrupt").isNotNull())
+
+
+def corrupt_envelopes(spark: SparkSession, path: str | Sequence[str], record: T.StructType, multiline: bool = False) -> DataFrame:
+    """(path, text) of what isn't an envelope in the files: the quarantine beside ``read_envelopes(..., corrupt="keep")``."""
+    return _parsed(spark, path, record, multiline).where("bad").select("path", "text")
+
+
 def read_envelopes(spark: SparkSession, path: str | Sequence[str], record: T.StructType,
-                   multiline: bool = False) -> DataFrame:
+                   multiline: bool = False, corrupt: str = "fail") -> DataFrame:
     """Envelope files -> one row per record: record fields (as typed in ``record``),
-    ``envelope_source``, ``fetched_at`` (DATE) and ``_pos`` = (part, index).  Malformed JSON fails: a file
-    of the other layout (``multiline``) is an error, not an empty feed."""
-    reader = spark.read.schema(envelope_schema(record)).option("multiLine", multiline).option("mode", "FAILFAST")
-    df = reader.json(path if isinstance(path, str) else list(path))
-    ex = df.select(F.col("source").alias("envelope_source"), "fetched_at", "part",
-                   F.posexplode("records").alias("_idx", "r"))
+    ``envelope_source``, ``fetched_at`` (DATE) and ``_pos`` = (part, index).
+
+    ``multiline``: objects may go over several lines (files of JSON Lines are read right too).  What isn't an envelope stops the
+    read, or is left to ``corrupt_envelopes`` with ``corrupt="keep"``."""
+    if corrupt not in ("fail", "keep"):
+        raise ValueError("corrupt must be 'fail' or 'keep'")
+    df = _parsed(spark, path, record, multiline)
+    if corrupt == "keep":
+        df = df.where(~F.col("bad"))
+    else:
+        stop = F.raise_error(F.concat(F.lit("malformed envelope in "), F.col("path"), F.lit(": "), F.substring("text", 1, 200)))
+        df = df.withColumn("e", F.when(F.col("bad"), stop.cast(df.schema["e"].dataType)).otherwise(F.col("e")))
+    ex = df.select("e.source", "e.fetched_at", "e.part", "e.records").select(
+        F.col("source").alias("envelope_source"), "fetched_at", "part", F.posexplode("records").alias("_idx", "r"))
     return ex.select(
         *[F.col(f"r.{f.name}").alias(f.name) for f in record.fields],
         "envelope_source",

@@ -5,8 +5,13 @@ Comments, scripts and styles are removed first.  A table runs from ``<table ...>
 ``</table>``, the next ``<table`` or the end of the page, a row from ``<tr ...>`` to the next row or the
 table's end, a cell from ``<td ...>`` or ``<th ...>`` to the next cell of either kind or the row's end: closing
 tags may be missing.  Cell text = text nodes decoded, stripped and joined without a
-gap.  Nested tables are out of scope.  Every step is per page (one row), so the
+gap.  Every step is per page (one row), so the
 work is spread by Spark's scan of the pages table.
+
+Tables may be nested: a table that is closed holds all up to its own end tag, also other tables.  As in a search below an
+element, the rows of inner tables are rows of the outer ones too, in document order, inner cells are cells of the
+outer row too, and an outer cell's text holds the inner texts.  Pages without nesting (no two end tags in a row) take the
+plain expressions; the others a scan of their tags, whose time grows with the square of the tags of such a page.
 """
 
 from __future__ import annotations
@@ -41,17 +46,90 @@ def _raw_cells(row_html: Column, kinds: Sequence[str]) -> Column:
     return F.regexp_extract_all(row_html, F.lit(_cells_re(kinds)), 0)
 
 
+_TAG = r"</?(?:table|tr|td|th)\b"
+
+
+def _is_nested(page: Column) -> Column:
+    """Whether a table ends inside another: two end tags without a table's begin between them."""
+    tags = F.lower(F.array_join(F.regexp_extract_all(page, F.lit(r"(?i)</?table\b"), 0), ""))
+    return F.contains(tags, F.lit("</table</table"))
+
+
+def _flat_tables(page: Column) -> Column:
+    """Tables as structs of their HTML and their rows' HTML, where none is nested."""
+    tabs = F.regexp_extract_all(page, F.lit(TABLE_RE), 0)
+    return F.transform(tabs, lambda t: F.struct(t.alias("html"), F.regexp_extract_all(t, F.lit(ROW_RE), 0).alias("rows")))
+
+
+def _nested_tables(page: Column) -> Column:
+    """The same where tables are nested: rows are written anew, one flat cell after another (inner tags become ``<i>``)."""
+    def let(value, use):
+        return F.element_at(F.transform(F.array(value), use), 1)
+
+    def flat(html):
+        return F.regexp_replace(html, rf"(?i){_TAG}[^>]*>", "<i>")
+
+    def tables(segs, marks):
+        """(o, e): numbers of a table's first segment and the one after its last.  The scan keeps a stack of open tables."""
+        start = F.struct(F.array().cast("array<int>").alias("open"), F.array().cast("array<struct<o:int,e:int>>").alias("done"))
+
+        def step(state, m):
+            top = F.element_at(state["open"], -1)
+            pushed = F.struct(F.concat(state["open"], F.array(m["i"])).alias("open"), state["done"].alias("done"))
+            popped = F.struct(F.slice(state["open"], 1, F.size(state["open"]) - 1).alias("open"),
+                              F.concat(state["done"], F.array(F.struct(top.alias("o"), m["i"].alias("e")))).alias("done"))
+            return F.when(m["k"] == "table", pushed).when(F.size(state["open"]) > 0, popped).otherwise(state)
+
+        seen = F.filter(marks, lambda m: m["k"].isin("table", "/table"))
+        begins = F.filter(seen, lambda m: m["k"] == "table")
+        return let(F.aggregate(seen, start, step)["done"], lambda done: F.transform(begins, lambda b: F.struct(
+            b["i"].alias("o"), F.coalesce(F.get(F.filter(done, lambda d: d["o"] == b["i"]), 0)["e"],
+                                          F.get(F.filter(begins, lambda x: x["i"] > b["i"]), 0)["i"], F.size(segs)).alias("e"))))
+
+    def ended(marks, kinds, stops, tabs):
+        """Elements of ``kinds``, each up to the next tag of ``stops`` in its own table or that table's end."""
+        placed = F.transform(F.filter(marks, lambda m: m["k"].isin(*stops)), lambda m: F.struct(m["i"].alias("i"), m["k"].alias("k"), F.get(
+            F.reverse(F.filter(tabs, lambda t: (t["o"] <= m["i"]) & (m["i"] < t["e"]))), 0).alias("t")))
+        return let(placed, lambda every: F.transform(
+            F.filter(every, lambda x: x["k"].isin(*kinds) & x["t"].isNotNull()),
+            lambda x: F.struct(x["i"].alias("i"), x["k"].alias("k"), F.coalesce(F.get(F.filter(
+                every, lambda y: (y["i"] > x["i"]) & (y["t"]["o"] == x["t"]["o"])), 0)["i"], x["t"]["e"]).alias("e"))))
+
+    def build(segs, marks, tabs, rows, cells):
+        def text(x):
+            return F.array_join(F.slice(segs, x["i"] + 1, x["e"] - x["i"]), "")
+
+        def row(r):
+            own = F.filter(cells, lambda c: (c["i"] > r["i"]) & (c["i"] < r["e"]))
+            return F.concat(F.lit("<tr>"), F.array_join(F.transform(own, lambda c: F.concat(F.lit("<"), c["k"], F.lit(">"), flat(text(c)))), ""))
+
+        return F.transform(tabs, lambda t: F.struct(
+            F.array_join(F.slice(segs, t["o"] + 1, t["e"] - t["o"]), "").alias("html"),
+            F.transform(F.filter(rows, lambda r: (r["i"] > t["o"]) & (r["i"] < t["e"])), row).alias("rows")))
+
+    cell_kinds, row_stops = ("td", "th"), ("tr", "/tr")
+    return let(F.split(page, rf"(?i)(?={_TAG})"), lambda segs: let(
+        F.transform(segs, lambda s, i: F.struct(i.cast("int").alias("i"), F.lower(F.regexp_extract(s, rf"(?i)^<(/?(?:table|tr|td|th))\b", 1)).alias("k"))),
+        lambda marks: let(tables(segs, marks), lambda tabs: let(ended(marks, ("tr",), row_stops, tabs), lambda rows: let(
+            ended(marks, cell_kinds, (*cell_kinds, "/td", "/th", *row_stops), tabs), lambda cells: build(segs, marks, tabs, rows, cells))))))
+
+
+def tables(page: Column) -> Column:
+    """All tables of a page in document order: array of (html, rows), rows being an array of the rows' HTML."""
+    seen = visible(page)
+    return F.element_at(F.transform(F.array(seen), lambda p: F.when(_is_nested(p), _nested_tables(p)).otherwise(_flat_tables(p))), 1)
+
+
 def two_column_rates(pages: DataFrame, first_table_only: bool) -> DataFrame:
     """Rate tables: each table's header row skipped, rows with at least two ``td`` cells,
     (cell 0, cell 1) -> (date, usd_lkr); unparseable rows skipped.
 
     Per page one pass: the data rows of the first (or every) table are gathered
     with array functions and exploded once; no join, no shuffle."""
-    tabs = F.regexp_extract_all(visible("html"), F.lit(TABLE_RE), 0)
+    tabs = tables(F.col("html"))
     if first_table_only:
         tabs = F.slice(tabs, 1, 1)
-    data_rows = F.flatten(F.transform(tabs, lambda t: F.filter(
-        F.regexp_extract_all(t, F.lit(ROW_RE), 0), lambda r, i: i > 0)))
+    data_rows = F.flatten(F.transform(tabs, lambda t: F.filter(t["rows"], lambda r, i: i > 0)))
     ex = pages.select("page_id", data_rows.alias("_rows")).select(
         "page_id", F.posexplode("_rows").alias("row_pos", "row_html"))
     r = ex.select("page_id", "row_pos", _raw_cells(F.col("row_html"), ("td",)).alias("cells"))
@@ -84,9 +162,8 @@ def price_table(pages: DataFrame, keywords: Sequence[str] = FUEL_TABLE_KEYWORDS,
     # Per-page columns are projected before the explode: expressions written next to a
     # generator are evaluated after it (once per generated row), which would redo the
     # table search and the header map for every table row.
-    tabs = F.regexp_extract_all(visible("html"), F.lit(TABLE_RE), 0)
-    target = F.get(F.filter(tabs, lambda t: keyword_hit(spaced_text(t), keywords)), 0)
-    per_page = pages.select("page_id", F.regexp_extract_all(target, F.lit(ROW_RE), 0).alias("_rows"))
+    target = F.get(F.filter(tables(F.col("html")), lambda t: keyword_hit(spaced_text(t["html"]), keywords)), 0)
+    per_page = pages.select("page_id", target["rows"].alias("_rows"))
     heads = F.transform(_cells(F.get("_rows", 0), ("th", "td")), lambda c: map_category(c))
     if date_col_excluded:
         heads = F.transform(heads, lambda h, i: F.when(i > 0, h))

@@ -215,3 +215,77 @@ def test_html_comments_scripts_and_missing_ends(spark):
     first = sorted((r.page_id, str(r.date), r.usd_lkr) for r in html.two_column_rates(pages, True).collect())
     assert first == [(i, d, v) for i in (1, 2) for d, v in (("2023-01-05", 365.2), ("2023-01-06", 366.0))]
     assert html.two_column_rates(pages, False).count() == 5
+
+
+def _files(path, files):
+    os.makedirs(_local(path), exist_ok=True)
+    for name, text in files.items():
+        with open(os.path.join(_local(path), name), "w", encoding="utf-8") as fh:
+            fh.write(text)
+    return path
+
+
+def _envelope(value, **more):
+    return {"source": "api", "fetched_at": "2024-01-01", "records": [{"period": "2022-01", "value": value, **more}]}
+
+
+def test_no_envelope_is_skipped(spark):
+    """JSON Lines read as multi-line, several objects in a pretty file or on a line, strings that look like ends."""
+    import pytest
+    tricky = 'a "quoted" }\\{ }  { [ \\n ] \\\\'
+    objects = [_envelope(i, source=tricky) for i in range(6)]
+    lines = "\n".join(json.dumps(o) for o in objects[:3]) + "\n"
+    pretty = "﻿" + json.dumps(objects[3], indent=2) + "\n\n" + json.dumps(objects[4], indent=2)
+    path = _files(scratch_path(spark, "objects"), {"a.json": lines, "b.json": pretty, "c.json": json.dumps(objects[5]), "d.json": " \n"})
+    got = env.read_envelopes(spark, path, env.BENCHMARK_RECORD, multiline=True).collect()
+    assert sorted(r.value for r in got) == list("012345") and {r.source for r in got} == {tricky}
+    one_line = _files(scratch_path(spark, "one-line"), {"a.json": "".join(json.dumps(o) for o in objects) + "\n"})
+    for multiline in (False, True):
+        assert env.read_envelopes(spark, one_line, env.BENCHMARK_RECORD, multiline).count() == 6
+    with pytest.raises(Exception, match="(?i)malformed"):
+        env.read_envelopes(spark, path, env.BENCHMARK_RECORD).collect()
+
+
+def test_corrupt_envelopes_stop_the_read_or_are_kept(spark):
+    import pytest
+    good = json.dumps(_envelope(1), indent=1)
+    bad = {"cut.json": good[:-20], "tail.json": good + " xyz", "text.json": "not json", "list.json": "[1, 2]", "type.json": '{"records": "none"}',
+           "string.json": '{"source": "open, "records": []}'}
+    for name, text in bad.items():
+        path = _files(scratch_path(spark, "bad"), {name: text, "good.json": good})
+        with pytest.raises(Exception, match="(?i)malformed"):
+            env.read_envelopes(spark, path, env.BENCHMARK_RECORD, multiline=True).collect()
+    path = _files(scratch_path(spark, "mixed-bad"), {**bad, "good.json": good + good})
+    assert env.read_envelopes(spark, path, env.BENCHMARK_RECORD, multiline=True, corrupt="keep").count() == 2
+    kept = env.corrupt_envelopes(spark, path, env.BENCHMARK_RECORD, multiline=True).collect()
+    assert sorted({os.path.basename(r.path) for r in kept}) == sorted(bad)
+    with pytest.raises(ValueError):
+        env.read_envelopes(spark, path, env.BENCHMARK_RECORD, corrupt="skip")
+
+
+def test_nested_tables_keep_the_outer_rows(spark):
+    inner = "<table><tr><td>inner</td><td>7</td></tr><tr><td>09.01.2023</td><td>369</td></tr></table>"
+    page = (f"<TABLE><tr><th>D</th><th>R</th></tr><tr><td>2023-01-05</td><td>365.2</td></tr>"
+            f"<tr><td>06.01.2023</td><td><table><tr><td> 366 </td></tr></table></td></tr>"
+            f"<tr><td>07.01.2023</td><td>367</td><td>{inner}</td></tr><tr><td>08.01.2023</td><td>368</td></tr></TABLE>"
+            f"<table><tr><td>h</td></tr><tr><td>10.01.2023</td><td>370</td></tr></table>")
+    pages = spark.createDataFrame([(1, "u", page), (2, "u", page.replace("</tr>", "").replace("</td>", ""))], "page_id long, url string, html string")
+    outer = [("2023-01-05", 365.2), ("2023-01-06", 366.0), ("2023-01-07", 367.0), ("2023-01-08", 368.0), ("2023-01-09", 369.0)]
+    first = sorted((r.page_id, str(r.date), r.usd_lkr) for r in html.two_column_rates(pages, True).collect())
+    assert [x[1:] for x in first if x[0] == 1] == outer
+    assert {x[1:] for x in first if x[0] == 2} >= {("2023-01-05", 365.2), ("2023-01-08", 368.0)}
+    every = sorted((str(r.date), r.usd_lkr) for r in html.two_column_rates(pages.where("page_id = 1"), False).collect())
+    assert every == sorted([*outer, ("2023-01-09", 369.0), ("2023-01-10", 370.0)])
+    price = ("<table><tr><td><table><tr><td>menu</td></tr></table></td></tr><tr><th>Date</th><th>LP 95</th></tr></table>"
+             "<table><tr><th>Date</th><th>LP 95</th><th>LP 92</th></tr><tr><td>22.03.2026</td><td>400</td>"
+             "<td><b>317</b><table><tr><td>.5</td></tr></table></td></tr><tr><td>01.03.2026</td><td>390</td></tr></table>")
+    got = html.price_table(spark.createDataFrame([(1, "u", price.replace("<th>Date</th><th>LP 95</th></tr></table>", "</tr></table>"))],
+                                                 "page_id long, url string, html string")).collect()
+    assert sorted((r.period, r.fuel_type, r.price_lkr) for r in got) == [("2026-03", "LP_92", 317.5), ("2026-03", "LP_95", 390.0), ("2026-03", "LP_95", 400.0)]
+
+
+def test_all_named_references_are_decoded(spark):
+    from pricemart.functions.text import cell_text
+    texts = ["&aacute;&Ccedil;&nosuch;x", "&alpha;&amp;beta;&gt", "caf&eacute; &amp;eacute;", "&NotEqualTilde;!"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(cell_text("t").alias("c"))
+    assert [r.c for r in df.collect()] == ["áÇ&nosuch;x", "α&beta;&gt", "café &eacute;", "≂̸!"]
