@@ -4,11 +4,14 @@ Every text is scanned for windows of 10 words (an item of fewer words is one win
 whose hash is in the set are verified word by word; words inside a verified window are hit.  Hit spans or whole
 documents can be removed.
 
-The set is broadcast only while the benchmark's texts stay below ``BROADCAST_BYTES`` and the set built from them, by
-estimate, below ``SET_BYTES``.  A larger benchmark is joined with the windows' 128-bit hashes by a shuffle instead (same results).
+The set with its words is broadcast only while the benchmark's texts stay below ``BROADCAST_BYTES`` and the set built from
+them, by estimate, below ``SET_BYTES``.  Of a larger benchmark only the sorted 8-byte hashes are broadcast, ``MAX_HASHES`` at a time
+(more are dealt into slices, each with a scan of its own): windows whose hash is among them, and no others, are shuffled with
+their words and joined with the benchmark's windows on the words.  The same hits either way.
 
 Defined cases: a null or empty text has no words and no hits; null or empty items have no windows; items that repeat
-an id count once; a null item id is written as ''; repeated documents are each judged; other columns are kept.
+an id count once; a null item id is written as ''; repeated documents are each judged; other columns are kept, and where one has the name
+of a new column the new one gets underscores in front.
 """
 
 from __future__ import annotations
@@ -21,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricemart.llm.common import chunks, fresh, map_text
-from pricemart.llm.tokens import Words, flat, mix, ngrams, owners, starts_inside, token_bytes, words
+from pricemart.llm.common import chunks, fresh, map_text, staged
+from pricemart.llm.tokens import Words, flat, ngrams, owners, starts_inside, token_bytes, words
 
 WINDOW = 10
 BROADCAST_BYTES = 64 << 20      # of benchmark text
 SET_BYTES = 96 << 20            # of the built set at the driver's peak; Python workers hold about a third
 WINDOW_BYTES = 1300             # measured at that peak: a window's objects besides its words
+MAX_HASHES = 8_000_000          # 64 MB broadcast
 
 
 class Grams:
@@ -123,15 +127,17 @@ def set_sizes(items: DataFrame, window: int = WINDOW) -> tuple[int, int]:
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", window: int = WINDOW, prefix: str = "",
-         broadcast_bytes: int = BROADCAST_BYTES, with_text: bool = True, set_bytes: int = SET_BYTES) -> DataFrame:
+         broadcast_bytes: int = BROADCAST_BYTES, with_text: bool = True, set_bytes: int = SET_BYTES, max_hashes: int = MAX_HASHES,
+         names: list[str] | None = None) -> DataFrame:
     """``docs`` with n_words, n_hit, items (sorted ids of the items found) and clean_text (hit spans removed;
-    null for a null text).  ``prefix`` goes before the four names."""
+    null for a null text).  ``prefix`` goes before the four names; ``names``: others, that ``docs`` doesn't have."""
     spark = docs.sparkSession
     items = item_rows(benchmark)
     size, built = set_sizes(items, window)
-    fields = [T.StructField(prefix + f.name, f.dataType) for f in FIELDS]
+    names = names or fresh(docs, *[prefix + f.name for f in FIELDS])
+    fields = [T.StructField(n, f.dataType) for n, f in zip(names, FIELDS)]
     if size > broadcast_bytes or built > set_bytes:
-        return _joined(docs, items, text_col, window, fields, with_text)
+        return _joined(docs, items, text_col, window, fields, with_text, max_hashes)
     grams = Grams([tuple(r) for r in items.collect()], window)
     shared = spark.sparkContext.broadcast((grams.hashes, grams.behind))
 
@@ -166,14 +172,13 @@ def _columns(texts: pa.Array, w: Words, hit: np.ndarray, ids: list[set[str]], wi
             pa.array([sorted(x) for x in ids], pa.list_(pa.string())), clean]
 
 
-def _two(w: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent hashes of each window."""
-    return ngrams(w.hashes, size).view(np.int64), ngrams(mix(w.hashes + np.uint64(0x5851F42D4C957F2D)), size).view(np.int64)
+def _gram(w: Words, i: int, size: int) -> bytes:
+    return b" ".join(token_bytes(w, j) for j in range(i, i + size))
 
 
-def _joined(docs: DataFrame, items: DataFrame, text_col: str, window: int, fields: list, with_text: bool) -> DataFrame:
-    """The way for a benchmark beyond the broadcast bound: windows of documents and items meet in a shuffle join."""
-    gram = "size int, h1 long, h2 long"
+def _joined(docs: DataFrame, items: DataFrame, text_col: str, window: int, fields: list, with_text: bool, max_hashes: int) -> DataFrame:
+    """The way for a benchmark whose set isn't broadcast: suspected windows of documents meet the benchmark's by their words."""
+    spark = docs.sparkSession
 
     def item_windows(batches):
         for batch in batches:
@@ -185,35 +190,50 @@ def _joined(docs: DataFrame, items: DataFrame, text_col: str, window: int, field
                     if b == a:
                         continue
                     n = min(window, b - a)
-                    h1, h2 = _two(Words(w.hashes[a:b], None, None, None, None), n)
-                    yield pa.RecordBatch.from_arrays([pa.array([n] * len(h1), pa.int32()), pa.array(h1), pa.array(h2),
-                                                      pa.array([name] * len(h1), pa.string())], names=["size", "h1", "h2", "item"])
-
-    wanted = items.select("item_id", "text").mapInArrow(item_windows, f"{gram}, item string").distinct()
-    sizes = sorted(r[0] for r in wanted.select("size").distinct().collect())      # window lengths: at most ``window``
-    text = F.col(text_col)
-    keyed = docs.withColumns(dict(zip(key := fresh(docs, "k1", "k2"),
-                                      [F.xxhash64(text), F.md5(F.coalesce(text, F.lit("")).cast("binary"))])))
-
-    def doc_windows(batches):
-        for batch in batches:
-            for part in chunks(batch, "text"):
-                w = words(part.column(1))
-                own = owners(w.offsets)
-                for n in sizes:
-                    h1, h2 = _two(w, n)
-                    at = np.flatnonzero(starts_inside(w.offsets, n)) if len(h1) else np.zeros(0, int)
-                    if len(at):
-                        yield pa.RecordBatch.from_arrays(
-                            [part.column(0).take(pa.array(own[at])), pa.array(at - w.offsets[own[at]], pa.int64()),
-                             pa.array([n] * len(at), pa.int32()), pa.array(h1[at]), pa.array(h2[at])],
-                            names=["k2", "at", "size", "h1", "h2"])
-
-    hits = (keyed.select(F.col(key[1]).alias("k2"), text.alias("text")).dropDuplicates(["k2"])
-            .mapInArrow(doc_windows, f"k2 string, at long, {gram}")
-            .join(wanted, ["size", "h1", "h2"])
-            .groupBy("k2").agg(F.collect_set("item").alias("_items"), F.collect_set(F.struct("at", "size")).alias("_spans")))
-    both = keyed.join(hits.withColumnRenamed("k2", key[1]), key[1], "left")
+                    h = ngrams(w.hashes[a:b], n).view(np.int64)
+                    toks = [token_bytes(w, j) for j in range(a, b)]
+                    grams = [b" ".join(toks[j:j + n]) for j in range(len(h))]
+                    yield pa.RecordBatch.from_arrays([pa.array([n] * len(h), pa.int32()), pa.array(h), pa.array(grams, pa.binary()),
+                                                      pa.array([name] * len(h), pa.string())], names=["size", "h", "gram", "item"])
+
+    wanted = staged(spark, items.select("item_id", "text").mapInArrow(item_windows, "size int, h long, gram binary, item string").distinct(),
+                    "benchmark-windows")
+    hashes = wanted.select("size", "h").distinct()
+    slices = max(1, -(-hashes.count() // max_hashes))
+    md5 = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+
+    def suspects(i: int) -> DataFrame:
+        """(text, at, size, gram) of the documents' windows whose hash is in slice i; repeated texts and windows fold."""
+        found = hashes.where(F.pmod(F.xxhash64("h"), F.lit(slices)) == i).toArrow()             # ``max_hashes`` or so
+        size, h = found.column(0).to_numpy(), found.column(1).to_numpy().view(np.uint64)
+        shared = spark.sparkContext.broadcast({int(n): np.sort(h[size == n]) for n in np.unique(size)})
+
+        def run(batches):
+            for batch in batches:
+                for part in chunks(batch, "text"):
+                    w, rows = words(part.column(1)), []
+                    own = owners(w.offsets)
+                    for n, keys in shared.value.items():
+                        g = ngrams(w.hashes, n)
+                        if len(g):
+                            at = np.searchsorted(keys, g)
+                            at[at == len(keys)] = 0
+                            rows += [(int(own[j]), int(j - w.offsets[own[j]]), n, _gram(w, int(j), n))
+                                     for j in np.flatnonzero((keys[at] == g) & starts_inside(w.offsets, n))]
+                    if rows:
+                        r, at, n, gram = zip(*rows)
+                        yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(r)), pa.array(at, pa.int64()), pa.array(n, pa.int32()),
+                                                          pa.array(gram, pa.binary())], names=["md5", "at", "size", "gram"])
+
+        return docs.select(md5.alias("md5"), F.col(text_col).alias("text")).mapInArrow(run, "md5 string, at long, size int, gram binary").distinct()
+
+    every = suspects(0)
+    for i in range(1, slices):
+        every = every.unionByName(suspects(i))
+    key, ids, spans = fresh(docs, "md5", "ids", "spans")
+    hits = (every.join(wanted.select("size", "gram", "item"), ["size", "gram"])
+            .groupBy(F.col("md5").alias(key)).agg(F.collect_set("item").alias(ids), F.collect_set(F.struct("at", "size")).alias(spans)))
+    both = docs.withColumn(key, md5).join(staged(spark, hits, "benchmark-hits"), key, "left")
     n_in = len(docs.columns)
     place = docs.columns.index(text_col)
     names = [*docs.columns, *(f.name for f in fields)]
@@ -223,32 +243,32 @@ def _joined(docs: DataFrame, items: DataFrame, text_col: str, window: int, field
             for part in chunks(batch, text_col):
                 texts, m = part.column(place), part.num_columns
                 w = words(texts)
-                ids = [set(x or ()) for x in part.column(m - 2).to_pylist()]
-                spans = [(s["at"] + int(w.offsets[i]), s["size"]) for i, x in enumerate(part.column(m - 1).to_pylist()) for s in x or ()]
+                found = [set(x or ()) for x in part.column(m - 2).to_pylist()]
+                hit = [(s["at"] + int(w.offsets[i]), s["size"]) for i, x in enumerate(part.column(m - 1).to_pylist()) for s in x or ()]
                 yield pa.RecordBatch.from_arrays([*(part.column(i) for i in range(n_in)),
-                                                  *_columns(texts, w, _covered(len(w.hashes), spans), ids, with_text)],
+                                                  *_columns(texts, w, _covered(len(w.hashes), hit), found, with_text)],
                                                  names=names)
 
-    return both.select(*docs.columns, "_items", "_spans").mapInArrow(finish, T.StructType([*docs.schema.fields, *fields]))
+    return both.select(*docs.columns, ids, spans).mapInArrow(finish, T.StructType([*docs.schema.fields, *fields]))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document", text_col: str = "text") -> DataFrame:
     """``docs`` without hit documents (``remove="document"``), or with the hit spans cut from their texts
     (``remove="span"``).  Columns stay as they are."""
-    pre = fresh(docs, "_leak_n_words")[0].removesuffix("n_words")
-    found = scan(docs, benchmark, text_col, prefix=pre, with_text=remove == "span")
+    names = fresh(docs, *[f"_leak_{f.name}" for f in FIELDS])
+    found = scan(docs, benchmark, text_col, with_text=remove == "span", names=names)
     if remove == "document":
-        return found.where(F.col(f"{pre}n_hit") == 0).select(*docs.columns)
+        return found.where(F.col(names[1]) == 0).select(*docs.columns)
     if remove != "span":
         raise ValueError(remove)
-    return found.withColumn(text_col, F.col(f"{pre}clean_text")).select(*docs.columns)
+    return found.withColumn(text_col, F.col(names[3])).select(*docs.columns)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-           broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+           broadcast_bytes: int = BROADCAST_BYTES, max_hashes: int = MAX_HASHES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for each document."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    found = scan(slim, benchmark, broadcast_bytes=broadcast_bytes, with_text=False)
+    found = scan(slim, benchmark, broadcast_bytes=broadcast_bytes, with_text=False, max_hashes=max_hashes)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                         (F.col("n_hit") > 0).alias("contaminated"))

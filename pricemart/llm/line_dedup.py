@@ -163,7 +163,8 @@ def drop_lines(docs: DataFrame, min_docs: int, min_chars: int = 1, keep: str = "
                text_col: str = "text", log2_bits: int = LOG2_BITS, broadcast_bytes: int = BROADCAST_BYTES,
                prefix: str = "") -> DataFrame:
     """``docs`` with n_lines, n_dropped and kept_text (names after ``prefix``).  Every line whose key is in at least
-    ``min_docs`` documents goes; with ``keep="first"`` the first occurrence in the corpus stays."""
+    ``min_docs`` documents goes; with ``keep="first"`` the first occurrence in the corpus stays.  Where ``docs`` has one of
+    these names, the new column's name gets underscores in front."""
     if keep not in ("none", "first"):
         raise ValueError(keep)
     spark = docs.sparkSession
@@ -171,8 +172,8 @@ def drop_lines(docs: DataFrame, min_docs: int, min_chars: int = 1, keep: str = "
     keys, bits = repeated_keys(slim, min_docs, min_chars, log2_bits)
     keys = staged(spark, keys, "line-keys")
     size = keys.agg(F.sum(F.length("key") + 64)).first()[0] or 0
-    fields = [T.StructField(prefix + "n_lines", T.LongType()), T.StructField(prefix + "n_dropped", T.LongType()),
-              T.StructField(prefix + "kept_text", T.StringType())]
+    fields = [T.StructField(n, t) for n, t in zip(fresh(docs, prefix + "n_lines", prefix + "n_dropped", prefix + "kept_text"),
+                                                  (T.LongType(), T.LongType(), T.StringType()))]
     places = docs.columns.index(text_col), docs.columns.index(id_col)
     n_in = len(docs.columns)
     schema = T.StructType([*docs.schema.fields, *fields])

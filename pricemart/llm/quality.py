@@ -190,7 +190,8 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", learn: C
 
 
 def with_score(docs: DataFrame, model: tuple[np.ndarray, Network], name: str = "score", text_col: str = "text") -> DataFrame:
-    """``docs`` with the probability of label 1 in the new column ``name``."""
+    """``docs`` with the probability of label 1 in the new column ``name`` (with underscores in front where ``docs`` has it)."""
+    name, = fresh(docs, name)
     vectors, net = model
     shared = docs.sparkSession.sparkContext.broadcast(vectors)      # of a fixed size; the network is a few thousand numbers
 

@@ -174,10 +174,10 @@ def passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with the later occurrences of repeated passages cut from their texts; columns stay as they are."""
-    mark, i, h, cut = fresh(docs, "_row", "_i", "_h", "_cut")
-    found = passages(docs, id_col, text_col, length).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t"), F.col("later_spans").alias(cut))
+    i, h, cut, d, t = fresh(docs, "_i", "_h", "_cut", "_d", "_t")
+    found = passages(docs, id_col, text_col, length).select(F.col("doc_id").alias(d), F.col("text_hash").alias(t), F.col("later_spans").alias(cut))
     rows = docs.withColumns({i: F.col(id_col), h: F.xxhash64(F.col(text_col))})
-    both = rows.join(found, F.col(i).eqNullSafe(F.col("_d")) & (F.col(h) == F.col("_t")), "left").select(*docs.columns, cut)
+    both = rows.join(found, F.col(i).eqNullSafe(F.col(d)) & (F.col(h) == F.col(t)), "left").select(*docs.columns, cut)
     names = docs.columns
     place, n_in = names.index(text_col), len(names)
 

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pricemart.llm.common import bounded_sample, chunks, fold, label_table, labelled_rows, map_text
+from pricemart.llm.common import bounded_sample, chunks, fold, fresh, label_table, labelled_rows, map_text
 from pricemart.llm.tokens import BASE, Words, mix, owners, words
 
 BITS = 20
@@ -146,7 +146,8 @@ def score(w: Words, model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
 
 
 def with_score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], name: str = "score", text_col: str = "text") -> DataFrame:
-    """``docs`` with the probability of label 1 in the new column ``name``."""
+    """``docs`` with the probability of label 1 in the new column ``name`` (with underscores in front where ``docs`` has it)."""
+    name, = fresh(docs, name)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return map_text(docs, text_col, [T.StructField(name, T.DoubleType())],
                     lambda texts: [pa.array(score(words(texts), shared.value))])

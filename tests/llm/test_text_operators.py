@@ -63,10 +63,11 @@ def brute_hits(text, bench):
     return len(ws), len(hit), len(ids), hashlib.sha256(",".join(ids).encode()).hexdigest(), bool(hit)
 
 
-@pytest.mark.parametrize("bound", [decontam.BROADCAST_BYTES, 0])
-def test_decontamination_equals_brute_force(spark, bound):
+@pytest.mark.parametrize("bound,most", [(decontam.BROADCAST_BYTES, decontam.MAX_HASHES), (0, decontam.MAX_HASHES), (0, 2)])
+def test_decontamination_equals_brute_force(spark, bound, most):
+    """Also with the shuffle join, and with the hashes in several slices."""
     docs, bench = documents(spark, LEAKY), spark.createDataFrame(BENCH, "item_id long, text string")
-    got = decontam.report(docs, bench, broadcast_bytes=bound).collect()
+    got = decontam.report(docs, bench, broadcast_bytes=bound, max_hashes=most).collect()
     assert sorted(tuple(r) for r in got) == sorted((d, *brute_hits(t, BENCH)) for d, t in LEAKY)
 
 
@@ -89,6 +90,23 @@ def test_decontamination_removes_documents_or_spans(spark):
     assert (2, "a , a ") in cut and (3, "the quick brown fox") in cut and (4, None) in cut and (5, "") in cut and (1, "x " * 5 + " off") in cut
 
 
+def test_names_that_clash(spark):
+    """Columns with the names of new or inner ones: new columns step aside, old ones keep their values."""
+    bench = spark.createDataFrame(BENCH, "item_id long, text string")
+    docs = documents(spark, LEAKY).withColumnsRenamed({"lang": "n_words", "source": "ids", "n_chars": "spans"})
+    for bound in (decontam.BROADCAST_BYTES, 0):
+        got = decontam.scan(docs, bench, broadcast_bytes=bound)
+        assert got.columns == [*docs.columns, "_n_words", "n_hit", "items", "clean_text"]
+        assert {(r.n_words, r.ids) for r in got.collect()} == {("en", "s")} and {r._n_words for r in got.collect()} >= {0, 4}
+    lines = documents(spark, LINES).withColumnsRenamed({"lang": "n_lines", "source": "kept_text"})
+    for bound in (line_dedup.BROADCAST_BYTES, 0):
+        got = line_dedup.drop_lines(lines, 3, broadcast_bytes=bound)
+        assert got.columns == [*lines.columns, "_n_lines", "n_dropped", "_kept_text"] and {r.n_lines for r in got.collect()} == {"en"}
+    rows = documents(spark, [(i, prose(77, 80) + f" own {i}") for i in range(3)]).withColumnsRenamed({"lang": "_d", "source": "_t"})
+    got = suffix_dedup.remove_repeats(rows)
+    assert got.columns == rows.columns and sorted(len(r.text.split()) for r in got.collect()) == [1, 1, 82]
+
+
 # ---- lines
 
 LINES = [(i, f"Shared LINE \n own {i}\n\n  shared line") for i in range(6)] + [(6, None), (7, ""), (8, "own 1"), (8, "own 1"), (9, "É\né")]
