@@ -5,9 +5,12 @@ file-source stream over the native snapshot folder (Parquet partitioned by
 ``fetched_at``) picks up only files it has not seen (the stream's checkpoint
 remembers them), and each micro-batch is folded into the current state with
 the same deterministic ``keep_first`` as the batch job: state = keep_first(state
-UNION batch).  State versions are written as separate folders (``state_version=<batch id>``)
-so a batch never overwrites the table it reads; a failed batch is simply re-run
-from the checkpoint.  The state has one row per key, not per landed record.
+UNION batch).  State versions are folders of their own (``state_version=<n>``), written under another name and
+renamed when whole, so a batch never overwrites the table it reads and a version is there wholly or not at all.  The next version is
+the largest + 1, whatever the stream's own batch numbers: a batch that is run again, or a stream that starts anew because
+its checkpoint is lost, folds the same rows again, which changes nothing.  The checkpoint lies beside the state, so
+another application goes on where the last one stopped.  The state has one row per key, not per landed record; versions
+before the last ``keep`` are removed.
 
 Cost: every micro-batch rewrites the whole state (O(keys), not O(history)); for
 key spaces much larger than the batches, run the fold per coarse key range
@@ -16,49 +19,55 @@ key spaces much larger than the batches, run the fold per coarse key range
 
 from __future__ import annotations
 
-import hashlib
+import re
+import uuid
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pricemart.operators.dedupe import keep_first
-from pricemart.session import ensure_checkpoint_dir
+from pricemart.session import remove_path
+from pricemart.sinks import commits
+
+
+def versions(spark: SparkSession, state_path: str) -> list[int]:
+    """Numbers of the state versions under ``state_path``, oldest first."""
+    names = (re.fullmatch(r"state_version=(\d+)", n) for n in commits.folders(spark, state_path))
+    return sorted(int(m.group(1)) for m in names if m)
 
 
 def latest_version(spark: SparkSession, state_path: str) -> DataFrame | None:
     """The newest state version under ``state_path`` (None before the first batch)."""
-    try:
-        versions = spark.read.parquet(state_path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":        # any other failure must not reset the state
-            raise
-        return None
-    last = versions.agg(F.max("state_version")).first()[0]
-    if last is None:
-        return None
-    return spark.read.parquet(f"{state_path}/state_version={last}")
+    found = versions(spark, state_path)
+    return spark.read.parquet(f"{state_path}/state_version={found[-1]}") if found else None
 
 
 def fold_latest(spark: SparkSession, raw_path: str, schema: T.StructType, keys: Sequence[str],
                 order: Sequence[tuple[str, bool]], state_path: str, checkpoint: str | None = None,
-                max_files_per_trigger: int | None = None) -> DataFrame:
+                max_files_per_trigger: int | None = None, keep: int = 2) -> DataFrame:
     """Run the stream until every landed file is processed (``availableNow``) and return
-    the latest state.  ``schema`` must include the partition column (``fetched_at``)."""
-    if checkpoint is None:   # one checkpoint per (source, state) pair
-        tag = hashlib.sha1(f"{raw_path}|{state_path}".encode()).hexdigest()[:16]
-        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pricemart-streams/{tag}"
+    the latest state.  ``schema`` must include the partition column (``fetched_at``); the checkpoint is by default in the
+    state's own folder, the last ``keep`` (2 at least) versions of the state are kept."""
+    checkpoint = checkpoint or f"{state_path}/_checkpoint"
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.parquet(raw_path)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        current = latest_version(batch.sparkSession, state_path)
+        session = batch.sparkSession
+        found = versions(session, state_path)
+        current = latest_version(session, state_path)
         merged = batch if current is None else current.unionByName(batch)
-        keep_first(merged, keys, order).write.mode("overwrite").parquet(f"{state_path}/state_version={batch_id}")
+        own = f"{state_path}/_new-{uuid.uuid4().hex}"
+        keep_first(merged, keys, order).write.parquet(own)
+        fs, source = commits.file_system(session, own)
+        if not fs.rename(source, commits.file_system(session, f"{state_path}/state_version={found[-1] + 1 if found else 1}")[1]):
+            raise RuntimeError(f"{state_path}: a state version could not be put in place")
+        for old in found[:len(found) + 1 - max(keep, 2)]:
+            remove_path(session, f"{state_path}/state_version={old}")
 
     q = (stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
                .trigger(availableNow=True).start())

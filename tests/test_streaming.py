@@ -27,6 +27,22 @@ def test_fold_latest_is_incremental(spark):
     assert len(versions) == 2
 
 
+def test_a_stream_that_starts_anew_sees_later_rows(spark):
+    """Another checkpoint (its batches count from 0 again), and the default one of two runs."""
+    order = [("fetched_at", False), ("_pos", True)]
+
+    def land(raw, value, day):
+        write_snapshot(spark.createDataFrame([("2022-01", value, 0)], "period string, v double, _pos long").withColumn("fetched_at", F.lit(day)), raw)
+
+    for checkpoints in (["a", "b", "c", "d"], [None] * 4):
+        raw, state, base = (scratch_path(spark, n) for n in ("raw", "state", "ckpt"))
+        for i, c in enumerate(checkpoints):
+            land(raw, float(i), f"2024-01-0{i + 1}")
+            out = fold_latest(spark, raw, SCHEMA, ["period"], order, state, checkpoint=c and f"{base}/{c}")
+            assert [r.v for r in out.collect()] == [float(i)]
+        assert spark.read.parquet(state).select("state_version").distinct().count() == 2           # older ones are removed
+
+
 def test_only_a_missing_path_means_no_state(spark):
     import os
     import pytest
