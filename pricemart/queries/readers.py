@@ -45,6 +45,41 @@ def scan_envelope(spark, sf) -> DataFrame:
                        "fetched_at")
 
 
+def feed_records(spark, sf) -> dict[str, tuple]:
+    """Records of the three feeds in their landed schemas: (frame with a ``k`` to order by, record schema)."""
+    li, o = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("period")
+    text = lambda c: c.cast("string")
+    return {
+        "benchmark": (li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"), F.date_format("l_shipdate", "yyyy-MM").alias("period"),
+                                text(F.col("l_extendedprice") / 1000).alias("value"), F.lit('a "quoted" }{ source').alias("source")), env.BENCHMARK_RECORD),
+        "rates": (o.select(F.col("o_orderkey").alias("k"), month, text(F.col("o_totalprice") / 1000).alias("usd_lkr_avg"),
+                           text(F.col("o_orderkey") % 30).alias("sample_count")), env.RATES_RECORD),
+        "prices": (o.select(F.col("o_orderkey").alias("k"), month, F.col("o_orderpriority").alias("fuel_type"),
+                            text(F.col("o_totalprice") / 200).alias("price_lkr"), F.lit("scrape").alias("source")), env.PRICES_RECORD),
+    }
+
+
+def scan_envelope_feeds(spark, sf) -> DataFrame:
+    """The three feeds as envelopes of both layouts in one folder, JSON Lines and pretty objects one after another, read back."""
+    out = None
+    for feed, (rows, record) in feed_records(spark, sf).items():
+        path = scratch_path(spark, f"envelopes-{feed}")
+        env.write_envelopes(rows.where("k % 2 = 0").withColumn("fetched_at", F.lit("2001-08-02")).select(
+            "fetched_at", *record.fieldNames(), "k"), path, source=feed, order=["k"], max_records=500)
+        pretty = rows.where("k % 2 = 1").groupBy(F.floor(F.col("k") / 4000).alias("part")).agg(
+            F.sort_array(F.collect_list(F.struct("k", F.struct(*record.fieldNames()).alias("r")))).alias("rs"))
+        body = F.to_json(F.struct(F.lit(feed).alias("source"), F.lit("2001-08-03").alias("fetched_at"), "part",
+                                  F.transform("rs", lambda x: x["r"]).alias("records")), {"pretty": "true"})
+        pretty.select(body.alias("value")).coalesce(3).write.text(f"{path}/_day=pretty")
+        back = env.read_envelopes(spark, path, record, multiline=True)
+        value = next(c for c in ("value", "usd_lkr_avg", "price_lkr") if c in back.columns)
+        label = F.col("fuel_type") if feed == "prices" else F.col("sample_count") if feed == "rates" else F.col("source")
+        rows = back.select(F.lit(feed).alias("feed"), "period", label.alias("label"), F.col(value).try_cast("double").alias("value"), "fetched_at")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def snapshot_latest(spark, sf) -> DataFrame:
     """Three landed snapshots (one per order status) read as one directory; newest wins (Q2)."""
     o = table(spark, sf, "orders")
@@ -74,8 +109,9 @@ def payload_docs(spark, sf) -> DataFrame:
     docs = li.groupBy(doc_id.alias("doc_id")).agg(
         F.sort_array(F.collect_list(F.struct("l_orderkey", "l_linenumber", item.alias("item")))).alias("items"))
     body = F.to_json(F.struct(F.struct(F.transform("items", lambda x: x["item"]).alias("data")).alias("response")))
-    return docs.select("doc_id", F.when(F.col("doc_id") % 5 == 0, F.lit('{"status":"no data"}'))
-                       .otherwise(body).alias("payload"))
+    # beside them responses without data
+    more = docs.where("doc_id % 5 = 0").select((-1 - F.col("doc_id")).alias("doc_id"), F.lit('{"status":"no data"}').alias("payload"))
+    return docs.select("doc_id", body.alias("payload")).unionByName(more)
 
 
 def api_payload_records(spark, sf) -> DataFrame:
@@ -177,16 +213,24 @@ def csv_alias_prices(spark, sf) -> DataFrame:
 
 # ----------------------------------------------------------------- HTML pages
 
+HIDDEN_TABLE = "<!-- <table><tr><td>LP 92</td></tr><tr><td>1999-01-02</td><td>1.00</td></tr></table> -->"
+
+
 def rate_row_html(engine: str) -> str:
     date = (f"CASE l_linenumber % 3 WHEN 0 THEN {dfmt('l_shipdate', 'ymd', engine)} "
             f"WHEN 1 THEN {dfmt('l_shipdate', 'dmy_slash', engine)} ELSE {dfmt('l_shipdate', 'dmy_dot', engine)} END")
     rate = money(RATE_CENTS, thousands=True)
+    # some rates in a nested table, with numeric references, in cells without end tags
     return (f"CASE WHEN (l_orderkey + l_linenumber) % 11 = 0 THEN '<tr><td colspan=\"2\">n/a</td></tr>' "
+            f"WHEN l_orderkey % 96 = 1 THEN concat('<tr><td>', {date}, '</td><td><table><tr><td> ', {rate}, '</td></tr></table></td></tr>') "
+            f"WHEN l_orderkey % 3 = 0 THEN concat('<tr><td>', {date}, '</td><td>&#160;', replace({rate}, '.', '&#x2E;'), '&ensp;</td></tr>') "
+            f"WHEN l_orderkey % 7 = 2 THEN concat('<tr><td>', {date}, '<td>', {rate}, '<!-- </td><td>0 -->') "
             f"ELSE concat('<tr class=\"r\"><td>', {date}, '</td><td> ', {rate}, ' </td></tr>') END")
 
 
 def rate_pages(spark, sf) -> DataFrame:
-    """Pages with two rate tables each, rendered from lineitem (8 orders per page)."""
+    """Pages with two rate tables each, rendered from lineitem (8 orders per page); some with a table in a comment, some
+    without the last table's end."""
     li = table(spark, sf, "lineitem")
     rows = li.select(F.floor(F.col("l_orderkey") / 8).cast("long").alias("page_id"),
                      F.when(F.col("l_linenumber") <= 3, 0).otherwise(1).alias("tbl"),
@@ -197,9 +241,11 @@ def rate_pages(spark, sf) -> DataFrame:
                                           lambda x: x["row_html"]), ""),
                  F.lit("</table>")).alias("t"))
     pages = tbls.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("tbl", "t"))).alias("ts"))
+    tables = F.array_join(F.transform("ts", lambda x: x["t"]), "\n")
     return pages.select("page_id", F.concat(F.lit("http://rates.example/p"), F.col("page_id").cast("string")).alias("url"),
-                        F.concat(F.lit("<html><body><h1>Rates</h1>"),
-                                 F.array_join(F.transform("ts", lambda x: x["t"]), "\n"),
+                        F.concat(F.lit("<html><body><h1>Rates</h1>"), F.when(F.col("page_id") % 2 == 1, HIDDEN_TABLE).otherwise(""),
+                                 F.when((F.col("page_id") % 5 == 1) & (F.col("page_id") % 12 != 0), F.regexp_replace(tables, "</table>$", ""))
+                                 .otherwise(tables),
                                  F.lit("</body></html>")).alias("html"))
 
 
@@ -228,8 +274,14 @@ def price_pages(spark, sf, orders: DataFrame | None = None) -> DataFrame:
     """Pages with a decoy table and a wide price table, rendered from orders (16 orders per page)."""
     o = orders if orders is not None else table(spark, sf, "orders")
     c = {k: F.expr(v) for k, v in price_cells(SP).items()}
-    full = F.concat(F.lit("<tr><td>"), c["date"], F.lit("</td><td>&nbsp;"), c["p1"], F.lit("</td><td><b>"), c["p2"],
-                    F.lit("</b></td><td>"), c["p3"], F.lit("</td><td>"), c["p4"], F.lit("</td></tr>"))
+    key = F.col("o_orderkey")
+    # some dates in header cells, prices with numeric references, a last price in a nested table
+    date = F.when(key % 6 == 1, F.concat(F.lit("<tr><th scope=row>"), c["date"], F.lit("</th>"))).otherwise(
+        F.concat(F.lit("<tr><td>"), c["date"], F.lit("</td>")))
+    p2 = F.when(key % 5 == 0, F.concat(F.lit("&#xA0;"), F.replace(c["p2"], F.lit("."), F.lit("&#46;")))).otherwise(c["p2"])
+    p4 = F.when(key % 64 == 5, F.concat(F.lit("<table><tr><td>"), c["p4"], F.lit("</td></tr></table>"))).otherwise(c["p4"])
+    full = F.concat(date, F.lit("<td>&nbsp;"), c["p1"], F.lit("</td><td><b>"), p2,
+                    F.lit("</b></td><td>"), c["p3"], F.lit("</td><td>"), p4, F.lit("</td></tr>"))
     short = F.concat(F.lit("<tr><td>"), c["date"], F.lit("</td><td>&nbsp;"), c["p1"], F.lit("</td></tr>"))
     rows = o.select(F.floor(F.col("o_orderkey") / 16).cast("long").alias("page_id"), "o_orderkey",
                     F.when(F.col("o_orderkey") % 7 == 0, short).otherwise(full).alias("row_html"))
@@ -238,8 +290,10 @@ def price_pages(spark, sf, orders: DataFrame | None = None) -> DataFrame:
             '<table id="prices" border="1"><tr><th>Date</th><th>LP 95</th><th>LP 92</th>'
             '<th class="x">LAD</th><th>Fur. 800</th></tr>')
     return pages.select("page_id", F.concat(F.lit("http://prices.example/p"), F.col("page_id").cast("string")).alias("url"),
-                        F.concat(F.lit(head), F.array_join(F.transform("rs", lambda x: x["row_html"]), "\n"),
-                                 F.lit("</table></body></html>")).alias("html"))
+                        F.concat(F.when(F.col("page_id") % 2 == 1, HIDDEN_TABLE).otherwise(""), F.lit(head),
+                                 F.array_join(F.transform("rs", lambda x: x["row_html"]), "\n"),
+                                 F.when((F.col("page_id") % 3 == 1) & (F.col("page_id") % 4 != 0), "").otherwise("</table>"),
+                                 F.lit("</body></html>")).alias("html"))
 
 
 def html_price_table(spark, sf) -> DataFrame:
@@ -278,6 +332,7 @@ def insert_if_empty(spark, sf) -> DataFrame:
 
 QUERIES = {
     "scan_envelope": scan_envelope,
+    "scan_envelope_feeds": scan_envelope_feeds,
     "snapshot_latest": snapshot_latest,
     "api_payload_records": api_payload_records,
     "json_path": json_path,

@@ -132,10 +132,17 @@ WITH it AS (
          CASE WHEN (l_orderkey * 8 + l_linenumber) % 10 IN (0, 2) THEN NULL ELSE l_extendedprice / 1000 END AS value
   FROM lineitem),
 rec AS (SELECT period, value, 'api' AS source FROM it
-        WHERE doc_id % 5 <> 0 AND period <> '' AND value IS NOT NULL)"""
+        WHERE period <> '' AND value IS NOT NULL)"""
 
 SQL = {
     "scan_envelope": "SELECT event_id, user_id, event_type, value, CAST(ts AS DATE) AS fetched_at FROM events",
+    "scan_envelope_feeds": """
+SELECT 'benchmark' AS feed, strftime(l_shipdate, '%Y-%m') AS period, 'a "quoted" }{ source' AS label, l_extendedprice / 1000 AS value,
+       CASE WHEN (l_orderkey * 8 + l_linenumber) % 2 = 0 THEN DATE '2001-08-02' ELSE DATE '2001-08-03' END AS fetched_at FROM lineitem
+UNION ALL SELECT 'rates', strftime(o_orderdate, '%Y-%m'), CAST(o_orderkey % 30 AS VARCHAR), o_totalprice / 1000,
+       CASE WHEN o_orderkey % 2 = 0 THEN DATE '2001-08-02' ELSE DATE '2001-08-03' END FROM orders
+UNION ALL SELECT 'prices', strftime(o_orderdate, '%Y-%m'), o_orderpriority, o_totalprice / 200,
+       CASE WHEN o_orderkey % 2 = 0 THEN DATE '2001-08-02' ELSE DATE '2001-08-03' END FROM orders""",
     "snapshot_latest": """
 SELECT period, fuel_type, price_lkr, fetched_at FROM (
   SELECT strftime(o_orderdate, '%Y-%m') AS period, o_orderpriority AS fuel_type, o_totalprice / 200 AS price_lkr,
@@ -146,8 +153,9 @@ SELECT period, fuel_type, price_lkr, fetched_at FROM (
   FROM orders) WHERE rn = 1""",
     "api_payload_records": _PAYLOAD + "\nSELECT * FROM rec",
     "json_path": """
-SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 0 ELSE COUNT(*) END AS n_items
-FROM (SELECT CAST(floor(l_orderkey / 16) AS BIGINT) AS doc_id FROM lineitem) GROUP BY doc_id""",
+WITH d AS (SELECT CAST(floor(l_orderkey / 16) AS BIGINT) AS doc_id FROM lineitem)
+SELECT doc_id, COUNT(*) AS n_items FROM d GROUP BY doc_id
+UNION ALL SELECT DISTINCT -1 - doc_id, 0 FROM d WHERE doc_id % 5 = 0""",
     "page_sorted": _PAYLOAD + "\nSELECT * FROM rec ORDER BY period, value, source LIMIT 5000 OFFSET 0",
     "csv_alias_benchmark": _bench_csv(),
     "csv_alias_rates": _rates_csv(),
