@@ -66,6 +66,9 @@ def _decode_spaces(c: Column) -> Column:
     def decode(x):
         for name, ch in HTML_SPACES:
             x = F.replace(x, F.lit(f"&{name};"), F.lit(ch))
+        return _let(x, lambda t: F.when(F.contains(t, F.lit("&#")), numeric(t)).otherwise(t))
+
+    def numeric(x):
         for code in _SPACE_CODES:
             x = F.regexp_replace(x, _numeric(code), chr(code))
         return x

@@ -16,6 +16,7 @@ plain expressions; the others a scan of their tags, whose time grows with the sq
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -131,7 +132,7 @@ def two_column_rates(pages: DataFrame, first_table_only: bool) -> DataFrame:
         tabs = F.slice(tabs, 1, 1)
     data_rows = F.flatten(F.transform(tabs, lambda t: F.filter(t["rows"], lambda r, i: i > 0)))
     ex = pages.select("page_id", data_rows.alias("_rows")).select(
-        "page_id", F.posexplode("_rows").alias("row_pos", "row_html"))
+        "page_id", F.posexplode_outer("_rows").alias("row_pos", "row_html"))
     r = ex.select("page_id", "row_pos", _raw_cells(F.col("row_html"), ("td",)).alias("cells"))
     # cell texts get their own projection: the parsers refer to their input once per
     # date format, and an inlined cell_text would be re-evaluated in each of them
@@ -142,11 +143,10 @@ def two_column_rates(pages: DataFrame, first_table_only: bool) -> DataFrame:
 
 
 def keyword_hit(text: Column, keywords: Sequence[str]) -> Column:
-    low = F.lower(text)
-    cond = F.lit(False)
-    for kw in keywords:
-        cond = cond | F.contains(low, F.lit(kw))
-    return cond
+    """Whether a text holds one of the keywords, in any case; the text is computed once."""
+    if not keywords:
+        return F.lit(False)
+    return F.rlike(F.lower(text), F.lit("|".join(re.escape(kw) for kw in keywords)))
 
 
 def price_table(pages: DataFrame, keywords: Sequence[str] = FUEL_TABLE_KEYWORDS, source: str = "scrape",
@@ -159,26 +159,27 @@ def price_table(pages: DataFrame, keywords: Sequence[str] = FUEL_TABLE_KEYWORDS,
     with a parseable price.  The column map is an array carried with each row and
     looked up by cell index (the distributed form of the reference's dict
     lookup), so the whole unpivot is row-local: two explodes, no join."""
-    # Per-page columns are projected before the explode: expressions written next to a
+    # The explodes are outer ones (their null rows are filtered after): for an inner one Spark filters by the array's size, below
+    # the projection that computes it, and so computes it twice.  Per-page columns are projected before the explode: expressions written next to a
     # generator are evaluated after it (once per generated row), which would redo the
     # table search and the header map for every table row.
     target = F.get(F.filter(tables(F.col("html")), lambda t: keyword_hit(spaced_text(t["html"]), keywords)), 0)
     per_page = pages.select("page_id", target["rows"].alias("_rows"))
-    heads = F.transform(_cells(F.get("_rows", 0), ("th", "td")), lambda c: map_category(c))
+    heads = F.transform(_cells(F.get("_rows", 0), ("th", "td")), lambda c: F.element_at(F.transform(F.array(c), lambda x: map_category(x)), 1))
     if date_col_excluded:
         heads = F.transform(heads, lambda h, i: F.when(i > 0, h))
     per_page = per_page.select("page_id", heads.alias("_heads"), "_rows")
-    x = per_page.select("page_id", "_heads", F.posexplode("_rows").alias("row_pos", "row_html"))
+    x = per_page.select("page_id", "_heads", F.posexplode_outer("_rows").alias("row_pos", "row_html"))
     x = x.where(F.col("row_pos") >= 1).select(
         "page_id", "_heads", "row_pos", _raw_cells(F.col("row_html"), ("th", "td")).alias("cells"))
     x = x.where(F.size("cells") > 0).select("*", cell_text(F.get("cells", 0)).alias("_d"))
     x = parse_then_filter(x, {"period": parse_period("_d")}, keep=["page_id", "_heads", "row_pos", "cells"])
-    y = x.select("page_id", "row_pos", "period", "_heads", F.posexplode("cells").alias("col_pos", "cell"))
+    y = x.select("page_id", "row_pos", "period", "_heads", F.posexplode_outer("cells").alias("col_pos", "cell"))
     y = y.withColumn("fuel_type", F.get("_heads", F.col("col_pos"))).where(F.col("fuel_type").isNotNull())
     pos = F.struct(F.lit("").alias("file"), F.col("page_id").cast("long").alias("a"), F.col("row_pos").cast("long").alias("b"),
                    F.col("col_pos").cast("long").alias("c"))
-    y = y.select("page_id", "row_pos", "col_pos", "period", "fuel_type", pos.alias("_pos"), "cell")
-    out = parse_then_filter(y, {"price_lkr": clean_price(cell_text(F.col("cell")))},
+    y = y.select("page_id", "row_pos", "col_pos", "period", "fuel_type", pos.alias("_pos"), cell_text("cell").alias("_c"))
+    out = parse_then_filter(y, {"price_lkr": clean_price("_c")},
                             keep=["page_id", "row_pos", "col_pos", "period", "fuel_type", "_pos"])
     return out.select("page_id", "row_pos", "col_pos", "period", "fuel_type", "price_lkr",
                       F.lit(source).alias("source"), "_pos")
