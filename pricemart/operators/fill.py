@@ -22,21 +22,33 @@ from pyspark.sql import functions as F
 from pricemart.operators.buckets import BUCKET, TIE_BREAK, ranged, with_tie_break
 
 
-def _filled(x: DataFrame, cols: Sequence[str], order: Sequence[str], by: Sequence[str], names: Sequence[str]) -> DataFrame:
-    """Fill over a ranged frame."""
+def _filled(x: DataFrame, cols: Sequence[str], order: Sequence[str], by: Sequence[str], names: Sequence[str],
+            ahead: tuple[str, str] | None = None) -> DataFrame:
+    """Fill over a ranged frame.  ``ahead``: (column, name): also add the column's value in the next row of the series, from
+    the same ranges, summary and window."""
     order = [*order, TIE_BREAK]
     x = x.withColumn("_s", F.struct(*by)) if by else x
     skey = ["_s"] if by else []
-    summary = x.groupBy(*skey, BUCKET).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_last_{i}") for i, c in enumerate(cols)])
-    before = Window.partitionBy(*skey).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*skey, BUCKET, *[F.last(f"_last_{i}", ignorenulls=True).over(before).alias(f"_carry_{i}")
-                                            for i in range(len(cols))])
-    joined = x.join(carry, on=[*skey, BUCKET], how="left")
-    local = Window.partitionBy(*skey, BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = [F.max_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_last_{i}") for i, c in enumerate(cols)]
+    if ahead:
+        sums.append(F.min_by(ahead[0], F.struct(*order)).alias("_first"))
+    summary = x.groupBy(*skey, BUCKET).agg(*sums)
+    ranges = Window.partitionBy(*skey).orderBy(BUCKET)
+    before = ranges.rowsBetween(Window.unboundedPreceding, -1)
+    carries = [F.last(f"_last_{i}", ignorenulls=True).over(before).alias(f"_carry_{i}") for i in range(len(cols))]
+    if ahead:
+        carries.append(F.lead("_first").over(ranges).alias("_then"))
+    joined = x.join(summary.select(*skey, BUCKET, *carries), on=[*skey, BUCKET], how="left")
+    inside = Window.partitionBy(*skey, BUCKET).orderBy(*order)
+    local = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    more = []
+    if ahead:       # a struct: a NULL value is not a missing row
+        following = F.lead(F.struct(F.col(ahead[0]).alias("v"))).over(inside)
+        joined = joined.withColumn("_next_row", following)
+        more = [F.when(F.col("_next_row").isNull(), F.col("_then")).otherwise(F.col("_next_row.v")).alias(ahead[1])]
     return joined.select(*[
         F.coalesce(F.last(c, ignorenulls=True).over(local), F.col(f"_carry_{cols.index(c)}")).alias(c) if c in cols else F.col(c)
-        for c in names])
+        for c in names], *more)
 
 
 def forward_fill(df: DataFrame, cols: Sequence[str], order: Sequence[str], by: Sequence[str] = (),
@@ -70,12 +82,11 @@ def calendar_fill(df: DataFrame, period: str, cols: Sequence[str], by: Sequence[
     other columns are NULL in it.  Rows with a NULL period are left out; a NULL series is a series.
 
     Each row generates the missing months up to the next row of its series, so there is
-    no join with a month grid and the input is read once."""
-    from pricemart.operators.change import next_value
-
+    no join with a month grid and the input is read once; values and next months come from one range shuffle and
+    one table of ranges."""
     cols, by = list(cols), list(by)
-    x = forward_fill(df.where(F.col(period).isNotNull()), cols, [period], by=by, buckets=buckets)
-    x = next_value(x, period, [period], by=by, name="_next", buckets=buckets)
+    x = ranged(df.where(F.col(period).isNotNull()), [*by, period], buckets)
+    x = _filled(x, cols, [period], by, df.columns, ahead=(period, "_next"))
     month = F.expr("INTERVAL 1 MONTH")
     months = F.when(F.col("_next") > F.col(period), F.sequence(F.col(period), F.add_months("_next", -1), month)).otherwise(F.array(period))
     x = x.select("*", F.posexplode(months).alias("_gap", "_month"))

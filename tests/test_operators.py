@@ -429,3 +429,22 @@ def test_view_and_function_agree_on_ties(spark):
     one = loaded.withColumn("want", F.lag("price_lkr").over(Window.partitionBy("fuel_type").orderBy("fact_id")))
     want = sorted((r.fuel_type, r.price_lkr, -1.0 if r.want is None else r.want) for r in one.collect())
     assert want == sorted((r.fuel_type, r.price_lkr, -1.0 if r.prev_month_price_lkr is None else r.prev_month_price_lkr) for r in view.collect())
+
+
+def test_calendar_fill_deals_its_rows_once(spark, monkeypatch):
+    """One range shuffle and one written table for both the fill and the next month."""
+    from pricemart.operators import fill
+    calls = []
+    real = fill.ranged
+    monkeypatch.setattr(fill, "ranged", lambda *a: calls.append(1) or real(*a))
+    df = spark.createDataFrame([("a", "2022-01-01", 1.0, "x"), ("a", "2022-04-01", None, "y"), ("a", "2022-04-01", 3.0, "z"), ("b", "2022-02-01", None, "w"),
+                                (None, "2022-01-01", 7.0, "v"), (None, "2022-03-01", 8.0, "u"), ("a", None, 5.0, "t")], "s string, p string, v double, k string")
+    df = df.withColumn("p", F.col("p").cast("date"))
+    for buckets in (1, 5):
+        calls.clear()
+        out = fill.calendar_fill(df, "p", ["v"], by=["s"], buckets=buckets)
+        assert len(calls) == 1
+        got = sorted(((r.s or "", str(r.p)[:7], r.k or "") for r in out.collect()))
+        assert got == [("", "2022-01", "v"), ("", "2022-02", ""), ("", "2022-03", "u"), ("a", "2022-01", "x"), ("a", "2022-02", ""), ("a", "2022-03", ""),
+                       ("a", "2022-04", "y"), ("a", "2022-04", "z"), ("b", "2022-02", "w")]
+        assert sorted(r.v for r in out.where("s = 'a' and p < '2022-04-01'").collect()) == [1.0, 1.0, 1.0]
