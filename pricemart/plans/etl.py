@@ -44,14 +44,14 @@ class EtlOutputs:
 OUTPUTS = ("dim_benchmark", "dim_rates", "fact", "summary", "quarantine", "rejects", "dim_date", "dim_fuel_type")
 
 
-def _observed_write(df: DataFrame, path: str, name: str, counts: dict, cluster_by=(), sort_within=()) -> None:
+def _observed_write(df: DataFrame, path: str, name: str, counts: dict, cluster_by=(), sort_within=(), partition_by=()) -> None:
     """Write ``df`` and record its row count from an ``Observation`` attached to the
     write itself (no second pass over the data).  The observation sits above the
     layout step: a range repartition runs a sampling job over its input, which
     would otherwise count the rows twice."""
     obs = Observation(f"rows_{name}")
     laid_out = wh.layout(df, cluster_by, sort_within)
-    wh.write_table(laid_out.observe(obs, F.count(F.lit(1)).alias("rows")), path)
+    wh.write_table(laid_out.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by=partition_by)
     counts[name] = obs.get["rows"]
 
 
@@ -85,17 +85,17 @@ def read_feeds(spark: SparkSession, raw_root: str, layout: str = "snapshot", mul
 
 
 def _load(df: DataFrame, schema: T.StructType, key, path: str, name: str, out: EtlOutputs, rejects: list, cluster_by=(), sort_within=(),
-          also=()) -> None:
+          partition_by=()) -> None:
     """Write the conforming rows of ``df`` (a written table: it is scanned, not computed again); its rejected rows join
-    ``rejects``, values that don't fit are counted.  ``also``: columns outside ``schema`` that are written with the rows."""
+    ``rejects``, values that don't fit are counted.  ``partition_by``: columns outside ``schema``, whose values are folders of the table."""
     if key:
         out.overflow[name] = {c: n for c, n in wh.overflow_counts(df, schema).first().asDict().items() if n}
         ok, bad = wh.conform(df, schema, key)
     else:                                               # counted by the write itself, above which rows are dropped
         seen = Observation(f"overflow_{name}")
-        flagged = wh.flagged(df.observe(seen, *wh.overflow_columns(df, schema)), schema, also)
+        flagged = wh.flagged(df.observe(seen, *wh.overflow_columns(df, schema)), schema, partition_by)
         ok, bad = flagged.where("_reject is null").drop("_reject"), wh.flagged(df, schema).where("_reject is not null")
-    _observed_write(ok, path, name, out.counts, cluster_by, sort_within)
+    _observed_write(ok, path, name, out.counts, cluster_by, sort_within, partition_by)
     if not key:
         out.overflow[name] = {c: n for c, n in seen.get.items() if n}
     rejects.append(_reject_rows(bad, schema, name))
@@ -162,9 +162,11 @@ def _write_star(spark: SparkSession, raw_root: str, version: str, base: publish.
     _observed_write(quarantined(tuple(staged_feeds)), out.quarantine, "quarantine", c)
     # The two joins of the fact run once, here; ids, rejects and the summary read what they gave.
     fact = staged(spark, assemble(benchmark, rates, prices, spec), "fact")
-    # Written in the order of its key: a file holds a span of periods, and the view reads the ranges.
+    # One folder for each range of its key: a file holds a span of periods, so a scan of some months skips the others by
+    # their footers, and the view's ranges are the folders.
     keyed = staged(spark, with_surrogate_key(fact, ["period", "fuel_type"], name="fact_id", range_name=mart.RANGE), "keyed-fact")
-    _load(keyed, wh.FACT_SCHEMA, (), out.fact, "fact", out, rejects, sort_within=["fact_id"], also=[mart.RANGE])      # fact_id is unique
+    _load(keyed, wh.FACT_SCHEMA, (), out.fact, "fact", out, rejects, sort_within=[mart.RANGE, "fact_id"],
+          partition_by=[mart.RANGE])                                # fact_id is unique
     _load(staged(spark, monthly_summary(fact), "summary"), wh.SUMMARY_SCHEMA, wh.SUMMARY_KEY, out.summary, "summary", out, rejects,
           cluster_by=["year", "month"])
     every = rejects[0]

@@ -91,13 +91,13 @@ def dirty_feeds(engine: str) -> dict[str, str]:
 MART_SPEC = replace(ANALOG_SPEC, date_dim_start="1995-01-01", date_dim_months=84)
 
 
-def _dirty_mart(spark, sf):
+def _dirty_mart(spark, sf, mart: str | None = None):
     raw = scratch_path(spark, "raw")
     for name in ("lineitem", "orders"):
         table(spark, sf, name).createOrReplaceTempView(name)
     for feed, sql in dirty_feeds("spark").items():
         ingest.land(spark.sql(sql), f"{raw}/{feed}", RUN_DATE)
-    return run_etl(spark, raw, scratch_path(spark, "mart"), MART_SPEC)
+    return run_etl(spark, raw, mart or scratch_path(spark, "mart"), MART_SPEC)
 
 
 def etl_balance(spark, sf) -> DataFrame:
@@ -165,6 +165,20 @@ def append_once(spark, sf) -> DataFrame:
     return ledger.read(spark, root, T.StructType([T.StructField("fact_id", T.LongType()), *o.schema.fields]))
 
 
+def fact_month(spark, sf) -> DataFrame:
+    """One month of the loaded fact (SNK6), with whether the month lies outside the span of periods of most of the table's
+    files, which a scan with that filter skips."""
+    mart = scratch_path(spark, "mart")
+    out = _dirty_mart(spark, sf, mart)
+    day = F.lit("1996-03-01").cast("date")
+    month = publish.read(spark, mart, "fact", FACT_SCHEMA).where(F.col("period") == day)
+    spans = (spark.read.parquet(out.fact).groupBy(F.input_file_name().alias("file"))
+             .agg(F.min("period").alias("low"), F.max("period").alias("high")))
+    skipped = F.count_if((F.col("low") > day) | (F.col("high") < day))
+    most = spans.agg((2 * skipped > F.count(F.lit(1))).alias("most_files_skipped"))                 # one row
+    return month.select("period", "fuel_type", "price_lkr").join(F.broadcast(most), F.lit(True))
+
+
 def conform_rejects(spark, sf) -> DataFrame:
     """Rows that conform and rows rejected by NOT NULL, text length and primary key, counted by reason."""
     schema = T.StructType([T.StructField("k", T.LongType(), False), varchar("label", 12)])
@@ -180,6 +194,7 @@ QUERIES = {
     "etl_view": etl_view,
     "append_load": append_load,
     "append_once": append_once,
+    "fact_month": fact_month,
     "refresh_load": refresh_load,
     "conform_rejects": conform_rejects,
     "ingest_benchmark": ingest_benchmark,

@@ -123,6 +123,8 @@ SELECT period, CAST(year(period) AS SMALLINT) AS year, CAST(quarter(period) AS S
        CAST(round((price_lkr - prev_month_price_lkr)::DECIMAL(18,2) * 100 / NULLIF(prev_month_price_lkr, 0), 2) AS DOUBLE) AS mom_price_change_pct
 FROM l""",
     "append_load": "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders",
+    "fact_month": DIRTY + f"""
+SELECT period, fuel_type, {D('price_lkr', 10, 2)} AS price_lkr, TRUE AS most_files_skipped FROM fact WHERE period = DATE '1996-03-01'""",
     "append_once": """
 SELECT row_number() OVER (ORDER BY CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END, o_orderkey) AS fact_id, o_orderkey, o_orderstatus
 FROM orders""",

@@ -58,8 +58,9 @@ def read(spark: SparkSession, root: str, table: str, schema: T.StructType | None
     found = release or current(spark, root)
     if table not in found.tables:
         raise KeyError(f"{root}: no published table {table}")
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.parquet(found.tables[table])
+    if schema is None:
+        return spark.read.parquet(found.tables[table])
+    return spark.read.schema(schema).parquet(found.tables[table]).select(*schema.fieldNames())      # without columns that are folders
 
 
 def prune(spark: SparkSession, root: str, keep: int = 2) -> list[str]:

@@ -133,3 +133,27 @@ def test_an_append_happens_once(spark):
     assert ledger.read(spark, root, schema).count() == 2
     assert ledger.append_once(b, root, "two", ["k"]).last_id == 5
     assert sorted(tuple(r) for r in ledger.read(spark, root, schema).collect()) == [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e")]
+
+
+def test_files_of_the_loaded_fact_hold_spans_of_periods(spark):
+    """Files of the fact don't overlap in their ids, and a month's scan carries its filter to them."""
+    from pyspark.sql import functions as F
+
+    from pricemart.plans import etl, ingest
+    from pricemart.sinks import publish
+    raw, root = scratch_path(spark, "raw"), scratch_path(spark, "mart")
+    months = [f"{2015 + i // 12}-{1 + i % 12:02d}" for i in range(96)]
+    for name, df in (("benchmark", spark.createDataFrame([(m, 80.0) for m in months], "period string, value double")),
+                     ("rates", spark.createDataFrame([(m, 300.0) for m in months], "period string, usd_lkr_avg double")),
+                     ("prices", spark.createDataFrame([(m, f, 300.0 + i, i) for i, m in enumerate(months) for f in ("LP_92", "LAD", "LP_95")],
+                                                      "period string, fuel_type string, price_lkr double, _pos long"))):
+        ingest.land(df, f"{raw}/{name}", "2024-01-01")
+    out = etl.run_etl(spark, raw, root)
+    spans = spark.read.parquet(out.fact).groupBy(F.input_file_name().alias("f")).agg(
+        F.min("fact_id").alias("lo"), F.max("fact_id").alias("hi"), F.min("period").alias("first"), F.max("period").alias("last")).orderBy("lo").collect()
+    assert len(spans) > 3 and all(a.hi < b.lo and a.last <= b.first for a, b in zip(spans, spans[1:]))
+    fact = publish.read(spark, root, "fact", wh.FACT_SCHEMA)
+    assert fact.columns == wh.FACT_SCHEMA.fieldNames() and fact.count() == 288
+    plan = fact.where("period = '2016-05-01'")._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(period), EqualTo(period,2016-05-01)]" in plan
+    assert fact.where("period = '2016-05-01'").count() == 3
