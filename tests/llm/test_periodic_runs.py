@@ -21,17 +21,13 @@ SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
 def brute_runs(ws, least=24, times=3):
     """Every lag's stretches of matches; of stretches in one place the smallest lag is the period."""
     found = {}
+    number = {w: i for i, w in enumerate(dict.fromkeys(ws))}
+    x = np.array([number[w] for w in ws], np.int64)
     for q in range(1, len(ws) // times + 1):
-        i = q
-        while i < len(ws):
-            if ws[i] != ws[i - q]:
-                i += 1
-                continue
-            a = i
-            while i < len(ws) and ws[i] == ws[i - q]:
-                i += 1
-            if i - a + q >= max(least, times * q):
-                found.setdefault((a - q, i), q)
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], x[q:] == x[:-q], [0]])))
+        for a, e in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            if e - a + q >= max(least, times * q):
+                found.setdefault((a, e + q), q)
     return sorted((a, e - a, q) for (a, e), q in found.items())
 
 
