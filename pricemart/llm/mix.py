@@ -7,8 +7,9 @@ without replacement: each document draws an exponential key -ln(u) / quality, do
 source, sizes are summed up in that order, and documents are taken while the middle of theirs lies below the rest.  So a
 source ends within half a document of its target.  u comes from a hash of the id: reruns agree.
 
-No source is sorted in one task.  Keys fall into ranges of about ``RANGE_ROWS`` documents; the ranges' sums give each
-range its start, and a window sorts each (source, range) alone.  Selected documents are a prefix of the order, so one
+No source is sorted in one task.  Spark's range shuffle deals (source, key, id, size) into even ranges of about ``RANGE_ROWS``
+documents, whatever the qualities; the ranges' sums give each range its start, and a window sorts each (source, range) alone.
+Sources themselves are numbered and filled up in such ranges.  Selected documents are a prefix of the order, so one
 cutoff per source decides, and texts are never shuffled.
 
 Defined cases: null texts have size 0; the null source is a source, last in order; a null, zero or negative quality comes
@@ -22,11 +23,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricemart.llm.common import fresh, staged
+from pricemart.llm.common import staged
+from pricemart.operators.buckets import BUCKET, TIE_BREAK, ranged
+from pricemart.operators.keys import with_surrogate_key
+from pricemart.session import default_parallelism
 
 SPACE = r"[\x20\x09-\x0D]+"
 SIGNS = r"[#*$%&|<>!]+"
-RANGE_ROWS = 100_000
+RANGE_ROWS = 1_000_000      # rows of a range that one task sorts
 
 
 def word_count(text: Column) -> Column:
@@ -48,24 +52,46 @@ def exponential_key(id_text: Column, quality: Column) -> Column:
     return F.when(quality > 0, -F.log(u) / quality).otherwise(F.lit(float("inf")))
 
 
+def _before(rows: DataFrame, order: Sequence[str], ranges: int, by: Sequence[str] = (), **sums: str) -> DataFrame:
+    """``rows`` with sums of columns over the rows before them (in their series ``by``) in ``order``; ``sums``: name=column.
+
+    Spark's range shuffle deals the rows evenly, whatever their values; a window sorts each range alone, and a table with a
+    row for each range (and series) holds what lies before it."""
+    x = ranged(rows, [*by, *order], ranges)
+    names = list(sums)
+    totals = x.groupBy(*by, BUCKET).agg(*[F.sum(sums[n]).alias(n) for n in names])
+    earlier = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*[F.col(c).alias(f"_at_{c}") for c in (*by, BUCKET)],
+                           *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_start_{n}") for n in names])
+    inside = Window.partitionBy(*by, BUCKET).orderBy(*order, TIE_BREAK).rowsBetween(Window.unboundedPreceding, -1)
+    local = x.withColumns({n: F.coalesce(F.sum(sums[n]).over(inside), F.lit(0)) for n in names})
+    same = F.lit(True)
+    for c in (*by, BUCKET):
+        same = same & F.col(c).eqNullSafe(F.col(f"_at_{c}"))
+    return local.join(starts, same).select(*rows.columns, *[(F.col(n) + F.col(f"_start_{n}")).alias(n) for n in names])
+
+
+def _ranges(n: int) -> int:
+    return max(1, -(-n // RANGE_ROWS))
+
+
 def targets(sizes: DataFrame, weights: Sequence[float], share: float, max_epochs: float) -> DataFrame:
-    """``sizes`` (source, source_size: one row per source) with weight and target."""
-    place = Window.orderBy(F.col("source").asc_nulls_last())
+    """``sizes`` (source, source_size: one row per source) with weight and target.
+
+    Sources may be many (hosts): they are numbered and summed up in ranges of their order, too."""
+    count, words = sizes.agg(F.count(F.lit(1)), F.sum("source_size")).first()
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    every = Window.partitionBy()
-    x = (sizes.withColumn("weight", F.get(cycle, (F.row_number().over(place) - 1) % len(weights)))
-         .withColumn("_cap", F.col("source_size") * float(max_epochs))
-         .withColumn("_budget", F.sum("source_size").over(every) * float(share)))
+    placed = with_surrogate_key(sizes.withColumn("_null", F.col("source").isNull()), ["_null", "source"], "_place", 0, _ranges(count))
+    x = placed.withColumn("weight", F.get(cycle, (F.col("_place") % len(weights)).cast("int")))
+    x = staged(sizes.sparkSession, x.withColumn("_ratio", F.col("source_size") * float(max_epochs) / F.col("weight")), "mix-weights")
     # Sources fill up in the order of cap / weight; the level is that of the first that doesn't.
-    fill = Window.orderBy("_ratio", F.col("source").asc_nulls_last())
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    x = (x.withColumn("_ratio", F.col("_cap") / F.col("weight"))
-         .withColumn("_rank", F.row_number().over(fill))
-         .withColumn("_level", (F.col("_budget") - F.coalesce(F.sum("_cap").over(before), F.lit(0.0)))
-                     / (F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))))
-    level = F.min(F.when(F.col("_level") < F.col("_ratio"), F.struct("_rank", "_level"))).over(every)["_level"]
-    return (x.withColumn("target", F.least(F.col("_cap"), F.coalesce(level * F.col("weight"), F.col("_cap"))))
-            .select("source", "source_size", "weight", "target"))
+    full = _before(x, ["_ratio", "_null", "source"], _ranges(count), _words="source_size", _weights="weight")
+    all_weights = x.agg(F.sum("weight")).first()[0] or 0.0
+    level = (F.lit(float(share) * (words or 0)) - F.col("_words") * float(max_epochs)) / (F.lit(all_weights) - F.col("_weights"))
+    found = (full.withColumn("_level", level).where("_level < _ratio")
+             .agg(F.min(F.struct("_ratio", "_null", "source", "_level"))["_level"]).first()[0])
+    cap = F.col("source_size") * float(max_epochs)
+    return x.select("source", "source_size", "weight", (cap if found is None else F.least(cap, F.lit(found) * F.col("weight"))).alias("target"))
 
 
 def _slim(docs: DataFrame, quality: Column, source_col: str, id_col: str, text_col: str) -> list[Column]:
@@ -79,25 +105,19 @@ def plan(slim: DataFrame, weights: Sequence[float], share: float, max_epochs: fl
 
     ``slim`` has source, id, size and key, one row per document."""
     spark = slim.sparkSession
-    per_source = slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    per_source = staged(spark, slim.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")), "mix-sources")
     goal = targets(per_source.select("source", "source_size"), weights, share, max_epochs)
     p = (per_source.select(F.col("source").alias("_s"), "n").join(goal, F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
          .withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long"))
-         .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
-         .withColumn("ranges", F.ceil(F.col("n") / RANGE_ROWS)))
+         .withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size")))
     p = staged(spark, p, "mix-targets")
-    rows = slim.groupBy("source", "key", "id", "size").agg(F.count("*").alias("n")).withColumn("mass", F.col("size") * F.col("n"))
-    at = p.where("rest > 0").select(F.col("source").alias("_s"), "rest", "ranges")
-    # 1 - exp(-key) rises with the key and is spread evenly for weights near 1: any rising function gives the same result.
-    rows = (rows.join(at, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-            .withColumn("range", F.floor((1 - F.exp(-F.col("key"))) * F.col("ranges"))))
-    sums = rows.groupBy("source", "range").agg(F.sum("mass").alias("total"))
-    start = sums.select(F.col("source").alias("_s"), F.col("range").alias("_r"), F.coalesce(
-        F.sum("total").over(Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
-    order = Window.partitionBy("source", "range").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    taken = (rows.withColumn("within", F.sum("mass").over(order))
-             .join(start, F.col("source").eqNullSafe(F.col("_s")) & (F.col("range") == F.col("_r")))
-             .where(F.col("start") + F.col("within") - F.col("mass") / 2 <= F.col("rest")))
+    at = p.where("rest > 0").select(F.col("source").alias("_s"), "rest")
+    rows = (slim.groupBy("source", "key", "id", "size").agg((F.col("size") * F.count("*")).alias("mass"))
+            .join(at, F.col("source").eqNullSafe(F.col("_s"))).drop("_s"))
+    n = p.where("rest > 0").agg(F.sum("n")).first()[0] or 0
+    ranges = max(_ranges(n), default_parallelism(spark))
+    taken = (_before(rows, ["key", "id", "size"], ranges, ["source"], before="mass")
+             .where(F.col("before") + F.col("mass") / 2 <= F.col("rest")))
     cut = taken.groupBy(F.col("source").alias("_s")).agg(F.max(F.struct("key", "id", "size")).alias("cutoff"))
     # Written, so that its size is known: joins with it are broadcast while it is small, and skewed joins that Spark splits beyond.
     return staged(spark, p.join(cut, F.col("source").eqNullSafe(F.col("_s")), "left")

@@ -83,6 +83,19 @@ def test_mix(spark, monkeypatch, rows_in_range):
             before += size[d]
 
 
+def test_sums_before_a_row_in_ranges(spark):
+    """Skewed keys, ties and the null series against brute force, for one range and for many; many sources fill up as few do."""
+    rows = [(("a", None, "c")[i % 3 if i % 7 else 0], (i % 50 / 50.0) ** 9, i, i % 11) for i in range(700)]
+    df = spark.createDataFrame(rows, "s string, k double, i long, v long")
+    for ranges in (1, 16):
+        got = {r.i: r.before for r in mix._before(df, ["k", "i"], ranges, ["s"], before="v").collect()}
+        assert got == {i: sum(w for t, l, j, w in rows if t == s and (l, j) < (k, i)) for s, k, i, _ in rows}
+    sizes = {f"host{i}": 1 + i * i % 97 for i in range(200)} | {None: 40}
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    want = brute_targets(sizes)
+    assert all(math.isclose(r.target, want[r.source], rel_tol=1e-9) for r in mix.targets(frame, (3, 1, 2), 1.5, 2.0).collect())
+
+
 def test_mix_repeats_rows_whole(spark):
     docs = documents(spark, mixture()).withColumnRenamed("lang", "epochs").withColumnRenamed("n_chars", "key")
     taken = {r.doc_id: r.taken for r in mix.report(docs).collect()}
