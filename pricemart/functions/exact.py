@@ -22,11 +22,20 @@ def round_half_up(c, scale: int) -> Column:
     return _c(c).try_cast(f"decimal(38,{scale})").cast("double")
 
 
-def exact_mean(c, input_scale: int = 8) -> Column:
-    """Order-independent mean: decimal sum / count of the values that fit the decimal (NULLs ignored,
-    empty -> NULL)."""
-    exact = _c(c).try_cast(f"decimal(28,{input_scale})")
-    return F.sum(exact).cast("double") / F.nullif(F.count(exact), F.lit(0))
+def exact_mean(c) -> Column:
+    """Mean of the finite values, in any order the same (NULL, NaN and infinities ignored, empty -> NULL).
+
+    Values from 1e-10 to 1e20 are summed exactly in two decimals: one rounded to 8 places, and what that leaves (if it isn't
+    the same double), to 27 places (a double's 17 digits end before).  Values beyond join as a sum of doubles, whose last digits may depend on the order."""
+    x = _c(c).cast("double")
+    size = F.abs(x)
+    finite = size < float("inf")                                   # NaN is greater
+    usual = (size >= 1e-10) & (size < 1e20)
+    coarse = x.try_cast("decimal(28,8)")
+    fine = F.when((size < 1e10) & (coarse.cast("double") != x), x.try_cast("decimal(37,27)") - x.try_cast("decimal(18,8)").cast("decimal(37,27)"))
+    parts = [F.sum(F.when(usual, coarse)), F.sum(F.when(usual, fine)), F.sum(F.when(finite & ~usual, x))]
+    total = sum((F.coalesce(p.cast("double"), F.lit(0.0)) for p in parts[1:]), F.coalesce(parts[0].cast("double"), F.lit(0.0)))
+    return total / F.nullif(F.count(F.when(finite, x)), F.lit(0))
 
 
 def safe_div(num, den) -> Column:

@@ -50,12 +50,12 @@ ETL = f"""
 WITH {MERGED_PRICES.strip()},
 bench AS (
   SELECT CAST(strptime(strftime(l_shipdate, '%Y-%m'), '%Y-%m') AS DATE) AS period,
-         {R(MEAN('l_extendedprice / 1000'), 4)} AS brent_usd_per_barrel
+         {MEAN('l_extendedprice / 1000', 4)} AS brent_usd_per_barrel
   FROM lineitem GROUP BY 1),
 bench_ok AS (SELECT * FROM bench WHERE brent_usd_per_barrel > 0 AND brent_usd_per_barrel < 300),
 rates AS (
   SELECT CAST(strptime(strftime(l_shipdate, '%Y-%m'), '%Y-%m') AS DATE) AS period,
-         {R(MEAN('l_quantity'), 4)} AS usd_lkr_rate
+         {MEAN('l_quantity', 4)} AS usd_lkr_rate
   FROM lineitem WHERE l_quantity <> 0 GROUP BY 1),
 prices AS (
   SELECT CAST(try_strptime(period, '%Y-%m') AS DATE) AS period, upper(trim(fuel_type)) AS fuel_type, price_lkr
@@ -110,8 +110,8 @@ SELECT feed, period AS period_text, label, upper(trim(label)) AS fuel_type, valu
 FROM c WHERE reason IS NOT NULL""",
     "etl_summary": DIRTY + f"""
 SELECT CAST(year(period) AS SMALLINT) AS year, CAST(month(period) AS SMALLINT) AS month, fuel_type,
-       {D(R(MEAN('price_lkr'), 2), 10, 2)} AS avg_price_lkr, {D(R(MEAN('brent'), 2), 8, 2)} AS avg_brent_usd,
-       {D(R(MEAN('rate'), 4), 10, 4)} AS avg_usd_lkr, CAST(count(*) AS INTEGER) AS record_count
+       {D(MEAN('price_lkr', 2), 10, 2)} AS avg_price_lkr, {D(MEAN('brent', 2), 8, 2)} AS avg_brent_usd,
+       {D(MEAN('rate', 4), 10, 4)} AS avg_usd_lkr, CAST(count(*) AS INTEGER) AS record_count
 FROM fact GROUP BY 1, 2, 3""",
     "etl_view": DIRTY + f""",
 f AS (SELECT period, fuel_type, {D('price_lkr', 10, 2)} AS price_lkr, {D('price_usd', 10, 4)} AS price_usd, {D('brent', 8, 2)} AS brent_usd_per_barrel,
@@ -142,7 +142,7 @@ SELECT period, value, source FROM rec
 WHERE length(period) = 7 AND substr(period, 5, 1) = '-' AND value > 0 AND value < 300""",
     "ingest_rates": f"""
 WITH daily AS ({_RATES_DAILY_HTML})
-SELECT strftime(date, '%Y-%m') AS period, {R(MEAN('usd_lkr'), 4)} AS usd_lkr_avg, COUNT(usd_lkr) AS sample_count
+SELECT strftime(date, '%Y-%m') AS period, {MEAN('usd_lkr', 4)} AS usd_lkr_avg, COUNT(usd_lkr) AS sample_count
 FROM daily WHERE NOT EXISTS (SELECT 1 FROM pages WHERE regexp_matches(lower(html), '<table'))
 GROUP BY 1""",
     "ingest_prices": f"WITH {MERGED_PRICES.strip()}\nSELECT * FROM merged",

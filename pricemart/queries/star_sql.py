@@ -6,9 +6,12 @@ def R(x: str, k: int) -> str:
     return f"CAST(TRY_CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,{k})) AS DOUBLE)"
 
 
-def MEAN(x: str) -> str:
-    d = f"TRY_CAST({x} AS DECIMAL(28,8))"
-    return f"(CAST(SUM({d}) AS DOUBLE) / NULLIF(COUNT({d}), 0))"
+def MEAN(x: str, k: int) -> str:
+    """Mean rounded to ``k`` places, HALF_UP, in whole numbers of 10^-16, read from the values' texts (values of 0 or more)."""
+    n, unit = f"COUNT({x})::HUGEINT", 10 ** 16
+    units = f"replace(CAST(CAST(CAST(({x})::DOUBLE AS VARCHAR) AS DECIMAL(38,16)) AS VARCHAR), '.', '')"
+    total = f"SUM(CAST({units} AS HUGEINT))::HUGEINT"
+    return f"(CAST((2 * {total} * {10 ** k} + {n} * {unit}) // NULLIF(2 * {n} * {unit}, 0) AS DOUBLE) / {10 ** k})"
 
 
 BASE = f"""
@@ -27,7 +30,7 @@ bench AS (
     AND brent_usd_per_barrel > 0 AND brent_usd_per_barrel < 300),
 rates_daily AS (SELECT strftime(l_shipdate, '%Y-%m-%d') AS date, l_quantity AS usd_lkr FROM lineitem),
 rates_monthly AS (
-  SELECT substr(date, 1, 7) AS period, {R(MEAN('usd_lkr'), 4)} AS usd_lkr_avg, COUNT(usd_lkr) AS sample_count
+  SELECT substr(date, 1, 7) AS period, {MEAN('usd_lkr', 4)} AS usd_lkr_avg, COUNT(usd_lkr) AS sample_count
   FROM rates_daily WHERE length(date) >= 7 AND usd_lkr IS NOT NULL AND usd_lkr <> 0 AND NOT isnan(usd_lkr)
   GROUP BY 1),
 rates AS (
@@ -56,8 +59,8 @@ fact AS (
   FROM with_fx f LEFT JOIN bench b ON f.period = b.period),
 summary AS (
   SELECT strftime(period, '%Y') AS year, strftime(period, '%m') AS month, fuel_type,
-         {R(MEAN('price_lkr'), 2)} AS avg_price_lkr, {R(MEAN('brent_usd_per_barrel'), 2)} AS avg_brent_usd,
-         {R(MEAN('usd_lkr_rate'), 4)} AS avg_usd_lkr, COUNT(*) AS record_count
+         {MEAN('price_lkr', 2)} AS avg_price_lkr, {MEAN('brent_usd_per_barrel', 2)} AS avg_brent_usd,
+         {MEAN('usd_lkr_rate', 4)} AS avg_usd_lkr, COUNT(*) AS record_count
   FROM fact GROUP BY 1, 2, 3),
 dd AS (
   SELECT CAST(d AS DATE) AS date_key, CAST(year(d) AS SMALLINT) AS year, CAST(quarter(d) AS SMALLINT) AS quarter,

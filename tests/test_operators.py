@@ -1,6 +1,8 @@
 """Operator unit tests on small frames: golden values from FIXTURES.md and properties."""
 
 import datetime as dt
+import random
+from fractions import Fraction
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -186,8 +188,15 @@ def test_rounding_is_one_step_and_means_count_what_they_sum(spark):
     from pricemart.functions.exact import exact_mean, round_half_up
     df = spark.createDataFrame([(0.00004999999999,), (0.00005,), (2.675,), (-1.00005,)], "x double")
     assert [r.r for r in df.select(round_half_up("x", 4).alias("r")).collect()] == [0.0, 0.0001, 2.675, -1.0001]
-    df = spark.createDataFrame([(1e21,), (2.0,), (None,)], "x double")
-    assert df.agg(exact_mean("x").alias("m")).first().m == 2.0
+
+    def mean(*values):
+        return spark.createDataFrame([(v,) for v in values], "x double").repartition(3).agg(exact_mean("x").alias("m")).first().m
+    assert mean(1e21, 2.0, None) == 5e20 + 1 and mean(1e-9, 3e-9) == 2e-9 and mean(1e300, 1e300) == 1e300
+    assert mean(None) is None and mean(float("nan"), 2.0, float("-inf")) == 2.0 and mean(*[0.1] * 10) == 0.1
+    assert mean(9.99e19, 1.0) == 4.995e19 and mean(-5e-324) == -5e-324 and mean(0.0, -4.0, 1.0) == -1.0
+    values = [random.Random(5).uniform(-1, 1) * 10.0 ** (i % 25 - 9) for i in range(400)]
+    exact = sum(map(Fraction, map(repr, values))) / len(values)
+    assert mean(*values) == mean(*values[::-1]) and abs(Fraction(mean(*values)) - exact) <= abs(exact) * Fraction(1, 10 ** 15)
 
 
 def test_conform_overflow_and_insert_if_empty(spark):
