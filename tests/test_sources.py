@@ -289,3 +289,27 @@ def test_all_named_references_are_decoded(spark):
     texts = ["&aacute;&Ccedil;&nosuch;x", "&alpha;&amp;beta;&gt", "caf&eacute; &amp;eacute;", "&NotEqualTilde;!"]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select(cell_text("t").alias("c"))
     assert [r.c for r in df.collect()] == ["áÇ&nosuch;x", "α&beta;&gt", "café &eacute;", "≂̸!"]
+
+
+def test_large_files_of_objects_are_split(spark):
+    """Objects over several lines: tasks read parts of a file, and an object that goes over them is put together."""
+    objects = [_envelope(i, note="x" * (i % 7) + ' } \\n{ "') for i in range(400)]
+    dense = [f'{{"source": "api", "fetched_at": "2024-01-01", "records": [\n{{"period": "2022-01", "value": "d{i}"}},\n'
+             f'{{"period": "2022-02",\n "value": "e{i}"}}\n]\n}}' for i in range(300)]
+    files = {"pretty.json": "﻿\n" + "\n\n".join(json.dumps(o, indent=2) for o in objects),
+             "dense.json": "\r\n".join(dense[:200]) + "\n" + "".join(dense[200:250]) + "\n  ".join(dense[250:]),
+             "bad.json": json.dumps(_envelope("z"), indent=2) + '\n{"source": "open}\n{"}'}
+    path = _files(scratch_path(spark, "large"), files)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        spread = env._stretches(spark, path)
+        longest = max(len(r.value) for r in spread.where("path not like '%dense%'").collect())
+        got = env.read_envelopes(spark, path, env.BENCHMARK_RECORD, multiline=True, corrupt="keep").collect()
+        kept = env.corrupt_envelopes(spark, path, env.BENCHMARK_RECORD, multiline=True).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert longest < 400
+    expected = [*map(str, range(400)), *(f"{c}{i}" for i in range(300) for c in "de"), "z"]
+    assert sorted(r.value for r in got) == sorted(expected)
+    assert sorted(r.text for r in kept) == ['{"\n}', '{"source"\n: "open}']
