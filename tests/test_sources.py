@@ -313,3 +313,35 @@ def test_large_files_of_objects_are_split(spark):
     expected = [*map(str, range(400)), *(f"{c}{i}" for i in range(300) for c in "de"), "z"]
     assert sorted(r.value for r in got) == sorted(expected)
     assert sorted(r.text for r in kept) == ['{"\n}', '{"source"\n: "open}']
+
+
+def test_cells_are_extracted_once(spark):
+    """A filter by the number of cells is pushed below the projection that computes them, and computes them again."""
+    pages = spark.createDataFrame([(1, "u", "<table><tr><td>d</td></tr><tr></tr><tr><td>2023-01-05</td></tr><tr><td>2023-01-06</td><td>7</td></tr></table>")],
+                                  "page_id long, url string, html string")
+    rates = html.two_column_rates(pages, False)
+    assert [(str(r.date), r.usd_lkr) for r in rates.collect()] == [("2023-01-06", 7.0)]
+    assert rates._jdf.queryExecution().optimizedPlan().toString().count("<(?:td)") == 1
+    prices = html.price_table(pages)
+    filters = [x for x in prices._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in x]
+    assert filters and not any("<(?:th|td)" in x for x in filters)
+
+
+def test_long_nested_pages(spark):
+    """Many rows with tables in their cells: every row and cell in its place."""
+    rows = "".join(f"<tr><td>{1 + i % 28:02d}.01.2023<td><table><tr><td> {i + 1}</table></td><td>&#160;<p>x</tr>" for i in range(60))
+    page = f"<table><tr><th>Date</th><th>Rate</th></tr>{rows}</table>" + "</table>" * 2
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    got = html.two_column_rates(pages, True).orderBy("row_pos").collect()
+    assert [(r.date.day, r.usd_lkr) for r in got] == [(1 + i % 28, i + 1.0) for i in range(60)]
+
+
+def test_rendered_rate_pages_are_staged(spark, monkeypatch):
+    """The cascade probes its feeds: pages rendered by a shuffle would be rendered for the probe and again for the read."""
+    from pricemart.queries import jobs
+    feeds = []
+    monkeypatch.setattr(jobs.ingest, "ingest_rates", lambda sources, path, day: feeds.extend(sources) or sources[0].limit(0).select(
+        F.lit("").alias("period"), F.lit(0.0).alias("usd_lkr_avg"), F.lit(0).alias("sample_count")))
+    jobs.ingest_rates(spark, "/root/testdata/sf0.001")
+    plan = feeds[1]()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "lineitem" not in plan
